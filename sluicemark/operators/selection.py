@@ -36,7 +36,7 @@ def default_range_params(today: dt.date, ids: str = "10, 11, 12") -> dict[str, A
     return {
         "start_date": today - dt.timedelta(days=1),
         "end_date": today,
-        "ids": [int(item) for item in ids.split(",")],
+        "ids": ids,
     }
 
 

@@ -16,7 +16,7 @@ from sluicemark.functions.dates import compact_day, explode_days
 from sluicemark.operators.dedup import deduplicated
 from sluicemark.operators.export import export_chunks, land_feeds, replace_partitions
 from sluicemark.operators.merge import ACTION, INSERT, UPDATE, assert_unique_keys, upsert
-from sluicemark.session import BROADCAST_LIMIT_BYTES, fits_broadcast
+from sluicemark.session import BROADCAST_LIMIT_BYTES, fits_broadcast, staged
 from sluicemark.sources.database import FULL, INCREMENTAL, select_run
 from sluicemark.sources.files import PROVENANCE, create_table_from_files
 from sluicemark.sources.loading import load_files, load_into_table
@@ -65,9 +65,10 @@ def upsert_files(
     broadcast_limit: int = BROADCAST_LIMIT_BYTES,
     with_action: bool = False,
 ) -> DataFrame:
-    """Target after loading, filtering, deduplicating and merging the files: one lazy plan.
+    """Target after loading, filtering, deduplicating and merging the files.
 
-    The batch is measured by a scan of its own first; only a small one is broadcast.
+    The deduplicated batch is staged, so that scan, filter and ranking run once and its size is
+    known: only a small one is broadcast.  The merge itself stays lazy.
     """
     batch = load_files(spark, config.stage, config.prefix, config.file_format, target.schema, scan_time)
     return upsert_batch(target, batch, config, broadcast_limit, with_action)
@@ -75,8 +76,8 @@ def upsert_files(
 
 def upsert_batch(target: DataFrame, batch: DataFrame, config: TableConfig, broadcast_limit: int = BROADCAST_LIMIT_BYTES, with_action: bool = False) -> DataFrame:
     """As ``upsert_files`` for a batch that is already a frame."""
-    latest = deduplicated(batch, target, config.keys, config.order_by, config.watermark)
-    small = fits_broadcast(batch, broadcast_limit)
+    latest = staged(deduplicated(batch, target, config.keys, config.order_by, config.watermark))
+    small = fits_broadcast(latest, broadcast_limit)
     return upsert(target, latest, config.keys, source_is_small=small, with_action=with_action)
 
 
@@ -148,6 +149,7 @@ def upsert_new_files(spark: SparkSession, source: str, config: TableConfig, chec
 
 def upsert_frame_into_table(source: DataFrame, table: str, keys: list[str], buckets: int | None = None) -> tuple[int, int]:
     """Upsert a frame that holds one row per key into a published table."""
+    source = staged(source)
     assert_unique_keys(source, keys)
     merged = upsert(source.sparkSession.table(table), source, keys, fits_broadcast(source), with_action=True)
     return _publish_counted(merged, table, keys, buckets)
@@ -170,6 +172,7 @@ def upsert_partitions(target: DataFrame, source: DataFrame, keys: list[str], par
     outside = [c for c in partition_by if c.lower() not in {k.lower() for k in keys}]
     if outside:
         raise ValueError(f"partition columns {outside} must be part of the key {keys}")
+    source = staged(source)
     assert_unique_keys(source, keys)
     touched = source.select(*partition_by).distinct()
     held = target.join(touched, partition_by, "left_semi").select(*target.columns)

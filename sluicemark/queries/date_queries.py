@@ -66,7 +66,7 @@ def uneven_interval_agg(spark: SparkSession, sf: str) -> DataFrame:
     "date_range_rows",
     "WITH b AS (SELECT min(o_orderdate) AS lo, max(o_orderdate) AS hi FROM orders),"
     " days AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS run_date FROM b)"
-    " SELECT run_date, count(o_orderkey) AS n_orders FROM days LEFT JOIN orders ON CAST(o_orderdate AS DATE) = run_date GROUP BY 1",
+    " SELECT strftime(run_date, '%Y-%m-%d') AS run_date, count(o_orderkey) AS n_orders FROM days LEFT JOIN orders ON CAST(o_orderdate AS DATE) = days.run_date GROUP BY 1",
 )
 def date_range_rows(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders")
@@ -74,14 +74,16 @@ def date_range_rows(spark: SparkSession, sf: str) -> DataFrame:
     bounds = text.select(dates.parse_day(F.col("lo")).alias("first"), dates.parse_day(F.col("hi")).alias("last"))
     per_day = orders.groupBy(dates.day_of(F.col("o_orderdate")).alias("run_date")).agg(F.count("o_orderkey").alias("n_orders"))
     days = dates.explode_days(bounds, "first", "last").select("run_date")
-    return days.join(per_day, "run_date", "left").select("run_date", F.coalesce("n_orders", F.lit(0)).alias("n_orders"))
+    return days.join(per_day, "run_date", "left").select(
+        dates.dashed_day(F.col("run_date")).alias("run_date"), F.coalesce("n_orders", F.lit(0)).alias("n_orders")
+    )
 
 
 @query(
     "descending_day_rows",
     "WITH b AS (SELECT CAST(min(ts) AS DATE) AS lo, CAST(max(ts) AS DATE) AS hi FROM events)"
-    " SELECT CAST(unnest(generate_series(hi, lo, INTERVAL (-1) DAY)) AS DATE) AS run_date, 'loop' AS origin FROM b"
-    " UNION ALL SELECT DATE '1997-01-15', 'fixed'",
+    " SELECT strftime(unnest(generate_series(hi, lo, INTERVAL (-1) DAY)), '%Y-%m-%d') AS run_date, 'loop' AS origin FROM b"
+    " UNION ALL SELECT '1997-01-15', 'fixed'",
 )
 def descending_day_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Day rows from the last event day down to the first, appended after one fixed row."""
@@ -91,7 +93,7 @@ def descending_day_rows(spark: SparkSession, sf: str) -> DataFrame:
     fixed = spark.range(1).select(F.lit("1997-01-15").cast("date").alias("run_date"), F.lit("fixed").alias("origin"))
     append_to_table(fixed, target)
     append_to_table(dates.explode_days_descending(bounds, "last", "first").select("run_date", F.lit("loop").alias("origin")), target)
-    return spark.table(target)
+    return spark.table(target).select(dates.dashed_day(F.col("run_date")).alias("run_date"), "origin")
 
 
 _SLICED = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}
@@ -122,7 +124,7 @@ def run_type_load(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [flows.run_tables(frames, run_type) for run_type in (FULL, INCREMENTAL)])
 
 
-@query("backfill_by_day", "SELECT CAST(ts AS DATE) AS run_date, event_id, user_id, value FROM events")
+@query("backfill_by_day", "SELECT strftime(ts, '%Y-%m-%d') AS run_date, event_id, user_id, value FROM events")
 def backfill_by_day(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events").select("event_id", "user_id", "value", "ts")
     day = F.to_date("ts")
@@ -130,4 +132,4 @@ def backfill_by_day(spark: SparkSession, sf: str) -> DataFrame:
     folder = new_folder(spark, "backfill")
     for _ in range(2):  # the rerun replaces the same days
         flows.backfill_by_day(events, "ts", first.scalar(), last.scalar(), folder)
-    return spark.read.parquet(folder).select("run_date", "event_id", "user_id", "value")
+    return spark.read.parquet(folder).select(dates.dashed_day(F.col("run_date")).alias("run_date"), "event_id", "user_id", "value")

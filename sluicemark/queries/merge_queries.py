@@ -18,7 +18,7 @@ from sluicemark.operators.merge import merge_metrics as count_merge
 from sluicemark.operators.merge import upsert
 from sluicemark.plans import flows
 from sluicemark.queries.registry import query, table
-from sluicemark.session import fits_broadcast, new_database
+from sluicemark.session import fits_broadcast, new_database, staged
 
 SCAN_TIME = dt.datetime(2024, 2, 1, 6, 0, 0)
 KEYS = ["l_orderkey", "l_linenumber"]
@@ -52,7 +52,9 @@ def first_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("dedup_latest", "SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC) = 1")
 def dedup_latest(spark: SparkSession, sf: str) -> DataFrame:
-    latest_per_key(table(spark, sf, "events"), ["user_id"], ["ts", "event_id"]).createOrReplaceTempView("latest_events")
+    """The kept rows under a temporary name, as the upsert flow's dedup step leaves them."""
+    latest = latest_per_key(table(spark, sf, "events"), ["user_id"], ["ts", "event_id"])
+    latest.createOrReplaceTempView("latest_events")
     return spark.table("latest_events")
 
 
@@ -63,9 +65,9 @@ def dedup_composite_key(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("upsert_merge", _MERGED.format(extra=""))
 def upsert_merge(spark: SparkSession, sf: str) -> DataFrame:
-    target, lines = first_lines(spark, sf), table(spark, sf, "lineitem")
-    small = fits_broadcast(lines.select(*target.columns))
-    return upsert(target, latest_per_key(lines, KEYS, LINE_ORDER), KEYS, source_is_small=small)
+    target = first_lines(spark, sf)
+    latest = staged(latest_per_key(table(spark, sf, "lineitem"), KEYS, LINE_ORDER).select(*target.columns))
+    return upsert(target, latest, KEYS, source_is_small=fits_broadcast(latest))
 
 
 @query(

@@ -39,16 +39,33 @@ def watermark_filter(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query(
-    "param_range_inlist",
+_RANGE = (
     "SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem WHERE CAST(l_shipdate AS DATE) >= DATE '1997-01-01'"
-    " AND CAST(l_shipdate AS DATE) < DATE '1998-01-01' AND l_quantity IN (10, 11, 12)",
+    " AND CAST(l_shipdate AS DATE) < DATE '1998-01-01' AND l_quantity IN (10, 11, 12)"
 )
+
+
+@query("param_range_inlist", _RANGE)
 def param_range_inlist(spark: SparkSession, sf: str) -> DataFrame:
-    params = {"start_date": dt.date(1997, 1, 1), "end_date": dt.date(1998, 1, 1), "ids": comma_list(F.lit("10, 11, 12"), "int")}
+    """The range and list as a SQL file with bound parameters."""
+    params = {"start_date": dt.date(1997, 1, 1), "end_date": dt.date(1998, 1, 1), "ids": "10, 11, 12"}
     return selection.run_sql_file(spark, SQL / "range_and_list.sql", params, facts=table(spark, sf, "lineitem"))
 
 
+@query("range_inlist_columns", _RANGE)
+def range_inlist_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """The same as column filters: both the range and the list are pushed into the scan."""
+    lines = selection.in_date_range(table(spark, sf, "lineitem"), "l_shipdate", dt.date(1997, 1, 1), dt.date(1998, 1, 1))
+    return selection.in_comma_list(lines, "l_quantity", "10, 11, 12").select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
+
+
+@query("list_membership", "SELECT p_partkey, p_size IN (10, 11, 12) AS listed FROM part")
+def list_membership(spark: SparkSession, sf: str) -> DataFrame:
+    """Membership in comma-separated text that is itself a column value."""
+    ids = F.lit("10, 11, 12")
+    return table(spark, sf, "part").select("p_partkey", F.array_contains(comma_list(ids, "int"), F.col("p_size")).alias("listed"))
+
+
 @query(
     "select_by_pattern",
     "SELECT l_orderkey, l_partkey, l_shipdate, 'lineitem' AS stream FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-03-01'",
@@ -103,7 +120,7 @@ def time_slot_routing(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "row_count_check",
     " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, count(*) AS n_rows, 100 AS threshold, count(*) > 100 AS passed FROM {t}" for t in SCHEMAS
+        f"SELECT '{t}' AS table_name, count(*) AS n_rows, CAST(100 AS BIGINT) AS threshold, count(*) > 100 AS passed FROM {t}" for t in SCHEMAS
     ),
 )
 def row_count_check(spark: SparkSession, sf: str) -> DataFrame:
@@ -175,7 +192,7 @@ _RULES = {
         checks.Rule("event_type", one_of=("view", "click", "signup", "purchase")),
         checks.Rule("value", minimum=1, maximum=128),
         checks.Rule("day", text_format="date"),
-        checks.Rule("at", text_format="date-time"),
+        checks.Rule("at_time", text_format="date-time"),
         checks.Rule("props", text_format="date"),
     ],
 }
@@ -215,7 +232,7 @@ def _rule_sql(name: str, source: str) -> str:
         [
             _rule_sql("customer", "customer"),
             _rule_sql("part", "part"),
-            _rule_sql("events", "(SELECT *, strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at FROM events)"),
+            _rule_sql("events", "(SELECT *, strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at_time FROM events)"),
         ]
     ),
 )
@@ -224,7 +241,7 @@ def row_constraints(spark: SparkSession, sf: str) -> DataFrame:
         "customer": table(spark, sf, "customer"),
         "part": table(spark, sf, "part"),
         "events": table(spark, sf, "events").select(
-            "*", F.date_format("ts", "yyyy-MM-dd").alias("day"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at")
+            "*", F.date_format("ts", "yyyy-MM-dd").alias("day"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at_time")
         ),
     }
     return reduce(DataFrame.unionByName, [checks.count_violations(df, _RULES[n], n) for n, df in frames.items()])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluicemark.functions.dates import ntz
+from sluicemark.functions.dates import dashed_day, ntz
 from sluicemark.operators.export import export_chunks, unload, write_skip_empty
 from sluicemark.plans.flows import export_run, land_payloads, with_provenance
 from sluicemark.queries.registry import query, table
@@ -98,7 +98,7 @@ def incremental_export(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "feed_landing",
-    "SELECT event_type AS feed, CAST(ts AS DATE) AS run_date, count(*) AS n_rows, sum(CAST(props->>'$.k' AS BIGINT))::BIGINT AS total_k,"
+    "SELECT event_type AS feed, strftime(ts, '%Y-%m-%d') AS run_date, count(*) AS n_rows, sum(CAST(props->>'$.k' AS BIGINT))::BIGINT AS total_k,"
     " TIMESTAMP '2024-02-01 06:00:00' AS scrape_ts FROM events GROUP BY ALL",
 )
 def feed_landing(spark: SparkSession, sf: str) -> DataFrame:
@@ -109,6 +109,6 @@ def feed_landing(spark: SparkSession, sf: str) -> DataFrame:
     folder = new_folder(spark, "rest_api_scrapes")
     for _ in range(2):  # a rerun lands in the same partitions
         land_payloads(payloads, "payload", record, ntz(RUN_TS), folder)
-    return spark.read.parquet(folder).groupBy("feed", "run_date", "scrape_ts").agg(
+    return spark.read.parquet(folder).groupBy("feed", dashed_day(F.col("run_date")).alias("run_date"), "scrape_ts").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("k").alias("total_k")
     )

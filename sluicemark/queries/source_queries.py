@@ -42,7 +42,7 @@ def scan_by_format(spark: SparkSession, sf: str) -> DataFrame:
 
 def _column_rows(name: str, tail: str = "") -> str:
     return " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, {i} AS ordinal, count({c}) AS file_values, 0 AS table_values FROM {name}"
+        f"SELECT '{c}' AS column_name, {i} AS ordinal, count({c}) AS file_values, CAST(0 AS BIGINT) AS table_values FROM {name}"
         for i, (c, _) in enumerate(columns(name), start=1)
     ) + tail
 

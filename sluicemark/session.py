@@ -47,14 +47,31 @@ def new_database(spark: SparkSession, label: str) -> str:
     return name
 
 
+def staged(df: DataFrame, label: str = "staged") -> DataFrame:
+    """The frame written once to the shared folder and read back.
+
+    For a costly frame that a plan reads more than once: it is computed a single time, later
+    reads take only the columns they need, and lost executors do not bring the work back.
+    """
+    folder = new_folder(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def measured_bytes(df: DataFrame) -> int:
-    """Size of all values as text, from one scan with map-side sums and no shuffle of rows."""
-    width = F.lit(8 * len(df.columns)).cast("long")
-    for field in df.schema.fields:
-        value = F.col(f"`{field.name}`")
-        as_text = F.to_json(F.struct(value)) if isinstance(field.dataType, _COMPLEX) else value.cast("string")
-        width = width + F.coalesce(F.octet_length(as_text), F.lit(0))
-    return df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
+    """Size of the frame's values: row count times the fixed widths plus the length of every text.
+
+    One scan with map-side sums; it reads only the columns whose width varies.
+    """
+    fixed = 16 * len(df.columns)
+    lengths = [
+        F.octet_length(F.to_json(F.struct(f"`{f.name}`")) if isinstance(f.dataType, _COMPLEX) else F.col(f"`{f.name}`").cast("string"))
+        for f in df.schema.fields
+        if isinstance(f.dataType, (*_COMPLEX, T.StringType, T.BinaryType, T.VariantType))
+    ]
+    varying = sum((F.coalesce(F.sum(length), F.lit(0)) for length in lengths), F.lit(0))
+    found = df.agg(F.count(F.lit(1)).alias("n_rows"), varying.alias("varying")).first()
+    return found["n_rows"] * fixed + found["varying"]
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
