@@ -1,0 +1,93 @@
+from __future__ import annotations
+
+import datetime as dt
+from collections import Counter
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from sluicemark.operators.dedup import above_watermark, deduplicated, latest_per_key, max_or_default
+
+SCHEMA = "k int, at timestamp_ntz, v string"
+
+
+def ts(day, hour=0):
+    return dt.datetime(2024, 1, day, hour)
+
+
+def test_one_row_per_key_with_null_key_and_null_order(spark):
+    rows = [(1, ts(1), "a"), (1, ts(3), "b"), (1, None, "c"), (None, ts(2), "d"), (None, ts(1), "e"), (2, None, "f")]
+    kept = latest_per_key(spark.createDataFrame(rows, SCHEMA), ["K"], ["at", "v"]).collect()
+    assert sorted(r["v"] for r in kept) == ["b", "d", "f"]
+
+
+def test_ties_fall_to_the_next_field(spark):
+    df = spark.createDataFrame([(1, ts(1), "a"), (1, ts(1), "z"), (1, ts(1), "m")], SCHEMA)
+    assert latest_per_key(df, ["k"], ["at", "v"]).first()["v"] == "z"
+    assert latest_per_key(df, ["k"], ["at", F.col("v").asc()]).first()["v"] == "a"
+
+
+def test_whole_copies_leave_one_row(spark):
+    df = spark.createDataFrame([(1, ts(1), "a")] * 5, SCHEMA)
+    assert latest_per_key(df, ["k"], ["at"]).count() == 1
+
+
+def test_composite_key_and_empty_input(spark):
+    df = spark.createDataFrame([(1, ts(1), "a"), (1, ts(2), "a"), (1, ts(1), "b")], SCHEMA)
+    assert latest_per_key(df, ["k", "v"], ["at"]).count() == 2
+    assert latest_per_key(df.limit(0), ["k"], ["at"]).count() == 0
+
+
+def test_keys_and_order_are_required(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    for keys, order in ([], ["at"]), (["k"], []):
+        with pytest.raises(ValueError):
+            latest_per_key(df, keys, order)
+    with pytest.raises(ValueError, match="not found"):
+        latest_per_key(df, ["nope"], ["at"])
+
+
+def test_map_side_group_limit(spark):
+    """A hot key is cut to one row per task before the shuffle."""
+    plan = latest_per_key(spark.range(1000).selectExpr("id % 3 AS k", "id AS v"), ["k"], ["v"])._jdf.queryExecution().toString()
+    physical = plan[plan.index("== Physical Plan ==") :]
+    assert physical.count("WindowGroupLimit") == 2
+    assert physical.rindex("Exchange") < physical.index("Partial")
+
+
+def test_watermark_edges(spark):
+    source = spark.createDataFrame([(1, ts(1), "old"), (2, ts(2), "equal"), (3, ts(3), "new"), (4, None, "null")], SCHEMA)
+    target = spark.createDataFrame([(9, ts(2), "t"), (9, None, "t")], SCHEMA)
+    assert [r["v"] for r in above_watermark(source, target, "AT").collect()] == ["new"]
+    assert above_watermark(source, target.limit(0), "at").count() == 3
+    assert above_watermark(source, target, None) is source
+    assert max_or_default(target.limit(0), "at").first()["watermark"] == dt.datetime(1900, 1, 1)
+
+
+def test_watermark_runs_before_the_ranking(spark):
+    """A key whose newest row by another order is below the watermark still keeps a newer load."""
+    source = spark.createDataFrame([(1, ts(1), "z"), (1, ts(5), "a")], SCHEMA)
+    target = spark.createDataFrame([(9, ts(2), "t")], SCHEMA)
+    assert [r["v"] for r in deduplicated(source, target, ["k"], ["v"], "at").collect()] == ["a"]
+
+
+def test_watermark_is_pushed_to_the_scan(spark, tmp_path):
+    spark.createDataFrame([(1, ts(1), "a")], SCHEMA).write.parquet(str(tmp_path / "s"))
+    source = spark.read.parquet(str(tmp_path / "s"))
+    plan = above_watermark(source, source, "at")._jdf.queryExecution().executedPlan().toString()
+    scans = [line.split("DataFilters")[1].split("Format")[0] for line in plan.splitlines() if "FileScan" in line]
+    assert any("> Subquery" in filters for filters in scans)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.one_of(st.none(), st.integers(0, 5)), st.integers(0, 9)), max_size=30))
+def test_against_brute_force(spark, rows):
+    expected = {}
+    for k, a, b in rows:
+        rank = (a is not None, a or 0, b)
+        if k not in expected or rank > expected[k][0]:
+            expected[k] = (rank, (k, a, b))
+    kept = latest_per_key(spark.createDataFrame(rows, "k int, a int, b int"), ["k"], ["a", "b"]).collect()
+    assert Counter(tuple(r) for r in kept) == Counter(row for _, row in expected.values())

@@ -1,0 +1,86 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from sluicemark.functions import dates, intervals, paths
+from sluicemark.operators import intervals as joins
+
+
+def test_day_range_edges(spark):
+    days = lambda a, b: [str(r[0]) for r in dates.day_range(spark, a, b).collect()]
+    assert days("2024-01-05", "2024-01-05") == ["2024-01-05"]
+    assert days("2024-01-06", "2024-01-05") == []
+    assert days("2024-02-28", "2024-03-01") == ["2024-02-28", "2024-02-29", "2024-03-01"]
+    down = [str(r[0]) for r in dates.day_range_descending(spark, "2023-12-29", "2023-12-01").collect()]
+    assert len(down) == 29 and down[0] == "2023-12-29" and down[-1] == "2023-12-01"
+
+
+def at(text):
+    return dt.datetime.fromisoformat(text)
+
+
+@pytest.mark.parametrize(
+    "run, start, end",
+    [
+        ("2024-03-01 05:59:59", "2024-02-29 06:00", "2024-02-29 16:30"),
+        ("2024-03-01 06:00:00", "2024-02-29 16:30", "2024-03-01 06:00"),
+        ("2024-03-01 16:30:00", "2024-02-29 16:30", "2024-03-01 06:00"),
+        ("2024-03-01 16:30:59", "2024-02-29 16:30", "2024-03-01 06:00"),
+        ("2024-03-01 16:31:00", "2024-03-01 06:00", "2024-03-01 16:30"),
+        ("2024-03-01 23:59:59", "2024-03-01 06:00", "2024-03-01 16:30"),
+        ("2024-03-01 00:00:00", "2024-02-29 06:00", "2024-02-29 16:30"),
+    ],
+)
+def test_completed_interval(spark, run, start, end):
+    row = spark.range(1).select(intervals.completed_interval(dates.ntz(run)).alias("i")).first()["i"]
+    assert (row["start"], row["end"]) == (at(start), at(end))
+
+
+def test_completed_interval_of_null(spark):
+    assert spark.range(1).select(intervals.completed_interval(F.lit(None).cast("timestamp_ntz")).alias("i")).first()["i"] is None
+
+
+def calendar(spark, first, latest):
+    bounds = spark.range(1).select(dates.ntz(first).alias("first"), dates.ntz(latest).alias("latest"))
+    return intervals.interval_calendar(bounds, "first", "latest")
+
+
+def test_calendar_alternates_and_stops_after_latest(spark):
+    found = [tuple(r) for r in calendar(spark, "2024-01-01 09:00:00", "2024-01-02 06:00:00").orderBy("start").collect()]
+    assert found == [
+        (at("2024-01-01 06:00"), at("2024-01-01 16:30")),
+        (at("2024-01-01 16:30"), at("2024-01-02 06:00")),
+        (at("2024-01-02 06:00"), at("2024-01-02 16:30")),
+    ]
+    assert calendar(spark, "2024-01-01 00:00:00", "2024-01-01 05:59:59").count() == 0
+    assert calendar(spark, "2024-01-02 00:00:00", "2024-01-01 23:00:00").count() == 0
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_interval_join_both_ways(spark, limit):
+    times = ["2024-01-01 05:59:59", "2024-01-01 06:00:00", "2024-01-01 16:30:00", "2024-01-02 05:59:59", "2024-01-02 16:29:59"]
+    rows = [(i, at(t)) for i, t in enumerate(times)] + [(9, None)] + [(100 + i, at(times[1])) for i in range(50)]
+    events = spark.createDataFrame(rows, "id int, ts timestamp_ntz")
+    odd = spark.createDataFrame([(at("2023-12-30"), at("2024-02-01")), (at("2024-01-05"), at("2024-01-05"))], "start timestamp_ntz, end timestamp_ntz")
+    cal = calendar(spark, "2024-01-01 06:00:00", "2024-01-02 06:00:00").unionByName(odd)
+    spans = [tuple(r) for r in cal.collect()]
+    joined = joins.interval_join(events, "ts", cal, broadcast_limit=limit)
+    expected = sorted((i, t, s, e) for i, t in rows for s, e in spans if t is not None and s <= t < e)
+    assert sorted(tuple(r) for r in joined.collect()) == expected
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_slots_and_formats(spark):
+    hours = spark.createDataFrame([(at(f"2024-01-01 {h}:59:00"),) for h in ("12", "16", "20", "13", "00")], "ts timestamp_ntz")
+    assert [r[0] for r in hours.select(intervals.time_slot(F.col("ts"))).collect()] == ["morning", "afternoon", "evening", "manual", "manual"]
+    row = spark.range(1).select(
+        dates.compact_day(F.lit(dt.date(2024, 3, 1))),
+        paths.comma_list(F.lit("10, 11,12 ")),
+        paths.format_token(F.lit("s3/x.txt")),
+        paths.as_directory(F.lit("a/b/")),
+    ).first()
+    assert tuple(row) == ("20240301", [10, 11, 12], None, "a/b/")

@@ -1,0 +1,68 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+
+from sluicemark.operators import selection
+from sluicemark.sources import database, files
+
+
+def test_range_excludes_the_end_and_reaches_the_scan(spark, tmp_path):
+    rows = [(i, dt.datetime(2024, 1, 1 + i, 23, 59)) for i in range(4)]
+    spark.createDataFrame(rows, "id int, at timestamp_ntz").write.parquet(str(tmp_path / "t"))
+    kept = selection.in_date_range(spark.read.parquet(str(tmp_path / "t")), "at", dt.date(2024, 1, 2), dt.date(2024, 1, 4))
+    assert sorted(r["id"] for r in kept.collect()) == [1, 2]
+    assert "GreaterThanOrEqual(at" in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_list_in_the_columns_own_type(spark):
+    df = spark.createDataFrame([(10, "10"), (11, "x"), (13, "13")], "n int, s string")
+    assert [r["n"] for r in selection.in_comma_list(df, "n", "10, 11, 12").collect()] == [10, 11]
+    assert [r["s"] for r in selection.in_comma_list(df, "s", "13 ,x").collect()] == ["x", "13"]
+
+
+def test_parameters_are_bound_not_spliced(spark, tmp_path):
+    (tmp_path / "q.sql").write_text("SELECT :x AS x, id FROM {t} WHERE id < :n")
+    rows = selection.run_sql_file(spark, tmp_path / "q.sql", {"x": "1' OR '1'='1", "n": 2}, t=spark.range(5)).collect()
+    assert [tuple(r) for r in rows] == [("1' OR '1'='1", 0), ("1' OR '1'='1", 1)]
+    defaults = selection.default_range_params(dt.date(2024, 3, 1))
+    assert defaults == {"start_date": dt.date(2024, 2, 29), "end_date": dt.date(2024, 3, 1), "ids": "10, 11, 12"}
+
+
+def test_patterns_in_order_with_exclusions(spark):
+    df = spark.createDataFrame([], "id int, web_url string, name string, commit_url string")
+    pick = lambda *p, stream="tags": selection.select_by_pattern(df, list(p), stream).columns
+    assert pick("tags.name", "tags.*", "!*.*_url") == ["name", "id"]
+    assert pick("commits.id", "tags.name") == ["name"]
+    assert pick("*_url") == ["web_url", "commit_url"]
+    with pytest.raises(ValueError):
+        pick("commits.*")
+
+
+def test_run_types(spark):
+    rows = [(dt.datetime(2024, 3, 9, 23, 59),), (dt.datetime(2024, 3, 10),), (dt.datetime(2024, 3, 12),)]
+    df = spark.createDataFrame(rows, "at timestamp_ntz")
+    assert database.select_run(df, "at", "Full Backfill", dt.date(2024, 3, 11)).count() == 3
+    assert database.select_run(df, "at", "Incremental", dt.date(2024, 3, 11)).count() == 2
+    with pytest.raises(ValueError):
+        database.select_run(df, "at", "other", dt.date(2024, 3, 11))
+    with pytest.raises(ValueError, match="bound"):
+        database.scan_database(spark, "jdbc:none:x", "t", split_column="id")
+
+
+def test_format_of_path():
+    assert [files.format_of(f"in/file.{x}") for x in ("csv", "parquet", "json")] == ["csv_format", "parquet_format", "json_format"]
+    for bad in ("in/file.txt", "in/file.xml"):
+        with pytest.raises(ValueError, match="File format not supported for"):
+            files.format_of(bad)
+    assert files.reader_format("test_schema.json_format_tf") == "json"
+    with pytest.raises(ValueError):
+        files.reader_format("orc_format")
+
+
+def test_read_or_empty_lets_other_errors_through(spark, tmp_path):
+    schema = spark.range(1).schema
+    assert files.read_or_empty(spark, str(tmp_path / "none"), "parquet", schema).count() == 0
+    spark.range(3).write.parquet(str(tmp_path / "some"))
+    assert files.read_or_empty(spark, str(tmp_path / "some"), "parquet", schema).count() == 3
