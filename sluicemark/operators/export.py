@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from itertools import accumulate
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluicemark.functions.intervals import time_slot
+from sluicemark.session import staged
 from sluicemark.sources.files import reader_format
 
 CHUNK_ROWS = 10_000
@@ -14,34 +14,39 @@ CHUNK_ROWS = 10_000
 SINGLE_TASK_LIMIT = 1_000_000
 
 
-def limit_rows(df: DataFrame, n: int | None) -> DataFrame:
-    """Any ``n`` rows; 0 or None means all.
+def limit_rows(df: DataFrame, n: int | None, repeatable: bool = False) -> DataFrame:
+    """Any ``n`` rows, or the first ``n`` of a sorted frame; 0 or None means all.
 
-    A large limit is not gathered in one task: rows are counted per partition, and each
-    partition then keeps the share that falls below ``n``.
+    A large limit is not gathered in one task: rows are numbered and counted per partition, and
+    each partition keeps the share that falls below ``n``.  Numbering and cutting must see the
+    same partitions, so the numbered rows are staged unless the frame is ``repeatable``, as a
+    plain file scan is.
     """
     if not n:
         return df
     if n <= SINGLE_TASK_LIMIT:
         return df.limit(n)
     placed = df.withColumn("_row", F.monotonically_increasing_id())
+    if not repeatable:
+        placed = staged(placed)
     partition = F.shiftright("_row", 33)
     counts = placed.groupBy(partition.alias("p")).count().orderBy("p").collect()  # one row per partition
-    before = [0, *accumulate(c["count"] for c in counts)]
-    shares = {c["p"]: min(c["count"], max(0, n - start)) for c, start in zip(counts, before)}
-    full = {p for p, c in zip(shares, counts) if shares[p] == c["count"]}
-    last_full = max(full, default=-1)
-    partial = [p for p in shares if p not in full and shares[p] > 0]
-    keep = partition <= last_full
-    for p in partial:  # at most one partition is cut
-        keep = keep | ((partition == p) & (F.col("_row").bitwiseAND((1 << 33) - 1) < shares[p]))
-    return placed.where(keep).drop("_row")
-
-
-def unload(df: DataFrame, folder: str, file_format: str, limit: int | None = None) -> str:
+    left = n
+    whole, cut, share = -1, -1, 0
+    for row in counts:
+        if row["count"] <= left:
+            whole, left = row["p"], left - row["count"]
+        else:
+            cut, share = row["p"], left
+            break
+    position = F.col("_row").bitwiseAND((1 << 33) - 1)
+    return placed.where((partition <= whole) | ((partition == cut) & (position < share))).drop("_row")
+
+
+def unload(df: DataFrame, folder: str, file_format: str, limit: int | None = None, repeatable: bool = False) -> str:
     """Write rows as files with header into a directory; 0 or None as limit means all rows."""
     folder = folder if folder.endswith("/") else f"{folder}/"
-    limit_rows(df, limit).write.format(reader_format(file_format)).option("header", True).save(folder)
+    limit_rows(df, limit, repeatable).write.format(reader_format(file_format)).option("header", True).save(folder)
     return folder
 
 
@@ -91,5 +96,9 @@ def replace_partitions(df: DataFrame, folder: str, by: list[str], rows_per_file:
 
 def land_feeds(records: DataFrame, folder: str, feed: str = "feed", day: str = "run_date") -> None:
     """One write for all feeds, keyed by feed and day; feeds without rows leave nothing behind."""
-    if not records.isEmpty():
-        replace_partitions(records, folder, [feed, day])
+    replace_partitions(records, folder, [feed, day])
+
+
+def route_by_slot(df: DataFrame, ts: str, folder: str) -> None:
+    """Write rows under the time slot of ``ts``.  Slots are few and fixed, so no shuffle is needed."""
+    df.withColumn("slot", time_slot(F.col(ts))).write.mode("overwrite").partitionBy("slot").parquet(folder)

@@ -12,13 +12,13 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluicemark.functions.dates import compact_day, explode_days
+from sluicemark.functions.dates import compact_day, explode_days, ntz
 from sluicemark.operators.dedup import deduplicated
-from sluicemark.operators.export import export_chunks, land_feeds, replace_partitions
+from sluicemark.operators.export import export_chunks, land_feeds, replace_partitions, write_skip_empty
 from sluicemark.operators.merge import ACTION, INSERT, UPDATE, assert_unique_keys, upsert
 from sluicemark.session import BROADCAST_LIMIT_BYTES, fits_broadcast, staged
-from sluicemark.sources.database import FULL, INCREMENTAL, select_run
-from sluicemark.sources.files import PROVENANCE, create_table_from_files
+from sluicemark.sources.database import FULL, INCREMENTAL, scan_database, select_run
+from sluicemark.sources.files import PROVENANCE, create_table_from_files, read_or_empty
 from sluicemark.sources.loading import load_files, load_into_table
 from sluicemark.sources.records import records_from_payload
 from sluicemark.streaming.file_loads import new_file_stream, run_once
@@ -133,17 +133,18 @@ def upsert_table(spark: SparkSession, config: TableConfig, scan_time: dt.datetim
     return _publish_counted(merged, config.table, config.keys, buckets)
 
 
-def upsert_new_files(spark: SparkSession, source: str, config: TableConfig, checkpoint: str, scan_time: dt.datetime | None = None) -> None:
-    """Upsert files not seen before into the config's published table.
+def upsert_new_files(spark: SparkSession, config: TableConfig, checkpoint: str, scan_time: dt.datetime | None = None, buckets: int | None = None) -> None:
+    """Upsert the config's files not seen before into its published table.
 
     Repeating a batch after a crash changes nothing further: its rows match the second time.
     """
     def merge(rows: DataFrame, _: int) -> None:
         if not rows.isEmpty():
             target = rows.sparkSession.table(config.table)
-            publish(upsert_batch(target, rows, config), config.table)
+            publish(upsert_batch(target, rows, config), config.table, config.keys, buckets)
 
-    stream = new_file_stream(spark, source, config.file_format, spark.table(config.table).schema, scan_time)
+    schema = spark.table(config.table).schema
+    stream = new_file_stream(spark, config.stage, config.prefix, config.file_format, schema, scan_time)
     run_once(stream, checkpoint, merge)
 
 
@@ -194,6 +195,25 @@ def export_run(df: DataFrame, date_column: str, run_type: str, run_date: dt.date
     export_chunks(select_run(df, date_column, run_type, run_date), folder)
 
 
+def export_database(spark: SparkSession, url: str, table: str, date_column: str, run_type: str, run_date: dt.date, folder: str, **read_options) -> None:
+    """Chunked export straight from a database table, each task reading and writing its own range."""
+    export_run(scan_database(spark, url, table, **read_options), date_column, run_type, run_date, folder)
+
+
+def land_feed_files(spark: SparkSession, source: str, folder: str, records: dict[str, T.StructType], run_end: dt.datetime, parallel: int = 4) -> None:
+    """Land each feed's JSON array file ``source/<feed>.json`` at its path for the run's day.
+
+    A feed without a file or without records writes nothing; a rerun writes to the same path.
+    """
+    def land(feed: str) -> None:
+        rows = read_or_empty(spark, f"{source}/{feed}.json", "json", records[feed], multiLine=True)
+        day = run_end.strftime("%Y-%m-%d")
+        write_skip_empty(rows.withColumn("scrape_ts", ntz(run_end)), f"{folder}/rest_api_scrapes/{feed}/{feed}-{day}")
+
+    with ThreadPoolExecutor(parallel) as pool:
+        list(pool.map(land, records))
+
+
 def land_payloads(payloads: DataFrame, payload: str, record: T.StructType, scrape_ts: Column, folder: str) -> None:
     """Land JSON payloads of any number of feeds: ``payloads`` has ``feed``, ``run_date`` and the text."""
     land_feeds(records_from_payload(payloads, payload, record, scrape_ts, ["feed", "run_date"]), folder)

@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluicemark.functions.dates import ntz
-from sluicemark.functions.intervals import time_slot
 from sluicemark.functions.paths import as_directory, chunk_path, comma_list, feed_path, format_token
 from sluicemark.operators import checks, reports, selection
 from sluicemark.operators.dedup import above_watermark
+from sluicemark.operators.export import route_by_slot
 from sluicemark.queries.registry import query, table
 from sluicemark.queries.schema_list import SCHEMAS
 from sluicemark.session import new_folder
@@ -111,8 +111,7 @@ def classify_paths(spark: SparkSession, sf: str) -> DataFrame:
 )
 def time_slot_routing(spark: SparkSession, sf: str) -> DataFrame:
     folder = new_folder(spark, "slots")
-    routed = table(spark, sf, "events").select("event_id", "value", time_slot(F.col("ts")).alias("slot"))
-    routed.hint("rebalance", "slot").write.partitionBy("slot").parquet(folder)
+    route_by_slot(table(spark, sf, "events").select("event_id", "value", "ts"), "ts", folder)
     total = F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total")
     return spark.read.parquet(folder).groupBy("slot").agg(F.count(F.lit(1)).alias("n_rows"), total)
 

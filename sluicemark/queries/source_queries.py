@@ -123,16 +123,16 @@ def load_provenance(spark: SparkSession, sf: str) -> DataFrame:
 def load_files_once(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
     home = new_folder(spark, "once")
-    source, loaded, history = f"{home}/drops", f"{home}/table", f"{home}/history"
+    loaded, history = f"{home}/table", f"{home}/history"
 
     def run() -> None:
-        load_new_files(spark, source, "parquet", orders.schema, loaded, history, RUN_TS)
+        load_new_files(spark, home, "drops", "parquet", orders.schema, loaded, history, RUN_TS)
 
     finished = F.col("o_orderstatus") == "F"
-    orders.where(finished).write.parquet(source)
+    orders.where(finished).write.parquet(f"{home}/drops")
     run()
     run()  # nothing new: no rows, no batch
-    orders.where(~finished).write.mode("append").parquet(source)
+    orders.where(~finished).write.mode("append").parquet(f"{home}/drops")
     run()
     return spark.read.parquet(loaded).select(*orders.columns, BATCH)
 

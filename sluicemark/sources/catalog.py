@@ -7,21 +7,20 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_TABLES = "table_name string, table_type string"
 _COLUMNS = "table_name string, column_name string, ordinal int, column_type string"
 
 
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
-    rows = [(t.name, t.tableType) for t in spark.catalog.listTables(database)]
-    return spark.createDataFrame(rows, _TABLES)
+    """Tables and views of a database."""
+    return spark.sql(f"SHOW TABLES IN {database}").select(F.col("tableName").alias("table_name"))
 
 
 def list_columns(spark: SparkSession, tables: list[str]) -> DataFrame:
     """Columns of catalog tables in order, names upper-cased."""
     rows = [
-        (table.split(".")[-1].upper(), column.name.upper(), ordinal, column.dataType)
+        (table.split(".")[-1].upper(), column.name.upper(), ordinal, column.dataType.simpleString())
         for table in tables
-        for ordinal, column in enumerate(spark.catalog.listColumns(table), start=1)
+        for ordinal, column in enumerate(spark.table(table).schema.fields, start=1)
     ]
     return spark.createDataFrame(rows, _COLUMNS)
 

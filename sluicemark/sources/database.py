@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 FULL, INCREMENTAL = "Full Backfill", "Incremental"
 
 
-def scan_database(
-    spark: SparkSession,
+def jdbc_options(
     url: str,
     table_or_query: str,
     properties: dict[str, str] | None = None,
@@ -20,12 +19,8 @@ def scan_database(
     bounds: tuple | None = None,
     partitions: int = 1,
     fetch_size: int = 10_000,
-) -> DataFrame:
-    """Rows of a table or query; with a split column the read runs as ``partitions`` range queries.
-
-    Filters and column choices made on the result are pushed into the database by Spark.
-    The bounds only place the splits: rows outside them are read too.
-    """
+) -> dict[str, str]:
+    """Reader options of ``scan_database``."""
     is_query = table_or_query.lstrip().lower().startswith("select")
     options = {
         "url": url,
@@ -33,16 +28,26 @@ def scan_database(
         "fetchsize": str(fetch_size),
         **(properties or {}),
     }
-    if split_column is not None:
-        if bounds is None:
-            raise ValueError("a split column needs its lower and upper bound")
-        options |= {
-            "partitionColumn": split_column,
-            "lowerBound": str(bounds[0]),
-            "upperBound": str(bounds[1]),
-            "numPartitions": str(partitions),
-        }
-    return spark.read.format("jdbc").options(**options).load()
+    if split_column is None:
+        return options
+    if bounds is None:
+        raise ValueError("a split column needs its lower and upper bound")
+    return options | {
+        "partitionColumn": split_column,
+        "lowerBound": str(bounds[0]),
+        "upperBound": str(bounds[1]),
+        "numPartitions": str(partitions),
+    }
+
+
+def scan_database(spark: SparkSession, url: str, table_or_query: str, **options) -> DataFrame:
+    """Rows of a table or query; with a split column the read runs as that many range queries.
+
+    Filters and column choices made on the result are pushed into the database by Spark.
+    The bounds only place the splits: rows outside them are read too.  For the options see
+    ``jdbc_options``.
+    """
+    return spark.read.format("jdbc").options(**jdbc_options(url, table_or_query, **options)).load()
 
 
 def select_run(df: DataFrame, date_column: str, run_type: str, run_date: dt.date) -> DataFrame:

@@ -49,10 +49,10 @@ def scan(spark: SparkSession, path: str, schema: T.StructType | None = None) ->
     return source.load(path)
 
 
-def read_or_empty(spark: SparkSession, path: str, file_format: str, schema: T.StructType) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, file_format: str, schema: T.StructType, **options) -> DataFrame:
     """Rows under the prefix, or an empty frame when nothing is there yet."""
     try:
-        return spark.read.format(reader_format(file_format)).schema(schema).load(path)
+        return spark.read.format(reader_format(file_format)).schema(schema).options(**options).load(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

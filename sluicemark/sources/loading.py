@@ -31,28 +31,30 @@ def _data_fields(schema: T.StructType) -> list[T.StructField]:
     return [f for f in schema.fields if f.name.lower() not in provenance]
 
 
-def _place(stage: str) -> list[Column]:
-    return [
-        _stage_name(stage).alias(FILE),
-        F.col("_metadata.file_block_start").alias(BLOCK),
-        F.monotonically_increasing_id().alias(ROW),
-    ]
+def _reader(spark: SparkSession, streaming: bool):
+    return spark.readStream if streaming else spark.read
+
+
+def _place(stage: str, streaming: bool) -> list[Column]:
+    # Row numbers exist in batch scans only; a stream reports no line numbers.
+    row = F.lit(None).cast("long") if streaming else F.monotonically_increasing_id()
+    return [_stage_name(stage).alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK), row.alias(ROW)]
 
 
-def _scan_parquet(spark: SparkSession, stage: str, prefix: str, fields: list[T.StructField]) -> DataFrame:
+def _scan_parquet(spark: SparkSession, stage: str, prefix: str, fields: list[T.StructField], streaming: bool) -> DataFrame:
     # A declared schema matches names without regard to case in every file, widens numbers
     # and fills columns a file lacks with null; only the declared columns are read.
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
-    rows = spark.read.schema(schema).parquet(f"{stage}/{prefix}")
-    return rows.select(*rows.columns, *_place(stage))
+    rows = _reader(spark, streaming).schema(schema).parquet(f"{stage}/{prefix}")
+    return rows.select(*[f"`{c}`" for c in rows.columns], *_place(stage, streaming))
 
 
-def _scan_csv(spark: SparkSession, stage: str, prefix: str, fields: list[T.StructField]) -> DataFrame:
+def _scan_csv(spark: SparkSession, stage: str, prefix: str, fields: list[T.StructField], streaming: bool) -> DataFrame:
     path = f"{stage}/{prefix}"
     header = spark.read.option("header", True).csv(path).columns
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _WHOLE_LINE]])
     # enforceSchema=False makes a file with another header an error instead of shifted values.
-    rows = spark.read.schema(schema).csv(
+    rows = _reader(spark, streaming).schema(schema).csv(
         path, header=True, enforceSchema=False, mode="PERMISSIVE", columnNameOfCorruptRecord=_WHOLE_LINE
     )
     by_name = {c.lower(): c for c in header}
@@ -65,13 +67,13 @@ def _scan_csv(spark: SparkSession, stage: str, prefix: str, fields: list[T.Struc
     malformed = F.col(_WHOLE_LINE).isNotNull() & used.isNotNull()
     return rows.select(
         *[t.alias(f.name) for t, f in zip(texts, fields)],
-        *_place(stage),
+        *_place(stage, streaming),
         F.when(malformed, F.col(_WHOLE_LINE)).alias(BAD_TEXT),
     )
 
 
-def _scan_json(spark: SparkSession, stage: str, prefix: str, fields: list[T.StructField]) -> DataFrame:
-    lines = spark.read.text(f"{stage}/{prefix}").select("value", *_place(stage))
+def _scan_json(spark: SparkSession, stage: str, prefix: str, fields: list[T.StructField], streaming: bool) -> DataFrame:
+    lines = _reader(spark, streaming).text(f"{stage}/{prefix}").select("value", *_place(stage, streaming))
     pairs = F.from_json("value", T.MapType(T.StringType(), T.StringType()))
     lowered = lines.withColumn("_pairs", F.transform_keys(pairs, lambda k, _: F.lower(k)))
     blank = F.trim(F.col("value")) == ""
@@ -108,7 +110,7 @@ def _check_values(texts: DataFrame, fields: list[T.StructField]) -> DataFrame:
     )
 
 
-def parse_files(spark: SparkSession, stage: str, prefix: str, file_format: str, schema: T.StructType) -> DataFrame:
+def parse_files(spark: SparkSession, stage: str, prefix: str, file_format: str, schema: T.StructType, streaming: bool = False) -> DataFrame:
     """All records of the files under ``stage/prefix``, columns matched by name ignoring case.
 
     Columns the files lack are null, columns the schema lacks are dropped.  ``_file``,
@@ -118,14 +120,14 @@ def parse_files(spark: SparkSession, stage: str, prefix: str, file_format: str,
     fields = _data_fields(schema)
     reader = reader_format(file_format)
     if reader == "parquet":
-        return _scan_parquet(spark, stage, prefix, fields).select(
+        return _scan_parquet(spark, stage, prefix, fields, streaming).select(
             "*",
             F.lit(False).alias(BAD),
             F.lit(None).cast("string").alias(BAD_COLUMN),
             F.lit(None).cast("string").alias(BAD_TEXT),
         )
     scan = _scan_csv if reader == "csv" else _scan_json
-    return _check_values(scan(spark, stage, prefix, fields), fields)
+    return _check_values(scan(spark, stage, prefix, fields, streaming), fields)
 
 
 def loaded_rows(parsed: DataFrame, scan_time: dt.datetime | None = None, on_error: str = "abort") -> DataFrame:
@@ -172,12 +174,9 @@ def load_into_table(
     on_error: str = "abort",
 ) -> None:
     """Append the files to a table by column name; ``truncate`` replaces its rows instead."""
-    target = spark.table(table)
-    rows = load_files(spark, stage, prefix, file_format, target.schema, scan_time, on_error)
-    own = {c.lower(): c for c in rows.columns}
-    aligned = rows.select(*[F.col(own[f.name.lower()]).cast(f.dataType).alias(f.name) for f in target.schema if f.name.lower() in own])
+    schema = spark.table(table).schema
+    rows = load_files(spark, stage, prefix, file_format, schema, scan_time, on_error)
+    aligned = rows.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in schema])
     if truncate:
         spark.sql(f"TRUNCATE TABLE {table}")
-    aligned.createOrReplaceTempView("sluicemark_load")
-    spark.sql(f"INSERT INTO {table} BY NAME SELECT * FROM sluicemark_load")
-    spark.catalog.dropTempView("sluicemark_load")
+    aligned.write.insertInto(table)

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluicemark.functions.dates import ntz
-from sluicemark.sources.files import PROVENANCE, reader_format
+from sluicemark.sources.files import PROVENANCE
+from sluicemark.sources.loading import load_files, loaded_rows, parse_files
 
 BATCH = "load_batch"
 
@@ -20,20 +20,17 @@ def _delete(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
-def new_file_stream(spark: SparkSession, source: str, file_format: str, schema: T.StructType, scan_time: dt.datetime | None = None) -> DataFrame:
-    """Streaming rows of files not loaded before, with provenance columns."""
-    provenance = {f.name for f in PROVENANCE}
-    data = T.StructType([f for f in schema.fields if f.name.lower() not in provenance])
-    reader = reader_format(file_format)
-    stream = spark.readStream.format(reader).schema(data)
-    if reader == "csv":
-        stream = stream.options(header=True, enforceSchema=False)
-    stamp = ntz(scan_time) if scan_time else F.current_timestamp().cast("timestamp_ntz")
-    return stream.load(source).select(
-        *[f"`{f.name}`" for f in data],
-        F.col("_metadata.file_name").alias("metadata_filename"),
-        stamp.alias("metadata_ingest_time"),
-    )
+def new_file_stream(
+    spark: SparkSession,
+    stage: str,
+    prefix: str,
+    file_format: str,
+    schema: T.StructType,
+    scan_time: dt.datetime | None = None,
+    on_error: str = "abort",
+) -> DataFrame:
+    """Streaming rows of files not loaded before, matched by name and stamped as in a batch load."""
+    return loaded_rows(parse_files(spark, stage, prefix, file_format, schema, streaming=True), scan_time, on_error)
 
 
 def run_once(stream: DataFrame, checkpoint: str, batch: Callable[[DataFrame, int], None]) -> None:
@@ -42,16 +39,33 @@ def run_once(stream: DataFrame, checkpoint: str, batch: Callable[[DataFrame, int
     query.awaitTermination()
 
 
-def load_new_files(spark: SparkSession, source: str, file_format: str, schema: T.StructType, table: str, checkpoint: str, scan_time: dt.datetime | None = None) -> None:
-    """Append rows of new files under ``source`` to the files at ``table``.
+def load_new_files(
+    spark: SparkSession,
+    stage: str,
+    prefix: str,
+    file_format: str,
+    schema: T.StructType,
+    table: str,
+    checkpoint: str,
+    scan_time: dt.datetime | None = None,
+    on_error: str = "abort",
+    force: bool = False,
+) -> None:
+    """Append rows of new files under ``stage/prefix`` to the files at ``table``.
 
     Each micro-batch owns the folder named by its id and overwrites it, so a batch repeated
-    after a crash leaves its rows once.
+    after a crash leaves its rows once.  ``force`` loads every file, seen before or not, and
+    leaves the history as it is.
     """
     def append(rows: DataFrame, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(f"{table}/{BATCH}={batch_id}")
 
-    run_once(new_file_stream(spark, source, file_format, schema, scan_time), checkpoint, append)
+    if force:
+        load_files(spark, stage, prefix, file_format, schema, scan_time, on_error).write.parquet(
+            f"{table}/{BATCH}=forced-{uuid.uuid4().hex}"
+        )
+    else:
+        run_once(new_file_stream(spark, stage, prefix, file_format, schema, scan_time, on_error), checkpoint, append)
 
 
 def truncate_loaded(spark: SparkSession, table: str, checkpoint: str) -> None:
@@ -64,4 +78,5 @@ def read_loaded(spark: SparkSession, table: str, schema: T.StructType) -> DataFr
     """Rows loaded so far."""
     provenance = {f.name for f in PROVENANCE}
     data = [f for f in schema.fields if f.name.lower() not in provenance]
-    return spark.read.schema(T.StructType(data + PROVENANCE.fields)).parquet(table)
+    rows = spark.read.schema(T.StructType(data + PROVENANCE.fields)).parquet(table)
+    return rows.select(*[f"`{f.name}`" for f in data], *PROVENANCE.names)

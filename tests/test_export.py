@@ -25,12 +25,19 @@ def test_limit_zero_none_and_n(spark, tmp_path):
 def test_large_limit_keeps_exactly_n_rows_without_one_task(spark, tmp_path, monkeypatch, n):
     monkeypatch.setattr(export, "SINGLE_TASK_LIMIT", 0)
     spark.range(0, 100, numPartitions=10).write.parquet(str(tmp_path / "t"))
-    limited = export.limit_rows(spark.read.parquet(str(tmp_path / "t")), n)
+    limited = export.limit_rows(spark.read.parquet(str(tmp_path / "t")), n, repeatable=True)
     assert limited.distinct().count() == min(n, 100)
     assert limited.columns == ["id"]
     assert "SinglePartition" not in limited._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("n", [1, 37, 200])
+def test_large_limit_of_a_sorted_frame_keeps_the_first_rows(spark, monkeypatch, n):
+    monkeypatch.setattr(export, "SINGLE_TASK_LIMIT", 0)
+    sorted_ids = spark.range(0, 100, numPartitions=7).orderBy(F.col("id").desc())
+    assert sorted(r["id"] for r in export.limit_rows(sorted_ids, n).collect()) == list(range(max(0, 100 - n), 100))
+
+
 def test_empty_table_unloads(spark, tmp_path):
     export.unload(spark.range(0), str(tmp_path / "none"), "parquet")
     assert spark.read.schema("id long").parquet(str(tmp_path / "none")).count() == 0

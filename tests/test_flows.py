@@ -52,14 +52,12 @@ def test_bucketed_target_is_not_shuffled_by_a_large_batch(spark, tmp_path):
     drop(spark, str(tmp_path / "in"), [(i, "b") for i in range(50, 150)])
     config = flows.TableConfig(table, str(tmp_path), "in", ["id"], ["v"])
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    spark.conf.set("spark.sql.sources.v2.bucketing.enabled", "true")
     try:
         merged = flows.upsert_files(spark, spark.table(table), config, T1, broadcast_limit=0)
         plan = merged._jdf.queryExecution().executedPlan().toString()
         assert merged.count() == 150
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.sources.v2.bucketing.enabled")
     assert plan.count("Exchange") == 2  # the batch, once per join; never the target
 
 
@@ -98,7 +96,7 @@ def test_partition_upsert_touches_only_its_partitions(spark, tmp_path):
 def test_files_load_once_until_truncated(spark, tmp_path):
     source, table, history = (str(tmp_path / n) for n in ("in", "table", "history"))
     schema = T.StructType().add("id", T.IntegerType()).add("v", T.StringType())
-    run = lambda: load_new_files(spark, source, "parquet", schema, table, history, T0)
+    run = lambda: load_new_files(spark, str(tmp_path), "in", "parquet", schema, table, history, T0)
     count = lambda: read_loaded(spark, table, schema).count()
     drop(spark, source, [(1, "a")])
     run()
@@ -108,15 +106,29 @@ def test_files_load_once_until_truncated(spark, tmp_path):
     run()
     assert count() == 3 and spark.read.parquet(table).select(BATCH).distinct().count() == 2
     assert read_loaded(spark, table, schema).columns == ["id", "v", "metadata_filename", "metadata_ingest_time"]
+    load_new_files(spark, str(tmp_path), "in", "parquet", schema, table, history, T0, force=True)
+    assert count() == 6
+    run()
+    assert count() == 6
     truncate_loaded(spark, table, history)
     run()
     assert count() == 3
 
 
+@pytest.mark.parametrize("kind, name, text", [("csv", "a.csv", "V,ID\nx,1\ny,bad\n"), ("json", "a.json", '{"V": "x", "ID": 1}\n{"ID": "bad"}\n')])
+def test_text_files_stream_by_name(spark, tmp_path, kind, name, text):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / name).write_text(text)
+    schema = T.StructType().add("id", T.IntegerType()).add("v", T.StringType())
+    table = str(tmp_path / "table")
+    load_new_files(spark, str(tmp_path), "in", kind, schema, table, str(tmp_path / "h"), T0, on_error="continue")
+    assert [tuple(r) for r in read_loaded(spark, table, schema).collect()] == [(1, "x", f"in/{name}", T0)]
+
+
 def test_streamed_upsert(spark, tmp_path):
     table, source = target(spark, [(1, "a")]), str(tmp_path / "in")
-    config = flows.TableConfig(table, "", "", ["id"], ["v"])
-    run = lambda: flows.upsert_new_files(spark, source, config, str(tmp_path / "history"), T1)
+    config = flows.TableConfig(table, str(tmp_path), "in", ["id"], ["v"])
+    run = lambda: flows.upsert_new_files(spark, config, str(tmp_path / "history"), T1)
     drop(spark, source, [(1, "b"), (2, "c")])
     run()
     run()
@@ -160,6 +172,19 @@ def test_runs_and_records(spark, tmp_path):
     assert [tuple(r) for r in rows] == [(1, 100, T1), (2, 200, T1)]
 
 
+def test_feed_files_land_at_their_path(spark, tmp_path):
+    (tmp_path / "src").mkdir()
+    (tmp_path / "src" / "scorers.json").write_text('[{"k": 1}, {"k": 2}]')
+    (tmp_path / "src" / "injuries.json").write_text("[]")
+    record = T.StructType().add("k", T.IntegerType())
+    for _ in range(2):
+        flows.land_feed_files(spark, str(tmp_path / "src"), str(tmp_path), {f: record for f in flows.FEEDS}, T1)
+    landed = tmp_path / "rest_api_scrapes"
+    assert [p.name for p in landed.iterdir()] == ["scorers"]
+    rows = spark.read.parquet(str(landed / "scorers" / "scorers-2024-01-02.parquet")).collect()
+    assert sorted(tuple(r) for r in rows) == [(1, T1), (2, T1)]
+
+
 def test_like_keeps_an_existing_table(spark):
     database = new_database(spark, "like")
     spark.range(3).write.saveAsTable(f"{database}.a")

@@ -47,8 +47,25 @@ def test_run_types(spark):
     assert database.select_run(df, "at", "Incremental", dt.date(2024, 3, 11)).count() == 2
     with pytest.raises(ValueError):
         database.select_run(df, "at", "other", dt.date(2024, 3, 11))
+
+
+def test_incremental_selection_reaches_the_scan(spark, tmp_path):
+    spark.createDataFrame([(dt.datetime(2024, 3, 9),)], "at timestamp_ntz").write.parquet(str(tmp_path / "t"))
+    kept = database.select_run(spark.read.parquet(str(tmp_path / "t")), "at", "Incremental", dt.date(2024, 3, 11))
+    assert "GreaterThanOrEqual(at" in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_database_options():
+    """Option building only: no database is started for tests."""
+    plain = database.jdbc_options("jdbc:x", "s.t")
+    assert plain == {"url": "jdbc:x", "dbtable": "s.t", "fetchsize": "10000"}
+    split = database.jdbc_options("jdbc:x", "select * from t", {"user": "u"}, "id", (1, 90), 4, 500)
+    assert split == {
+        "url": "jdbc:x", "dbtable": "(select * from t) q", "fetchsize": "500", "user": "u",
+        "partitionColumn": "id", "lowerBound": "1", "upperBound": "90", "numPartitions": "4",
+    }
     with pytest.raises(ValueError, match="bound"):
-        database.scan_database(spark, "jdbc:none:x", "t", split_column="id")
+        database.jdbc_options("jdbc:x", "t", split_column="id")
 
 
 def test_format_of_path():
