@@ -20,7 +20,7 @@ def in_date_range(df: DataFrame, column: str, start: dt.date, end: dt.date) -> D
 def in_comma_list(df: DataFrame, column: str, ids: str) -> DataFrame:
     """Rows whose value is in comma-separated text, read in the column's own type."""
     kind = df.schema[column].dataType
-    return df.where(F.col(column).isin([F.lit(item.strip()).cast(kind) for item in ids.split(",")]))
+    return df.where(F.col(column).isin([F.lit(item).cast(kind) for item in comma_values(ids, str)]))
 
 
 def run_sql_file(spark: SparkSession, path: str | Path, params: dict[str, Any], **frames: DataFrame) -> DataFrame:
@@ -31,12 +31,17 @@ def run_sql_file(spark: SparkSession, path: str | Path, params: dict[str, Any],
     return spark.sql(Path(path).read_text(), args=params, **frames)
 
 
+def comma_values(text: str, kind: type = int) -> list:
+    """Comma-separated parameter text as a typed list, to be bound as an array."""
+    return [kind(item.strip()) for item in text.split(",")]
+
+
 def default_range_params(today: dt.date, ids: str = "10, 11, 12") -> dict[str, Any]:
     """Defaults of the range query: yesterday, today (excluded), the id list."""
     return {
         "start_date": today - dt.timedelta(days=1),
         "end_date": today,
-        "ids": ids,
+        "ids": comma_values(ids),
     }
 
 

@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluicemark.functions.dates import compact_day, explode_days, ntz
+from sluicemark.functions.dates import compact_day, ntz
 from sluicemark.operators.dedup import deduplicated
 from sluicemark.operators.export import export_chunks, land_feeds, replace_partitions, write_skip_empty
 from sluicemark.operators.merge import ACTION, INSERT, UPDATE, assert_unique_keys, upsert
+from sluicemark.operators.selection import in_date_range
 from sluicemark.session import BROADCAST_LIMIT_BYTES, fits_broadcast, staged
 from sluicemark.sources.database import FULL, INCREMENTAL, scan_database, select_run
 from sluicemark.sources.files import PROVENANCE, create_table_from_files, read_or_empty
@@ -219,14 +220,13 @@ def land_payloads(payloads: DataFrame, payload: str, record: T.StructType, scrap
     land_feeds(records_from_payload(payloads, payload, record, scrape_ts, ["feed", "run_date"]), folder)
 
 
-def backfill_by_day(df: DataFrame, ts: str, start: Column, end: Column, folder: str, work: Callable[[DataFrame], DataFrame] = lambda day: day) -> None:
+def backfill_by_day(df: DataFrame, ts: str, start: dt.date, end: dt.date, folder: str, work: Callable[[DataFrame], DataFrame] = lambda day: day) -> None:
     """Process the inclusive day range as one job and rewrite each of its days.
 
     ``work`` sees rows with their ``run_date`` and must keep that column.  Days outside the range
     are untouched and a rerun gives the same content, late rows included.
     """
-    day = F.to_date(ts)
-    chosen = df.where((day >= start) & (day <= end)).withColumn("run_date", day)
+    chosen = in_date_range(df, ts, start, end + dt.timedelta(days=1)).withColumn("run_date", F.to_date(ts))
     replace_partitions(work(chosen), folder, ["run_date"])
 
 
@@ -247,22 +247,20 @@ def run_tables(frames: dict[str, DataFrame], run_type: str = INCREMENTAL) -> Dat
     )
 
 
-def day_slices(frames: dict[str, tuple[DataFrame, str]], interval_start: dict[str, DataFrame], days_back: int = 2) -> DataFrame:
+def day_slices(frames: dict[str, tuple[DataFrame, str]], interval_start: dict[str, dt.date], days_back: int = 2) -> DataFrame:
     """Per table the days ``days_back`` .. 1 before its interval start, oldest first, with row counts.
 
-    ``interval_start`` gives one row with a date column ``day`` per table.  The table is read
-    once, between bounds that reach the scan, and counted per day on the map side.
+    ``frames`` gives each table and its time column.  A table is read once, between day bounds
+    that reach the scan, and counted per day on the map side.
     """
     def slices(name: str) -> DataFrame:
         df, ts = frames[name]
-        start = interval_start[name].select(F.col("day"))
-        bounds = start.select(
-            F.date_sub("day", days_back).alias("first"), F.date_sub("day", 1).alias("last")
+        start = interval_start[name]
+        wanted = df.sparkSession.range(1).select(F.lit(start).alias("_start")).select(
+            F.explode(F.sequence(F.date_sub("_start", days_back), F.date_sub("_start", 1))).alias("_day")
         )
-        wanted = explode_days(bounds, "first", "last", "_day").select("_day")
-        day = F.to_date(ts)
-        inside = df.where((day >= bounds.select("first").scalar()) & (day <= bounds.select("last").scalar()))
-        counted = inside.groupBy(day.alias("_day")).agg(F.count(F.lit(1)).alias("n_rows"))
+        inside = in_date_range(df, ts, start - dt.timedelta(days=days_back), start)
+        counted = inside.groupBy(F.to_date(ts).alias("_day")).agg(F.count(F.lit(1)).alias("n_rows"))
         return wanted.join(counted, "_day", "left").select(
             F.lit(name).alias("table_name"),
             compact_day(F.col("_day")).alias("start_date"),

@@ -110,7 +110,7 @@ _SLICED = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}
 )
 def table_day_slices(spark: SparkSession, sf: str) -> DataFrame:
     frames = {t: (table(spark, sf, t), c) for t, c in _SLICED.items()}
-    starts = {t: df.agg(F.to_date(F.max(c)).alias("day")) for t, (df, c) in frames.items()}
+    starts = {t: df.agg(F.to_date(F.max(c))).first()[0] for t, (df, c) in frames.items()}
     return flows.day_slices(frames, starts)
 
 
@@ -127,9 +127,8 @@ def run_type_load(spark: SparkSession, sf: str) -> DataFrame:
 @query("backfill_by_day", "SELECT strftime(ts, '%Y-%m-%d') AS run_date, event_id, user_id, value FROM events")
 def backfill_by_day(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events").select("event_id", "user_id", "value", "ts")
-    day = F.to_date("ts")
-    first, last = (events.select(f(day)) for f in (F.min, F.max))
+    first, last = events.agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first()
     folder = new_folder(spark, "backfill")
     for _ in range(2):  # the rerun replaces the same days
-        flows.backfill_by_day(events, "ts", first.scalar(), last.scalar(), folder)
+        flows.backfill_by_day(events, "ts", first, last, folder)
     return spark.read.parquet(folder).select(dates.dashed_day(F.col("run_date")).alias("run_date"), "event_id", "user_id", "value")

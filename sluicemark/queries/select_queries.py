@@ -48,7 +48,7 @@ _RANGE = (
 @query("param_range_inlist", _RANGE)
 def param_range_inlist(spark: SparkSession, sf: str) -> DataFrame:
     """The range and list as a SQL file with bound parameters."""
-    params = {"start_date": dt.date(1997, 1, 1), "end_date": dt.date(1998, 1, 1), "ids": "10, 11, 12"}
+    params = {"start_date": dt.date(1997, 1, 1), "end_date": dt.date(1998, 1, 1), "ids": selection.comma_values("10, 11, 12", float)}
     return selection.run_sql_file(spark, SQL / "range_and_list.sql", params, facts=table(spark, sf, "lineitem"))
 
 
@@ -59,11 +59,17 @@ def range_inlist_columns(spark: SparkSession, sf: str) -> DataFrame:
     return selection.in_comma_list(lines, "l_quantity", "10, 11, 12").select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
 
 
-@query("list_membership", "SELECT p_partkey, p_size IN (10, 11, 12) AS listed FROM part")
+@query(
+    "list_membership",
+    "SELECT p_partkey, p_size || ', ' || (p_size + 1) || ' , 40' AS ids, 12 IN (p_size, p_size + 1, 40) AS has_12, 2 * p_size + 41 AS total FROM part",
+)
 def list_membership(spark: SparkSession, sf: str) -> DataFrame:
-    """Membership in comma-separated text that is itself a column value."""
-    ids = F.lit("10, 11, 12")
-    return table(spark, sf, "part").select("p_partkey", F.array_contains(comma_list(ids, "int"), F.col("p_size")).alias("listed"))
+    """Typed lists from comma-separated text held in rows."""
+    ids = comma_list(F.col("ids"), "int")
+    text = F.format_string("%d, %d , 40", F.col("p_size"), F.col("p_size") + 1)
+    return table(spark, sf, "part").select("p_partkey", text.alias("ids")).select(
+        "p_partkey", "ids", F.array_contains(ids, 12).alias("has_12"), F.reduce(ids, F.lit(0), lambda a, b: a + b).alias("total")
+    )
 
 
 @query(

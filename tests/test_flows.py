@@ -151,7 +151,7 @@ def test_backfill_picks_up_late_rows_and_leaves_other_days(spark, tmp_path):
     folder = str(tmp_path / "days")
     rows = [(i, dt.datetime(2024, 1, 1 + i % 3, 5)) for i in range(9)]
     df = spark.createDataFrame(rows, "id int, ts timestamp_ntz")
-    day = lambda d: F.lit(dt.date(2024, 1, d))
+    day = lambda d: dt.date(2024, 1, d)
     flows.backfill_by_day(df, "ts", day(1), day(3), folder)
     late = df.union(spark.createDataFrame([(99, dt.datetime(2024, 1, 2, 1))], df.schema))
     flows.backfill_by_day(late, "ts", day(2), day(2), folder)

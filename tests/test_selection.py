@@ -27,7 +27,7 @@ def test_parameters_are_bound_not_spliced(spark, tmp_path):
     rows = selection.run_sql_file(spark, tmp_path / "q.sql", {"x": "1' OR '1'='1", "n": 2}, t=spark.range(5)).collect()
     assert [tuple(r) for r in rows] == [("1' OR '1'='1", 0), ("1' OR '1'='1", 1)]
     defaults = selection.default_range_params(dt.date(2024, 3, 1))
-    assert defaults == {"start_date": dt.date(2024, 2, 29), "end_date": dt.date(2024, 3, 1), "ids": "10, 11, 12"}
+    assert defaults == {"start_date": dt.date(2024, 2, 29), "end_date": dt.date(2024, 3, 1), "ids": [10, 11, 12]}
 
 
 def test_patterns_in_order_with_exclusions(spark):
