@@ -87,7 +87,7 @@ def upsert_batch(target: DataFrame, batch: DataFrame, config: TableConfig, broad
 
 def _versions(spark: SparkSession, table: str) -> list[int]:
     database, _, name = table.rpartition(".")
-    listed = spark.sql(f"SHOW TABLES IN {database or 'default'} LIKE '{name}__v*'").collect()
+    listed = spark.sql(f"SHOW TABLES IN {database or 'default'} LIKE '{name}__v*'").where("NOT isTemporary").collect()
     return sorted(int(row["tableName"].rsplit("__v", 1)[1]) for row in listed)
 
 
@@ -165,6 +165,17 @@ def upsert_tables(spark: SparkSession, configs: list[TableConfig], scan_time: dt
     return spark.createDataFrame(rows, "table_name string, rows_inserted long, rows_updated long")
 
 
+def _only_partitions(target: DataFrame, source: DataFrame, by: list[str]) -> DataFrame:
+    """Target rows in partitions the source has rows for.
+
+    The touched partitions come to the driver, which lists all partitions of a table anyway; as
+    literals on partition columns they prune the scan before it starts.
+    """
+    values = F.to_json(F.struct(*[F.col(f"`{c}`").cast(target.schema[c].dataType).alias(c) for c in by]))
+    touched = [row[0] for row in source.select(values).distinct().collect()]
+    return target.where(F.to_json(F.struct(*by)).isin(touched))
+
+
 def upsert_partitions(target: DataFrame, source: DataFrame, keys: list[str], partition_by: list[str], folder: str) -> None:
     """Upsert into parquet files partitioned by part of the key, rewriting touched partitions only.
 
@@ -176,11 +187,28 @@ def upsert_partitions(target: DataFrame, source: DataFrame, keys: list[str], par
         raise ValueError(f"partition columns {outside} must be part of the key {keys}")
     source = staged(source)
     assert_unique_keys(source, keys)
-    touched = source.select(*partition_by).distinct()
-    held = target.join(touched, partition_by, "left_semi").select(*target.columns)
+    held = _only_partitions(target, source, partition_by)
     replace_partitions(upsert(held, source, keys, fits_broadcast(source)), folder, partition_by)
 
 
+KEY_BUCKET = "key_bucket"
+
+
+def with_key_bucket(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    """The frame with a bucket number derived from its key, to partition files by."""
+    return df.withColumn(KEY_BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+
+
+def upsert_key_buckets(target: DataFrame, source: DataFrame, keys: list[str], buckets: int, folder: str) -> None:
+    """Upsert into parquet files partitioned by ``with_key_bucket``.
+
+    With many buckets a small batch rewrites a small share of a large table, whatever its key is.
+    Key columns must have the target's types on both sides, since the bucket follows from them.
+    """
+    typed = source.withColumns({k: F.col(k).cast(target.schema[k].dataType) for k in keys})
+    upsert_partitions(target, with_key_bucket(typed, keys, buckets), [KEY_BUCKET, *keys], [KEY_BUCKET], folder)
+
+
 # --- builds, exports, landings, backfills -----------------------------------------------------
 
 

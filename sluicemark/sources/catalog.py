@@ -11,8 +11,8 @@ _COLUMNS = "table_name string, column_name string, ordinal int, column_type stri
 
 
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
-    """Tables and views of a database."""
-    return spark.sql(f"SHOW TABLES IN {database}").select(F.col("tableName").alias("table_name"))
+    """Tables and views of a database, temporary views left out."""
+    return spark.sql(f"SHOW TABLES IN {database}").where("NOT isTemporary").select(F.col("tableName").alias("table_name"))
 
 
 def list_columns(spark: SparkSession, tables: list[str]) -> DataFrame:

@@ -19,6 +19,8 @@ from sluicemark.sources.files import PROVENANCE, reader_format
 FILE, BLOCK, ROW = "_file", "_block", "_row"
 BAD, BAD_COLUMN, BAD_TEXT = "_bad", "_bad_column", "_bad_text"
 _WHOLE_LINE = "_whole_line"
+# A backlog of new files is taken in micro-batches of at most this many files.
+FILES_PER_BATCH = 10_000
 
 
 def _stage_name(stage: str) -> Column:
@@ -32,7 +34,7 @@ def _data_fields(schema: T.StructType) -> list[T.StructField]:
 
 
 def _reader(spark: SparkSession, streaming: bool):
-    return spark.readStream if streaming else spark.read
+    return spark.readStream.option("maxFilesPerTrigger", FILES_PER_BATCH) if streaming else spark.read
 
 
 def _place(stage: str, streaming: bool) -> list[Column]:

@@ -93,6 +93,29 @@ def test_partition_upsert_touches_only_its_partitions(spark, tmp_path):
         flows.upsert_partitions(spark.read.parquet(folder), source, ["id"], ["d"], folder)
 
 
+def test_partitions_are_pruned_by_literals(spark, tmp_path):
+    folder = str(tmp_path / "p")
+    spark.range(20).selectExpr("id % 5 AS d", "date'2024-01-01' AS run", "id").write.partitionBy("d", "run").parquet(folder)
+    source = spark.sql("SELECT 3L AS d, date'2024-01-01' AS run")
+    held = flows._only_partitions(spark.read.parquet(folder), source, ["d", "run"])
+    assert sorted(r["id"] for r in held.collect()) == [3, 8, 13, 18]
+    scan = next(line for line in held._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line)
+    assert "PartitionFilters: []" not in scan
+
+
+def test_key_buckets_rewrite_a_share_of_the_table(spark, tmp_path):
+    folder, keys = str(tmp_path / "k"), ["id"]
+    start = spark.range(100).select("id", F.lit("old").alias("v"))
+    flows.with_key_bucket(start, keys, 32).write.partitionBy(flows.KEY_BUCKET).parquet(folder)
+    before = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "k").iterdir() if p.is_dir()}
+    source = spark.createDataFrame([(7, "new"), (500, "new")], "id int, v string")
+    flows.upsert_key_buckets(spark.read.parquet(folder), source, keys, 32, folder)
+    rows = {r["id"]: r["v"] for r in spark.read.parquet(folder).collect()}
+    assert len(rows) == 101 and {k for k, v in rows.items() if v == "new"} == {7, 500}
+    after = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "k").iterdir() if p.is_dir()}
+    assert sum(after[n] != t for n, t in before.items()) <= 2
+
+
 def test_files_load_once_until_truncated(spark, tmp_path):
     source, table, history = (str(tmp_path / n) for n in ("in", "table", "history"))
     schema = T.StructType().add("id", T.IntegerType()).add("v", T.StringType())
