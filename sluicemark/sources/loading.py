@@ -8,6 +8,8 @@ bad column it holds; ``loaded_rows`` keeps the rows a table takes, and
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,8 +26,10 @@ FILES_PER_BATCH = 10_000
 
 
 def _stage_name(stage: str) -> Column:
-    """File path below the stage folder."""
-    return F.substring_index(F.col("_metadata.file_path"), stage.rstrip("/") + "/", -1)
+    """File path below the stage folder, as the file system spells it."""
+    path = F.col("_metadata.file_path")
+    spelled = F.when(path.contains("%"), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
+    return F.substring_index(spelled, stage.rstrip("/") + "/", -1)
 
 
 def _data_fields(schema: T.StructType) -> list[T.StructField]:
@@ -51,8 +55,22 @@ def _scan_parquet(spark: SparkSession, stage: str, prefix: str, fields: list[T.S
     return rows.select(*[f"`{c}`" for c in rows.columns], *_place(stage, streaming))
 
 
-def _scan_csv(spark: SparkSession, stage: str, prefix: str, fields: list[T.StructField], streaming: bool) -> DataFrame:
-    path = f"{stage}/{prefix}"
+def _csv_layouts(spark: SparkSession, path: str) -> list[list[str]]:
+    """The csv files of a path grouped by their header line; one small row per file is collected."""
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias(FILE),
+        F.col("_metadata.file_block_start").alias(BLOCK),
+        F.monotonically_increasing_id().alias(ROW),
+    )
+    headers = lines.where(F.col(BLOCK) == 0).groupBy(FILE).agg(F.min_by("value", ROW).alias("header"))
+    layouts: dict[str, list[str]] = {}
+    for row in headers.collect():
+        layouts.setdefault(row["header"], []).append(unquote(row[FILE]))
+    return list(layouts.values())
+
+
+def _scan_csv(spark: SparkSession, stage: str, path: str | list[str], fields: list[T.StructField], streaming: bool) -> DataFrame:
     header = spark.read.option("header", True).csv(path).columns
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _WHOLE_LINE]])
     # enforceSchema=False makes a file with another header an error instead of shifted values.
@@ -112,12 +130,21 @@ def _check_values(texts: DataFrame, fields: list[T.StructField]) -> DataFrame:
     )
 
 
-def parse_files(spark: SparkSession, stage: str, prefix: str, file_format: str, schema: T.StructType, streaming: bool = False) -> DataFrame:
+def parse_files(
+    spark: SparkSession,
+    stage: str,
+    prefix: str,
+    file_format: str,
+    schema: T.StructType,
+    streaming: bool = False,
+    csv_header: str = "shared",
+) -> DataFrame:
     """All records of the files under ``stage/prefix``, columns matched by name ignoring case.
 
     Columns the files lack are null, columns the schema lacks are dropped.  ``_file``,
     ``_block`` and ``_row`` say where a record came from; ``_bad``, ``_bad_column`` and
-    ``_bad_text`` say why it cannot be loaded.
+    ``_bad_text`` say why it cannot be loaded.  Csv files share one header unless ``csv_header``
+    is ``"per_file"``, which reads the header of each file first.
     """
     fields = _data_fields(schema)
     reader = reader_format(file_format)
@@ -128,8 +155,14 @@ def parse_files(spark: SparkSession, stage: str, prefix: str, file_format: str,
             F.lit(None).cast("string").alias(BAD_COLUMN),
             F.lit(None).cast("string").alias(BAD_TEXT),
         )
-    scan = _scan_csv if reader == "csv" else _scan_json
-    return _check_values(scan(spark, stage, prefix, fields, streaming), fields)
+    if reader == "json":
+        texts = _scan_json(spark, stage, prefix, fields, streaming)
+    elif csv_header == "per_file" and not streaming:
+        layouts = _csv_layouts(spark, f"{stage}/{prefix}")
+        texts = reduce(DataFrame.unionByName, [_scan_csv(spark, stage, paths, fields, False) for paths in layouts])
+    else:
+        texts = _scan_csv(spark, stage, f"{stage}/{prefix}", fields, streaming)
+    return _check_values(texts, fields)
 
 
 def loaded_rows(parsed: DataFrame, scan_time: dt.datetime | None = None, on_error: str = "abort") -> DataFrame:
@@ -160,9 +193,11 @@ def load_files(
     schema: T.StructType,
     scan_time: dt.datetime | None = None,
     on_error: str = "abort",
+    csv_header: str = "shared",
 ) -> DataFrame:
     """Rows of the files under ``stage/prefix`` in the declared schema, with provenance."""
-    return loaded_rows(parse_files(spark, stage, prefix, file_format, schema), scan_time, on_error)
+    parsed = parse_files(spark, stage, prefix, file_format, schema, csv_header=csv_header)
+    return loaded_rows(parsed, scan_time, on_error)
 
 
 def load_into_table(
@@ -174,10 +209,11 @@ def load_into_table(
     truncate: bool = False,
     scan_time: dt.datetime | None = None,
     on_error: str = "abort",
+    csv_header: str = "shared",
 ) -> None:
     """Append the files to a table by column name; ``truncate`` replaces its rows instead."""
     schema = spark.table(table).schema
-    rows = load_files(spark, stage, prefix, file_format, schema, scan_time, on_error)
+    rows = load_files(spark, stage, prefix, file_format, schema, scan_time, on_error, csv_header)
     aligned = rows.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in schema])
     if truncate:
         spark.sql(f"TRUNCATE TABLE {table}")

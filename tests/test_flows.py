@@ -138,6 +138,34 @@ def test_files_load_once_until_truncated(spark, tmp_path):
     assert count() == 3
 
 
+def test_a_batch_repeated_after_a_crash_leaves_its_rows_once(spark, tmp_path):
+    table, history = tmp_path / "table", tmp_path / "history"
+    schema = T.StructType().add("id", T.IntegerType()).add("v", T.StringType())
+    drop(spark, str(tmp_path / "in"), [(1, "a"), (2, "b")])
+    run = lambda: load_new_files(spark, str(tmp_path), "in", "parquet", schema, str(table), str(history), T0)
+    run()
+    for commit in (history / "commits").iterdir():  # as if the run had ended before its commit
+        commit.unlink()
+    run()
+    assert spark.read.parquet(str(table)).count() == 2
+
+
+def test_a_failed_upsert_leaves_the_table_and_can_be_repeated(spark, tmp_path):
+    table = target(spark, [(1, "a")])
+    (tmp_path / "in").mkdir()
+    bad = tmp_path / "in" / "a.csv"
+    bad.write_text("id,v\n2,b\noops,c\n")
+    config = flows.TableConfig(table, str(tmp_path), "in", ["id"], ["v"], file_format="csv")
+    with pytest.raises(Exception, match="bad record"):
+        flows.upsert_table(spark, config, T1)
+    with pytest.raises(Exception, match="lost on the way"):
+        flows.publish(spark.table(table).withColumn("v", F.raise_error(F.lit("lost on the way")).cast("string")), table)
+    assert content(spark, table) == [(1, "a")]
+    bad.write_text("id,v\n2,b\n")
+    assert flows.upsert_table(spark, config, T1) == (1, 0)
+    assert content(spark, table) == [(1, "a"), (2, "b")]
+
+
 @pytest.mark.parametrize("kind, name, text", [("csv", "a.csv", "V,ID\nx,1\ny,bad\n"), ("json", "a.json", '{"V": "x", "ID": 1}\n{"ID": "bad"}\n')])
 def test_text_files_stream_by_name(spark, tmp_path, kind, name, text):
     (tmp_path / "in").mkdir()

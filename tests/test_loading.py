@@ -38,6 +38,18 @@ def test_csv_files_with_different_headers_are_refused(spark, tmp_path):
         load_files(spark, str(tmp_path), "in", "csv", SCHEMA, AT).collect()
 
 
+def test_csv_headers_per_file(spark, tmp_path):
+    put(tmp_path / "in", "a.csv", "id,name\n1,a\n")
+    put(tmp_path / "in", "b one.csv", "NAME,amount,ID\nb,2.5,2\nc,,3\n")
+    put(tmp_path / "in", "c.csv", "id,name\n4,d,extra\n5,e\n")
+    parsed = parse_files(spark, str(tmp_path), "in", "csv", SCHEMA, csv_header="per_file")
+    assert {r["file"].split("/")[-1]: (r["rows_loaded"], r["error_seen"]) for r in load_report(parsed, 1).collect()} == {
+        "a.csv": (1, 0), "b one.csv": (2, 0), "c.csv": (1, 1),
+    }
+    kept = load_files(spark, str(tmp_path), "in", "csv", SCHEMA, AT, "continue", csv_header="per_file")
+    assert sorted(tuple(r)[:3] for r in kept.collect()) == [(1, "a", None), (2, "b", 2.5), (3, "c", None), (5, "e", None)]
+
+
 def test_json_by_name_with_nested_values(spark, tmp_path):
     schema = T.StructType.fromDDL("id int, tags array<string>, deep struct<a:int>")
     put(tmp_path / "in", "a.json", '{"ID": 1, "Tags": ["x", "y"], "DEEP": {"a": 3}, "more": 1}\n\n{"id": null}\n')
