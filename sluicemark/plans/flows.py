@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -85,10 +86,15 @@ def upsert_batch(target: DataFrame, batch: DataFrame, config: TableConfig, broad
 # --- tables whose versions are written aside and then published -------------------------------
 
 
-def _versions(spark: SparkSession, table: str) -> list[int]:
+def _versions(spark: SparkSession, table: str) -> list[str]:
+    """Tables that hold versions of ``table``, oldest first."""
     database, _, name = table.rpartition(".")
     listed = spark.sql(f"SHOW TABLES IN {database or 'default'} LIKE '{name}__v*'").where("NOT isTemporary").collect()
-    return sorted(int(row["tableName"].rsplit("__v", 1)[1]) for row in listed)
+    return sorted((row["tableName"] for row in listed), key=_version_number)
+
+
+def _version_number(name: str) -> int:
+    return int(name.rsplit("__v", 1)[1].split("_")[0])
 
 
 def publish(df: DataFrame, table: str, keys: list[str] | None = None, buckets: int | None = None, keep: int = 1) -> None:
@@ -96,18 +102,22 @@ def publish(df: DataFrame, table: str, keys: list[str] | None = None, buckets: i
 
     The version being read is never overwritten and the view changes in one catalog step, so a
     failed write leaves the old table in place.  With ``buckets`` the version is bucketed by key,
-    and later upserts read it without a shuffle.  ``keep`` older versions stay for readers.
+    and later upserts read it without a shuffle; keys of such a table should not be null, since a
+    bucket is one task's work.  ``keep`` older versions stay for readers.
     """
     spark = df.sparkSession
     versions = _versions(spark, table)
-    version = versions[-1] + 1 if versions else 1
+    number = _version_number(versions[-1]) + 1 if versions else 1
+    database = table.rpartition(".")[0]
+    # The random part keeps leftovers of a write that died out of the way.
+    written = f"{table}__v{number}_{uuid.uuid4().hex[:8]}"
     writer = df.write.format("parquet")
     if buckets:
         writer = writer.bucketBy(buckets, *keys).sortBy(*keys)
-    writer.saveAsTable(f"{table}__v{version}")
-    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {table}__v{version}")
+    writer.saveAsTable(written)
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {written}")
     for old in versions[: len(versions) - keep]:
-        spark.sql(f"DROP TABLE {table}__v{old}")
+        spark.sql(f"DROP TABLE {database + '.' if database else ''}{old}")
 
 
 def create_target(df: DataFrame, table: str, keys: list[str] | None = None, buckets: int | None = None) -> None:

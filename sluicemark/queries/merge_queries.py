@@ -18,7 +18,7 @@ from sluicemark.operators.merge import merge_metrics as count_merge
 from sluicemark.operators.merge import upsert
 from sluicemark.plans import flows
 from sluicemark.queries.registry import query, table
-from sluicemark.session import fits_broadcast, new_database, staged
+from sluicemark.session import fits_broadcast, new_database, new_folder, staged
 
 SCAN_TIME = dt.datetime(2024, 2, 1, 6, 0, 0)
 KEYS = ["l_orderkey", "l_linenumber"]
@@ -98,6 +98,34 @@ def upsert_from_files(spark: SparkSession, sf: str) -> DataFrame:
     return flows.upsert_files(spark, target, config, SCAN_TIME)
 
 
+@query("upsert_streamed", _MERGED.format(extra=""))
+def upsert_streamed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same merge fed by the file stream; the second run finds no new file and changes nothing."""
+    target = f"{new_database(spark, 'streamed')}.order_lines"
+    flows.create_target(
+        first_lines(spark, sf).withColumns({"metadata_filename": F.lit("orders.parquet"), "metadata_ingest_time": ntz("2023-12-31 00:00:00")}),
+        target,
+    )
+    order = ["l_shipdate", "l_extendedprice", "l_linestatus"]
+    # A stream watches folders or patterns, not single files.
+    config = flows.TableConfig(target, sf, "lineitem.parquet*", KEYS, order, "metadata_ingest_time")
+    history = new_folder(spark, "history")
+    for _ in range(2):
+        flows.upsert_new_files(spark, config, history, SCAN_TIME)
+    return spark.table(target).drop("metadata_filename", "metadata_ingest_time")
+
+
+@query("upsert_key_buckets", _MERGED.format(extra=""))
+def upsert_key_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """The same merge into files partitioned by a bucket of the key; only touched buckets are rewritten."""
+    folder, buckets = new_folder(spark, "buckets"), 16
+    start = first_lines(spark, sf)
+    flows.replace_partitions(flows.with_key_bucket(start, KEYS, buckets), folder, [flows.KEY_BUCKET])
+    latest = latest_per_key(table(spark, sf, "lineitem"), KEYS, LINE_ORDER).select(*start.columns)
+    flows.upsert_key_buckets(spark.read.parquet(folder), latest, KEYS, buckets, folder)
+    return spark.read.parquet(folder).select(*start.columns)
+
+
 _MANY = [
     # target key and date, the table that already holds some keys, the batch table and its key
     ("orders", "o_orderkey", "lineitem", "l_orderkey"),
