@@ -14,21 +14,30 @@ def _after(day: Column, hours: int, minutes: int = 0) -> Column:
     return day.cast("timestamp_ntz") + F.expr(f"make_dt_interval(0, {hours}, {minutes}, 0)")
 
 
-def completed_interval(ts: Column) -> Column:
-    """Last completed interval before ``ts`` as ``struct<start, end>``, exact to the minute."""
-    day = F.to_date(ts)
-    yesterday = F.date_sub(day, 1)
-    minute = F.hour(ts) * 60 + F.minute(ts)
-    start = (
-        F.when(minute < 6 * 60, _after(yesterday, 6))
-        .when(minute <= 16 * 60 + 30, _after(yesterday, 16, 30))
-        .otherwise(_after(day, 6))
-    )
-    end = (
-        F.when(minute < 6 * 60, _after(yesterday, 16, 30))
-        .when(minute <= 16 * 60 + 30, _after(day, 6))
-        .otherwise(_after(day, 16, 30))
+def minute_of_day(ts: Column) -> Column:
+    return F.hour(ts) * 60 + F.minute(ts)
+
+
+def completed_key(day: Column, minute: Column) -> tuple[Column, Column]:
+    """Last completed interval as the day it ends on and whether it is the night one.
+
+    From 06:00 to 16:30 that is the night up to today; before and after it is the daytime of
+    yesterday and of today.  Both comparisons are exact to the minute.
+    """
+    return F.when(minute < 6 * 60, F.date_sub(day, 1)).otherwise(day), minute.between(6 * 60, 16 * 60 + 30)
+
+
+def key_bounds(day: Column, night: Column) -> tuple[Column, Column]:
+    """Start and end of the interval a ``completed_key`` names."""
+    return (
+        F.when(night, _after(F.date_sub(day, 1), 16, 30)).otherwise(_after(day, 6)),
+        F.when(night, _after(day, 6)).otherwise(_after(day, 16, 30)),
     )
+
+
+def completed_interval(ts: Column) -> Column:
+    """Last completed interval before ``ts`` as ``struct<start, end>``."""
+    start, end = key_bounds(*completed_key(F.to_date(ts), minute_of_day(ts)))
     return F.when(ts.isNotNull(), F.struct(start.alias("start"), end.alias("end")))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluicemark.functions.intervals import completed_interval
+from sluicemark.functions.intervals import completed_key, key_bounds, minute_of_day
 from sluicemark.session import BROADCAST_LIMIT_BYTES, fits_broadcast, staged
 
 SALTS = 32
@@ -33,6 +33,12 @@ def interval_join(events: DataFrame, ts: str, calendar: DataFrame, broadcast_lim
 
 
 def aggregate_by_interval(events: DataFrame, ts: str, *aggregates: Column) -> DataFrame:
-    """Aggregates per last completed uneven interval: one hash aggregate with map-side combine."""
-    placed = events.withColumn("_interval", completed_interval(F.col(ts)))
-    return placed.groupBy(F.col("_interval.start").alias("start"), F.col("_interval.end").alias("end")).agg(*aggregates)
+    """Aggregates per last completed uneven interval: one hash aggregate with map-side combine.
+
+    Rows are grouped by day and a flag; the bounds are worked out once per group.
+    """
+    day, night = completed_key(F.col("_day"), F.col("_minute"))
+    placed = events.withColumns({"_day": F.to_date(ts), "_minute": minute_of_day(F.col(ts))})
+    grouped = placed.groupBy(day.alias("_end_day"), night.alias("_night")).agg(*aggregates)
+    start, end = key_bounds(F.col("_end_day"), F.col("_night"))
+    return grouped.select(start.alias("start"), end.alias("end"), "*").drop("_end_day", "_night")
