@@ -43,14 +43,15 @@ def completed_interval(ts: Column) -> Column:
 
 def interval_calendar(bounds: DataFrame, first: str, latest: str) -> DataFrame:
     """Two intervals per day from the day of ``first``; an interval starts no later than ``latest``."""
-    days = F.sequence(F.to_date(F.col(first)), F.to_date(F.col(latest)), F.expr("interval 1 day"))
+    from_day, to_day = F.to_date(F.col(first)), F.to_date(F.col(latest))
+    days = F.when(from_day <= to_day, F.sequence(from_day, to_day, F.expr("interval 1 day")))
     day = F.col("_day")
     both = F.array(
         F.struct(_after(day, 6).alias("start"), _after(day, 16, 30).alias("end")),
         F.struct(_after(day, 16, 30).alias("start"), _after(F.date_add(day, 1), 6).alias("end")),
     )
     return (
-        bounds.select(F.col(latest).alias("_latest"), F.explode(F.when(F.to_date(F.col(first)) <= F.to_date(F.col(latest)), days)).alias("_day"))
+        bounds.select(F.col(latest).alias("_latest"), F.explode(days).alias("_day"))
         .select("_latest", F.explode(both).alias("_interval"))
         .where(F.col("_interval.start") <= F.col("_latest"))
         .select("_interval.start", "_interval.end")

@@ -11,12 +11,15 @@ from sluicemark.session import BROADCAST_LIMIT_BYTES, fits_broadcast, staged
 SALTS = 32
 
 
-def interval_join(events: DataFrame, ts: str, calendar: DataFrame, broadcast_limit: int = BROADCAST_LIMIT_BYTES, salts: int = SALTS) -> DataFrame:
+def interval_join(
+    events: DataFrame, ts: str, calendar: DataFrame, broadcast_limit: int = BROADCAST_LIMIT_BYTES, salts: int = SALTS
+) -> DataFrame:
     """Events with the ``start`` and ``end`` of the calendar intervals that hold ``start <= ts < end``.
 
     The calendar is expanded to one row per day an interval touches, so the join has an equality
-    key, and staged, so what it derives from is read once.  It is broadcast when its measured size allows; beyond that both sides shuffle by day and
-    a salt taken from row position, so a day with a third of all rows spreads over ``salts`` tasks.
+    key, and staged, so what it derives from is read once.  It is broadcast when its measured size
+    allows; beyond that both sides shuffle by day and a salt taken from row position, so a day with
+    a third of all rows spreads over ``salts`` tasks.
     """
     days = F.sequence(F.to_date("start"), F.to_date("end"), F.expr("interval 1 day"))
     by_day = staged(calendar.where("start < end").select("start", "end", F.explode(days).alias("_day")), "calendar")

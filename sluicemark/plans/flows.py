@@ -76,7 +76,13 @@ def upsert_files(
     return upsert_batch(target, batch, config, broadcast_limit, with_action)
 
 
-def upsert_batch(target: DataFrame, batch: DataFrame, config: TableConfig, broadcast_limit: int = BROADCAST_LIMIT_BYTES, with_action: bool = False) -> DataFrame:
+def upsert_batch(
+    target: DataFrame,
+    batch: DataFrame,
+    config: TableConfig,
+    broadcast_limit: int = BROADCAST_LIMIT_BYTES,
+    with_action: bool = False,
+) -> DataFrame:
     """As ``upsert_files`` for a batch that is already a frame."""
     latest = staged(deduplicated(batch, target, config.keys, config.order_by, config.watermark))
     small = fits_broadcast(latest, broadcast_limit)
@@ -138,13 +144,21 @@ def _publish_counted(merged: DataFrame, table: str, keys: list[str], buckets: in
     return counts["rows_inserted"], counts["rows_updated"]
 
 
-def upsert_table(spark: SparkSession, config: TableConfig, scan_time: dt.datetime | None = None, buckets: int | None = None) -> tuple[int, int]:
+def upsert_table(
+    spark: SparkSession, config: TableConfig, scan_time: dt.datetime | None = None, buckets: int | None = None
+) -> tuple[int, int]:
     """Upsert the config's files into its published table; returns rows inserted and updated."""
     merged = upsert_files(spark, spark.table(config.table), config, scan_time, with_action=True)
     return _publish_counted(merged, config.table, config.keys, buckets)
 
 
-def upsert_new_files(spark: SparkSession, config: TableConfig, checkpoint: str, scan_time: dt.datetime | None = None, buckets: int | None = None) -> None:
+def upsert_new_files(
+    spark: SparkSession,
+    config: TableConfig,
+    checkpoint: str,
+    scan_time: dt.datetime | None = None,
+    buckets: int | None = None,
+) -> None:
     """Upsert the config's files not seen before into its published table.
 
     Repeating a batch after a crash changes nothing further: its rows match the second time.
@@ -222,7 +236,15 @@ def upsert_key_buckets(target: DataFrame, source: DataFrame, keys: list[str], bu
 # --- builds, exports, landings, backfills -----------------------------------------------------
 
 
-def build_then_load(spark: SparkSession, table: str, stage: str, prefix: str, file_format: str, load_table_afterwards: bool = True, scan_time: dt.datetime | None = None) -> None:
+def build_then_load(
+    spark: SparkSession,
+    table: str,
+    stage: str,
+    prefix: str,
+    file_format: str,
+    load_table_afterwards: bool = True,
+    scan_time: dt.datetime | None = None,
+) -> None:
     """Make the table from the files' schema, then load the files into it."""
     create_table_from_files(spark, table, f"{stage}/{prefix}", file_format)
     if load_table_afterwards:
@@ -234,12 +256,28 @@ def export_run(df: DataFrame, date_column: str, run_type: str, run_date: dt.date
     export_chunks(select_run(df, date_column, run_type, run_date), folder)
 
 
-def export_database(spark: SparkSession, url: str, table: str, date_column: str, run_type: str, run_date: dt.date, folder: str, **read_options) -> None:
+def export_database(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    date_column: str,
+    run_type: str,
+    run_date: dt.date,
+    folder: str,
+    **read_options,
+) -> None:
     """Chunked export straight from a database table, each task reading and writing its own range."""
     export_run(scan_database(spark, url, table, **read_options), date_column, run_type, run_date, folder)
 
 
-def land_feed_files(spark: SparkSession, source: str, folder: str, records: dict[str, T.StructType], run_end: dt.datetime, parallel: int = 4) -> None:
+def land_feed_files(
+    spark: SparkSession,
+    source: str,
+    folder: str,
+    records: dict[str, T.StructType],
+    run_end: dt.datetime,
+    parallel: int = 4,
+) -> None:
     """Land each feed's JSON array file ``source/<feed>.json`` at its path for the run's day.
 
     A feed without a file or without records writes nothing; a rerun writes to the same path.
@@ -258,7 +296,14 @@ def land_payloads(payloads: DataFrame, payload: str, record: T.StructType, scrap
     land_feeds(records_from_payload(payloads, payload, record, scrape_ts, ["feed", "run_date"]), folder)
 
 
-def backfill_by_day(df: DataFrame, ts: str, start: dt.date, end: dt.date, folder: str, work: Callable[[DataFrame], DataFrame] = lambda day: day) -> None:
+def backfill_by_day(
+    df: DataFrame,
+    ts: str,
+    start: dt.date,
+    end: dt.date,
+    folder: str,
+    work: Callable[[DataFrame], DataFrame] = lambda day: day,
+) -> None:
     """Process the inclusive day range as one job and rewrite each of its days.
 
     ``work`` sees rows with their ``run_date`` and must keep that column.  Days outside the range

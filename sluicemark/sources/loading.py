@@ -112,10 +112,12 @@ def _typed(text: Column, field: T.StructField) -> Column:
 
 def _check_values(texts: DataFrame, fields: list[T.StructField]) -> DataFrame:
     """Cast text columns and name the first column of each record that does not take its value."""
-    wrong = [
-        F.when(F.col(f"`{f.name}`").isNotNull() & _typed(F.col(f"`{f.name}`"), f).isNull(), F.struct(F.lit(f.name).alias("name"), F.col(f"`{f.name}`").alias("value")))
-        for f in fields
-    ]
+    def wrong_value(field: T.StructField) -> Column:
+        text = F.col(f"`{field.name}`")
+        refused = text.isNotNull() & _typed(text, field).isNull()
+        return F.when(refused, F.struct(F.lit(field.name).alias("name"), text.alias("value")))
+
+    wrong = [wrong_value(f) for f in fields]
     first_wrong = F.coalesce(*wrong) if wrong else F.lit(None).cast("struct<name:string,value:string>")
     malformed = F.col(BAD_TEXT).isNotNull()
     return (

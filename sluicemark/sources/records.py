@@ -12,7 +12,9 @@ from pyspark.sql import types as T
 from sluicemark.functions.dates import ntz
 
 
-def records_from_payload(payloads: DataFrame, payload: str, record: T.StructType, scrape_ts: Column, keep: list[str] | None = None) -> DataFrame:
+def records_from_payload(
+    payloads: DataFrame, payload: str, record: T.StructType, scrape_ts: Column, keep: list[str] | None = None
+) -> DataFrame:
     """One row per record of each JSON array in ``payload``, stamped with ``scrape_ts``.
 
     A generator keeps the work on the payload's own partition: no shuffle.
@@ -26,6 +28,8 @@ def records_from_files(spark: SparkSession, path: str, record: T.StructType, scr
     return spark.read.schema(record).json(path, multiLine=True).withColumn("scrape_ts", scrape_ts)
 
 
-def inline_rows(spark: SparkSession, rows: list[tuple[Any, ...]], schema: str | T.StructType, run_ts: dt.datetime, name: str = "created") -> DataFrame:
+def inline_rows(
+    spark: SparkSession, rows: list[tuple[Any, ...]], schema: str | T.StructType, run_ts: dt.datetime, name: str = "created"
+) -> DataFrame:
     """Literal rows with the run timestamp repeated on each."""
     return spark.createDataFrame(rows, schema).withColumn(name, ntz(run_ts))
