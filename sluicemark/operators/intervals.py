@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluicemark.functions.intervals import completed_key, key_bounds, minute_of_day
-from sluicemark.session import BROADCAST_LIMIT_BYTES, fits_broadcast, staged
+from sluicemark.session import BROADCAST_LIMIT_BYTES, staged_with_size
 
 SALTS = 32
 
@@ -22,11 +22,12 @@ def interval_join(
     a third of all rows spreads over ``salts`` tasks.
     """
     days = F.sequence(F.to_date("start"), F.to_date("end"), F.expr("interval 1 day"))
-    by_day = staged(calendar.where("start < end").select("start", "end", F.explode(days).alias("_day")), "calendar")
+    expanded = calendar.where("start < end").select("start", "end", F.explode(days).alias("_day"))
+    by_day, size = staged_with_size(expanded, "calendar")
     keyed = events.withColumn("_event_day", F.to_date(ts))
     inside = (F.col(ts) >= F.col("start")) & (F.col(ts) < F.col("end"))
     same_day = F.col("_event_day") == F.col("_day")
-    if fits_broadcast(by_day, broadcast_limit):
+    if size <= broadcast_limit:
         joined = keyed.join(F.broadcast(by_day), same_day & inside)
     else:
         copies = by_day.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

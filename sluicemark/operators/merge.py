@@ -52,7 +52,7 @@ def upsert(
     The source must hold one row per key (see ``assert_unique_keys``) and is read twice, so stage
     a costly one first (``session.staged``).  A null key matches nothing.
 
-    ``source_is_small`` (a measured size, see ``session.fits_broadcast``) broadcasts the batch, so
+    ``source_is_small`` (by measured size, see ``session.staged_with_size``) broadcasts the batch, so
     the target is not shuffled.  Otherwise both sides shuffle by key; the left outer join keeps the
     target on the side that adaptive execution can split when a key (a null one, say) is hot.
     """

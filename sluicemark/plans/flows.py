@@ -18,7 +18,7 @@ from sluicemark.operators.dedup import deduplicated
 from sluicemark.operators.export import export_chunks, land_feeds, replace_partitions, write_skip_empty
 from sluicemark.operators.merge import ACTION, INSERT, UPDATE, assert_unique_keys, upsert
 from sluicemark.operators.selection import in_date_range
-from sluicemark.session import BROADCAST_LIMIT_BYTES, fits_broadcast, staged
+from sluicemark.session import BROADCAST_LIMIT_BYTES, staged_with_size
 from sluicemark.sources.database import FULL, INCREMENTAL, scan_database, select_run
 from sluicemark.sources.files import PROVENANCE, create_table_from_files, read_or_empty
 from sluicemark.sources.loading import load_files, load_into_table
@@ -84,9 +84,8 @@ def upsert_batch(
     with_action: bool = False,
 ) -> DataFrame:
     """As ``upsert_files`` for a batch that is already a frame."""
-    latest = staged(deduplicated(batch, target, config.keys, config.order_by, config.watermark))
-    small = fits_broadcast(latest, broadcast_limit)
-    return upsert(target, latest, config.keys, source_is_small=small, with_action=with_action)
+    latest, size = staged_with_size(deduplicated(batch, target, config.keys, config.order_by, config.watermark))
+    return upsert(target, latest, config.keys, source_is_small=size <= broadcast_limit, with_action=with_action)
 
 
 # --- tables whose versions are written aside and then published -------------------------------
@@ -175,9 +174,9 @@ def upsert_new_files(
 
 def upsert_frame_into_table(source: DataFrame, table: str, keys: list[str], buckets: int | None = None) -> tuple[int, int]:
     """Upsert a frame that holds one row per key into a published table."""
-    source = staged(source)
+    source, size = staged_with_size(source)
     assert_unique_keys(source, keys)
-    merged = upsert(source.sparkSession.table(table), source, keys, fits_broadcast(source), with_action=True)
+    merged = upsert(source.sparkSession.table(table), source, keys, size <= BROADCAST_LIMIT_BYTES, with_action=True)
     return _publish_counted(merged, table, keys, buckets)
 
 
@@ -209,10 +208,10 @@ def upsert_partitions(target: DataFrame, source: DataFrame, keys: list[str], par
     outside = [c for c in partition_by if c.lower() not in {k.lower() for k in keys}]
     if outside:
         raise ValueError(f"partition columns {outside} must be part of the key {keys}")
-    source = staged(source)
+    source, size = staged_with_size(source)
     assert_unique_keys(source, keys)
     held = _only_partitions(target, source, partition_by)
-    replace_partitions(upsert(held, source, keys, fits_broadcast(source)), folder, partition_by)
+    replace_partitions(upsert(held, source, keys, size <= BROADCAST_LIMIT_BYTES), folder, partition_by)
 
 
 KEY_BUCKET = "key_bucket"

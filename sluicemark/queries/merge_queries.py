@@ -18,7 +18,7 @@ from sluicemark.operators.merge import merge_metrics as count_merge
 from sluicemark.operators.merge import upsert
 from sluicemark.plans import flows
 from sluicemark.queries.registry import query, table
-from sluicemark.session import fits_broadcast, new_database, new_folder, staged
+from sluicemark.session import BROADCAST_LIMIT_BYTES, new_database, new_folder, staged_with_size
 
 SCAN_TIME = dt.datetime(2024, 2, 1, 6, 0, 0)
 KEYS = ["l_orderkey", "l_linenumber"]
@@ -66,8 +66,8 @@ def dedup_composite_key(spark: SparkSession, sf: str) -> DataFrame:
 @query("upsert_merge", _MERGED.format(extra=""))
 def upsert_merge(spark: SparkSession, sf: str) -> DataFrame:
     target = first_lines(spark, sf)
-    latest = staged(latest_per_key(table(spark, sf, "lineitem"), KEYS, LINE_ORDER).select(*target.columns))
-    return upsert(target, latest, KEYS, source_is_small=fits_broadcast(latest))
+    latest, size = staged_with_size(latest_per_key(table(spark, sf, "lineitem"), KEYS, LINE_ORDER).select(*target.columns))
+    return upsert(target, latest, KEYS, source_is_small=size <= BROADCAST_LIMIT_BYTES)
 
 
 @query(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,37 +47,44 @@ def new_database(spark: SparkSession, label: str) -> str:
     return name
 
 
-def staged(df: DataFrame, label: str = "staged") -> DataFrame:
-    """The frame written once to the shared folder and read back.
-
-    For a costly frame that a plan reads more than once: it is computed a single time, later
-    reads take only the columns they need, and lost executors do not bring the work back.
-    """
-    folder = new_folder(df.sparkSession, label)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+def _size(df: DataFrame) -> Column:
+    """Aggregate for the size of a frame: row count times the fixed widths plus the length of every text."""
+    size = F.count(F.lit(1)) * (16 * len(df.columns))
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (*_COMPLEX, T.StringType, T.BinaryType, T.VariantType)):
+            value = F.to_json(F.struct(f"`{f.name}`")) if isinstance(f.dataType, _COMPLEX) else F.col(f"`{f.name}`").cast("string")
+            size = size + F.coalesce(F.sum(F.octet_length(value)), F.lit(0))
+    return size.alias("bytes")
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Size of the frame's values: row count times the fixed widths plus the length of every text.
-
-    One scan with map-side sums; it reads only the columns whose width varies.
-    """
-    fixed = 16 * len(df.columns)
-    lengths = [
-        F.octet_length(F.to_json(F.struct(f"`{f.name}`")) if isinstance(f.dataType, _COMPLEX) else F.col(f"`{f.name}`").cast("string"))
-        for f in df.schema.fields
-        if isinstance(f.dataType, (*_COMPLEX, T.StringType, T.BinaryType, T.VariantType))
-    ]
-    varying = sum((F.coalesce(F.sum(length), F.lit(0)) for length in lengths), F.lit(0))
-    found = df.agg(F.count(F.lit(1)).alias("n_rows"), varying.alias("varying")).first()
-    return found["n_rows"] * fixed + found["varying"]
+    """Size of the frame's values, from one scan with map-side sums of the columns whose width varies."""
+    return df.agg(_size(df)).first()["bytes"]
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
     return measured_bytes(df) <= limit
 
 
+def staged_with_size(df: DataFrame, label: str = "staged") -> tuple[DataFrame, int]:
+    """The frame written once to the shared folder and read back, and its measured size.
+
+    For a costly frame that a plan reads more than once: it is computed a single time, later
+    reads take only the columns they need, and lost executors do not bring the work back.  The
+    size is summed by the write itself, in whose last stage each task counts once.
+    """
+    folder, seen = new_folder(df.sparkSession, label), Observation()
+    df.observe(seen, _size(df)).write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder), seen.get["bytes"]
+
+
+def staged(df: DataFrame, label: str = "staged") -> DataFrame:
+    """As ``staged_with_size``, for callers that do not need the size."""
+    folder = new_folder(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def resolve(df: DataFrame, names: list[str]) -> list[str]:
     """Map names to the frame's own spelling, ignoring case; unknown names are an error."""
     own = {c.lower(): c for c in df.columns}
