@@ -295,6 +295,12 @@ def land_payloads(payloads: DataFrame, payload: str, record: T.StructType, scrap
     land_feeds(records_from_payload(payloads, payload, record, scrape_ts, ["feed", "run_date"]), folder)
 
 
+def backfill_bounds(interval_end: dt.date, start: dt.date | None = None) -> tuple[dt.date, dt.date]:
+    """First and last day of a backfill: up to the day before the run's end, by default that day only."""
+    last = interval_end - dt.timedelta(days=1)
+    return start or last, last
+
+
 def backfill_by_day(
     df: DataFrame,
     ts: str,
@@ -329,10 +335,15 @@ def run_tables(frames: dict[str, DataFrame], run_type: str = INCREMENTAL) -> Dat
     )
 
 
-def day_slices(frames: dict[str, tuple[DataFrame, str]], interval_start: dict[str, dt.date], days_back: int = 2) -> DataFrame:
+def day_slices(
+    frames: dict[str, tuple[DataFrame, str]],
+    interval_start: dict[str, dt.date],
+    days_back: int = 2,
+    dataset: str | None = None,
+) -> DataFrame:
     """Per table the days ``days_back`` .. 1 before its interval start, oldest first, with row counts.
 
-    ``frames`` gives each table and its time column.  A table is read once, between day bounds
+    ``frames`` gives each table and its time column; ``dataset`` overrides the names.  A table is read once, between day bounds
     that reach the scan, and counted per day on the map side.
     """
     def slices(name: str) -> DataFrame:
@@ -344,7 +355,7 @@ def day_slices(frames: dict[str, tuple[DataFrame, str]], interval_start: dict[st
         inside = in_date_range(df, ts, start - dt.timedelta(days=days_back), start)
         counted = inside.groupBy(F.to_date(ts).alias("_day")).agg(F.count(F.lit(1)).alias("n_rows"))
         return wanted.join(counted, "_day", "left").select(
-            F.lit(name).alias("table_name"),
+            F.lit(dataset or name).alias("table_name"),
             compact_day(F.col("_day")).alias("start_date"),
             compact_day(F.col("_day")).alias("end_date"),
             F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -130,5 +131,5 @@ def backfill_by_day(spark: SparkSession, sf: str) -> DataFrame:
     first, last = events.agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first()
     folder = new_folder(spark, "backfill")
     for _ in range(2):  # the rerun replaces the same days
-        flows.backfill_by_day(events, "ts", first, last, folder)
+        flows.backfill_by_day(events, "ts", *flows.backfill_bounds(last + dt.timedelta(days=1), first), folder)
     return spark.read.parquet(folder).select(dates.dashed_day(F.col("run_date")).alias("run_date"), "event_id", "user_id", "value")

@@ -11,6 +11,7 @@ import datetime as dt
 from functools import reduce
 from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,8 +71,18 @@ def _csv_layouts(spark: SparkSession, path: str) -> list[list[str]]:
     return list(layouts.values())
 
 
+def _csv_header(spark: SparkSession, path: str | list[str], fields: list[T.StructField], streaming: bool) -> list[str]:
+    try:
+        return spark.read.option("header", True).csv(path).columns
+    except AnalysisException as error:
+        # A stream may start before its first file; files must then have the declared columns.
+        if streaming and error.getCondition() in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
+            return [f.name for f in fields]
+        raise
+
+
 def _scan_csv(spark: SparkSession, stage: str, path: str | list[str], fields: list[T.StructField], streaming: bool) -> DataFrame:
-    header = spark.read.option("header", True).csv(path).columns
+    header = _csv_header(spark, path, fields, streaming)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _WHOLE_LINE]])
     # enforceSchema=False makes a file with another header an error instead of shifted values.
     rows = _reader(spark, streaming).schema(schema).csv(

@@ -138,6 +138,17 @@ def test_files_load_once_until_truncated(spark, tmp_path):
     assert count() == 3
 
 
+def test_csv_stream_may_start_before_its_first_file(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    schema = T.StructType().add("id", T.IntegerType()).add("v", T.StringType())
+    table = str(tmp_path / "table")
+    run = lambda: load_new_files(spark, str(tmp_path), "in", "csv", schema, table, str(tmp_path / "h"), T0)
+    run()
+    (tmp_path / "in" / "a.csv").write_text("v,id\nx,1\n")
+    run()
+    assert [tuple(r)[:2] for r in read_loaded(spark, table, schema).collect()] == [(1, "x")]
+
+
 def test_a_batch_repeated_after_a_crash_leaves_its_rows_once(spark, tmp_path):
     table, history = tmp_path / "table", tmp_path / "history"
     schema = T.StructType().add("id", T.IntegerType()).add("v", T.StringType())
@@ -172,7 +183,9 @@ def test_text_files_stream_by_name(spark, tmp_path, kind, name, text):
     (tmp_path / "in" / name).write_text(text)
     schema = T.StructType().add("id", T.IntegerType()).add("v", T.StringType())
     table = str(tmp_path / "table")
-    load_new_files(spark, str(tmp_path), "in", kind, schema, table, str(tmp_path / "h"), T0, on_error="continue")
+    run = lambda: load_new_files(spark, str(tmp_path), "in", kind, schema, table, str(tmp_path / "h"), T0, on_error="continue")
+    run()
+    run()
     assert [tuple(r) for r in read_loaded(spark, table, schema).collect()] == [(1, "x", f"in/{name}", T0)]
 
 
@@ -210,6 +223,18 @@ def test_backfill_picks_up_late_rows_and_leaves_other_days(spark, tmp_path):
     assert found == {"2024-01-01": 3, "2024-01-02": 4, "2024-01-03": 3}
 
 
+def test_backfill_bounds():
+    assert flows.backfill_bounds(dt.date(2024, 3, 1)) == (dt.date(2024, 2, 29), dt.date(2024, 2, 29))
+    assert flows.backfill_bounds(dt.date(2024, 3, 1), dt.date(2024, 2, 1)) == (dt.date(2024, 2, 1), dt.date(2024, 2, 29))
+
+
+def test_day_slices_count_empty_days_and_take_another_name(spark):
+    rows = [(dt.datetime(2024, 2, 29, 3),), (dt.datetime(2024, 2, 29, 4),), (dt.datetime(2024, 3, 2),)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz")
+    found = flows.day_slices({"t": (df, "ts")}, {"t": dt.date(2024, 3, 2)}, dataset="other").collect()
+    assert [tuple(r) for r in sorted(found)] == [("other", "20240229", "20240229", 2), ("other", "20240301", "20240301", 0)]
+
+
 def test_runs_and_records(spark, tmp_path):
     assert flows.tables_of_run("Full Backfill", ["a", "b"]) == ("backfill", ["a", "b"])
     assert flows.tables_of_run("Incremental", ["a", "b"]) == ("incremental", ["a"])
