@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluicemark.sources.loading import BAD, BAD_COLUMN, BAD_TEXT, BLOCK, FILE, ROW
+from sluicemark.sources.loading import BAD_COLUMN, BAD_TEXT, BLOCK, FILE, ROW
 
 
 def load_report(parsed: DataFrame, header_lines: int = 0, error_limit: int = 1) -> DataFrame:
@@ -15,11 +15,12 @@ def load_report(parsed: DataFrame, header_lines: int = 0, error_limit: int = 1)
     file of any size is never gathered.  ``first_error_line`` is the record's number in its
     file plus ``header_lines``.  The character position is not known to Spark and stays null.
     """
-    first_bad = F.min_by(F.struct(ROW, BAD_COLUMN, BAD_TEXT), F.when(F.col(BAD), F.col(ROW)))
+    bad = F.col(BAD_TEXT).isNotNull()
+    first_bad = F.min_by(F.struct(ROW, BAD_COLUMN, BAD_TEXT), F.when(bad, F.col(ROW)))
     blocks = parsed.groupBy(FILE, BLOCK).agg(
         F.min(ROW).alias("_first_row"),
         F.count(F.lit(1)).alias("_parsed"),
-        F.count_if(BAD).alias("_errors"),
+        F.count_if(bad).alias("_errors"),
         first_bad.alias("_bad_record"),
     )
     earlier = Window.partitionBy(FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)

@@ -23,7 +23,7 @@ from sluicemark.sources.database import FULL, INCREMENTAL, scan_database, select
 from sluicemark.sources.files import PROVENANCE, create_table_from_files, read_or_empty
 from sluicemark.sources.loading import load_files, load_into_table
 from sluicemark.sources.records import records_from_payload
-from sluicemark.streaming.file_loads import new_file_stream, run_once
+from sluicemark.streaming.file_loads import for_new_files
 
 # The feeds of the daily landing.
 FEEDS = (
@@ -168,8 +168,7 @@ def upsert_new_files(
             publish(upsert_batch(target, rows, config), config.table, config.keys, buckets)
 
     schema = spark.table(config.table).schema
-    stream = new_file_stream(spark, config.stage, config.prefix, config.file_format, schema, scan_time)
-    run_once(stream, checkpoint, merge)
+    for_new_files(spark, config.stage, config.prefix, config.file_format, schema, checkpoint, merge, scan_time)
 
 
 def upsert_frame_into_table(source: DataFrame, table: str, keys: list[str], buckets: int | None = None) -> tuple[int, int]:

@@ -20,8 +20,8 @@ from sluicemark.functions.dates import ntz
 from sluicemark.sources.files import PROVENANCE, reader_format
 
 FILE, BLOCK, ROW = "_file", "_block", "_row"
-BAD, BAD_COLUMN, BAD_TEXT = "_bad", "_bad_column", "_bad_text"
-_WHOLE_LINE = "_whole_line"
+BAD_COLUMN, BAD_TEXT = "_bad_column", "_bad_text"
+_WHOLE = "_whole_record"
 # A backlog of new files is taken in micro-batches of at most this many files.
 FILES_PER_BATCH = 10_000
 
@@ -35,7 +35,7 @@ def _stage_name(stage: str) -> Column:
 
 def _data_fields(schema: T.StructType) -> list[T.StructField]:
     provenance = {f.name for f in PROVENANCE}
-    return [f for f in schema.fields if f.name.lower() not in provenance]
+    return [T.StructField(f.name, f.dataType) for f in schema.fields if f.name.lower() not in provenance]
 
 
 def _reader(spark: SparkSession, streaming: bool):
@@ -48,12 +48,42 @@ def _place(stage: str, streaming: bool) -> list[Column]:
     return [_stage_name(stage).alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK), row.alias(ROW)]
 
 
+def _null_text(name: str) -> Column:
+    return F.lit(None).cast("string").alias(name)
+
+
+def _refused(whole: Column, columns: list[Column]) -> Column:
+    """The record's text where the parser refused it.
+
+    The hash, worked out for refused records only, makes every column part of the read: a parser
+    that skips a column does not see its bad values.
+    """
+    everything_read = F.abs(F.hash(F.lit(0), *columns).cast("long")) >= 0
+    return F.when(whole.isNotNull(), F.when(everything_read, whole))
+
+
+def _first_wrong(parsed_text: Column, names: list[tuple[str, T.StructField]]) -> Column:
+    """Name of the first field whose text does not cast; ``transform`` parses the text once."""
+    def check(record: Column) -> Column:
+        return F.coalesce(
+            *[
+                F.when(record[own].isNotNull() & record[own].try_cast(f.dataType).isNull(), F.lit(f.name))
+                for own, f in names
+                if isinstance(f.dataType, T.AtomicType)
+            ],
+            F.lit(None).cast("string"),
+        )
+
+    return F.transform(F.array(parsed_text), check)[0]
+
+
 def _scan_parquet(spark: SparkSession, stage: str, prefix: str, fields: list[T.StructField], streaming: bool) -> DataFrame:
     # A declared schema matches names without regard to case in every file, widens numbers
     # and fills columns a file lacks with null; only the declared columns are read.
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
-    rows = _reader(spark, streaming).schema(schema).parquet(f"{stage}/{prefix}")
-    return rows.select(*[f"`{c}`" for c in rows.columns], *_place(stage, streaming))
+    rows = _reader(spark, streaming).schema(T.StructType(fields)).parquet(f"{stage}/{prefix}")
+    return rows.select(
+        *[f"`{f.name}`" for f in fields], *_place(stage, streaming), _null_text(BAD_COLUMN), _null_text(BAD_TEXT)
+    )
 
 
 def _csv_layouts(spark: SparkSession, path: str) -> list[list[str]]:
@@ -83,67 +113,112 @@ def _csv_header(spark: SparkSession, path: str | list[str], fields: list[T.Struc
 
 def _scan_csv(spark: SparkSession, stage: str, path: str | list[str], fields: list[T.StructField], streaming: bool) -> DataFrame:
     header = _csv_header(spark, path, fields, streaming)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _WHOLE_LINE]])
+    wanted = {f.name.lower(): f for f in fields}
+    own = {c.lower(): c for c in header}
+
+    def kind(column: str) -> T.DataType:
+        field = wanted.get(column.lower())
+        return field.dataType if field is not None and isinstance(field.dataType, T.AtomicType) else T.StringType()
+
+    schema = T.StructType([T.StructField(c, kind(c)) for c in header] + [T.StructField(_WHOLE, T.StringType())])
     # enforceSchema=False makes a file with another header an error instead of shifted values.
     rows = _reader(spark, streaming).schema(schema).csv(
-        path, header=True, enforceSchema=False, mode="PERMISSIVE", columnNameOfCorruptRecord=_WHOLE_LINE
+        path, header=True, enforceSchema=False, mode="PERMISSIVE", columnNameOfCorruptRecord=_WHOLE
     )
-    by_name = {c.lower(): c for c in header}
-    texts = [
-        (F.col(f"`{by_name[f.name.lower()]}`") if f.name.lower() in by_name else F.lit(None).cast("string"))
-        for f in fields
-    ]
-    # Every header column is referenced, so the parser splits whole lines and sees short ones.
-    used = F.struct(*[F.col(f"`{c}`") for c in header])
-    malformed = F.col(_WHOLE_LINE).isNotNull() & used.isNotNull()
+
+    def value(field: T.StructField) -> Column:
+        if field.name.lower() not in own:
+            return F.lit(None).cast(field.dataType)
+        column = F.col(f"`{own[field.name.lower()]}`")
+        return column if isinstance(field.dataType, T.AtomicType) else F.from_json(column, field.dataType)
+
+    whole = F.col(_WHOLE)
+    texts = F.from_csv(whole, ", ".join(f"c{i} string" for i in range(len(header))))
+    names = [(f"c{i}", wanted[c.lower()]) for i, c in enumerate(header) if c.lower() in wanted]
     return rows.select(
-        *[t.alias(f.name) for t, f in zip(texts, fields)],
+        *[value(f).alias(f.name) for f in fields],
         *_place(stage, streaming),
-        F.when(malformed, F.col(_WHOLE_LINE)).alias(BAD_TEXT),
+        F.when(whole.isNotNull(), _first_wrong(texts, names)).alias(BAD_COLUMN),
+        _refused(whole, [F.col(f"`{c}`") for c in header]).alias(BAD_TEXT),
     )
 
 
-def _scan_json(spark: SparkSession, stage: str, prefix: str, fields: list[T.StructField], streaming: bool) -> DataFrame:
-    lines = _reader(spark, streaming).text(f"{stage}/{prefix}").select("value", *_place(stage, streaming))
-    pairs = F.from_json("value", T.MapType(T.StringType(), T.StringType()))
-    lowered = lines.withColumn("_pairs", F.transform_keys(pairs, lambda k, _: F.lower(k)))
-    blank = F.trim(F.col("value")) == ""
-    return lowered.where(~blank).select(
-        *[F.col("_pairs").getItem(f.name.lower()).alias(f.name) for f in fields],
-        FILE, BLOCK, ROW,
-        F.when(F.col("_pairs").isNull(), F.col("value")).alias(BAD_TEXT),
+def _json_lines(spark: SparkSession, stage: str, prefix: str, streaming: bool) -> DataFrame:
+    return _reader(spark, streaming).text(f"{stage}/{prefix}").select("value", *_place(stage, streaming))
+
+
+def _json_spellings(lines: DataFrame, fields: list[T.StructField]) -> list[dict[str, T.StructField]]:
+    """How the lines spell the declared names, as layers of names that differ by more than case."""
+    by_lower = {f.name.lower(): f for f in fields}
+    key = lines.select(F.explode(F.json_object_keys("value")).alias("key"))
+    found = key.where(F.lower("key").isin(list(by_lower))).distinct()
+    layers: list[dict[str, T.StructField]] = [{}]
+    for name in sorted(row["key"] for row in found.collect()):  # spellings of declared names only
+        field = by_lower[name.lower()]
+        layer = next((layer for layer in layers if field not in layer.values()), None)
+        if layer is None:
+            layers.append(layer := {})
+        layer[name] = field
+    return layers
+
+
+def _json_schema(layer: dict[str, T.StructField]) -> T.StructType:
+    spelled = [T.StructField(name, field.dataType) for name, field in layer.items()]
+    return T.StructType([*spelled, T.StructField(_WHOLE, T.StringType())])
+
+
+def _json_rows(
+    rows: DataFrame, records: list, layers: list[dict[str, T.StructField]], fields: list[T.StructField], place: list
+) -> DataFrame:
+    """Declared columns out of one parsed record per layer, with the fault of refused records."""
+    def value(field: T.StructField) -> Column:
+        held = [record[name] for record, layer in zip(records, layers) for name, f in layer.items() if f is field]
+        return F.coalesce(*held) if held else F.lit(None).cast(field.dataType)
+
+    whole = F.coalesce(*[record[_WHOLE] for record in records])
+    everything = [record[name] for record, layer in zip(records, layers) for name in layer]
+    texts = F.from_json(whole, T.MapType(T.StringType(), T.StringType()))
+    names = [item for layer in layers for item in layer.items()]
+    return rows.select(
+        *[value(f).alias(f.name) for f in fields],
+        *place,
+        F.when(whole.isNotNull(), _first_wrong(texts, names)).alias(BAD_COLUMN),
+        _refused(whole, everything).alias(BAD_TEXT),
     )
 
 
-def _typed(text: Column, field: T.StructField) -> Column:
-    if isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
-        return F.from_json(text, field.dataType)
-    return text.try_cast(field.dataType)
-
-
-def _check_values(texts: DataFrame, fields: list[T.StructField]) -> DataFrame:
-    """Cast text columns and name the first column of each record that does not take its value."""
-    def wrong_value(field: T.StructField) -> Column:
-        text = F.col(f"`{field.name}`")
-        refused = text.isNotNull() & _typed(text, field).isNull()
-        return F.when(refused, F.struct(F.lit(field.name).alias("name"), text.alias("value")))
-
-    wrong = [wrong_value(f) for f in fields]
-    first_wrong = F.coalesce(*wrong) if wrong else F.lit(None).cast("struct<name:string,value:string>")
-    malformed = F.col(BAD_TEXT).isNotNull()
-    return (
-        texts.withColumn("_wrong", F.when(~malformed, first_wrong))
-        .select(
-            *[_typed(F.col(f"`{f.name}`"), f).alias(f.name) for f in fields],
-            FILE, BLOCK, ROW,
-            (malformed | F.col("_wrong").isNotNull()).alias(BAD),
-            F.col("_wrong.name").alias(BAD_COLUMN),
-            F.coalesce(F.col(BAD_TEXT), F.col("_wrong.value")).alias(BAD_TEXT),
-        )
+def _parse_json_lines(lines: DataFrame, fields: list[T.StructField]) -> DataFrame:
+    layers = _json_spellings(lines, fields)
+    parsed = lines.where(F.trim("value") != "")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _WHOLE}
+    for i, layer in enumerate(layers):
+        record = F.from_json("value", _json_schema(layer), options)
+        # The one-element explode is a barrier: without it Catalyst copies the parse into every
+        # filter on a parsed column.
+        parsed = parsed.select("*", F.explode(F.array(record)).alias(f"_layer{i}"))
+    return _json_rows(parsed, [F.col(f"_layer{i}") for i in range(len(layers))], layers, fields, [FILE, BLOCK, ROW])
+
+
+class _Row:
+    """Columns of the frame itself, addressed as those of a record."""
+
+    def __getitem__(self, name: str) -> Column:
+        return F.col(f"`{name}`")
+
+
+def _scan_json(spark: SparkSession, stage: str, prefix: str, fields: list[T.StructField]) -> DataFrame:
+    """Typed JSON scan; a first pass over the text finds how the files spell the declared names."""
+    lines = _json_lines(spark, stage, prefix, streaming=False)
+    layers = _json_spellings(lines, fields)
+    if len(layers) > 1:
+        return _parse_json_lines(lines, fields)
+    rows = spark.read.schema(_json_schema(layers[0])).json(
+        f"{stage}/{prefix}", mode="PERMISSIVE", columnNameOfCorruptRecord=_WHOLE
     )
+    return _json_rows(rows, [_Row()], layers, fields, _place(stage, streaming=False))
 
 
-def parse_files(
+def raw_files(
     spark: SparkSession,
     stage: str,
     prefix: str,
@@ -151,31 +226,40 @@ def parse_files(
     schema: T.StructType,
     streaming: bool = False,
     csv_header: str = "shared",
+) -> DataFrame:
+    """Rows of a scan; in a stream json stays text lines, for ``parse_raw`` to read per micro-batch."""
+    fields, reader = _data_fields(schema), reader_format(file_format)
+    if reader == "parquet":
+        return _scan_parquet(spark, stage, prefix, fields, streaming)
+    if reader == "json":
+        return _json_lines(spark, stage, prefix, True) if streaming else _scan_json(spark, stage, prefix, fields)
+    if csv_header == "per_file" and not streaming:
+        layouts = _csv_layouts(spark, f"{stage}/{prefix}")
+        return reduce(DataFrame.unionByName, [_scan_csv(spark, stage, paths, fields, False) for paths in layouts])
+    return _scan_csv(spark, stage, f"{stage}/{prefix}", fields, streaming)
+
+
+def parse_raw(raw: DataFrame, file_format: str, schema: T.StructType) -> DataFrame:
+    """One micro-batch of a ``raw_files`` stream as ``parse_files`` gives it."""
+    return _parse_json_lines(raw, _data_fields(schema)) if reader_format(file_format) == "json" else raw
+
+
+def parse_files(
+    spark: SparkSession,
+    stage: str,
+    prefix: str,
+    file_format: str,
+    schema: T.StructType,
+    csv_header: str = "shared",
 ) -> DataFrame:
     """All records of the files under ``stage/prefix``, columns matched by name ignoring case.
 
     Columns the files lack are null, columns the schema lacks are dropped.  ``_file``,
-    ``_block`` and ``_row`` say where a record came from; ``_bad``, ``_bad_column`` and
-    ``_bad_text`` say why it cannot be loaded.  Csv files share one header unless ``csv_header``
-    is ``"per_file"``, which reads the header of each file first.
+    ``_block`` and ``_row`` say where a record came from; ``_bad_text`` is the text of a record
+    the parser refused and ``_bad_column`` the column at fault, if one is.  Csv files share one
+    header unless ``csv_header`` is ``"per_file"``, which reads the header of each file first.
     """
-    fields = _data_fields(schema)
-    reader = reader_format(file_format)
-    if reader == "parquet":
-        return _scan_parquet(spark, stage, prefix, fields, streaming).select(
-            "*",
-            F.lit(False).alias(BAD),
-            F.lit(None).cast("string").alias(BAD_COLUMN),
-            F.lit(None).cast("string").alias(BAD_TEXT),
-        )
-    if reader == "json":
-        texts = _scan_json(spark, stage, prefix, fields, streaming)
-    elif csv_header == "per_file" and not streaming:
-        layouts = _csv_layouts(spark, f"{stage}/{prefix}")
-        texts = reduce(DataFrame.unionByName, [_scan_csv(spark, stage, paths, fields, False) for paths in layouts])
-    else:
-        texts = _scan_csv(spark, stage, f"{stage}/{prefix}", fields, streaming)
-    return _check_values(texts, fields)
+    return raw_files(spark, stage, prefix, file_format, schema, csv_header=csv_header)
 
 
 def loaded_rows(parsed: DataFrame, scan_time: dt.datetime | None = None, on_error: str = "abort") -> DataFrame:
@@ -187,14 +271,15 @@ def loaded_rows(parsed: DataFrame, scan_time: dt.datetime | None = None, on_erro
     if on_error not in ("abort", "continue"):
         raise ValueError(f"on_error must be 'abort' or 'continue', not {on_error!r}")
     scan_time = scan_time or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    bad = F.col(BAD_TEXT).isNotNull()
     if on_error == "continue":
-        kept = parsed.where(~F.col(BAD))
+        kept = parsed.where(~bad)
     else:
-        message = F.format_string("bad record in %s, column %s: %s", F.col(FILE), F.col(BAD_COLUMN), F.col(BAD_TEXT))
-        kept = parsed.where(F.when(F.col(BAD), F.raise_error(message).cast("boolean")).otherwise(True))
-    data = [c for c in parsed.columns if c not in (FILE, BLOCK, ROW, BAD, BAD_COLUMN, BAD_TEXT)]
+        message = F.concat(F.lit("bad record in "), F.col(FILE), F.lit(": "), F.col(BAD_TEXT))
+        kept = parsed.where(F.when(bad, F.raise_error(message).cast("boolean")).otherwise(True))
+    data = [c for c in parsed.columns if c not in (FILE, BLOCK, ROW, BAD_COLUMN, BAD_TEXT)]
     return kept.select(
-        *data, F.col(FILE).alias("metadata_filename"), ntz(scan_time).alias("metadata_ingest_time")
+        *[f"`{c}`" for c in data], F.col(FILE).alias("metadata_filename"), ntz(scan_time).alias("metadata_ingest_time")
     )
 
 

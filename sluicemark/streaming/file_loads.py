@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from sluicemark.sources.files import PROVENANCE
-from sluicemark.sources.loading import load_files, loaded_rows, parse_files
+from sluicemark.sources.loading import load_files, loaded_rows, parse_raw, raw_files
 
 BATCH = "load_batch"
 
@@ -20,23 +20,31 @@ def _delete(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
-def new_file_stream(
+def run_once(stream: DataFrame, checkpoint: str, batch: Callable[[DataFrame, int], None]) -> None:
+    """Hand everything that is available now to ``batch(rows, batch_id)``, then stop."""
+    query = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+
+
+def for_new_files(
     spark: SparkSession,
     stage: str,
     prefix: str,
     file_format: str,
     schema: T.StructType,
+    checkpoint: str,
+    handle: Callable[[DataFrame, int], None],
     scan_time: dt.datetime | None = None,
     on_error: str = "abort",
-) -> DataFrame:
-    """Streaming rows of files not loaded before, matched by name and stamped as in a batch load."""
-    return loaded_rows(parse_files(spark, stage, prefix, file_format, schema, streaming=True), scan_time, on_error)
+) -> None:
+    """Hand the rows of files not seen before to ``handle(rows, batch_id)``.
 
+    Rows are matched by name and stamped as in a batch load.
+    """
+    def batch(raw: DataFrame, batch_id: int) -> None:
+        handle(loaded_rows(parse_raw(raw, file_format, schema), scan_time, on_error), batch_id)
 
-def run_once(stream: DataFrame, checkpoint: str, batch: Callable[[DataFrame, int], None]) -> None:
-    """Hand everything that is available now to ``batch(rows, batch_id)``, then stop."""
-    query = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+    run_once(raw_files(spark, stage, prefix, file_format, schema, streaming=True), checkpoint, batch)
 
 
 def load_new_files(
@@ -65,7 +73,7 @@ def load_new_files(
             f"{table}/{BATCH}=forced-{uuid.uuid4().hex}"
         )
     else:
-        run_once(new_file_stream(spark, stage, prefix, file_format, schema, scan_time, on_error), checkpoint, append)
+        for_new_files(spark, stage, prefix, file_format, schema, checkpoint, append, scan_time, on_error)
 
 
 def truncate_loaded(spark: SparkSession, table: str, checkpoint: str) -> None:

@@ -64,9 +64,26 @@ def test_parquet_widens_fills_and_drops(spark, tmp_path):
     assert [tuple(r)[:3] for r in found] == [(1, None, None), (2, "b", 2.5)]
 
 
+def test_json_spellings_may_differ_between_records(spark, tmp_path):
+    put(tmp_path / "in", "a.json", '{"ID": 1, "Name": "a"}\n{"id": 2, "NAME": "b"}\n{"Id": 3}\n')
+    found = load_files(spark, str(tmp_path), "in", "json", SCHEMA, AT).collect()
+    assert [tuple(r)[:2] for r in found] == [(1, "a"), (2, "b"), (3, None)]
+
+
+def test_bad_values_in_columns_nobody_selects_are_seen(spark, tmp_path):
+    put(tmp_path / "in", "a.csv", "id,name,amount,extra\n1,a,1.0,x\n2,b,oops,x\n3,c,1.0\n")
+    put(tmp_path / "js", "a.json", '{"id": 1, "amount": 1.5}\n{"id": 2, "amount": "oops"}\n')
+    for prefix, kind, good in (("in", "csv", [1]), ("js", "json", [1])):
+        kept = load_files(spark, str(tmp_path), prefix, kind, SCHEMA, AT, "continue")
+        assert [r["id"] for r in kept.select("id").collect()] == good
+        assert kept.count() == 1
+        with pytest.raises(Exception, match="bad record"):
+            load_files(spark, str(tmp_path), prefix, kind, SCHEMA, AT).select("name").collect()
+
+
 def test_bad_values_abort_or_are_left_out(spark, tmp_path):
     put(tmp_path / "in", "a.csv", "id,name,amount\n1,a,1.0\nx,b,2.0\n3,c,oops\n")
-    with pytest.raises(Exception, match="bad record in in/a.csv, column id: x"):
+    with pytest.raises(Exception, match="bad record in in/a.csv: x,b,2.0"):
         load_files(spark, str(tmp_path), "in", "csv", SCHEMA, AT).collect()
     kept = load_files(spark, str(tmp_path), "in", "csv", SCHEMA, AT, on_error="continue")
     assert [r["id"] for r in kept.collect()] == [1]
