@@ -45,12 +45,14 @@ def upsert(
     keys: list[str],
     source_is_small: bool = False,
     with_action: bool = False,
+    source_is_unique: bool = False,
 ) -> DataFrame:
     """Target after the merge: matched rows take the source's values, unmatched source rows are added.
 
     Columns are the target's; extra source columns are ignored and missing ones are an error.
-    The source must hold one row per key (see ``assert_unique_keys``) and is read twice, so stage
-    a costly one first (``session.staged``).  A null key matches nothing.
+    A null key matches nothing.  The source must hold one row per key, which is checked by a job
+    of its own unless ``source_is_unique`` vouches for it (a deduplicated batch).  It is read more
+    than once, so stage a costly one first (``session.staged``).
 
     ``source_is_small`` (by measured size, see ``session.staged_with_size``) broadcasts the batch, so
     the target is not shuffled.  Otherwise both sides shuffle by key; the left outer join keeps the
@@ -58,6 +60,8 @@ def upsert(
     """
     if not keys:
         raise ValueError("keys are required")
+    if not source_is_unique:
+        assert_unique_keys(source, keys)
     keys = resolve(target, keys)
     columns = target.columns
     batch = _aligned(source, target, columns)

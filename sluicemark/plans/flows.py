@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from sluicemark.functions.dates import compact_day, ntz
 from sluicemark.operators.dedup import deduplicated
 from sluicemark.operators.export import export_chunks, land_feeds, replace_partitions, write_skip_empty
-from sluicemark.operators.merge import ACTION, INSERT, UPDATE, assert_unique_keys, upsert
+from sluicemark.operators.merge import ACTION, INSERT, UPDATE, upsert
 from sluicemark.operators.selection import in_date_range
 from sluicemark.session import BROADCAST_LIMIT_BYTES, staged_with_size
 from sluicemark.sources.database import FULL, INCREMENTAL, scan_database, select_run
@@ -85,7 +85,7 @@ def upsert_batch(
 ) -> DataFrame:
     """As ``upsert_files`` for a batch that is already a frame."""
     latest, size = staged_with_size(deduplicated(batch, target, config.keys, config.order_by, config.watermark))
-    return upsert(target, latest, config.keys, source_is_small=size <= broadcast_limit, with_action=with_action)
+    return upsert(target, latest, config.keys, size <= broadcast_limit, with_action, source_is_unique=True)
 
 
 # --- tables whose versions are written aside and then published -------------------------------
@@ -174,7 +174,6 @@ def upsert_new_files(
 def upsert_frame_into_table(source: DataFrame, table: str, keys: list[str], buckets: int | None = None) -> tuple[int, int]:
     """Upsert a frame that holds one row per key into a published table."""
     source, size = staged_with_size(source)
-    assert_unique_keys(source, keys)
     merged = upsert(source.sparkSession.table(table), source, keys, size <= BROADCAST_LIMIT_BYTES, with_action=True)
     return _publish_counted(merged, table, keys, buckets)
 
@@ -208,7 +207,6 @@ def upsert_partitions(target: DataFrame, source: DataFrame, keys: list[str], par
     if outside:
         raise ValueError(f"partition columns {outside} must be part of the key {keys}")
     source, size = staged_with_size(source)
-    assert_unique_keys(source, keys)
     held = _only_partitions(target, source, partition_by)
     replace_partitions(upsert(held, source, keys, size <= BROADCAST_LIMIT_BYTES), folder, partition_by)
 

@@ -67,7 +67,7 @@ def dedup_composite_key(spark: SparkSession, sf: str) -> DataFrame:
 def upsert_merge(spark: SparkSession, sf: str) -> DataFrame:
     target = first_lines(spark, sf)
     latest, size = staged_with_size(latest_per_key(table(spark, sf, "lineitem"), KEYS, LINE_ORDER).select(*target.columns))
-    return upsert(target, latest, KEYS, source_is_small=size <= BROADCAST_LIMIT_BYTES)
+    return upsert(target, latest, KEYS, source_is_small=size <= BROADCAST_LIMIT_BYTES, source_is_unique=True)
 
 
 @query(

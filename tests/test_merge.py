@@ -66,6 +66,8 @@ def test_bad_input(spark):
         upsert(target, target, [])
     with pytest.raises(ValueError, match="2 rows for key"):
         assert_unique_keys(target.union(target), ["ID"])
+    with pytest.raises(ValueError, match="2 rows for key"):
+        upsert(target, target.union(target), ["ID"])
     nulls = spark.createDataFrame([(None, "a"), (None, "b")], "id int, v string")
     assert_unique_keys(nulls, ["id"])
 
