@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicemark.llm import mixing, packing
+from sluicemark.llm import hosts, lines, mixing, packing
 from sluicemark.queries.registry import query, table
 
 
@@ -17,6 +17,18 @@ def op4_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken, "source", "rate", "copies")
 
 
+@query("op6_line_spread", lines.ORACLE)
+def op6_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return lines.drop_spread_lines(docs)
+
+
 @query("op9_harmonic_packing")
 def op9_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op10_host_graph", hosts.ORACLE)
+def op10_host_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return hosts.judge(pages).select("page_id", "host", "path", "rule", "verdict")
