@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicemark.llm import hosts, lines, mixing, packing
+from sluicemark.llm import hosts, languages, lines, mixing, packing
 from sluicemark.queries.registry import query, table
 
 
+@query("op3_language_profiles")
+def op3_language_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(languages.fold(F.col("doc_id")) == 1, F.lit(False)).alias("held_out")
+    model = languages.learn(docs.filter(~held_out).select("text", "lang"))
+    return languages.predict(docs.select("doc_id", held_out, "text"), model).drop("text")
+
+
 @query("op4_entropy_mixing")
 def op4_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
