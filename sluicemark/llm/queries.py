@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicemark.llm import hosts, languages, lines, mixing, packing
+from sluicemark.llm import hosts, languages, lines, mixing, packing, simhash
 from sluicemark.queries.registry import query, table
 
 
+@query("op2_simhash_components")
+def op2_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.components_within(docs).withColumnsRenamed({"doc": "doc_id", "component": "component_id"})
+
+
 @query("op3_language_profiles")
 def op3_language_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
