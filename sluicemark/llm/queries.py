@@ -2,11 +2,40 @@
 
 from __future__ import annotations
 
+from functools import wraps
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicemark.llm import hosts, languages, lines, mixing, packing, simhash
-from sluicemark.queries.registry import query, table
+from sluicemark.llm import hnsw, hosts, languages, lines, mixing, packing, simhash, topk
+from sluicemark.queries.registry import Query, table
+from sluicemark.queries.registry import query as registered
+
+
+def on_workers(spark: SparkSession) -> None:
+    """Let Python workers import the package from where the driver has it, if it isn't installed."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(":") if p]
+    if root not in paths:
+        env["PYTHONPATH"] = ":".join([*paths, root])
+
+
+def query(name: str, sql: str | None = None):
+    def register(run: Query) -> Query:
+        @wraps(run)
+        def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+            on_workers(spark)
+            return run(spark, sf_dir)
+
+        return registered(name, sql)(prepared)
+
+    return register
+
+
+@query("op1_hnsw_neighbours")
+def op1_hnsw_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
 @query("op2_simhash_components")
@@ -31,6 +60,11 @@ def op4_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken, "source", "rate", "copies")
 
 
+@query("op5_threshold_topk", topk.ORACLE)
+def op5_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 @query("op6_line_spread", lines.ORACLE)
 def op6_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
