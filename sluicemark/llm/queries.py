@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicemark.llm import hnsw, hosts, languages, lines, mixing, packing, simhash, topk
+from sluicemark.llm import hnsw, hosts, languages, lines, mixing, packing, pages, simhash, topk
 from sluicemark.queries.registry import Query, table
 from sluicemark.queries.registry import query as registered
 
@@ -71,6 +71,11 @@ def op6_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_spread_lines(docs)
 
 
+@query("op7_page_blocks")
+def op7_page_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
 @query("op9_harmonic_packing")
 def op9_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -78,5 +83,5 @@ def op9_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_host_graph", hosts.ORACLE)
 def op10_host_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    return hosts.judge(pages).select("page_id", "host", "path", "rule", "verdict")
+    urls = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return hosts.judge(urls).select("page_id", "host", "path", "rule", "verdict")
