@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicemark.llm import hnsw, hosts, languages, lines, mixing, packing, pages, simhash, topk
+from sluicemark.llm import hnsw, hosts, languages, lines, mixing, packing, pages, pii, simhash, topk
 from sluicemark.queries.registry import Query, table
 from sluicemark.queries.registry import query as registered
 
@@ -76,6 +76,13 @@ def op7_page_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract(table(spark, sf_dir, "pages"))
 
 
+@query("op8_boosted_pii")
+def op8_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    counts = [pii.count_of(F.col("base"), kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
 @query("op9_harmonic_packing")
 def op9_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
