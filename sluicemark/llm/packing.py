@@ -20,6 +20,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -42,7 +43,7 @@ SCHEMA = (
 # A space before something that isn't white space always starts a new word of the byte-level
 # pre-tokenizer, so words on either side of it can be encoded on their own.
 _WORD_START = re.compile(r" (?=\S)")
-_CACHED_WORDS = 300_000
+_CACHED_WORDS = 1_000_000
 _CACHED_LENGTH = 64
 
 
@@ -59,7 +60,7 @@ class Encoder:
 
     def _bytes(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        return [array("I", e.ids).tobytes() for e in found]
 
     def encode(self, text: str) -> np.ndarray:
         if any(t in text for t in self.added):
