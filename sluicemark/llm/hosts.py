@@ -13,7 +13,7 @@ ranks of a seed set alike, and they are compared after scaling each set to 1.
 
 A null url, or one without ``://``, has an empty host and path, fits no rule and is allowed: nothing is
 known of it.  Null html has no links.  Repeated rows are judged alike.  An empty table gives no
-rows.  Other columns are kept and may have any names but those added.
+rows.  Other columns are kept; one with the name of an added column is replaced.
 """
 
 from __future__ import annotations
@@ -35,6 +35,7 @@ DAMPING = 0.85
 STEPS = 20
 STEPS_PER_WRITE = 5
 RATIO = 1.0
+ADDED = ("host", "path", "rule", "verdict", "trust", "distrust")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = r"""href[\x20\x09-\x0D]*=[\x20\x09-\x0D]*["']?(?:[Hh][Tt][Tt][Pp][Ss]?:)?//([^/"'?#<>\x20\x09-\x0D]+)"""
 
@@ -128,7 +129,7 @@ def judge(
     shares = [(F.col(c) / float(total[c] or 1)).alias(k) for c, k in (("good", "trust"), ("bad", "distrust"))]
     scored = staged(host_ranks(edges, seeds.select("host", *shares), damping, steps))
 
-    own = F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row")
+    own = F.struct(*[F.col(f"`{c}`") for c in pages.columns if c.lower() not in ADDED]).alias("row")
     named = pages.select(own, host_of(u).alias("host"), path_of(u).alias("path"))
     joined = named.join(scored, "host", "left")
     host, path = F.col("host"), F.col("path")

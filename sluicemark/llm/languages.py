@@ -13,7 +13,7 @@ count; a batch is worked on in parts of bounded size, and a long text is summed
 
 Text that is null or has no letter is ``und`` with score 0, and teaches nothing; so is every text if
 nothing was learned.  Null languages teach nothing.  Ties go to the language that sorts first.  Repeated rows count each time.
-An empty table gives no rows.
+An empty table gives no rows.  Other columns are kept by ``predict``; one with the name of a column it adds is replaced.
 """
 
 from __future__ import annotations
@@ -172,6 +172,7 @@ def predict(
     docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text", dimensions: int = DIMENSIONS, order: int = ORDER
 ) -> DataFrame:
     """``docs`` with lang_pred and score, the cosine with the predicted prototype, 0 if it is negative."""
+    docs = docs.drop("lang_pred", "score")
     names, prototypes = model
     middle = prototypes.mean(axis=0) if len(names) > 1 else np.zeros(dimensions, dtype=np.float32)
     centred = _unit(prototypes - middle)

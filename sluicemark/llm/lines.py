@@ -11,8 +11,8 @@ text.  Joins put a unique table of boilerplate hashes against lines, so a hot li
 
 Blank lines and lines of fewer than ``min_words`` words are never removed.  Null text stays null and
 has no lines; a null source is no site, but its lines are removed like others.  Repeated rows
-(same id and text) are treated alike.  An empty table gives no rows.  Other columns are kept and may
-have any names but those added.
+(same id and text) are treated alike.  An empty table gives no rows.  Other columns are kept; one with
+the name of an added column is replaced.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ MIN_SITES = 10
 MIN_WORDS = 3
 BAND = 0.25
 LG_K = 12
+ADDED = ("n_lines", "n_removed", "words_removed")
 WHITE = " \t\n\x0b\f\r"
 
 
@@ -86,10 +87,9 @@ def drop_spread_lines(
     same = F.col("doc").eqNullSafe(F.col("gone_doc")) & (F.col("text_key") == F.col("gone_key"))
     joined = keyed.join(gone, same, "left")
     old = F.col(f"row.`{text}`")
-    # array_position would be null-safe too, but a filter by index keeps the order of the lines
     left = F.filter(_split(old), lambda _, i: ~F.array_contains(F.coalesce("gone", F.array().cast("array<int>")), i))
     new = F.when(F.col("gone").isNull(), old).otherwise(F.array_join(left, "\n"))
-    columns = [new.alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
+    columns = [new.alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in docs.columns if c.lower() not in ADDED]
     counts = [
         F.coalesce(F.size(_split(old)), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),

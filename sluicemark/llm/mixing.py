@@ -15,7 +15,7 @@ the number of documents, is what that task sees.
 
 Null text has size 0.  A null source is a source, ordered last.  Documents of size 0 have rate 1 and take no words.
 Repeated rows share their number and so their copies.  An empty table gives no rows.  Other columns
-are kept by ``mix`` and may have any names but those it adds.
+are kept by ``mix``; one with the name of a column it adds is replaced.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ WEIGHTS = (1, 2, 3)
 STEPS = 60
 TOLERANCE = 1e-7
 BINS = 2048
+ADDED = ("size", "source_size", "target", "rate", "copies")
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -192,7 +193,7 @@ def mix(
     steps = _last_steps(_rated(sized.drop("source"), solved, most), most)
     final = staged(solved.join(steps, "key", "left"))
     kept = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ADDED]).alias("row"),
         _key(F.col(source)).alias("key"),
         word_count(F.col(text)).alias("size"),
         _draw(F.col(doc_id), F.col(text)).alias("draw"),

@@ -83,16 +83,17 @@ def fingerprint(hashes: np.ndarray, words: int = 1) -> list[int]:
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, words: int = 1) -> DataFrame:
-    """(doc, f0, f1, ...) of every row."""
+    """(doc, text_key, f0, f1, ...) of every row; ``text_key`` is a hash that tells texts of one id apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [fingerprint(shingle_hashes(t.as_py(), shingle), words) for t in batch.column(1)]
             arrays = [pa.array([r[i] for r in rows], pa.int64()) for i in range(words)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=["doc", *[f"f{i}" for i in range(words)]])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *arrays], names=["doc", "text_key", *[f"f{i}" for i in range(words)]])
 
-    schema = "doc long, " + ", ".join(f"f{i} long" for i in range(words))
-    return docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).mapInArrow(run, schema)
+    schema = "doc long, text_key long, " + ", ".join(f"f{i} long" for i in range(words))
+    columns = F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"), F.xxhash64(text).alias("text_key")
+    return docs.select(*columns).mapInArrow(run, schema)
 
 
 def masks(bits: int, radius: int, seed: int = 1) -> list[int]:
@@ -151,7 +152,9 @@ def near_groups(
     radius: int = NEAR_PART_RADIUS,
     distance: int = NEAR_DISTANCE,
 ) -> DataFrame:
-    """(doc, component) of every row; documents with one fingerprint, or linked ones, share a component.
+    """(doc, text_key, group, component) of every row; documents with one fingerprint, or linked ones, share a group.
+
+    ``component`` is the group's smallest id, null if it has none.
 
     Two fingerprints are linked if they differ in at most ``distance`` of their 64 * ``words`` bits.  Pairs within
     ``radius`` bits in one of the ``parts`` are sure to meet in a bucket, others do so with a chance that falls with
@@ -176,4 +179,5 @@ def near_groups(
     groups = components(linked, "f", "g")
     named = distinct.join(groups.withColumnRenamed("node", "f"), "f", "left").withColumn("group", F.coalesce("component", "f"))
     least = named.groupBy("group").agg(F.min("least").alias("component"))
-    return prints.select("doc", "f").join(named.join(least, "group").select("f", least["component"]), "f").select("doc", "component")
+    final = named.drop("component").join(least, "group").select("f", "group", "component")
+    return prints.select("doc", "text_key", "f").join(final, "f").drop("f")

@@ -1,0 +1,82 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import time
+
+from sluicemark.llm import pii
+from sluicemark.queries.registry import QUERIES
+from tests.llm.conftest import EDGE
+
+# The patterns of the base spans.
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def reference(text):
+    found = []
+    for kind, pattern in PATTERNS.items():
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            passes = {
+                "email": lambda: True, "ip": lambda: all(int(p) <= 255 for p in m[0].split(".")),
+                "card": lambda: 14 <= len(digits) <= 19 and pii.luhn(digits), "phone": lambda: 10 <= len(digits) <= 15,
+            }[kind]()
+            if passes:
+                found.append((kind, *m.span()))
+    return pii.in_order(found)
+
+
+def test_base_spans_equal_the_patterns():
+    random.seed(3)
+    for _ in range(20_000):
+        text = "".join(random.choice("0123456789.@+- ()ab-é") for _ in range(random.randrange(60)))
+        assert pii.base_spans(text) == reference(text), text
+
+
+def test_time_is_linear():
+    model = pii.train()
+    for text in ("1" * 200_000, "a" * 200_000 + "@", "1." * 100_000, "+1" + "(" * 200_000, "@" * 200_000, "a@b." * 60_000, "1:" * 100_000, "1234 " * 60_000):
+        started = time.perf_counter()
+        pii.all_spans(text, pii.base_spans(text), model)
+        assert time.perf_counter() - started < 5
+
+
+def test_boosting_adds_what_the_patterns_miss():
+    model = pii.train()
+    added = {
+        "call me on 0171 555 9876 please": ("phone", "0171 555 9876"),
+        "mail bob (at) example (dot) com today": ("email", "bob (at) example (dot) com"),
+    }
+    for text, (kind, inner) in added.items():
+        assert pii.all_spans(text, pii.base_spans(text), model) == [(kind, text.index(inner), text.index(inner) + len(inner))]
+    for text in ("version 1.2.3 of 2024-01-02", "order 4412-2290-1187-0034 came", "pages 112-118 and 220-231", "plain words only"):
+        assert pii.all_spans(text, pii.base_spans(text), model) == pii.base_spans(text)
+
+
+def test_base_spans_stay():
+    model = pii.train()
+    text = "tel +1 (415) 555-0132, card 4111 1111 1111 1111, a.b@example.com, 10.0.0.1"
+    base = pii.base_spans(text)
+    assert len(base) == 4 and set(base) <= set(pii.all_spans(text, base, model))
+
+
+def test_edge_cases(edge, nothing):
+    found = pii.find(edge).collect()
+    assert len(found) == len(EDGE) and all(r.base == r.spans == "" for r in found)
+    assert pii.find(nothing).count() == 0
+
+
+def test_query_equals_brute_force(prepared):
+    docs = prepared.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    rows = {r.doc_id: r for r in QUERIES["op8_boosted_pii"](prepared, "/root/testdata/sf0.001").collect()}
+    for d in docs:
+        base = reference(d.text or "")
+        row = rows[d.doc_id]
+        assert [row[f"n_{k}"] for k in pii.KINDS] == [sum(s[0] == k for s in base) for k in pii.KINDS]
+        assert row.base_sha256 == hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in base).encode()).hexdigest()
