@@ -36,7 +36,7 @@ def check_row_count(df: DataFrame, name: str, threshold: int = 0) -> int:
 _FORMATS = {
     "date": lambda c: c.rlike(r"^\d{4}-\d{2}-\d{2}$") & c.try_cast("date").isNotNull(),
     "date-time": lambda c: c.rlike(r"^\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}:\d{2}") & c.try_cast("timestamp").isNotNull(),
-    "time": lambda c: c.rlike(r"^([01]\d|2[0-3]):[0-5]\d:[0-5]\d"),
+    "time": lambda c: c.rlike(r"^([01]\d|2[0-3]):[0-5]\d:[0-5]\d(\.\d+)?(Z|[+-]([01]\d|2[0-3]):?[0-5]\d)?$"),
 }
 
 

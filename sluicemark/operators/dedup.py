@@ -19,17 +19,18 @@ def max_or_default(target: DataFrame, column: str) -> DataFrame:
     return target.select(F.coalesce(F.max(column), ntz(NO_WATERMARK).cast(kind)).alias("watermark"))
 
 
-def above_watermark(source: DataFrame, target: DataFrame, column: str | None) -> DataFrame:
+def above_watermark(source: DataFrame, target: DataFrame, column: str | None, mark: DataFrame | None = None) -> DataFrame:
     """Source rows strictly above the target's maximum; no column, no filter.
 
     The maximum is a scalar subquery of the type of the source column, so the comparison
-    reaches the source scan as a pushed filter and nothing comes to the driver first.
+    reaches the source scan as a pushed filter and nothing comes to the driver first.  ``mark``, one row with a
+    ``watermark``, takes the place of the target's present maximum.
     """
     if column is None:
         return source
     own = resolve(source, [column])[0]
     kind = source.schema[own].dataType
-    highest = max_or_default(target, column).select(F.col("watermark").cast(kind))
+    highest = (max_or_default(target, column) if mark is None else mark).select(F.col("watermark").cast(kind))
     return source.where(F.col(own) > highest.scalar())
 
 
@@ -53,6 +54,7 @@ def deduplicated(
     keys: list[str],
     order_by: list[str | Column],
     watermark: str | None = None,
+    mark: DataFrame | None = None,
 ) -> DataFrame:
     """Rows above the target's watermark, latest per key; the filter runs before the ranking."""
-    return latest_per_key(above_watermark(source, target, watermark), keys, order_by)
+    return latest_per_key(above_watermark(source, target, watermark, mark), keys, order_by)

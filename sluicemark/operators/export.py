@@ -6,47 +6,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluicemark.functions.intervals import time_slot
-from sluicemark.session import staged
-from sluicemark.sources.files import reader_format
+from sluicemark.sources.files import CSV, CsvFormat, reader_format, write_options
 
 CHUNK_ROWS = 10_000
-# Largest limit that may pass through the single task of a plain LIMIT.
-SINGLE_TASK_LIMIT = 1_000_000
 
 
-def limit_rows(df: DataFrame, n: int | None, repeatable: bool = False) -> DataFrame:
+def limit_rows(df: DataFrame, n: int | None) -> DataFrame:
     """Any ``n`` rows, or the first ``n`` of a sorted frame; 0 or None means all.
 
-    A large limit is not gathered in one task: rows are numbered and counted per partition, and
-    each partition keeps the share that falls below ``n``.  Numbering and cutting must see the
-    same partitions, so the numbered rows are staged unless the frame is ``repeatable``, as a
-    plain file scan is.
+    Every task stops after its first ``n`` rows; one task takes ``n`` of what they send, row by row.
     """
-    if not n:
-        return df
-    if n <= SINGLE_TASK_LIMIT:
-        return df.limit(n)
-    placed = df.withColumn("_row", F.monotonically_increasing_id())
-    if not repeatable:
-        placed = staged(placed)
-    partition = F.shiftright("_row", 33)
-    counts = placed.groupBy(partition.alias("p")).count().orderBy("p").collect()  # one row per partition
-    left = n
-    whole, cut, share = -1, -1, 0
-    for row in counts:
-        if row["count"] <= left:
-            whole, left = row["p"], left - row["count"]
-        else:
-            cut, share = row["p"], left
-            break
-    position = F.col("_row").bitwiseAND((1 << 33) - 1)
-    return placed.where((partition <= whole) | ((partition == cut) & (position < share))).drop("_row")
-
-
-def unload(df: DataFrame, folder: str, file_format: str, limit: int | None = None, repeatable: bool = False) -> str:
+    return df.limit(n) if n else df
+
+
+def unload(df: DataFrame, folder: str, file_format: str, limit: int | None = None, csv: CsvFormat = CSV) -> str:
     """Write rows as files with header into a directory; 0 or None as limit means all rows."""
     folder = folder if folder.endswith("/") else f"{folder}/"
-    limit_rows(df, limit, repeatable).write.format(reader_format(file_format)).option("header", True).save(folder)
+    reader = reader_format(file_format)
+    limit_rows(df, limit).write.format(reader).options(**write_options(reader, csv)).save(folder)
     return folder
 
 
@@ -58,12 +35,15 @@ def write_skip_empty(df: DataFrame, path: str) -> bool:
     return True
 
 
-def export_chunks(df: DataFrame, folder: str, file_format: str = "parquet", rows_per_file: int = CHUNK_ROWS) -> None:
+def export_chunks(
+    df: DataFrame, folder: str, file_format: str = "parquet", rows_per_file: int = CHUNK_ROWS, csv: CsvFormat = CSV
+) -> None:
     """Write all rows in files of at most ``rows_per_file`` rows; every task cuts its own files."""
+    reader = reader_format(file_format)
     (
         df.write.mode("overwrite")
-        .format(reader_format(file_format))
-        .option("header", True)
+        .format(reader)
+        .options(**write_options(reader, csv))
         .option("maxRecordsPerFile", rows_per_file)
         .save(folder)
     )

@@ -18,8 +18,8 @@ def interval_join(
 
     The calendar is expanded to one row per day an interval touches, so the join has an equality
     key, and staged, so what it derives from is read once.  It is broadcast when its measured size
-    allows; beyond that both sides shuffle by day and a salt taken from row position, so a day with
-    a third of all rows spreads over ``salts`` tasks.
+    allows; beyond that both sides shuffle by day and a salt hashed from the row, the same in a repeated task, so a day with
+    a third of all rows spreads over ``salts`` tasks; raise it with the size of the largest day.
     """
     days = F.sequence(F.to_date("start"), F.to_date("end"), F.expr("interval 1 day"))
     expanded = calendar.where("start < end").select("start", "end", F.explode(days).alias("_day"))
@@ -30,8 +30,9 @@ def interval_join(
     if size <= broadcast_limit:
         joined = keyed.join(F.broadcast(by_day), same_day & inside)
     else:
+        hashed = [F.col(f"`{f.name}`") for f in events.schema if "map<" not in f.dataType.simpleString()]
         copies = by_day.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        salted = keyed.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+        salted = keyed.withColumn("_salt", F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int"))
         joined = salted.join(copies, same_day & (F.col("_salt") == F.col("_copy")) & inside)
     return joined.select(*events.columns, "start", "end")
 

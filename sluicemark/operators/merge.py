@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +39,10 @@ def _on(keys: list[str], left: str = "", right: str = "_s_") -> Column:
     return reduce(and_, [F.col(f"`{left}{k}`") == F.col(f"`{right}{k}`") for k in keys])
 
 
+def _has_null(names: list[str]) -> Column:
+    return reduce(or_, [F.col(f"`{n}`").isNull() for n in names])
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
@@ -46,6 +50,7 @@ def upsert(
     source_is_small: bool = False,
     with_action: bool = False,
     source_is_unique: bool = False,
+    target_keys_repeat: bool = False,
 ) -> DataFrame:
     """Target after the merge: matched rows take the source's values, unmatched source rows are added.
 
@@ -55,8 +60,9 @@ def upsert(
     than once, so stage a costly one first (``session.staged``).
 
     ``source_is_small`` (by measured size, see ``session.staged_with_size``) broadcasts the batch, so
-    the target is not shuffled.  Otherwise both sides shuffle by key; the left outer join keeps the
-    target on the side that adaptive execution can split when a key (a null one, say) is hot.
+    the target is not shuffled.  Otherwise rows with a null key, which match nothing, are set aside, and both
+    sides shuffle once, for one full outer join by key.  Where a key may hold a large part of the target,
+    ``target_keys_repeat`` joins twice instead, with the target on the side that adaptive execution can split.
     """
     if not keys:
         raise ValueError("keys are required")
@@ -65,11 +71,23 @@ def upsert(
     keys = resolve(target, keys)
     columns = target.columns
     batch = _aligned(source, target, columns)
-    hint = F.broadcast if source_is_small else (lambda df: df)
-
     # The marker is a column of the batch side, so that it is null exactly where nothing matched.
     marked = batch.withColumn("_s_hit", F.lit(True))
     hit = F.col("_s_hit").isNotNull()
+    inserted = [F.col(f"`_s_{c}`").alias(c) for c in columns]
+
+    if not source_is_small and not target_keys_repeat:
+        aside = target.where(_has_null(keys)).withColumn(ACTION, F.lit(KEEP)).unionByName(
+            batch.where(_has_null([f"_s_{k}" for k in keys])).select(*inserted, F.lit(INSERT).alias(ACTION))
+        )
+        held = target.where(~_has_null(keys)).withColumn("_t_hit", F.lit(True))
+        joined = held.join(marked.where(~_has_null([f"_s_{k}" for k in keys])), _on(keys), "full_outer")
+        action = F.when(F.col("_t_hit").isNull(), INSERT).when(hit, UPDATE).otherwise(KEEP)
+        taken = [F.when(hit, F.col(f"`_s_{c}`")).otherwise(F.col(f"`{c}`")).alias(c) for c in columns]
+        result = joined.select(*taken, action.alias(ACTION)).unionByName(aside)
+        return result if with_action else result.drop(ACTION)
+
+    hint = F.broadcast if source_is_small else (lambda df: df)
     merged = target.join(hint(marked), _on(keys), "left_outer").select(
         *[
             (F.col(f"`{c}`") if c in keys else F.when(hit, F.col(f"`_s_{c}`")).otherwise(F.col(f"`{c}`"))).alias(c)
@@ -77,27 +95,32 @@ def upsert(
         ],
         F.when(hit, UPDATE).otherwise(KEEP).alias(ACTION),
     )
-
     present = target.select(*[F.col(f"`{k}`").alias(f"_t_{k}") for k in keys])
     if source_is_small:
         batch_keys = batch.select(*[f"`_s_{k}`" for k in keys])
         present = present.join(F.broadcast(batch_keys), _on(keys, "_t_"), "left_semi")
     present = present.distinct()  # at most one row per target key; no more rows than the batch if small
-    added = batch.join(hint(present), _on(keys, "_t_"), "left_anti").select(
-        *[F.col(f"`_s_{c}`").alias(c) for c in columns], F.lit(INSERT).alias(ACTION)
-    )
+    added = batch.join(hint(present), _on(keys, "_t_"), "left_anti").select(*inserted, F.lit(INSERT).alias(ACTION))
     result = merged.unionByName(added)
     return result if with_action else result.drop(ACTION)
 
 
-def merge_metrics(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+def merge_metrics(
+    target: DataFrame, source: DataFrame, keys: list[str], source_is_small: bool = False, source_is_unique: bool = False
+) -> DataFrame:
     """One row ``(rows_inserted, rows_updated)`` the merge would report; reads key columns only.
 
-    Target keys are counted before the join, so many target rows of one key cost one row.
+    Target keys are counted before the join, so many target rows of one key cost one row.  ``source_is_small`` (by
+    measured size) keeps only target keys that the broadcast batch has before they are shuffled.
     """
+    if not source_is_unique:
+        assert_unique_keys(source, keys)
     keys = resolve(target, keys)
     batch = _aligned(source, target, keys)
-    held = target.select(*[f"`{k}`" for k in keys]).groupBy(*[f"`{k}`" for k in keys]).agg(F.count(F.lit(1)).alias("_held"))
+    held = target.select(*[f"`{k}`" for k in keys])
+    if source_is_small:
+        held = held.join(F.broadcast(batch), _on(keys), "left_semi")
+    held = held.groupBy(*[f"`{k}`" for k in keys]).agg(F.count(F.lit(1)).alias("_held"))
     joined = batch.join(held, _on(keys), "left_outer")
     return joined.agg(
         F.count(F.when(F.col("_held").isNull(), 1)).alias("rows_inserted"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -14,16 +15,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluicemark.functions.dates import compact_day, ntz
-from sluicemark.operators.dedup import deduplicated
+from sluicemark.operators.dedup import deduplicated, max_or_default
 from sluicemark.operators.export import export_chunks, land_feeds, replace_partitions, write_skip_empty
 from sluicemark.operators.merge import ACTION, INSERT, UPDATE, upsert
 from sluicemark.operators.selection import in_date_range
 from sluicemark.session import BROADCAST_LIMIT_BYTES, staged_with_size
 from sluicemark.sources.database import FULL, INCREMENTAL, scan_database, select_run
-from sluicemark.sources.files import PROVENANCE, create_table_from_files, read_or_empty
-from sluicemark.sources.loading import load_files, load_into_table
+from sluicemark.sources.files import CSV, PROVENANCE, CsvFormat, create_table_from_files, read_or_empty
+from sluicemark.sources.loading import FILES_PER_BATCH, load_files, load_into_table
 from sluicemark.sources.records import records_from_payload
-from sluicemark.streaming.file_loads import for_new_files
+from sluicemark.streaming.file_loads import delete_path, for_new_files
 
 # The feeds of the daily landing.
 FEEDS = (
@@ -51,6 +52,7 @@ class TableConfig:
     order_by: list[str | Column]
     watermark: str | None = None
     file_format: str = "parquet"
+    csv: CsvFormat = CSV
 
 
 def with_provenance(schema: T.StructType) -> T.StructType:
@@ -72,7 +74,7 @@ def upsert_files(
     The deduplicated batch is staged, so that scan, filter and ranking run once and its size is
     known: only a small one is broadcast.  The merge itself stays lazy.
     """
-    batch = load_files(spark, config.stage, config.prefix, config.file_format, target.schema, scan_time)
+    batch = load_files(spark, config.stage, config.prefix, config.file_format, target.schema, scan_time, csv=config.csv)
     return upsert_batch(target, batch, config, broadcast_limit, with_action)
 
 
@@ -82,47 +84,65 @@ def upsert_batch(
     config: TableConfig,
     broadcast_limit: int = BROADCAST_LIMIT_BYTES,
     with_action: bool = False,
+    mark: DataFrame | None = None,
 ) -> DataFrame:
-    """As ``upsert_files`` for a batch that is already a frame."""
-    latest, size = staged_with_size(deduplicated(batch, target, config.keys, config.order_by, config.watermark))
+    """As ``upsert_files`` for a batch that is already a frame; ``mark`` is a watermark taken earlier."""
+    latest, size = staged_with_size(deduplicated(batch, target, config.keys, config.order_by, config.watermark, mark))
     return upsert(target, latest, config.keys, size <= broadcast_limit, with_action, source_is_unique=True)
 
 
 # --- tables whose versions are written aside and then published -------------------------------
 
 
-def _versions(spark: SparkSession, table: str) -> list[str]:
-    """Tables that hold versions of ``table``, oldest first."""
-    database, _, name = table.rpartition(".")
-    listed = spark.sql(f"SHOW TABLES IN {database or 'default'} LIKE '{name}__v*'").where("NOT isTemporary").collect()
-    return sorted((row["tableName"] for row in listed), key=_version_number)
-
+_OWNER, _NUMBER, _MADE = "sluicemark.version_of", "sluicemark.version", "sluicemark.made"
+# An older version stays this long for readers that began with it.
+KEEP_VERSIONS = dt.timedelta(days=1)
 
-def _version_number(name: str) -> int:
-    return int(name.rsplit("__v", 1)[1].split("_")[0])
 
+def _versions(spark: SparkSession, table: str) -> list[tuple[int, dt.datetime, str]]:
+    """Number, time and name of each version that ``publish`` made of ``table``, oldest first.
 
-def publish(df: DataFrame, table: str, keys: list[str] | None = None, buckets: int | None = None, keep: int = 1) -> None:
+    A table is a version by its properties; whatever else has a similar name is left alone.
+    """
+    database, _, name = table.rpartition(".")
+    found = []
+    for row in spark.sql(f"SHOW TABLES IN {database or 'default'} LIKE '{name}__v*'").where("NOT isTemporary").collect():
+        if not re.fullmatch(rf"{re.escape(name.lower())}__v\d+_[0-9a-f]{{8}}", row["tableName"].lower()):
+            continue
+        full = f"{database}.{row['tableName']}" if database else row["tableName"]
+        if spark.sql(f"SHOW VIEWS IN {database or 'default'} LIKE '{row['tableName']}'").isEmpty():
+            own = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {full}").collect()}
+            if own.get(_OWNER) == table.lower():
+                found.append((int(own[_NUMBER]), dt.datetime.fromisoformat(own[_MADE]), full))
+    return sorted(found)
+
+
+def publish(
+    df: DataFrame, table: str, keys: list[str] | None = None, buckets: int | None = None, keep: dt.timedelta = KEEP_VERSIONS
+) -> None:
     """Write a new version of ``table`` and point the view of that name to it.
 
     The version being read is never overwritten and the view changes in one catalog step, so a
     failed write leaves the old table in place.  With ``buckets`` the version is bucketed by key,
     and later upserts read it without a shuffle; keys of such a table should not be null, since a
-    bucket is one task's work.  ``keep`` older versions stay for readers.
+    bucket is one task's work.  A version replaced longer than ``keep`` ago is dropped; readers have that long to finish.
     """
     spark = df.sparkSession
     versions = _versions(spark, table)
-    number = _version_number(versions[-1]) + 1 if versions else 1
-    database = table.rpartition(".")[0]
+    number = versions[-1][0] + 1 if versions else 1
     # The random part keeps leftovers of a write that died out of the way.
     written = f"{table}__v{number}_{uuid.uuid4().hex[:8]}"
     writer = df.write.format("parquet")
     if buckets:
         writer = writer.bucketBy(buckets, *keys).sortBy(*keys)
     writer.saveAsTable(written)
+    now = dt.datetime.now(dt.timezone.utc)
+    spark.sql(f"ALTER TABLE {written} SET TBLPROPERTIES ('{_OWNER}'='{table.lower()}', '{_NUMBER}'='{number}', '{_MADE}'='{now.isoformat()}')")
     spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {written}")
-    for old in versions[: len(versions) - keep]:
-        spark.sql(f"DROP TABLE {database + '.' if database else ''}{old}")
+    # A version was replaced when the next one was made; the last one only now.
+    for (_, _, old), (_, replaced, _) in zip(versions, versions[1:]):
+        if now - replaced >= keep:
+            spark.sql(f"DROP TABLE {old}")
 
 
 def create_target(df: DataFrame, table: str, keys: list[str] | None = None, buckets: int | None = None) -> None:
@@ -151,24 +171,44 @@ def upsert_table(
     return _publish_counted(merged, config.table, config.keys, buckets)
 
 
+def _run_watermark(spark: SparkSession, config: TableConfig, folder: str) -> DataFrame:
+    """The target's watermark when the present run began, kept in ``folder`` until the run has ended."""
+    now = max_or_default(spark.table(config.table), config.watermark)
+    kept = read_or_empty(spark, folder, "parquet", now.schema)
+    if kept.isEmpty():
+        now.write.mode("overwrite").parquet(folder)
+        kept = spark.read.schema(now.schema).parquet(folder)
+    return kept
+
+
 def upsert_new_files(
     spark: SparkSession,
     config: TableConfig,
     checkpoint: str,
     scan_time: dt.datetime | None = None,
     buckets: int | None = None,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> None:
     """Upsert the config's files not seen before into its published table.
 
+    The watermark is that of the target before the run's first micro-batch, so what an earlier micro-batch wrote does
+    not hide the files of a later one; a run repeated after a crash goes on with the same one.
     Repeating a batch after a crash changes nothing further: its rows match the second time.
     """
+    folder = f"{checkpoint.rstrip('/')}-watermark"
+    mark = _run_watermark(spark, config, folder) if config.watermark else None
+
     def merge(rows: DataFrame, _: int) -> None:
         if not rows.isEmpty():
-            target = rows.sparkSession.table(config.table)
-            publish(upsert_batch(target, rows, config), config.table, config.keys, buckets)
+            own = rows.sparkSession
+            kept = own.read.schema(mark.schema).parquet(folder) if mark is not None else None
+            publish(upsert_batch(own.table(config.table), rows, config, mark=kept), config.table, config.keys, buckets)
 
     schema = spark.table(config.table).schema
-    for_new_files(spark, config.stage, config.prefix, config.file_format, schema, checkpoint, merge, scan_time)
+    for_new_files(
+        spark, config.stage, config.prefix, config.file_format, schema, checkpoint, merge, scan_time, files_per_batch=files_per_batch
+    )
+    delete_path(spark, folder)
 
 
 def upsert_frame_into_table(source: DataFrame, table: str, keys: list[str], buckets: int | None = None) -> tuple[int, int]:
@@ -178,12 +218,24 @@ def upsert_frame_into_table(source: DataFrame, table: str, keys: list[str], buck
     return _publish_counted(merged, table, keys, buckets)
 
 
-def upsert_tables(spark: SparkSession, configs: list[TableConfig], scan_time: dt.datetime | None = None, parallel: int = 4) -> DataFrame:
-    """Upsert independent tables side by side; one metrics row per table."""
+def _each(names: list[str], work: Callable[[str], tuple[int, int]], parallel: int) -> list[tuple]:
+    """(name, status, error, first count, second count) of independent pieces of work; one that fails stops no other."""
+    def attempt(name: str) -> tuple:
+        try:
+            return (name, "done", None, *work(name))
+        except Exception as error:  # reported, not hidden: the row says what went wrong
+            return (name, "failed", str(error)[:2000], None, None)
+
     with ThreadPoolExecutor(parallel) as pool:
-        counts = list(pool.map(lambda c: upsert_table(spark, c, scan_time), configs))
-    rows = [(c.table.split(".")[-1], inserted, updated) for c, (inserted, updated) in zip(configs, counts)]
-    return spark.createDataFrame(rows, "table_name string, rows_inserted long, rows_updated long")
+        return list(pool.map(attempt, names))
+
+
+def upsert_tables(spark: SparkSession, configs: list[TableConfig], scan_time: dt.datetime | None = None, parallel: int = 4) -> DataFrame:
+    """Upsert independent tables side by side; one row per table with its status, error and counts."""
+    by_name = {c.table: c for c in configs}
+    found = _each(list(by_name), lambda name: upsert_table(spark, by_name[name], scan_time), parallel)
+    rows = [(name.split(".")[-1], *rest) for name, *rest in found]
+    return spark.createDataFrame(rows, "table_name string, status string, error string, rows_inserted long, rows_updated long")
 
 
 def _only_partitions(target: DataFrame, source: DataFrame, by: list[str]) -> DataFrame:
@@ -201,7 +253,8 @@ def upsert_partitions(target: DataFrame, source: DataFrame, keys: list[str], par
     """Upsert into parquet files partitioned by part of the key, rewriting touched partitions only.
 
     A row cannot move between partitions because they are part of its key, so partitions without
-    source rows are neither read nor written.
+    source rows are neither read nor written.  The folder is rewritten in place, partition by partition: a job that dies in
+    its commit may leave touched partitions incomplete, so keep the batch to run it again.  ``publish`` has no such gap.
     """
     outside = [c for c in partition_by if c.lower() not in {k.lower() for k in keys}]
     if outside:
@@ -240,11 +293,12 @@ def build_then_load(
     file_format: str,
     load_table_afterwards: bool = True,
     scan_time: dt.datetime | None = None,
+    csv: CsvFormat = CSV,
 ) -> None:
     """Make the table from the files' schema, then load the files into it."""
-    create_table_from_files(spark, table, f"{stage}/{prefix}", file_format)
+    create_table_from_files(spark, table, f"{stage}/{prefix}", file_format, csv)
     if load_table_afterwards:
-        load_into_table(spark, table, stage, prefix, file_format, scan_time=scan_time)
+        load_into_table(spark, table, stage, prefix, file_format, scan_time=scan_time, csv=csv)
 
 
 def export_run(df: DataFrame, date_column: str, run_type: str, run_date: dt.date, folder: str) -> None:
@@ -276,10 +330,11 @@ def land_feed_files(
 ) -> None:
     """Land each feed's JSON array file ``source/<feed>.json`` at its path for the run's day.
 
-    A feed without a file or without records writes nothing; a rerun writes to the same path.
+    A feed without a file or without records writes nothing; a rerun writes to the same path.  A file that is cut off or
+    holds values of other types is an error.
     """
     def land(feed: str) -> None:
-        rows = read_or_empty(spark, f"{source}/{feed}.json", "json", records[feed], multiLine=True)
+        rows = read_or_empty(spark, f"{source}/{feed}.json", "json", records[feed], multiLine=True, mode="FAILFAST")
         day = run_end.strftime("%Y-%m-%d")
         write_skip_empty(rows.withColumn("scrape_ts", ntz(run_end)), f"{folder}/rest_api_scrapes/{feed}/{feed}-{day}")
 
@@ -309,10 +364,16 @@ def backfill_by_day(
     """Process the inclusive day range as one job and rewrite each of its days.
 
     ``work`` sees rows with their ``run_date`` and must keep that column.  Days outside the range
-    are untouched and a rerun gives the same content, late rows included.
+    are untouched and a rerun gives the same content, late rows included: a day of the range that has no rows any
+    more is removed, after the others are written.
     """
     chosen = in_date_range(df, ts, start, end + dt.timedelta(days=1)).withColumn("run_date", F.to_date(ts))
-    replace_partitions(work(chosen), folder, ["run_date"])
+    replace_partitions(work(chosen).observe(seen := Observation(), F.collect_set("run_date").alias("days")), folder, ["run_date"])
+    written = {str(day) for day in seen.get["days"]}  # no more than the days of the range
+    for offset in range((end - start).days + 1):
+        day = str(start + dt.timedelta(days=offset))
+        if day not in written:
+            delete_path(df.sparkSession, f"{folder}/run_date={day}")
 
 
 def tables_of_run(run_type: str, tables: list[str]) -> tuple[str, list[str]]:
@@ -320,16 +381,26 @@ def tables_of_run(run_type: str, tables: list[str]) -> tuple[str, list[str]]:
     return ("backfill", tables) if run_type == FULL else ("incremental", tables[:1])
 
 
-def run_tables(frames: dict[str, DataFrame], run_type: str = INCREMENTAL) -> DataFrame:
-    """Row counts of the tables a run takes, one independent job branch per table."""
-    name, chosen = tables_of_run(run_type, list(frames))
-    return reduce(
-        DataFrame.unionByName,
-        [
-            frames[t].agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("run_type"), F.lit(t).alias("table_name"), "n_rows")
-            for t in chosen
-        ],
-    )
+def run_tables(
+    spark: SparkSession,
+    loads: dict[str, tuple[str, str, str]],
+    run_type: str = INCREMENTAL,
+    scan_time: dt.datetime | None = None,
+    parallel: int = 4,
+) -> DataFrame:
+    """Load the tables that a run takes; ``loads`` gives the (stage, prefix, file format) of each.
+
+    A full backfill replaces the rows of every table, an incremental run appends the files the first one has not had.
+    One row per table with its status, error, rows parsed and rows loaded.
+    """
+    name, chosen = tables_of_run(run_type, list(loads))
+
+    def load(table: str) -> tuple[int, int]:
+        counts = load_into_table(spark, table, *loads[table], truncate=run_type == FULL, scan_time=scan_time)
+        return counts["rows_parsed"], counts["rows_loaded"]
+
+    rows = [(name, table.split(".")[-1], *rest) for table, *rest in _each(chosen, load, parallel)]
+    return spark.createDataFrame(rows, "run_type string, table_name string, status string, error string, rows_parsed long, rows_loaded long")
 
 
 def day_slices(

@@ -38,16 +38,23 @@ def interval_calendar(spark: SparkSession, sf: str) -> DataFrame:
     return _calendar(spark, sf)
 
 
-@query(
-    "interval_join",
-    f"""WITH {_DAYS}, cal AS ({_CALENDAR})
-SELECT event_id, user_id, ts, start, "end" FROM events JOIN cal ON ts >= start AND ts < "end" """,
-)
+_INTERVAL_JOIN = f"""WITH {_DAYS}, cal AS ({_CALENDAR})
+SELECT event_id, user_id, ts, start, "end" FROM events JOIN cal ON ts >= start AND ts < "end" """
+
+
+@query("interval_join", _INTERVAL_JOIN)
 def interval_join(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events").select("event_id", "user_id", "ts")
     return intervals.interval_join(events, "ts", _calendar(spark, sf))
 
 
+@query("interval_join_salted", _INTERVAL_JOIN)
+def interval_join_salted(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with a calendar too large to broadcast."""
+    events = table(spark, sf, "events").select("event_id", "user_id", "ts")
+    return intervals.interval_join(events, "ts", _calendar(spark, sf), broadcast_limit=0)
+
+
 @query(
     "uneven_interval_agg",
     """WITH e AS (SELECT value, date_trunc('minute', ts) AS m, date_trunc('day', ts)::TIMESTAMP AS d FROM events)
@@ -117,19 +124,35 @@ def table_day_slices(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "run_type_load",
-    " UNION ALL ".join(f"SELECT 'backfill' AS run_type, '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in ("orders", "customer", "supplier"))
-    + " UNION ALL SELECT 'incremental' AS run_type, 'orders' AS table_name, count(*) AS n_rows FROM orders",
+    " UNION ALL ".join(
+        f"SELECT 'backfill' AS run_type, '{t}' AS table_name, 'done' AS status, count(*) AS rows_parsed, count(*) AS rows_loaded, count(*) AS rows_held FROM {t}"
+        for t in ("orders", "customer", "supplier")
+    )
+    + " UNION ALL SELECT 'incremental' AS run_type, 'orders' AS table_name, 'done' AS status, 0, 0, count(*) FROM orders",
 )
 def run_type_load(spark: SparkSession, sf: str) -> DataFrame:
-    frames = {t: table(spark, sf, t) for t in ("orders", "customer", "supplier")}
-    return reduce(DataFrame.unionByName, [flows.run_tables(frames, run_type) for run_type in (FULL, INCREMENTAL)])
+    """A full run loads every table; the incremental run after it finds no new file for the first one."""
+    database = new_database(spark, "runs")
+    loads = {f"{database}.{t}": (sf, f"{t}.parquet", "parquet") for t in ("orders", "customer", "supplier")}
+    for name, (_, file, _) in loads.items():
+        empty = spark.createDataFrame([], flows.with_provenance(table(spark, sf, file.removesuffix(".parquet")).schema))
+        empty.write.saveAsTable(name)
+    runs = [flows.run_tables(spark, loads, run_type) for run_type in (FULL, INCREMENTAL)]
+    held = [
+        spark.table(name).agg(F.count(F.lit(1)).alias("rows_held")).withColumn("table_name", F.lit(name.split(".")[-1])) for name in loads
+    ]
+    return reduce(DataFrame.unionByName, runs).drop("error").join(reduce(DataFrame.unionByName, held), "table_name")
 
 
-@query("backfill_by_day", "SELECT strftime(ts, '%Y-%m-%d') AS run_date, event_id, user_id, value FROM events")
+@query(
+    "backfill_by_day",
+    "SELECT strftime(ts, '%Y-%m-%d') AS run_date, event_id, user_id, value FROM events WHERE ts::DATE < (SELECT max(ts)::DATE FROM events)",
+)
 def backfill_by_day(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events").select("event_id", "user_id", "value", "ts")
     first, last = events.agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first()
     folder = new_folder(spark, "backfill")
-    for _ in range(2):  # the rerun replaces the same days
-        flows.backfill_by_day(events, "ts", *flows.backfill_bounds(last + dt.timedelta(days=1), first), folder)
+    kept = events.where(F.to_date("ts") < F.lit(last))
+    for source in (events, kept):  # the rerun replaces the same days, and removes the one its source has lost
+        flows.backfill_by_day(source, "ts", *flows.backfill_bounds(last + dt.timedelta(days=1), first), folder)
     return spark.read.parquet(folder).select(dates.dashed_day(F.col("run_date")).alias("run_date"), "event_id", "user_id", "value")

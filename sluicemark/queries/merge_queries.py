@@ -77,7 +77,7 @@ def upsert_merge(spark: SparkSession, sf: str) -> DataFrame:
 )
 def merge_metrics(spark: SparkSession, sf: str) -> DataFrame:
     batch = table(spark, sf, "lineitem").select(*KEYS).distinct()
-    return count_merge(first_lines(spark, sf), batch, KEYS)
+    return count_merge(first_lines(spark, sf), batch, KEYS, source_is_unique=True)
 
 
 @query(
@@ -100,18 +100,20 @@ def upsert_from_files(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("upsert_streamed", _MERGED.format(extra=""))
 def upsert_streamed(spark: SparkSession, sf: str) -> DataFrame:
-    """The same merge fed by the file stream; the second run finds no new file and changes nothing."""
+    """The same merge fed by the file stream, a file per micro-batch; the second run finds no new file and changes nothing."""
+    stage = new_folder(spark, "drops")
+    # A key lies in one file: among files, the last one merged wins.
+    table(spark, sf, "lineitem").repartition(3, "l_orderkey").write.parquet(f"{stage}/lineitem")
     target = f"{new_database(spark, 'streamed')}.order_lines"
     flows.create_target(
         first_lines(spark, sf).withColumns({"metadata_filename": F.lit("orders.parquet"), "metadata_ingest_time": ntz("2023-12-31 00:00:00")}),
         target,
     )
     order = ["l_shipdate", "l_extendedprice", "l_linestatus"]
-    # A stream watches folders or patterns, not single files.
-    config = flows.TableConfig(target, sf, "lineitem.parquet*", KEYS, order, "metadata_ingest_time")
+    config = flows.TableConfig(target, stage, "lineitem", KEYS, order, "metadata_ingest_time")
     history = new_folder(spark, "history")
     for _ in range(2):
-        flows.upsert_new_files(spark, config, history, SCAN_TIME)
+        flows.upsert_new_files(spark, config, history, SCAN_TIME, files_per_batch=1)
     return spark.table(target).drop("metadata_filename", "metadata_ingest_time")
 
 
@@ -137,7 +139,7 @@ _MANY = [
 @query(
     "upsert_many_tables",
     " UNION ALL ".join(
-        f"SELECT '{batch}' AS table_name, count(*) FILTER (k IS NULL) AS rows_inserted, count(k) AS rows_updated"
+        f"SELECT '{batch}' AS table_name, 'done' AS status, count(*) FILTER (k IS NULL) AS rows_inserted, count(k) AS rows_updated"
         f" FROM {batch} LEFT JOIN (SELECT DISTINCT {held_key} AS k FROM {held}) ON k = {key}"
         for batch, key, held, held_key in _MANY
     ),
@@ -154,7 +156,7 @@ def upsert_many_tables(spark: SparkSession, sf: str) -> DataFrame:
         flows.create_target(start, f"{database}.{batch}", [key])
         order = [c for c in columns if c != key]
         configs.append(flows.TableConfig(f"{database}.{batch}", sf, f"{batch}.parquet", [key], order, "metadata_ingest_time"))
-    return flows.upsert_tables(spark, configs, SCAN_TIME)
+    return flows.upsert_tables(spark, configs, SCAN_TIME).drop("error")
 
 
 @query("build_then_load", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal, 'supplier.parquet' AS metadata_filename,"

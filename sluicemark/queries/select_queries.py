@@ -199,6 +199,7 @@ _RULES = {
         checks.Rule("day", text_format="date"),
         checks.Rule("at_time", text_format="date-time"),
         checks.Rule("props", text_format="date"),
+        checks.Rule("clock", text_format="time"),
     ],
 }
 
@@ -225,6 +226,8 @@ def _rule_sql(name: str, source: str) -> str:
             conditions.append((c, "format", f"try_cast({c} AS DATE) IS NULL"))
         if r.text_format == "date-time":
             conditions.append((c, "format", f"try_cast({c} AS TIMESTAMP) IS NULL"))
+        if r.text_format == "time":
+            conditions.append((c, "format", f"NOT regexp_full_match({c}, '[0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}')"))
     return " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, '{c}' AS column_name, '{kind}' AS rule, count(*) FILTER ({broken}) AS violations FROM {source}"
         for c, kind, broken in conditions
@@ -237,7 +240,8 @@ def _rule_sql(name: str, source: str) -> str:
         [
             _rule_sql("customer", "customer"),
             _rule_sql("part", "part"),
-            _rule_sql("events", "(SELECT *, strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at_time FROM events)"),
+            _rule_sql("events", "(SELECT *, strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at_time,"
+                      " strftime(ts, '%H:%M:%S') || CASE WHEN event_type = 'error' THEN 'xyz' ELSE '' END AS clock FROM events)"),
         ]
     ),
 )
@@ -246,7 +250,8 @@ def row_constraints(spark: SparkSession, sf: str) -> DataFrame:
         "customer": table(spark, sf, "customer"),
         "part": table(spark, sf, "part"),
         "events": table(spark, sf, "events").select(
-            "*", F.date_format("ts", "yyyy-MM-dd").alias("day"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at_time")
+            "*", F.date_format("ts", "yyyy-MM-dd").alias("day"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at_time"),
+            F.concat(F.date_format("ts", "HH:mm:ss"), F.when(F.col("event_type") == "error", "xyz").otherwise("")).alias("clock"),
         ),
     }
     return reduce(DataFrame.unionByName, [checks.count_violations(df, _RULES[n], n) for n, df in frames.items()])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,26 +31,27 @@ def truncate_reload(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(target).drop("metadata_ingest_time")
 
 
-@query("unload_roundtrip", "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part")
+@query("unload_roundtrip", "SELECT doc_id, text, lang, source, n_chars FROM documents")
 def unload_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    part = table(spark, sf, "part")
-    folder = unload(part, new_folder(spark, "unload"), "csv")
-    return spark.read.schema(part.schema).csv(folder, header=True)
+    """Texts with quotes and line breaks, out as csv and back."""
+    documents = table(spark, sf, "documents")
+    return read_or_empty(spark, unload(documents, new_folder(spark, "unload"), "csv"), "csv", documents.schema)
 
 
 @query(
     "unload_limited",
     "SELECT 'top 100' AS rows_asked, p_partkey, p_retailprice FROM (SELECT * FROM part ORDER BY p_partkey LIMIT 100)"
+    " UNION ALL SELECT 'top 1500' AS rows_asked, p_partkey, p_retailprice FROM (SELECT * FROM part ORDER BY p_partkey LIMIT 1500)"
     " UNION ALL SELECT 'all' AS rows_asked, p_partkey, p_retailprice FROM part",
 )
 def unload_limited(spark: SparkSession, sf: str) -> DataFrame:
     part = table(spark, sf, "part").select("p_partkey", "p_retailprice")
-    top = unload(part.orderBy("p_partkey"), new_folder(spark, "top"), "parquet", 100)
-    everything = unload(part, new_folder(spark, "all"), "parquet", 0, repeatable=True)
-    return (
-        spark.read.schema(part.schema).parquet(top).withColumn("rows_asked", F.lit("top 100"))
-        .unionByName(spark.read.schema(part.schema).parquet(everything).withColumn("rows_asked", F.lit("all")))
-    )
+    parts = []
+    for asked, rows in (("top 100", 100), ("top 1500", 1500), ("all", 0)):
+        ordered = part.repartitionByRange(8, "p_partkey").sortWithinPartitions("p_partkey") if not rows else part.orderBy("p_partkey")
+        folder = unload(ordered, new_folder(spark, "limited"), "parquet", rows)
+        parts.append(spark.read.schema(part.schema).parquet(folder).withColumn("rows_asked", F.lit(asked)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query(

@@ -17,7 +17,7 @@ from sluicemark.queries.schema_list import SCHEMAS, columns
 from sluicemark.session import new_database, new_folder
 from sluicemark.sources import catalog, files
 from sluicemark.sources.loading import load_files, load_into_table
-from sluicemark.sources.records import inline_rows, records_from_payload
+from sluicemark.sources.records import inline_rows, records_from_payload, refused_records
 from sluicemark.streaming.file_loads import BATCH, load_new_files
 
 RUN_TS = dt.datetime(2024, 2, 1, 6, 0, 0)
@@ -100,7 +100,8 @@ def load_match_by_name(spark: SparkSession, sf: str) -> DataFrame:
     spark.createDataFrame([], with_provenance(customer.schema)).write.saveAsTable(target)
     for name in ("csv", "json", "parquet"):
         shuffled.write.format(name).option("header", True).save(f"{stage}/{name}")
-        load_into_table(spark, target, stage, name, name, scan_time=RUN_TS)
+        for _ in range(2):  # the second load finds no new file
+            load_into_table(spark, target, stage, name, name, scan_time=RUN_TS)
     prefix = F.split("metadata_filename", "/")[0].alias("prefix")
     return spark.table(target).select(prefix, *customer.columns, "metadata_ingest_time")
 
@@ -126,25 +127,33 @@ def load_files_once(spark: SparkSession, sf: str) -> DataFrame:
     loaded, history = f"{home}/table", f"{home}/history"
 
     def run() -> None:
-        load_new_files(spark, home, "drops", "parquet", orders.schema, loaded, history, RUN_TS)
+        load_new_files(spark, home, "drops", "parquet", orders.schema, loaded, history, RUN_TS, files_per_batch=1)
 
     finished = F.col("o_orderstatus") == "F"
-    orders.where(finished).write.parquet(f"{home}/drops")
+    orders.where(finished).repartition(3).write.parquet(f"{home}/drops")
     run()
     run()  # nothing new: no rows, no batch
-    orders.where(~finished).write.mode("append").parquet(f"{home}/drops")
+    orders.where(~finished).repartition(3).write.mode("append").parquet(f"{home}/drops")
     run()
-    return spark.read.parquet(loaded).select(*orders.columns, BATCH)
+    # three files, three micro-batches a run
+    return spark.read.parquet(loaded).select(*orders.columns, F.floor(F.col(BATCH) / 3).cast("int").alias(BATCH))
 
 
 @query(
     "json_record_landing",
-    "SELECT event_id, CAST(props->>'$.k' AS BIGINT) AS k, TIMESTAMP '2024-02-01 06:00:00' AS scrape_ts FROM events",
+    "SELECT event_id, CASE WHEN event_type <> 'error' THEN CAST(props->>'$.k' AS BIGINT) END AS k,"
+    " CASE WHEN event_type <> 'error' THEN TIMESTAMP '2024-02-01 06:00:00' END AS scrape_ts, event_type = 'error' AS refused FROM events",
 )
 def json_record_landing(spark: SparkSession, sf: str) -> DataFrame:
-    payloads = table(spark, sf, "events").select("event_id", F.concat(F.lit("["), "props", F.lit("]")).alias("payload"))
+    """Payloads of error events are cut off: refused, never lost."""
+    events = table(spark, sf, "events")
+    whole = F.concat(F.lit("["), "props", F.lit("]"))
+    cut = F.when(F.col("event_type") == "error", F.substr(whole, F.lit(1), F.length(whole) - 2)).otherwise(whole)
+    payloads = events.select("event_id", cut.alias("payload"))
     record = T.StructType([T.StructField("k", T.LongType())])
-    return records_from_payload(payloads, "payload", record, ntz(RUN_TS), ["event_id"])
+    landed = records_from_payload(payloads, "payload", record, ntz(RUN_TS), ["event_id"], on_error="continue")
+    refused = refused_records(payloads, "payload", record, ["event_id"]).drop("refused")
+    return landed.withColumn("refused", F.lit(False)).unionByName(refused.withColumn("refused", F.lit(True)), allowMissingColumns=True)
 
 
 @query("read_or_empty", "SELECT c_custkey, c_name, c_mktsegment FROM customer")

@@ -13,18 +13,18 @@ FULL, INCREMENTAL = "Full Backfill", "Incremental"
 
 def jdbc_options(
     url: str,
-    table_or_query: str,
+    table: str,
     properties: dict[str, str] | None = None,
     split_column: str | None = None,
     bounds: tuple | None = None,
     partitions: int = 1,
     fetch_size: int = 10_000,
+    is_query: bool = False,
 ) -> dict[str, str]:
-    """Reader options of ``scan_database``."""
-    is_query = table_or_query.lstrip().lower().startswith("select")
+    """Reader options of ``scan_database``; ``table`` is a query if ``is_query`` says so."""
     options = {
         "url": url,
-        "dbtable": f"({table_or_query}) q" if is_query else table_or_query,
+        "dbtable": f"({table}) q" if is_query else table,
         "fetchsize": str(fetch_size),
         **(properties or {}),
     }
@@ -40,14 +40,14 @@ def jdbc_options(
     }
 
 
-def scan_database(spark: SparkSession, url: str, table_or_query: str, **options) -> DataFrame:
+def scan_database(spark: SparkSession, url: str, table: str, **options) -> DataFrame:
     """Rows of a table or query; with a split column the read runs as that many range queries.
 
     Filters and column choices made on the result are pushed into the database by Spark.
     The bounds only place the splits: rows outside them are read too.  For the options see
     ``jdbc_options``.
     """
-    return spark.read.format("jdbc").options(**jdbc_options(url, table_or_query, **options)).load()
+    return spark.read.format("jdbc").options(**jdbc_options(url, table, **options)).load()
 
 
 def select_run(df: DataFrame, date_column: str, run_type: str, run_date: dt.date) -> DataFrame:

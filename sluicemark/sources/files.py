@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -16,6 +18,40 @@ PROVENANCE = T.StructType(
 )
 
 
+@dataclass(frozen=True)
+class CsvFormat:
+    """How csv files are written, for scans, loads, unloads and reports alike.
+
+    ``multiline`` reads quoted line breaks; a file is then one task's work.  Without it files are split, and
+    a file with a quote that its line does not close is an error.  An empty text is written as an empty value, which
+    reads back as ``null_value`` does.
+    """
+
+    sep: str = ","
+    quote: str = '"'
+    escape: str = '"'
+    null_value: str = ""
+    multiline: bool = True
+
+    def written(self) -> dict[str, str | bool]:
+        spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        return {"header": True, "sep": self.sep, "quote": self.quote, "escape": self.escape, "nullValue": self.null_value, **spaces}
+
+    def read(self) -> dict[str, str | bool]:
+        return {**self.written(), "multiLine": self.multiline}
+
+
+CSV = CsvFormat()
+
+
+def read_options(reader: str, csv: CsvFormat = CSV) -> dict[str, str | bool]:
+    return csv.read() if reader == "csv" else {}
+
+
+def write_options(reader: str, csv: CsvFormat = CSV) -> dict[str, str | bool]:
+    return csv.written() if reader == "csv" else {}
+
+
 def format_of(path: str) -> str:
     """Format token of a path, from its suffix."""
     for suffix, (_, token) in FORMATS.items():
@@ -33,15 +69,13 @@ def reader_format(token_or_format: str) -> str:
     raise ValueError(f"File format not supported for {token_or_format}")
 
 
-def scan(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def scan(spark: SparkSession, path: str, schema: T.StructType | None = None, csv: CsvFormat = CSV) -> DataFrame:
     """Read files whose format follows from the path suffix.
 
     Give a schema wherever it is known: inference reads csv and json files a second time.
     """
     reader = reader_format(format_of(path))
-    source = spark.read.format(reader)
-    if reader == "csv":
-        source = source.option("header", True)
+    source = spark.read.format(reader).options(**read_options(reader, csv))
     if schema is not None:
         source = source.schema(schema)
     elif reader == "csv":
@@ -49,26 +83,27 @@ def scan(spark: SparkSession, path: str, schema: T.StructType | None = None) ->
     return source.load(path)
 
 
-def read_or_empty(spark: SparkSession, path: str, file_format: str, schema: T.StructType, **options) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, file_format: str, schema: T.StructType, csv: CsvFormat = CSV, **options) -> DataFrame:
     """Rows under the prefix, or an empty frame when nothing is there yet."""
+    reader = reader_format(file_format)
     try:
-        return spark.read.format(reader_format(file_format)).schema(schema).options(**options).load(path)
+        return spark.read.format(reader).schema(schema).options(**read_options(reader, csv), **options).load(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
 
-def file_schema(spark: SparkSession, path: str, file_format: str) -> T.StructType:
+def file_schema(spark: SparkSession, path: str, file_format: str, csv: CsvFormat = CSV) -> T.StructType:
     """Schema of the files under a prefix, every file considered."""
     reader = reader_format(file_format)
-    options = {"csv": {"header": True, "inferSchema": True}, "parquet": {"mergeSchema": True}}
+    options = {"csv": {**csv.read(), "inferSchema": True}, "parquet": {"mergeSchema": True}}
     return spark.read.format(reader).options(**options.get(reader, {})).load(path).schema
 
 
-def create_table_from_files(spark: SparkSession, table: str, path: str, file_format: str) -> T.StructType:
+def create_table_from_files(spark: SparkSession, table: str, path: str, file_format: str, csv: CsvFormat = CSV) -> T.StructType:
     """Replace ``table`` by an empty one with the files' schema and two provenance columns."""
-    fields = [T.StructField(f.name, f.dataType) for f in file_schema(spark, path, file_format)]
+    fields = [T.StructField(f.name, f.dataType) for f in file_schema(spark, path, file_format, csv)]
     schema = T.StructType(fields + PROVENANCE.fields)
     spark.createDataFrame([], schema).write.mode("overwrite").format("parquet").saveAsTable(table)
     return schema

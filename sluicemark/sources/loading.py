@@ -12,18 +12,21 @@ from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluicemark.functions.dates import ntz
-from sluicemark.sources.files import PROVENANCE, reader_format
+from sluicemark.session import staged
+from sluicemark.sources.files import CSV, PROVENANCE, CsvFormat, reader_format
 
 FILE, BLOCK, ROW = "_file", "_block", "_row"
 BAD_COLUMN, BAD_TEXT = "_bad_column", "_bad_text"
 _WHOLE = "_whole_record"
 # A backlog of new files is taken in micro-batches of at most this many files.
 FILES_PER_BATCH = 10_000
+# A stream takes a file whatever its date is; the list of files seen lies in the checkpoint and with the driver.
+OLDEST_FILE = "36500d"
 
 
 def _stage_name(stage: str) -> Column:
@@ -38,11 +41,12 @@ def _data_fields(schema: T.StructType) -> list[T.StructField]:
     return [T.StructField(f.name, f.dataType) for f in schema.fields if f.name.lower() not in provenance]
 
 
-def _reader(spark: SparkSession, streaming: bool):
-    return spark.readStream.option("maxFilesPerTrigger", FILES_PER_BATCH) if streaming else spark.read
+def _reader(spark: SparkSession, streaming: int):
+    """Batch reader, or that of a stream of micro-batches of ``streaming`` files."""
+    return spark.readStream.options(maxFilesPerTrigger=streaming, maxFileAge=OLDEST_FILE) if streaming else spark.read
 
 
-def _place(stage: str, streaming: bool) -> list[Column]:
+def _place(stage: str, streaming: int) -> list[Column]:
     # Row numbers exist in batch scans only; a stream reports no line numbers.
     row = F.lit(None).cast("long") if streaming else F.monotonically_increasing_id()
     return [_stage_name(stage).alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK), row.alias(ROW)]
@@ -77,16 +81,16 @@ def _first_wrong(parsed_text: Column, names: list[tuple[str, T.StructField]]) ->
     return F.transform(F.array(parsed_text), check)[0]
 
 
-def _scan_parquet(spark: SparkSession, stage: str, prefix: str, fields: list[T.StructField], streaming: bool) -> DataFrame:
+def _scan_parquet(spark: SparkSession, stage: str, path: str | list[str], fields: list[T.StructField], streaming: int) -> DataFrame:
     # A declared schema matches names without regard to case in every file, widens numbers
     # and fills columns a file lacks with null; only the declared columns are read.
-    rows = _reader(spark, streaming).schema(T.StructType(fields)).parquet(f"{stage}/{prefix}")
+    rows = _reader(spark, streaming).schema(T.StructType(fields)).format("parquet").load(path)
     return rows.select(
         *[f"`{f.name}`" for f in fields], *_place(stage, streaming), _null_text(BAD_COLUMN), _null_text(BAD_TEXT)
     )
 
 
-def _csv_layouts(spark: SparkSession, path: str) -> list[list[str]]:
+def _csv_layouts(spark: SparkSession, path: str | list[str]) -> list[list[str]]:
     """The csv files of a path grouped by their header line; one small row per file is collected."""
     lines = spark.read.text(path).select(
         "value",
@@ -101,9 +105,9 @@ def _csv_layouts(spark: SparkSession, path: str) -> list[list[str]]:
     return list(layouts.values())
 
 
-def _csv_header(spark: SparkSession, path: str | list[str], fields: list[T.StructField], streaming: bool) -> list[str]:
+def _csv_header(spark: SparkSession, path: str | list[str], fields: list[T.StructField], streaming: int, csv: CsvFormat) -> list[str]:
     try:
-        return spark.read.option("header", True).csv(path).columns
+        return spark.read.options(**csv.read()).csv(path).columns
     except AnalysisException as error:
         # A stream may start before its first file; files must then have the declared columns.
         if streaming and error.getCondition() in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
@@ -111,8 +115,20 @@ def _csv_header(spark: SparkSession, path: str | list[str], fields: list[T.Struc
         raise
 
 
-def _scan_csv(spark: SparkSession, stage: str, path: str | list[str], fields: list[T.StructField], streaming: bool) -> DataFrame:
-    header = _csv_header(spark, path, fields, streaming)
+def _assert_lines_close_quotes(spark: SparkSession, path: str | list[str], csv: CsvFormat) -> None:
+    """Error for a quoted line break in files that are read line by line, which would shorten the record."""
+    quotes = F.char_length("value") - F.char_length(F.replace("value", F.lit(csv.quote), F.lit("")))
+    found = spark.read.text(path).where(quotes % 2 == 1).select("value", "_metadata.file_path").first()
+    if found is not None:
+        raise ValueError(f"a quote is left open at the end of a line in {found['file_path']}: {found['value'][:200]}")
+
+
+def _scan_csv(
+    spark: SparkSession, stage: str, path: str | list[str], fields: list[T.StructField], streaming: int, csv: CsvFormat
+) -> DataFrame:
+    header = _csv_header(spark, path, fields, streaming, csv)
+    if not csv.multiline and not streaming:
+        _assert_lines_close_quotes(spark, path, csv)
     wanted = {f.name.lower(): f for f in fields}
     own = {c.lower(): c for c in header}
 
@@ -122,9 +138,8 @@ def _scan_csv(spark: SparkSession, stage: str, path: str | list[str], fields: li
 
     schema = T.StructType([T.StructField(c, kind(c)) for c in header] + [T.StructField(_WHOLE, T.StringType())])
     # enforceSchema=False makes a file with another header an error instead of shifted values.
-    rows = _reader(spark, streaming).schema(schema).csv(
-        path, header=True, enforceSchema=False, mode="PERMISSIVE", columnNameOfCorruptRecord=_WHOLE
-    )
+    permissive = {"enforceSchema": False, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _WHOLE}
+    rows = _reader(spark, streaming).schema(schema).format("csv").options(**csv.read(), **permissive).load(path)
 
     def value(field: T.StructField) -> Column:
         if field.name.lower() not in own:
@@ -133,7 +148,7 @@ def _scan_csv(spark: SparkSession, stage: str, path: str | list[str], fields: li
         return column if isinstance(field.dataType, T.AtomicType) else F.from_json(column, field.dataType)
 
     whole = F.col(_WHOLE)
-    texts = F.from_csv(whole, ", ".join(f"c{i} string" for i in range(len(header))))
+    texts = F.from_csv(whole, ", ".join(f"c{i} string" for i in range(len(header))), {k: str(v) for k, v in csv.written().items()})
     names = [(f"c{i}", wanted[c.lower()]) for i, c in enumerate(header) if c.lower() in wanted]
     return rows.select(
         *[value(f).alias(f.name) for f in fields],
@@ -143,8 +158,8 @@ def _scan_csv(spark: SparkSession, stage: str, path: str | list[str], fields: li
     )
 
 
-def _json_lines(spark: SparkSession, stage: str, prefix: str, streaming: bool) -> DataFrame:
-    return _reader(spark, streaming).text(f"{stage}/{prefix}").select("value", *_place(stage, streaming))
+def _json_lines(spark: SparkSession, stage: str, path: str | list[str], streaming: int) -> DataFrame:
+    return _reader(spark, streaming).format("text").load(path).select("value", *_place(stage, streaming))
 
 
 def _json_spellings(lines: DataFrame, fields: list[T.StructField]) -> list[dict[str, T.StructField]]:
@@ -206,16 +221,14 @@ class _Row:
         return F.col(f"`{name}`")
 
 
-def _scan_json(spark: SparkSession, stage: str, prefix: str, fields: list[T.StructField]) -> DataFrame:
+def _scan_json(spark: SparkSession, stage: str, path: str | list[str], fields: list[T.StructField]) -> DataFrame:
     """Typed JSON scan; a first pass over the text finds how the files spell the declared names."""
-    lines = _json_lines(spark, stage, prefix, streaming=False)
+    lines = _json_lines(spark, stage, path, streaming=0)
     layers = _json_spellings(lines, fields)
     if len(layers) > 1:
         return _parse_json_lines(lines, fields)
-    rows = spark.read.schema(_json_schema(layers[0])).json(
-        f"{stage}/{prefix}", mode="PERMISSIVE", columnNameOfCorruptRecord=_WHOLE
-    )
-    return _json_rows(rows, [_Row()], layers, fields, _place(stage, streaming=False))
+    rows = spark.read.schema(_json_schema(layers[0])).json(path, mode="PERMISSIVE", columnNameOfCorruptRecord=_WHOLE)
+    return _json_rows(rows, [_Row()], layers, fields, _place(stage, streaming=0))
 
 
 def raw_files(
@@ -224,19 +237,26 @@ def raw_files(
     prefix: str,
     file_format: str,
     schema: T.StructType,
-    streaming: bool = False,
+    streaming: int = 0,
     csv_header: str = "shared",
+    csv: CsvFormat = CSV,
+    paths: list[str] | None = None,
 ) -> DataFrame:
-    """Rows of a scan; in a stream json stays text lines, for ``parse_raw`` to read per micro-batch."""
+    """Rows of a scan; in a stream json stays text lines, for ``parse_raw`` to read per micro-batch.
+
+    ``streaming`` is the number of files of a micro-batch, 0 for a batch scan.  ``paths`` takes these files instead of
+    all under ``stage/prefix``.
+    """
     fields, reader = _data_fields(schema), reader_format(file_format)
+    path = paths or f"{stage}/{prefix}"
     if reader == "parquet":
-        return _scan_parquet(spark, stage, prefix, fields, streaming)
+        return _scan_parquet(spark, stage, path, fields, streaming)
     if reader == "json":
-        return _json_lines(spark, stage, prefix, True) if streaming else _scan_json(spark, stage, prefix, fields)
+        return _json_lines(spark, stage, path, streaming) if streaming else _scan_json(spark, stage, path, fields)
     if csv_header == "per_file" and not streaming:
-        layouts = _csv_layouts(spark, f"{stage}/{prefix}")
-        return reduce(DataFrame.unionByName, [_scan_csv(spark, stage, paths, fields, False) for paths in layouts])
-    return _scan_csv(spark, stage, f"{stage}/{prefix}", fields, streaming)
+        layouts = _csv_layouts(spark, path)
+        return reduce(DataFrame.unionByName, [_scan_csv(spark, stage, own, fields, 0, csv) for own in layouts])
+    return _scan_csv(spark, stage, path, fields, streaming, csv)
 
 
 def parse_raw(raw: DataFrame, file_format: str, schema: T.StructType) -> DataFrame:
@@ -251,6 +271,8 @@ def parse_files(
     file_format: str,
     schema: T.StructType,
     csv_header: str = "shared",
+    csv: CsvFormat = CSV,
+    paths: list[str] | None = None,
 ) -> DataFrame:
     """All records of the files under ``stage/prefix``, columns matched by name ignoring case.
 
@@ -259,7 +281,7 @@ def parse_files(
     the parser refused and ``_bad_column`` the column at fault, if one is.  Csv files share one
     header unless ``csv_header`` is ``"per_file"``, which reads the header of each file first.
     """
-    return raw_files(spark, stage, prefix, file_format, schema, csv_header=csv_header)
+    return raw_files(spark, stage, prefix, file_format, schema, csv_header=csv_header, csv=csv, paths=paths)
 
 
 def loaded_rows(parsed: DataFrame, scan_time: dt.datetime | None = None, on_error: str = "abort") -> DataFrame:
@@ -292,12 +314,30 @@ def load_files(
     scan_time: dt.datetime | None = None,
     on_error: str = "abort",
     csv_header: str = "shared",
+    csv: CsvFormat = CSV,
 ) -> DataFrame:
     """Rows of the files under ``stage/prefix`` in the declared schema, with provenance."""
-    parsed = parse_files(spark, stage, prefix, file_format, schema, csv_header=csv_header)
+    parsed = parse_files(spark, stage, prefix, file_format, schema, csv_header=csv_header, csv=csv)
     return loaded_rows(parsed, scan_time, on_error)
 
 
+def _unseen(spark: SparkSession, table: str, stage: str, prefix: str) -> list[str]:
+    """Files under ``stage/prefix`` that no row of the table comes from.
+
+    Files are listed without being read, and names are compared on the executors.  What comes to the driver are
+    paths, which the driver's own file listing of the scan holds as well.
+    """
+    path = f"{stage}/{prefix}"
+    try:
+        listed = spark.read.format("binaryFile").load(path).select(_stage_name(stage).alias(FILE), F.col("_metadata.file_path").alias("path"))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    known = spark.table(table).select(F.col("metadata_filename").alias(FILE)).distinct()
+    return [unquote(row["path"]) for row in listed.join(known, FILE, "left_anti").select("path").collect()]
+
+
 def load_into_table(
     spark: SparkSession,
     table: str,
@@ -308,11 +348,26 @@ def load_into_table(
     scan_time: dt.datetime | None = None,
     on_error: str = "abort",
     csv_header: str = "shared",
-) -> None:
-    """Append the files to a table by column name; ``truncate`` replaces its rows instead."""
+    csv: CsvFormat = CSV,
+    force: bool = False,
+) -> dict[str, int]:
+    """Load the files into a table by column name; returns rows_parsed, rows_loaded and errors_seen.
+
+    A table with provenance knows which files its rows come from; those are not loaded again unless ``force`` is set.
+    ``truncate`` replaces the table's rows and loads every file; the rows are staged first, so a load that aborts
+    leaves the table as it was.  The counts ride on the write.
+    """
     schema = spark.table(table).schema
-    rows = load_files(spark, stage, prefix, file_format, schema, scan_time, on_error, csv_header)
+    keeps_history = PROVENANCE.names[0] in [n.lower() for n in schema.names]
+    paths = _unseen(spark, table, stage, prefix) if keeps_history and not (truncate or force) else None
+    if paths == []:
+        return {"rows_parsed": 0, "rows_loaded": 0, "errors_seen": 0}
+    seen = Observation()
+    parsed = parse_files(spark, stage, prefix, file_format, schema, csv_header=csv_header, csv=csv, paths=paths)
+    bad = F.count_if(F.col(BAD_TEXT).isNotNull())
+    counted = parsed.observe(seen, F.count(F.lit(1)).alias("rows_parsed"), (F.count(F.lit(1)) - bad).alias("rows_loaded"), bad.alias("errors_seen"))
+    rows = loaded_rows(counted, scan_time, on_error)
     aligned = rows.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in schema])
-    if truncate:
-        spark.sql(f"TRUNCATE TABLE {table}")
-    aligned.write.insertInto(table)
+    # An overwrite removes the old files before it writes, so it starts only once all rows have been read and taken.
+    (staged(aligned) if truncate else aligned).write.insertInto(table, overwrite=truncate)
+    return seen.get

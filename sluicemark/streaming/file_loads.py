@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from sluicemark.sources.files import PROVENANCE
-from sluicemark.sources.loading import load_files, loaded_rows, parse_raw, raw_files
+from sluicemark.sources.loading import FILES_PER_BATCH, load_files, loaded_rows, parse_raw, raw_files
 
 BATCH = "load_batch"
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder, if it is there."""
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
@@ -36,15 +37,16 @@ def for_new_files(
     handle: Callable[[DataFrame, int], None],
     scan_time: dt.datetime | None = None,
     on_error: str = "abort",
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> None:
-    """Hand the rows of files not seen before to ``handle(rows, batch_id)``.
+    """Hand the rows of files not seen before to ``handle(rows, batch_id)``, whatever the files' dates are.
 
     Rows are matched by name and stamped as in a batch load.
     """
     def batch(raw: DataFrame, batch_id: int) -> None:
         handle(loaded_rows(parse_raw(raw, file_format, schema), scan_time, on_error), batch_id)
 
-    run_once(raw_files(spark, stage, prefix, file_format, schema, streaming=True), checkpoint, batch)
+    run_once(raw_files(spark, stage, prefix, file_format, schema, streaming=files_per_batch), checkpoint, batch)
 
 
 def load_new_files(
@@ -58,6 +60,7 @@ def load_new_files(
     scan_time: dt.datetime | None = None,
     on_error: str = "abort",
     force: bool = False,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> None:
     """Append rows of new files under ``stage/prefix`` to the files at ``table``.
 
@@ -73,13 +76,13 @@ def load_new_files(
             f"{table}/{BATCH}=forced-{uuid.uuid4().hex}"
         )
     else:
-        for_new_files(spark, stage, prefix, file_format, schema, checkpoint, append, scan_time, on_error)
+        for_new_files(spark, stage, prefix, file_format, schema, checkpoint, append, scan_time, on_error, files_per_batch)
 
 
 def truncate_loaded(spark: SparkSession, table: str, checkpoint: str) -> None:
     """Remove the rows and the load history, so the same files load again."""
-    _delete(spark, checkpoint)
-    _delete(spark, table)
+    delete_path(spark, checkpoint)
+    delete_path(spark, table)
 
 
 def read_loaded(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:

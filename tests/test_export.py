@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluicemark.operators import export
+from sluicemark.sources.files import read_or_empty
+from sluicemark.sources.loading import load_files
 
 
 def files(folder):
@@ -22,22 +24,28 @@ def test_limit_zero_none_and_n(spark, tmp_path):
 
 
 @pytest.mark.parametrize("n", [1, 9, 10, 11, 55, 99, 100, 500])
-def test_large_limit_keeps_exactly_n_rows_without_one_task(spark, tmp_path, monkeypatch, n):
-    monkeypatch.setattr(export, "SINGLE_TASK_LIMIT", 0)
+def test_limit_keeps_exactly_n_rows(spark, tmp_path, n):
     spark.range(0, 100, numPartitions=10).write.parquet(str(tmp_path / "t"))
-    limited = export.limit_rows(spark.read.parquet(str(tmp_path / "t")), n, repeatable=True)
+    limited = export.limit_rows(spark.read.parquet(str(tmp_path / "t")), n)
     assert limited.distinct().count() == min(n, 100)
     assert limited.columns == ["id"]
-    assert "SinglePartition" not in limited._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize("n", [1, 37, 200])
-def test_large_limit_of_a_sorted_frame_keeps_the_first_rows(spark, monkeypatch, n):
-    monkeypatch.setattr(export, "SINGLE_TASK_LIMIT", 0)
+def test_limit_of_a_sorted_frame_keeps_the_first_rows(spark, n):
     sorted_ids = spark.range(0, 100, numPartitions=7).orderBy(F.col("id").desc())
     assert sorted(r["id"] for r in export.limit_rows(sorted_ids, n).collect()) == list(range(max(0, 100 - n), 100))
 
 
+def test_csv_comes_back_as_it_was(spark, tmp_path):
+    rows = [(1, 'say "hi", ok'), (2, "one\ntwo"), (3, ""), (4, None), (5, "  spaces  "), (6, '"'), (7, 'back\\slash"'), (8, ",")]
+    df = spark.createDataFrame(rows, "id int, t string")
+    folder = export.unload(df, str(tmp_path / "x"), "csv")
+    rows[2] = (3, None)  # an empty text is written like a null
+    assert sorted(map(tuple, read_or_empty(spark, folder, "csv", df.schema).collect())) == rows
+    assert sorted(map(tuple, load_files(spark, str(tmp_path), "x", "csv", df.schema).select("id", "t").collect())) == rows
+
+
 def test_empty_table_unloads(spark, tmp_path):
     export.unload(spark.range(0), str(tmp_path / "none"), "parquet")
     assert spark.read.schema("id long").parquet(str(tmp_path / "none")).count() == 0

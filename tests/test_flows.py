@@ -44,7 +44,7 @@ def test_upsert_table_publishes_a_new_version(spark, tmp_path, buckets):
     assert before.count() == 2  # readers of the old version are not disturbed
     # the same scan time again: nothing is above the watermark
     assert flows.upsert_table(spark, config, T1, buckets) == (0, 0)
-    assert len(flows._versions(spark, table)) == 2
+    assert len(flows._versions(spark, table)) == 3  # old versions stay a day
 
 
 def test_bucketed_target_is_not_shuffled_by_a_large_batch(spark, tmp_path):
@@ -58,7 +58,7 @@ def test_bucketed_target_is_not_shuffled_by_a_large_batch(spark, tmp_path):
         assert merged.count() == 150
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert plan.count("Exchange") == 2  # the batch, once per join; never the target
+    assert plan.count("Exchange") == 1  # the batch; never the target
 
 
 def test_frame_upsert_refuses_repeated_keys(spark):
@@ -76,7 +76,7 @@ def test_many_tables(spark, tmp_path):
         drop(spark, str(tmp_path / name), [(1, name), (5, name)])
         configs.append(flows.TableConfig(target(spark, [(1, "old")], name), str(tmp_path), name, ["id"], ["v"]))
     found = sorted(tuple(r) for r in flows.upsert_tables(spark, configs, T1).collect())
-    assert found == [("a", 1, 1), ("b", 1, 1), ("c", 1, 1)]
+    assert found == [("a", "done", None, 1, 1), ("b", "done", None, 1, 1), ("c", "done", None, 1, 1)]
 
 
 def test_partition_upsert_touches_only_its_partitions(spark, tmp_path):

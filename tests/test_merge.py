@@ -89,8 +89,9 @@ def test_small_batch_leaves_the_target_unshuffled(spark, tmp_path):
     assert plan.count("Exchange hashpartitioning") == 1  # distinct matched keys, no more than the batch
 
 
-def test_hot_null_key_of_the_target_is_split(spark, tmp_path):
-    """A third of the target has no key; adaptive execution divides that partition of the join."""
+@pytest.mark.parametrize("hot", ["null", "5"])
+def test_hot_key_of_the_target(spark, tmp_path, hot):
+    """A third of the target has no key, and is set aside; or it has one, and adaptive execution divides it."""
     settings_for_small_data = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -101,15 +102,15 @@ def test_hot_null_key_of_the_target_is_split(spark, tmp_path):
     for name, value in settings_for_small_data.items():
         spark.conf.set(name, value)
     try:
-        rows = spark.range(0, 60_000, numPartitions=8).selectExpr("if(id % 3 = 0, null, id) AS id", "uuid() AS v")
+        rows = spark.range(0, 60_000, numPartitions=8).selectExpr(f"if(id % 3 = 0, {hot}, id) AS id", "uuid() AS v")
         rows.write.parquet(str(tmp_path / "t"))
         target = spark.read.parquet(str(tmp_path / "t"))
         source = spark.range(50_000, 70_000).selectExpr("id", "'new' AS v")
-        merged = upsert(target, source, ["id"])
+        merged = upsert(target, source, ["id"], target_keys_repeat=hot != "null")
         found = merged.collect()
-        assert sum(r["id"] is None for r in found) == 20_000
+        assert sum(str(r["id"]) in ("None", "5") for r in found) == 20_000 + (1 if hot == "5" else 1)
         assert sum(r["v"] == "new" for r in found) == 20_000
-        assert "skew=true" in merged._jdf.queryExecution().executedPlan().toString()
+        assert hot == "null" or "skew=true" in merged._jdf.queryExecution().executedPlan().toString()
     finally:
         for name in settings_for_small_data:
             spark.conf.unset(name)

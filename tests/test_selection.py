@@ -59,7 +59,7 @@ def test_database_options():
     """Option building only: no database is started for tests."""
     plain = database.jdbc_options("jdbc:x", "s.t")
     assert plain == {"url": "jdbc:x", "dbtable": "s.t", "fetchsize": "10000"}
-    split = database.jdbc_options("jdbc:x", "select * from t", {"user": "u"}, "id", (1, 90), 4, 500)
+    split = database.jdbc_options("jdbc:x", "select * from t", {"user": "u"}, "id", (1, 90), 4, 500, is_query=True)
     assert split == {
         "url": "jdbc:x", "dbtable": "(select * from t) q", "fetchsize": "500", "user": "u",
         "partitionColumn": "id", "lowerBound": "1", "upperBound": "90", "numPartitions": "4",
