@@ -37,9 +37,9 @@ RADIUS = 2
 HASH_SEED = 42
 NEAR_SHINGLE = 5
 NEAR_WORDS = 4  # of 64 bits
-NEAR_PARTS = 3
+NEAR_PARTS = 4
 NEAR_PART_BITS = 48
-NEAR_PART_RADIUS = 5
+NEAR_PART_RADIUS = 4
 NEAR_DISTANCE = 44  # of 256 bits, where texts of similarity 0.8 lie
 _PART = 1 << 16
 _BITS_OF_BYTE = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
