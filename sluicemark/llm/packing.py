@@ -43,7 +43,7 @@ SCHEMA = (
 # A space before something that isn't white space always starts a new word of the byte-level
 # pre-tokenizer, so words on either side of it can be encoded on their own.
 _WORD_START = re.compile(r" (?=\S)")
-_CACHED_WORDS = 1_000_000
+_CACHED_WORDS = 400_000
 _CACHED_LENGTH = 64
 
 
@@ -56,12 +56,24 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab()
+        self.starts = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids that begin with a space
+        self.starts[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
         self.known: dict[str, bytes] = {}
 
     def _bytes(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word with its space, encoded as one text: every space in it starts a word."""
+        ids = self._bytes([" " + " ".join(words)])[0]
+        at = np.flatnonzero(self.starts[np.frombuffer(ids, dtype="<u4")])
+        if len(at) != len(words):  # a word with white space inside
+            return self._bytes([" " + w for w in words])
+        bounds = [*(at * 4).tolist(), len(ids)]
+        return [ids[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+
     def encode(self, text: str) -> np.ndarray:
         if any(t in text for t in self.added):
             return np.frombuffer(self._bytes([text])[0], dtype="<u4")
@@ -69,9 +81,9 @@ class Encoder:
         if len(self.known) > _CACHED_WORDS:
             self.known.clear()
         new = list(set(words).difference(self.known))
-        for at in range(0, len(new), 10_000):
-            block = new[at : at + 10_000]
-            self.known.update(zip(block, self._bytes([" " + w for w in block]), strict=True))
+        for at in range(0, len(new), 1_000):
+            block = new[at : at + 1_000]
+            self.known.update(zip(block, self._words(block), strict=True))
         ids = b"".join([*(self._bytes([head]) if head else []), *map(self.known.__getitem__, words)])
         for word in new:
             if len(word) > _CACHED_LENGTH:
