@@ -99,3 +99,30 @@ def test_near_groups_find_copies_with_changed_words(prepared):
     found = {r.doc: r.component for r in simhash.near_groups(documents(prepared, rows)).collect()}
     assert all(found[i] == i for i in alone)
     assert sum(found[k] != k for k in found) == 40
+
+
+def five_word_sets(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def pair_of(similarity, rng, shingles=400):
+    """Two texts whose sets of five-word shingles are as similar as that, in their ends."""
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
+    common = [word() for _ in range(round(shingles * 2 * similarity / (1 + similarity)) + 4)]
+    own = shingles + 4 - len(common)
+    return tuple(" ".join(common + [word() for _ in range(own)]) for _ in range(2))
+
+
+def test_near_groups_find_isolated_pairs(prepared):
+    rng, rows, similarity = random.Random(3), [], {}
+    for i in range(600):
+        a, b = pair_of((0.805, 0.85, 0.90)[i % 3], rng)
+        rows += [(2 * i, a, "en", "a"), (2 * i + 1, b, "en", "b")]
+        left, right = five_word_sets(a), five_word_sets(b)
+        similarity[i] = len(left & right) / len(left | right)
+        assert similarity[i] >= 0.8
+    found = {r.doc: r.component for r in simhash.near_groups(documents(prepared, rows)).collect()}
+    for least in (0.80, 0.84, 0.89):
+        pairs = [i for i, s in similarity.items() if least <= s < least + 0.03]
+        assert len(pairs) == 200 and sum(found[2 * i + 1] == 2 * i for i in pairs) >= 196
