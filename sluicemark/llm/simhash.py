@@ -13,8 +13,8 @@ and all at one centre are linked to its smallest.  Work is linear in the fingerp
 
 ``near_groups`` is for texts of a Jaccard similarity of 0.8 or more, which lie too far apart for covering masks: 32
 tables of 8 MinHash values each give the candidates, and exact shingle sets decide.  A pair shares a bucket with a
-chance of 1 - (1 - J^8)^32: 0.997 at 0.8, over 0.9999 at 0.85.  A bucket compares
-its members with its leader.
+chance of 1 - (1 - J^8)^32: 0.997 at 0.8, over 0.9999 at 0.85.  All pairs of a bucket are compared or
+linked already, and no bucket is cut.
 
 Null and empty texts have fingerprint 0 and are linked like any other; in ``near_groups`` they are one group.  Null ids are carried along and are
 never a representative unless a group has nothing else.  Repeated rows stay.  An empty table gives no rows.
@@ -189,13 +189,35 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return met.filter(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * NEAR_SIMILARITY).select("f", "g")
 
 
+def _sizes_allow(a: str, b: str) -> Column:
+    return F.least(a, b) * 100 >= F.greatest(a, b) * NEAR_SIMILARITY
+
+
+def _to_leaders(members: DataFrame) -> DataFrame:
+    """Pairs of a member and its bucket's leader that are not in one component yet."""
+    leaders = members.filter(F.col("f") == F.col("g")).select("key", F.col("n").alias("ng"), F.col("c").alias("cg"))
+    return members.join(leaders, "key").filter((F.col("c") != F.col("cg")) & _sizes_allow("n", "ng")).select("f", "g").distinct()
+
+
+def _across(members: DataFrame) -> DataFrame:
+    """All other pairs of a bucket that are not in one component; those of its largest component among themselves are never formed."""
+    sizes = members.groupBy("key", "c").agg(F.count(F.lit(1)).alias("size"))
+    largest = sizes.groupBy("key").agg(F.max(F.struct("size", "c"))["c"].alias("largest"), F.count(F.lit(1)).alias("parts")).filter(F.col("parts") > 1)
+    mixed = staged(members.filter(F.col("f") != F.col("g")).join(largest.select("key", "largest"), "key"))
+    minor = mixed.filter(F.col("c") != F.col("largest")).select("key", F.col("f").alias("other"), F.col("c").alias("c_other"), F.col("n").alias("n_other"))
+    apart = (F.col("c") != F.col("c_other")) & ((F.col("c") == F.col("largest")) | (F.col("f") < F.col("other")))
+    return mixed.join(minor, "key").filter(apart & _sizes_allow("n", "n_other")).select("f", F.col("other").alias("g")).distinct()
+
+
 def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = NEAR_SHINGLE) -> DataFrame:
     """(doc, text_key, group, component) of every row; documents with one set of shingles, or linked ones, share a group.
 
     ``component`` is the group's smallest id, null if it has none.
 
     Two sets are linked if they share a bucket and their Jaccard similarity, counted exactly, is at least
-    ``NEAR_SIMILARITY`` per cent.  A set is compared with the leader of each of its buckets.
+    ``NEAR_SIMILARITY`` per cent.  First each set meets one leader, then the leader of each of its buckets, then all
+    members of its buckets; pairs in one component already are not compared, so groups of copies stay linear, and
+    no other pair of a bucket is left out.
     """
     prints = staged(near_signatures(docs, doc_id, text, shingle))
     distinct = staged(prints.groupBy("f").agg(F.min("row").alias("row"), F.min("doc").alias("least"), F.first("n").alias("n"), F.first("keys").alias("keys")))
@@ -205,7 +227,10 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     needed = distinct.join(met.select("f").distinct(), "f", "left_semi").select("f", "row")
     texts = _rows(docs, doc_id, text).select("row", "text").join(needed, "row").dropDuplicates(["row"])
     sets = staged(_shingle_sets(texts.select("f", "text"), shingle))
-    links = staged(_similar(met.filter(F.col("f") != F.col("g")).select("f", "g").distinct(), sets))
+    links = staged(_similar(met.filter(F.col("f") != F.col("g")).groupBy("f").agg(F.min("g").alias("g")), sets))
+    for pairs in (_to_leaders, _across):
+        members = met.join(components(links, "f", "g").withColumnRenamed("node", "f"), "f", "left").withColumn("c", F.coalesce("component", "f"))
+        links = staged(links.union(_similar(pairs(staged(members.select("key", "f", "n", "g", "c"))), sets)))
     groups = components(links, "f", "g")
     named = distinct.select("f", "least").join(groups.withColumnRenamed("node", "f"), "f", "left").withColumn("group", F.coalesce("component", "f"))
     least = named.groupBy("group").agg(F.min("least").alias("component"))

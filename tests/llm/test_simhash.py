@@ -126,3 +126,27 @@ def test_near_groups_find_isolated_pairs(prepared):
     for least in (0.80, 0.84, 0.89):
         pairs = [i for i, s in similarity.items() if least <= s < least + 0.03]
         assert len(pairs) == 200 and sum(found[2 * i + 1] == 2 * i for i in pairs) >= 196
+
+
+def test_no_pair_of_a_bucket_stays_uncompared(prepared):
+    rng = random.Random(8)
+    members = {(rng.randrange(6), f, rng.randrange(40, 60), rng.randrange(4)) for f in range(120)}
+    leader = {k: min(f for key, f, _, _ in members if key == k) for k, *_ in members}
+    frame = prepared.createDataFrame([(k, f, n, leader[k], c) for k, f, n, c in members], "key long, f long, n long, g long, c long")
+    found = [tuple(sorted((r.f, r.g))) for pairs in (simhash._to_leaders, simhash._across) for r in pairs(frame).collect()]
+    apart = {tuple(sorted((f, g))) for k, f, n, c in members for l, g, m, d in members if k == l and c != d and min(n, m) * 100 >= max(n, m) * 80}
+    assert len(found) == len(set(found)) and set(found) == apart
+
+
+def test_near_groups_look_past_an_unrelated_leader(prepared):
+    # texts of one family are 0.5 similar, its pairs 0.81; hundreds of strangers share buckets with each pair
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
+    family, rows = [word() for _ in range(140)], []
+    for i in range(300):
+        shared = family + [word() for _ in range(42)]
+        rows += [(2 * i + j, " ".join(shared + [word() for _ in range(20)]), "en", "a") for j in range(2)]
+    left, right = five_word_sets(rows[0][1]), five_word_sets(rows[1][1])
+    assert 0.79 < len(left & right) / len(left | right) < 0.83
+    found = {r.doc: r.component for r in simhash.near_groups(documents(prepared, rows)).collect()}
+    assert sum(found[2 * i] == found[2 * i + 1] == 2 * i for i in range(300)) >= 294
