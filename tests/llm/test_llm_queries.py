@@ -68,3 +68,11 @@ def test_near_duplicate_stage_keeps_one_of_each_group(prepared):
             (None, "without id", "en", "a")]
     found = corpus_pipeline.dedup_near(prepared, documents(prepared, rows), "")
     assert sorted(str(r.doc_id) for r in found.collect()) == ["2", "7", "None"]
+
+
+def test_line_stage_keeps_what_is_left_of_a_document(prepared):
+    licence = " ".join(f"licence{i}" for i in range(60))
+    rows = [(s, f"{licence}\n" + " ".join(f"own{s}x{i}" for i in range(55)), "en", f"site{s}") for s in range(12)]
+    rows += [(20, licence, "en", "site1")]
+    found = {r.doc_id: r.text for r in corpus_pipeline.dedup_lines(prepared, documents(prepared, rows), "").collect()}
+    assert found == {i: text if i == 0 else text.split("\n")[1] for i, text, _, _ in rows if i != 20}
