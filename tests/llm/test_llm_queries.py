@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
@@ -76,3 +77,21 @@ def test_line_stage_keeps_what_is_left_of_a_document(prepared):
     rows += [(20, licence, "en", "site1")]
     found = {r.doc_id: r.text for r in corpus_pipeline.dedup_lines(prepared, documents(prepared, rows), "").collect()}
     assert found == {i: text if i == 0 else text.split("\n")[1] for i, text, _, _ in rows if i != 20}
+
+
+FOREIGN = [
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+    "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+]
+
+
+def test_language_stage_rejects_what_is_like_no_language(prepared):
+    clean = prepared.read.parquet(f"{SF_DIR}/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    rng = random.Random(6)
+    salad = lambda letters: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(150))
+    greek, han = "αβγδεζηθικλμνξοπρστυφχψω", "".join(map(chr, range(0x4E00, 0x5100)))
+    junk = [*FOREIGN, *[salad(a) for a in ("abcdefghijklmnopqrstuvwxyz", greek, han) for _ in range(40)]]
+    planted = documents(prepared, [(10**9 + i, t, None, "a") for i, t in enumerate(junk)]).select(*corpus_pipeline.COLUMNS)
+    kept = {r.doc_id for r in corpus_pipeline.identify_language(prepared, clean.union(planted), "").select("doc_id").collect()}
+    assert {r.doc_id for r in clean.collect()} <= kept
+    assert sum(i >= 10**9 for i in kept) <= len(junk) * 0.05 and not kept & {10**9, 10**9 + 1}
