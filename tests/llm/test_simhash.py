@@ -150,3 +150,9 @@ def test_near_groups_look_past_an_unrelated_leader(prepared):
     assert 0.79 < len(left & right) / len(left | right) < 0.83
     found = {r.doc: r.component for r in simhash.near_groups(documents(prepared, rows)).collect()}
     assert sum(found[2 * i] == found[2 * i + 1] == 2 * i for i in range(300)) >= 294
+
+
+def test_near_groups_leave_texts_below_the_similarity_apart(prepared):
+    rng = random.Random(5)
+    rows = [(2 * i + j, text, "en", "a") for i in range(200) for j, text in enumerate(pair_of(0.78, rng))]
+    assert {r.doc: r.component for r in simhash.near_groups(documents(prepared, rows)).collect()} == {i: i for i in range(400)}
