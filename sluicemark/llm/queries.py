@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicemark.llm import hnsw, hosts, languages, lines, mixing, packing, pages, pii, simhash, topk
+from sluicemark.llm import filter_audit, hnsw, hosts, languages, lines, mixing, packing, pages, pii, prefix_trie, simhash, topk
 from sluicemark.queries.registry import Query, table
 from sluicemark.queries.registry import query as registered
 
@@ -92,3 +92,13 @@ def op9_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_host_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     urls = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return hosts.judge(urls).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op11_prefix_trie", prefix_trie.ORACLE)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op12_filter_audit", filter_audit.ORACLE)
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
