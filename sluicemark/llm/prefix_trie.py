@@ -36,7 +36,7 @@ from sluicemark.session import staged
 
 FAMILY, MOST_SHARED = 5, 9
 # Members above which a node belongs to the upper part: this many, or what keeps the upper part within MOST_TOP nodes.
-LEAST_TOP, MOST_TOP = 1_000, 10_000
+LEAST_TOP, MOST_TOP = 100, 10_000
 QUEUE_ROWS = 200_000
 CHUNK_IDS = 20_000
 PATHS = "conv long, depth long, hi long, lo long, phi long, plo long, bytes long, ends boolean"

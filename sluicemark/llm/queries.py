@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluicemark.llm import filter_audit, hnsw, hosts, languages, lines, mixing, packing, pages, pii, prefix_trie, simhash, topk
+from sluicemark.llm import filter_audit, hnsw, hosts, languages, lines, mixing, packing, pages, pii, prefix_trie, simhash, topk, trie_model
 from sluicemark.queries.registry import Query, table
 from sluicemark.queries.registry import query as registered
 
@@ -102,3 +102,9 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_filter_audit", filter_audit.ORACLE)
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op13_trie_model")
+def op13_trie_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = trie_model.score(table(spark, sf_dir, "documents"))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
