@@ -19,7 +19,7 @@ An empty table gives no rows.  Other columns are kept by ``predict``; one with t
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,9 @@ SEED = 7
 MOST_LANGUAGES = 10_000
 UNKNOWN = "und"
 _PART = 1 << 20  # code points worked on at once
-_PAIRS = 1 << 22  # entries of a dense count table
+_PAIRS = 1 << 21  # entries of a dense count table
+_DENSE = 1 << 21  # n-gram numbers told apart by a table; beyond, by sorting
+_KINDS = 4096  # n-grams bundled at once
 
 
 @cache
@@ -46,7 +48,7 @@ def _letters() -> np.ndarray:
     return table
 
 
-@cache
+@lru_cache(4096)  # 4 MB
 def _letter_vector(code: int, dimensions: int) -> np.ndarray:
     bits = np.random.default_rng([SEED, code]).integers(0, 2, dimensions, dtype=np.int8)
     return bits * 2 - 1
@@ -65,8 +67,9 @@ def _gram_vectors(grams: np.ndarray, dimensions: int) -> np.ndarray:
 def _grams(text: str, order: int) -> np.ndarray:
     """Code points of the text's n-grams; a run of other characters is one border, 0."""
     codes = _letters()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
-    framed = np.concatenate([[0], codes, [0]])
-    framed = framed[(framed > 0) | np.concatenate([[True], framed[:-1] > 0])]
+    framed = np.zeros(len(codes) + 2, dtype=np.uint32)
+    framed[1:-1] = codes
+    framed = framed[(framed > 0) | np.append(True, framed[:-1] > 0)]
     if len(framed) <= 2:
         return np.zeros((0, order), dtype=np.uint32)
     if len(framed) < order:
@@ -83,21 +86,23 @@ def bundles(texts: list[str | None], dimensions: int = DIMENSIONS, order: int =
     def flush() -> None:
         if not part:
             return
-        owners = np.repeat(np.arange(len(part)), [len(g) for _, g in part])
-        grams = np.concatenate([g for _, g in part])
+        owners = np.repeat(np.arange(len(part), dtype=np.int32), [len(g) for _, g in part])
         alphabet = np.zeros(0x110000, dtype=bool)
-        alphabet[grams] = True
+        for _, grams in part:
+            alphabet[grams[:, 0]] = alphabet[grams[-1]] = True
         letters = np.flatnonzero(alphabet)
-        small = np.zeros(0x110000, dtype=np.int64)
+        small = np.zeros(0x110000, dtype=np.int32)
         small[letters] = np.arange(len(letters))
-        code = small[grams[:, 0]]
-        for place in range(1, order):
-            code = code * len(letters) + small[grams[:, place]]
-        kinds, code = _compact(code, len(letters) ** order)
+        most = len(letters) ** order
+        code = np.zeros(len(owners), dtype=np.int32 if most < 1 << 31 else np.int64)
+        for place in range(order):
+            code *= len(letters)
+            code += np.concatenate([small[grams[:, place]] for _, grams in part])
+        kinds, code = _compact(code, most)
         spelled = np.stack([letters[kinds // len(letters) ** (order - 1 - p) % len(letters)] for p in range(order)], axis=1)
         rows = np.array([i for i, _ in part])
-        for at in range(0, len(kinds), 4096):
-            vectors = _gram_vectors(spelled[at : at + 4096], dimensions)
+        for at in range(0, len(kinds), _KINDS):
+            vectors = _gram_vectors(spelled[at : at + _KINDS], dimensions)
             inside = (code >= at) & (code < at + len(vectors))
             own, kind = owners[inside], code[inside] - at
             step = max(1, _PAIRS // len(vectors))
@@ -122,13 +127,13 @@ def bundles(texts: list[str | None], dimensions: int = DIMENSIONS, order: int =
 
 def _compact(code: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct values in order, and each value's place among them."""
-    if most > 1 << 24:
+    if most > _DENSE:
         return np.unique(code, return_inverse=True)
     there = np.zeros(most, dtype=bool)
     there[code] = True
     kinds = np.flatnonzero(there)
-    place = np.zeros(most, dtype=np.int64)
-    place[kinds] = np.arange(len(kinds))
+    place = np.zeros(most, dtype=np.int32)
+    place[kinds] = np.arange(len(kinds), dtype=np.int32)
     return kinds, place[code]
 
 

@@ -11,6 +11,8 @@ tokens, and the pieces of sequences still open when the partition ends, are stru
 capacity; what is left at the very end is cut into powers of two, which need no padding.  A worker
 holds less than ``classes`` open sequences at a time, so its memory does not grow with its input.
 
+Texts are encoded in slices of ``SLICE_BYTES`` (a longer text is a slice of its own), so a very long text costs memory in proportion to itself.
+
 Null and empty texts are one end token.  Null ids are carried along.  Repeated rows are packed
 once each.  An empty table gives no rows.  Other columns are not read.
 """
@@ -18,15 +20,15 @@ once each.  An empty table gives no rows.  Other columns are not read.
 from __future__ import annotations
 
 import os
-import re
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,15 +42,32 @@ SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, class int"
 )
 
-# A space before something that isn't white space always starts a new word of the byte-level
-# pre-tokenizer, so words on either side of it can be encoded on their own.
-_WORD_START = re.compile(r" (?=\S)")
-_CACHED_WORDS = 400_000
-_CACHED_LENGTH = 64
+# White space that str.split knows, beyond ASCII, as UTF-8 (fixed values).
+_WIDE_SPACES = [ch.encode() for ch in "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"]
+_IS_SPACE = np.zeros(256, dtype=bool)
+_IS_SPACE[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
+SLICE_BYTES = 16 << 20
+
+
+def word_starts(data: np.ndarray) -> np.ndarray:
+    """Places of the spaces that stand before something else than white space.
+
+    There the byte-level pre-tokenizer always starts a new word, so what lies on either side can be encoded on its own.
+    """
+    at = np.flatnonzero(data[:-1] == 0x20) if len(data) else np.zeros(0, dtype=np.int64)
+    at = at[~_IS_SPACE[data[at + 1]]]
+    wide = np.flatnonzero(data[at + 1] >= 0x80)
+    for space in _WIDE_SPACES if len(wide) else ():
+        ahead = at[wide][:, None] + 1 + np.arange(len(space))
+        whole = ahead[:, -1] < len(data)
+        hit = np.zeros(len(wide), dtype=bool)
+        hit[whole] = (data[ahead[whole]] == np.frombuffer(space, dtype=np.uint8)).all(axis=1)
+        at, wide = np.delete(at, wide[hit]), np.flatnonzero(np.delete(data[at + 1] >= 0x80, wide[hit]))
+    return at
 
 
 class Encoder:
-    """Ids of whole texts, with the ids of short words remembered across a worker's tasks."""
+    """Ids of whole texts; the words of a slice of texts are told apart first, and each is encoded once."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -59,40 +78,69 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.starts = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids that begin with a space
         self.starts[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
-        self.known: dict[str, bytes] = {}
-
-    def _bytes(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
 
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of each word with its space, encoded as one text: every space in it starts a word."""
-        ids = self._bytes([" " + " ".join(words)])[0]
-        at = np.flatnonzero(self.starts[np.frombuffer(ids, dtype="<u4")])
-        if len(at) != len(words):  # a word with white space inside
-            return self._bytes([" " + w for w in words])
-        bounds = [*(at * 4).tolist(), len(ids)]
-        return [ids[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+    def _each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, and how many each has."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(found), dtype=np.uint32), np.array([len(ids) for ids in found], dtype=np.int64)
+
+    def _distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_each``; words that are a space and then no white space are encoded as one text: every space in it starts a word."""
+        plain = pc.match_substring_regex(words, r"^ [^\s\x0b\x1c-\x1f]+$").to_numpy(zero_copy_only=False)
+        plain &= pc.equal(pc.binary_length(words), pc.utf8_length(words)).to_numpy(zero_copy_only=False)
+        lens = np.zeros(len(words), dtype=np.int64)
+        odd, lens[~plain] = self._each(words.filter(pa.array(~plain)).to_pylist())
+        parts, chosen = [], np.flatnonzero(plain)
+        for first in range(0, len(chosen), 1_000):
+            block = chosen[first : first + 1_000]
+            texts = words.take(pa.array(block)).to_pylist()
+            ids, _ = self._each(["".join(texts)])
+            at = np.flatnonzero(self.starts[ids])
+            if len(at) == len(block):
+                lens[block] = np.diff(np.append(at, len(ids)))
+            else:
+                ids, lens[block] = self._each(texts)
+            parts.append(ids)
+        # Back into the words' own order.
+        together = np.concatenate([odd, *parts])
+        order = np.concatenate([np.flatnonzero(~plain), chosen])
+        begin = np.zeros(len(words), dtype=np.int64)
+        begin[order] = np.cumsum(lens[order]) - lens[order]
+        return together, np.stack([begin, lens])
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and how many each has; a null is empty."""
+        texts = pc.fill_null(texts, "")
+        texts = pa.concat_arrays([texts]) if not texts.offset else pa.array(texts.to_pylist(), pa.string())
+        bounds = np.frombuffer(texts.buffers()[1], dtype=np.int32)[: len(texts) + 1].astype(np.int64)
+        data = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)[: bounds[-1]]
+        raw = data.tobytes()
+        if any(t.encode() in raw for t in self.added):
+            return self._each(texts.to_pylist())
+        if not len(data):
+            return np.zeros(0, dtype=np.uint32), np.zeros(len(texts), dtype=np.int64)
+        own = bounds[:-1][np.diff(bounds) > 0]
+        inner = word_starts(data)
+        inner = inner[bounds[np.searchsorted(bounds, inner + 1)] != inner + 1]  # the last byte of a text starts no word
+        starts = np.sort(np.concatenate([inner, own]), kind="stable")
+        starts = starts[np.append(True, starts[1:] != starts[:-1])]
+        offsets = pa.py_buffer(np.append(starts, len(data)).astype(np.int32).tobytes())
+        words = pa.StringArray.from_buffers(len(starts), offsets, texts.buffers()[2]).dictionary_encode()
+        ids, (begin, lens) = self._distinct(words.dictionary)
+        codes = words.indices.to_numpy()
+        n = lens[codes]
+        ends = np.cumsum(n)
+        places = np.arange(int(ends[-1])) + np.repeat(begin[codes] - (ends - n), n)
+        total = np.append(0, ends)[np.searchsorted(starts, bounds)]
+        return ids[places], np.diff(total)
 
     def encode(self, text: str) -> np.ndarray:
-        if any(t in text for t in self.added):
-            return np.frombuffer(self._bytes([text])[0], dtype="<u4")
-        head, *words = _WORD_START.split(text)
-        if len(self.known) > _CACHED_WORDS:
-            self.known.clear()
-        new = list(set(words).difference(self.known))
-        for at in range(0, len(new), 1_000):
-            block = new[at : at + 1_000]
-            self.known.update(zip(block, self._words(block), strict=True))
-        ids = b"".join([*(self._bytes([head]) if head else []), *map(self.known.__getitem__, words)])
-        for word in new:
-            if len(word) > _CACHED_LENGTH:
-                del self.known[word]
-        return np.frombuffer(ids, dtype="<u4")
+        return self.encode_all(pa.array([text], pa.string()))[0]
 
 
 @cache
 def encoder_at(path: str) -> Encoder:
+    """The tokenizer of a worker process: its size does not depend on what it has encoded."""
     return Encoder(path)
 
 
@@ -190,13 +238,20 @@ def pack(
         bins = _Bins(TaskContext.get().partitionId() << 40, capacity)
         end = np.array([end_id], dtype="<u4")
         for batch in batches:
-            for doc, words in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids, start = np.concatenate([encoder.encode(words.as_py() or ""), end]), 0
-                for kind, size in cuts(len(ids), capacity, classes, slack):
-                    bins.add(kind, (doc, start, ids[start : start + size], len(ids)))
-                    start += size
-                if len(bins.rows) >= 10_000:
-                    yield bins.batch()
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy())
+            at = 0
+            while at < batch.num_rows:
+                before = int(sizes[at - 1]) if at else 0
+                to = min(int(np.searchsorted(sizes, before + SLICE_BYTES)) + 1, batch.num_rows)
+                ids, lens = encoder.encode_all(batch.column(1).slice(at, to - at))
+                for doc, mine in zip(batch.column(0).slice(at, to - at).to_pylist(), np.split(ids, np.cumsum(lens)[:-1]), strict=True):
+                    ids, start = np.append(mine, end), 0
+                    for kind, size in cuts(len(ids), capacity, classes, slack):
+                        bins.add(kind, (doc, start, ids[start : start + size], len(ids)))
+                        start += size
+                    if len(bins.rows) >= 10_000:
+                        yield bins.batch()
+                at = to
             yield bins.batch()
         bins.finish()
         yield bins.batch()
