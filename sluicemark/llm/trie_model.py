@@ -39,12 +39,11 @@ PRIORS = (0.0, 0.0, 200.0, 20.0)  # of orders 0 to 3; higher orders take the las
 BLOCK_BYTES = 12 << 20
 SHARD_TOKENS = 2_000_000
 END = ""  # no word is empty
-MOST_BUCKETS = 65_536
-BLOCK = (
-    "block long, docs array<long>, held_out array<boolean>, lens array<long>, words array<string>, codes array<int>, counts array<long>"
-)
-ASKED = "shard long, block long, contexts array<long>, context_counts array<long>, sizes array<int>, words array<long>, counts array<int>"
-ANSWER = "block long, level int, shard long, codes array<short>, nodes array<long>, counts array<long>"
+MOST_WORD_SHARDS = 65_536
+BLOCK = "block long, docs array<long>, held_out array<boolean>, lens binary, words array<string>, codes binary, counts binary"
+ASKED_WORDS = "shard long, block long, words array<string>, counts binary"
+ASKED = "shard long, block long, contexts binary, context_counts binary, sizes binary, words binary, counts binary"
+ANSWER = "block long, level int, shard long, distinct long, tokens long, codes binary, nodes binary, counts binary"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
@@ -52,23 +51,42 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
 
-def _list(values: np.ndarray, kind: pa.DataType) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))
+_CODEC = pa.Codec("zstd", compression_level=1)
 
 
-def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
-    offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64), kind))
+def packed(values: np.ndarray, steps: bool = False) -> bytes:
+    """Whole numbers, or their steps, in as few bytes each as they need, compressed byte by byte."""
+    values = np.diff(values.astype(np.int64), prepend=0) if steps else values
+    low, high = (int(values.min()), int(values.max())) if len(values) else (0, 0)
+    kind = np.promote_types(np.min_scalar_type(low), np.min_scalar_type(high)) if low < 0 else np.min_scalar_type(high)
+    kind = kind if kind.kind in "iu" else np.dtype(np.int64)
+    octets = values.astype(kind).view(np.uint8).reshape(len(values), kind.itemsize).T.tobytes()
+    head = f"{kind.str[1:]} {len(values)} {int(steps)} ".encode()
+    return head.ljust(24) + (_CODEC.compress(octets, asbytes=True) if octets else b"")
 
 
-def _numbers(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """All numbers of a column of lists, one list after the other."""
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return column.flatten().to_numpy(zero_copy_only=False)
+def unpacked(blob: bytes) -> np.ndarray:
+    kind, n, steps = blob[:24].split()
+    kind, n = np.dtype(kind.decode()), int(n)
+    if not n:
+        return np.zeros(0, dtype=np.int64)
+    octets = np.frombuffer(_CODEC.decompress(blob[24:], n * kind.itemsize, asbytes=True), dtype=np.uint8)
+    values = octets.reshape(kind.itemsize, n).T.copy().view(kind).reshape(n).astype(np.int64)
+    return np.cumsum(values) if steps == b"1" else values
 
 
-def _lengths(column: pa.ChunkedArray) -> np.ndarray:
-    return pc.fill_null(pc.list_value_length(column), 0).to_numpy().astype(np.int64)
+def _all(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of a packed column, row after row, and where each row's begin."""
+    rows = [unpacked(blob) for blob in column.to_pylist()]
+    return np.concatenate([np.zeros(0, dtype=np.int64), *rows]), np.append(0, np.cumsum([len(r) for r in rows], dtype=np.int64)).astype(np.int64)
+
+
+def _cut(values: np.ndarray, bounds: np.ndarray, steps: bool = False) -> pa.Array:
+    return pa.array([packed(values[a:b], steps) for a, b in zip(bounds, bounds[1:], strict=False)], pa.binary())
+
+
+def _batch(schema: str, *columns: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(list(columns), names=[f.split()[0] for f in schema.split(", ")])
 
 
 def _block(number: int, rows: pa.RecordBatch) -> pa.RecordBatch:
@@ -84,10 +102,8 @@ def _block(number: int, rows: pa.RecordBatch) -> pa.RecordBatch:
     counts = np.bincount(codes[taught], minlength=len(coded.dictionary) + 1)
     words = pa.concat_arrays([coded.dictionary, pa.array([END])])
     own = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([number], pa.int64()), own(rows.column(0)), own(rows.column(1)), _list(lens, pa.int64()), own(words), _list(codes, pa.int32()), _list(counts, pa.int64())],
-        names=[f.split()[0] for f in BLOCK.split(", ")],
-    )
+    blobs = [pa.array([packed(v)], pa.binary()) for v in (lens, codes, counts)]
+    return _batch(BLOCK, pa.array([number], pa.int64()), own(rows.column(0)), own(rows.column(1)), blobs[0], own(words), *blobs[1:])
 
 
 def blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -114,42 +130,78 @@ def blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block_by
 
 
 class Totals:
-    """Training tokens, distinct words among them, training documents, and a number above every word's."""
-
-    def __init__(self, tokens: int, distinct: int, documents: int, words: int):
-        self.tokens, self.distinct, self.documents, self.words = tokens, distinct, documents, words
-
-
-def number_words(held: DataFrame, buckets: int) -> tuple[DataFrame, Totals]:
-    """The answer of order 1, each block's words by place with number and training count; and the totals."""
-    # A word is once in a block, so a common one is a row per block.
-    each = held.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "w")).select("block", "place", "w.words", "w.counts")
-    dealt = each.withColumn("bucket", F.pmod(F.xxhash64("words"), F.lit(buckets))).repartition("bucket")
-    known = staged(dealt.select(
-        "block", "place", "bucket", F.expr("sum(counts) OVER (PARTITION BY bucket, words)").alias("n"),
-        F.expr("dense_rank() OVER (PARTITION BY bucket ORDER BY words)").alias("rank"),
-    ))
-    per_bucket = known.groupBy("bucket", "rank").agg(F.max("n").alias("n")).groupBy("bucket").agg(
-        F.max("rank").alias("most"), F.sum("n").alias("tokens"), F.count_if(F.col("n") > 0).alias("distinct")
-    ).collect()  # a row per bucket, MOST_BUCKETS at most
-    documents = held.select(F.expr("aggregate(held_out, 0L, (s, h) -> s + IF(h, 0L, 1L))").alias("n")).agg(F.sum("n")).first()[0]
-    offsets, at = [], 0
-    for row in sorted(per_bucket, key=lambda r: r["bucket"]):
-        offsets.append((row["bucket"], at))
-        at += row["most"]
-    starts = F.broadcast(held.sparkSession.createDataFrame(offsets, "own_bucket long, start long"))
-    numbered = known.join(starts, F.col("bucket") == F.col("own_bucket")).select("block", "place", (F.col("start") + F.col("rank") - 1).alias("node"), "n")
+    """Training tokens, distinct words among them, training documents, and the first number of each word shard."""
+
+    def __init__(self, tokens: int, distinct: int, documents: int, starts: np.ndarray):
+        self.tokens, self.distinct, self.documents, self.starts = tokens, distinct, documents, starts
+
+
+_POWER = np.uint64(0x9E3779B97F4A7C15)
+
 
-    def pack(rows: pa.Table) -> pa.Table:
-        order = np.argsort(rows["place"].to_numpy())
-        return pa.table({
-            "block": rows["block"].slice(0, 1), "level": pa.array([1], pa.int32()), "shard": pa.array([0], pa.int64()), "codes": _list(np.zeros(0, dtype=np.int16), pa.int16()),
-            "nodes": _list(rows["node"].to_numpy()[order], pa.int64()), "counts": _list(rows["n"].to_numpy()[order], pa.int64()),
-        })
+def _hashes(words: pa.Array) -> np.ndarray:
+    """A number for each word, to deal it to a shard by."""
+    bounds = np.frombuffer(words.buffers()[1], dtype=np.int32)[: len(words) + 1]
+    data = np.frombuffer(words.buffers()[2] or b"", dtype=np.uint8)[: bounds[-1]].astype(np.uint64) + np.uint64(1)
+    lens = np.diff(bounds)
+    powers = np.multiply.accumulate(np.full(max(int(lens.max(initial=0)), 1), _POWER))
+    sums = np.append(np.uint64(0), np.cumsum(data * powers[np.arange(len(data)) - np.repeat(bounds[:-1], lens)], dtype=np.uint64))
+    return _mixed((sums[bounds[1:]] - sums[bounds[:-1]]).view(np.int64))
 
-    answer = staged(numbered.groupBy("block").applyInArrow(pack, ANSWER))
-    tokens, distinct = sum(r["tokens"] for r in per_bucket), sum(r["distinct"] for r in per_bucket)
-    return answer, Totals(tokens, distinct, documents or 0, at)
+
+def _by_shard(shard: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order by shard (what comes first stays first), the shards there are, and where each begins."""
+    order = np.argsort(shard.astype(np.uint16) if len(shard) and shard.max() < 1 << 16 else shard, kind="stable")
+    shards, starts = np.unique(shard[order], return_index=True)
+    return order, shards, np.append(starts, len(order)).astype(np.int64)
+
+
+def _words(block: pa.Table) -> pa.Array:
+    return pa.concat_arrays([block["words"].combine_chunks().flatten()])
+
+
+def _ask_words(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                block = pa.Table.from_batches([batch.slice(row, 1)])
+                words, counts = _words(block), unpacked(block["counts"][0].as_py())
+                order, shards, bounds = _by_shard(_hashes(words) % buckets)
+                dealt = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), words.take(pa.array(order)))
+                yield _batch(ASKED_WORDS, pa.array(shards), pa.array([block["block"][0].as_py()] * len(shards), pa.int64()), dealt, _cut(counts[order], bounds))
+
+    return ask
+
+
+def _answer_words(rows: pa.Table) -> pa.Table:
+    """Number the shard's words and sum their training counts."""
+    rows = rows.combine_chunks()
+    coded = pa.concat_arrays([rows["words"].combine_chunks().flatten()]).dictionary_encode()
+    place, (counts, bounds) = coded.indices.to_numpy().astype(np.int64), _all(rows["counts"])
+    sums = np.zeros(len(coded.dictionary), dtype=np.int64)
+    np.add.at(sums, place, counts)
+    # Words that are in training come first, so that only they take up numbers.
+    number = np.empty(len(sums), dtype=np.int64)
+    number[np.argsort(sums == 0, kind="stable")] = np.arange(len(sums))
+    n, known = rows.num_rows, int((sums > 0).sum())
+    return pa.Table.from_batches([_batch(
+        ANSWER, rows["block"].combine_chunks(), pa.array([1] * n, pa.int32()), rows["shard"].combine_chunks(), pa.array([known] * n, pa.int64()),
+        pa.array([int(sums.sum())] * n, pa.int64()), pa.array([b""] * n, pa.binary()), _cut(number[place], bounds), _cut(sums[place], bounds),
+    )])
+
+
+def number_words(held: DataFrame) -> tuple[DataFrame, Totals]:
+    """The answer of order 1, each block's words with number within their shard and training count; and the totals."""
+    buckets = min(max(held.count(), 1), MOST_WORD_SHARDS)
+    # A word is once in a block, so a common one is one entry per block.
+    asked = held.select("block", "words", "counts").mapInArrow(_ask_words(buckets), ASKED_WORDS)
+    answer = staged(asked.groupBy("shard").applyInArrow(_answer_words, ANSWER))
+    per_shard = answer.groupBy("shard").agg(F.max("distinct").alias("distinct"), F.max("tokens").alias("tokens")).collect()  # MOST_WORD_SHARDS rows at most
+    documents = held.select(F.expr("aggregate(held_out, 0L, (s, h) -> s + IF(h, 0L, 1L))").alias("n")).agg(F.sum("n")).first()[0]
+    starts = np.zeros(buckets + 1, dtype=np.int64)
+    for row in per_shard:
+        starts[row["shard"] + 1] = row["distinct"]
+    return answer, Totals(sum(r["tokens"] for r in per_shard), int(starts.sum()), documents or 0, np.cumsum(starts))
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -160,50 +212,60 @@ def _mixed(values: np.ndarray) -> np.ndarray:
 
 
 class _Grams:
-    """Distinct n-grams of a block for one order, in the order in which shards are asked.
+    """Distinct n-grams of a block for one order, by context and word.
 
     ``of`` gives the n-gram of each token, -1 where a document has no context that long.
     """
 
     def __init__(self, contexts: np.ndarray, codes: np.ndarray, words: int):
-        whole = np.flatnonzero(contexts >= 0)
-        keys, at = np.unique(contexts[whole] * words + codes[whole], return_inverse=True)
-        self.context, self.word = keys // words, keys % words
+        whole = contexts >= 0
+        coded = pa.array(contexts[whole] * words + codes[whole]).dictionary_encode()
+        keys = coded.dictionary.to_numpy()
+        order = np.argsort(keys)
+        rank = np.empty(len(keys), dtype=np.int64)
+        rank[order] = np.arange(len(keys))
+        self.context, self.word = np.divmod(keys[order], words)
         self.of = np.full(len(codes), -1, dtype=np.int64)
-        self.of[whole] = at
+        self.of[whole] = rank[coded.indices.to_numpy()]
 
     def deal(self, nodes: np.ndarray, counts: np.ndarray, numbers: np.ndarray, known: np.ndarray, shards: int, split: int) -> None:
-        """Which n-grams are asked for (context and word were both seen in training), by shard, context and word."""
+        """Which n-grams are asked for (context and word were both seen in training), by shard."""
         seen = np.flatnonzero((counts[self.context] > 0) & known[self.word])
-        node, number = nodes[self.context[seen]], numbers[self.word[seen]]
-        spread = np.where(counts[self.context[seen]] > split, _mixed(node) ^ _mixed(number + 1), node)
-        shard = _mixed(spread) % shards
-        order = np.lexsort((number, node, shard))
-        self.asked, self.shard = seen[order], shard[order]
-        self.shards, starts = np.unique(self.shard, return_index=True)
-        self.bounds = np.append(starts, len(order)).astype(np.int64)
+        node = nodes[self.context[seen]]
+        spread = np.where(counts[self.context[seen]] > split, _mixed(node) ^ _mixed(numbers[self.word[seen]] + 1), node)
+        order, self.shards, self.bounds = _by_shard(_mixed(spread) % shards)
+        self.asked = seen[order]
 
 
 class _State:
     """A block with the answers to its questions of the first orders."""
 
     def __init__(self, block: pa.Table, answers: pa.Table, heard: int, totals: Totals, shards: int, split: int, priors: tuple[float, ...]):
-        self.totals, self.shards, self.split, self.priors = totals, shards, split, priors
-        row = block.slice(0, 1)
-        self.number, self.docs, self.out = row["block"][0].as_py(), row["docs"].combine_chunks().flatten(), row["held_out"].combine_chunks().flatten()
-        self.lens, self.codes = _numbers(row["lens"]), _numbers(row["codes"]).astype(np.int64)
+        self.shards, self.split, self.priors = shards, split, priors
+        self.number, self.docs, self.out = block["block"][0].as_py(), block["docs"].combine_chunks().flatten(), block["held_out"].combine_chunks().flatten()
+        self.lens = unpacked(block["lens"][0].as_py())
         self.starts = np.cumsum(self.lens) - self.lens
+        answers = answers.take(pc.sort_indices(answers, [("level", "ascending"), ("shard", "ascending")]))
         levels = answers["level"].to_numpy()
-        first = answers.filter(pa.array(levels == 1))
-        # One entry more stands for the start of a text; it is a context only.
-        self.numbers = np.append(_numbers(first["nodes"]), totals.words)
-        self.word_counts = np.append(_numbers(first["counts"]), totals.documents)
+        self._number_words(block, answers.filter(pa.array(levels == 1)), totals)
         self.floor = (self.word_counts[:-1] + 1) / (totals.tokens + totals.distinct + 1)
         self.level, self.grams, self.nodes, self.counts, self.chances = 1, None, self.numbers, self.word_counts, self.floor[self.codes]
         for level in range(2, heard + 1):
             self._next()
             self._hear(answers.filter(pa.array(levels == level)))
 
+    def _number_words(self, block: pa.Table, first: pa.Table, totals: Totals) -> None:
+        """Words in the order of their numbers; one entry more stands for the start of a text, a context only."""
+        words = _words(block)
+        order, shards, bounds = _by_shard(_hashes(words) % (len(totals.starts) - 1))
+        local, counts = _all(first["nodes"])[0], _all(first["counts"])[0]
+        numbers = np.where(counts > 0, local + np.repeat(totals.starts[shards], np.diff(bounds)), totals.distinct + 1)
+        by_number = np.argsort(numbers, kind="stable")
+        place = np.empty(len(words), dtype=np.int64)
+        place[order[by_number]] = np.arange(len(words))
+        self.codes = place[unpacked(block["codes"][0].as_py())]
+        self.numbers, self.word_counts = np.append(numbers[by_number], totals.distinct), np.append(counts[by_number], totals.documents)
+
     def _next(self) -> None:
         """N-grams of the next order: each token after the n-gram that ends before it."""
         before = self.codes if self.grams is None else self.grams.of
@@ -214,11 +276,10 @@ class _State:
 
     def _hear(self, answers: pa.Table) -> None:
         grams, self.level = self.grams, self.level + 1
-        by_shard = answers.take(pc.sort_indices(answers, [("shard", "ascending")]))
         codes, nodes, counts = (np.zeros(len(grams.word), dtype=np.int64) for _ in range(3))
-        codes[grams.asked] = _numbers(by_shard["codes"])
-        if len(named := _numbers(by_shard["nodes"])):
-            nodes[grams.asked], counts[grams.asked] = named, _numbers(by_shard["counts"])
+        codes[grams.asked] = _all(answers["codes"])[0]
+        if len(named := _all(answers["nodes"])[0]):
+            nodes[grams.asked], counts[grams.asked] = named, _all(answers["counts"])[0]
         whole = np.flatnonzero(grams.of >= 0)
         of = grams.of[whole]
         prior = self.priors[min(self.level, len(self.priors) - 1)]
@@ -234,33 +295,29 @@ class _State:
         training = np.bincount(grams.of[taught], minlength=len(grams.word))[grams.asked]
         context, word = grams.context[grams.asked], self.numbers[grams.word[grams.asked]]
         new = np.ones(len(context), dtype=bool)
-        new[1:] = (context[1:] != context[:-1]) | (grams.shard[1:] != grams.shard[:-1])
+        new[1:] = context[1:] != context[:-1]
+        new[grams.bounds[:-1]] = True
         first = np.flatnonzero(new)
-        sizes = np.diff(np.append(first, len(context)))
         of_shard = np.searchsorted(first, grams.bounds)
-        cut = lambda values, bounds: [values[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
-        shards = len(grams.shards)
-        return pa.RecordBatch.from_arrays([
-            pa.array(grams.shards, pa.int64()), pa.array(np.full(shards, self.number), pa.int64()), _lists(cut(self.nodes[context[first]], of_shard), pa.int64()),
-            _lists(cut(self.counts[context[first]], of_shard), pa.int64()), _lists(cut(sizes, of_shard), pa.int32()), _lists(cut(word, grams.bounds), pa.int64()),
-            _lists(cut(training, grams.bounds), pa.int32()),
-        ], names=[f.split()[0] for f in ASKED.split(", ")])
+        return _batch(
+            ASKED, pa.array(grams.shards, pa.int64()), pa.array([self.number] * len(grams.shards), pa.int64()), _cut(self.nodes[context[first]], of_shard, steps=True),
+            _cut(self.counts[context[first]], of_shard), _cut(np.diff(np.append(first, len(context))), of_shard), _cut(word, grams.bounds), _cut(training, grams.bounds),
+        )
 
     def scores(self) -> pa.RecordBatch:
         """Sums over each document."""
         add = lambda values: np.add.reduceat(values, self.starts)
-        return pa.RecordBatch.from_arrays([
-            self.docs, self.out, pa.array(self.lens, pa.int64()), pa.array(add((self.word_counts[self.codes] > 0).astype(np.int64))),
-            pa.array(add(np.log10(self.floor)[self.codes])), pa.array(add(np.log10(self.chances))),
-        ], names=[f.split()[0] for f in SCORES.split(", ")])
+        known = add((self.word_counts[self.codes] > 0).astype(np.int64))
+        return _batch(
+            SCORES, self.docs, self.out, pa.array(self.lens), pa.array(known), pa.array(add(np.log10(self.floor)[self.codes])), pa.array(add(np.log10(self.chances)))
+        )
 
 
 def _answer_shard(level: int, prior: float, last: bool) -> Callable[[pa.Table], pa.Table]:
     def answer(rows: pa.Table) -> pa.Table:
         """Build the shard's trie from what all blocks count and answer each of them."""
-        rows = rows.combine_chunks()
-        contexts, totals, sizes = _numbers(rows["contexts"]), _numbers(rows["context_counts"]), _numbers(rows["sizes"]).astype(np.int64)
-        words, counts = _numbers(rows["words"]), _numbers(rows["counts"]).astype(np.int64)
+        (contexts, _), (totals, _), (sizes, _) = _all(rows["contexts"]), _all(rows["context_counts"]), _all(rows["sizes"])
+        (words, bounds), (counts, _) = _all(rows["words"]), _all(rows["counts"])
         counted = np.flatnonzero(counts)
         owner = np.repeat(np.arange(len(contexts)), sizes)[counted]
         order = np.lexsort((words[counted], contexts[owner]))
@@ -277,14 +334,14 @@ def _answer_shard(level: int, prior: float, last: bool) -> Callable[[pa.Table],
             codes[there] = trie.codes[place[there]]
             found[there] = trie.counts[place[there]]
             del trie  # unmaps the files
-        each = np.concatenate([[0], np.cumsum(_lengths(rows["words"]))]).astype(np.int32)
-        listed = lambda values, kind: pa.ListArray.from_arrays(pa.array(each), pa.array(values, kind))
-        none = pa.ListArray.from_arrays(pa.array(np.zeros(len(each), dtype=np.int32)), pa.array([], pa.int64()))
-        nodes = none if last else listed(np.where(there, (rows["shard"][0].as_py() << 36) + place, -1), pa.int64())
-        return pa.table({
-            "block": rows["block"], "level": pa.array(np.full(rows.num_rows, level), pa.int32()), "shard": rows["shard"], "codes": listed(codes, pa.int16()),
-            "nodes": nodes, "counts": none if last else listed(found, pa.int64()),
-        })
+        n = rows.num_rows
+        none = pa.array([packed(found[:0])] * n, pa.binary())
+        nodes = none if last else _cut(np.where(there, (rows["shard"][0].as_py() << 36) + place, 0), bounds, steps=True)
+        zeros = pa.array([0] * n, pa.int64())
+        return pa.Table.from_batches([_batch(
+            ANSWER, rows["block"].combine_chunks(), pa.array([level] * n, pa.int32()), rows["shard"].combine_chunks(), zeros, zeros, _cut(codes, bounds), nodes,
+            none if last else _cut(found, bounds),
+        )])
 
     return answer
 
@@ -298,7 +355,7 @@ def score(
     database, buckets = new_database(spark, "blocks"), int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks(docs, doc_id, text, block_bytes).write.bucketBy(buckets, "block").option("compression", "zstd").saveAsTable(f"{database}.blocks")
     held = spark.table(f"{database}.blocks")
-    answers, totals = number_words(held, min(MOST_BUCKETS, 32 * buckets))
+    answers, totals = number_words(held)
     shards, split = max(1, totals.tokens // shard_tokens), shard_tokens // 8
 
     def with_answers(level: int, work: Callable[[_State], pa.RecordBatch], schema: str) -> DataFrame:
