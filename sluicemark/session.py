@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +36,14 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+def package_on_workers(spark: SparkSession) -> None:
+    """Let Python workers import the package from where the driver has it, if it isn't installed."""
+    root, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(":") if p]
+    if root not in paths:
+        env["PYTHONPATH"] = ":".join([*paths, root])
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """Fresh path in the shared folder; nothing is created yet."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
