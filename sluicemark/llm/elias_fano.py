@@ -31,15 +31,21 @@ def _packed(values: np.ndarray, width: int) -> np.ndarray:
     return words
 
 
+_ONES, _HIGHS = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+_IN_BYTE = np.array([[([i for i in range(8) if b >> i & 1] + [0] * 8)[k] for k in range(8)] for b in range(256)], dtype=np.uint8).reshape(-1)
+
+
 def _select(words: np.ndarray, nth: np.ndarray) -> np.ndarray:
-    """Place of the ``nth`` (from 0) set bit of each word."""
-    at, left = np.zeros(len(words), dtype=np.int64), nth.astype(np.int64)
-    for half in (32, 16, 8, 4, 2, 1):
-        low = (words >> at.astype(np.uint64)) & np.uint64((1 << half) - 1)
-        ones = np.bitwise_count(low).astype(np.int64)
-        up = left >= ones
-        at, left = at + half * up, left - ones * up
-    return at
+    """Place of the ``nth`` (from 0) set bit of each word: the byte first, from sums of ones per byte, then the bit in it."""
+    pairs = words - ((words >> np.uint64(1)) & np.uint64(0x5555555555555555))
+    fours = (pairs & np.uint64(0x3333333333333333)) + ((pairs >> np.uint64(2)) & np.uint64(0x3333333333333333))
+    sums = (((fours + (fours >> np.uint64(4))) & np.uint64(0x0F0F0F0F0F0F0F0F)) * _ONES).view(np.uint64)  # ones up to each byte
+    nth = nth.astype(np.uint64)
+    full = ((nth * _ONES) | _HIGHS) - sums  # a byte keeps its high bit where its sum is at most nth
+    byte = (np.bitwise_count(full & _HIGHS) << 3).astype(np.uint64)
+    before = ((sums << np.uint64(8)) >> byte) & np.uint64(0xFF)
+    octet = (words >> byte) & np.uint64(0xFF)
+    return byte.astype(np.int64) + _IN_BYTE[((octet << np.uint64(3)) + nth - before).astype(np.int64)]
 
 
 class EliasFano:
@@ -83,19 +89,36 @@ class EliasFano:
         place = word * 64 + _select(~self.high[word], nth - self.zeros[word])
         return np.where(part > 0, np.minimum(place - nth, self.n), 0)
 
-    def successor(self, values: np.ndarray) -> np.ndarray:
-        """Place of the first value that is not smaller; ``n`` if there is none."""
+    def _bucket(self, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the values of a high part begin and end."""
+        first = self._before(part)
+        # Its values are the ones that follow in unary; up to 63 of them show in one word's width.
+        place = first + part
+        word, shift = place >> 6, (place & 63).astype(np.uint64)
+        ahead = ~((self.high[word] >> shift) | ((self.high[np.minimum(word + 1, len(self.high) - 1)] << (np.uint64(63) - shift)) << np.uint64(1)))
+        run = np.bitwise_count((ahead & (~ahead + np.uint64(1))) - np.uint64(1)).astype(np.int64)
+        end = first + run
+        if len(long := np.flatnonzero(run >= 64)):
+            end[long] = self._before(part[long] + 1)
+        return first, np.minimum(end, self.n)
+
+    def successor(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of the first value that is not smaller (``n`` if there is none), and whether it is equal."""
         last = int(self.access(np.array([self.n - 1]))[0]) if self.n else -1
         beyond = values > last
         asked = np.where(beyond, 0, values)
-        first, end = self._before(asked >> self.width), self._before((asked >> self.width) + 1)
-        low = asked & ((1 << self.width) - 1)
-        while (open_ := first < end).any():  # binary search among values of one high part
-            at = np.flatnonzero(open_)
+        first, end = self._bucket(asked >> self.width)
+        low, stop = asked & ((1 << self.width) - 1), end.copy()
+        at = np.flatnonzero(first < end)
+        while len(at):  # binary search among values of one high part
             middle = (first[at] + end[at]) >> 1
             smaller = self._low(middle) < low[at]
-            first[at], end[at] = np.where(smaller, middle + 1, first[at]), np.where(smaller, end[at], middle)
-        return np.where(beyond, self.n, first)
+            first[at[smaller]], end[at[~smaller]] = middle[smaller] + 1, middle[~smaller]
+            at = at[first[at] < end[at]]
+        equal = (first < stop) & ~beyond
+        at = np.flatnonzero(equal)
+        equal[at] = self._low(first[at]) == low[at]
+        return np.where(beyond, self.n, first), equal
 
 
 def mapped(values: np.ndarray, folder: Path, name: str) -> np.ndarray:
@@ -130,16 +153,13 @@ class TrieShard:
         found = np.full(len(words), -1, dtype=np.int64)
         if not self.contexts.n or not len(words):
             return found
-        node = self.contexts.successor(contexts)
-        known = node < self.contexts.n
-        known[known] = self.contexts.access(node[known]) == contexts[known]
+        node, known = self.contexts.successor(contexts)
         node = node[known]
         first, end = self.pointers.access(node), self.pointers.access(node + 1)
         base = np.where(first > 0, self.successors.access(np.maximum(first - 1, 0)) + 1, 0)
         there = np.flatnonzero(np.repeat(known, sizes))
         asked = words[there] + np.repeat(base, sizes[known])
-        place = self.successors.successor(asked)
-        inside = np.flatnonzero(place < np.repeat(end, sizes[known]))
-        inside = inside[self.successors.access(place[inside]) == asked[inside]]
+        place, equal = self.successors.successor(asked)
+        inside = equal & (place < np.repeat(end, sizes[known]))
         found[there[inside]] = place[inside]
         return found

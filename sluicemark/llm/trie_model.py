@@ -36,7 +36,7 @@ from sluicemark.session import new_database, new_folder, staged
 
 ORDER = 3
 PRIORS = (0.0, 0.0, 200.0, 20.0)  # of orders 0 to 3; higher orders take the last
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 15 << 20
 SHARD_TOKENS = 2_000_000
 END = ""  # no word is empty
 MOST_WORD_SHARDS = 65_536
@@ -219,12 +219,14 @@ class _Grams:
 
     def __init__(self, contexts: np.ndarray, codes: np.ndarray, words: int):
         whole = contexts >= 0
-        coded = pa.array(contexts[whole] * words + codes[whole]).dictionary_encode()
+        bits = words.bit_length()
+        coded = pa.array((contexts[whole] << bits) | codes[whole]).dictionary_encode()
         keys = coded.dictionary.to_numpy()
         order = np.argsort(keys)
         rank = np.empty(len(keys), dtype=np.int64)
         rank[order] = np.arange(len(keys))
-        self.context, self.word = np.divmod(keys[order], words)
+        keys = keys[order]
+        self.context, self.word = keys >> bits, keys & ((1 << bits) - 1)
         self.of = np.full(len(codes), -1, dtype=np.int64)
         self.of[whole] = rank[coded.indices.to_numpy()]
 

@@ -24,7 +24,8 @@ def test_sequences(tmp_path, n, universe):
     sequence = EliasFano.write(values, tmp_path, "x")
     assert (sequence.access(np.arange(n)) == values).all()
     asked = np.concatenate([rng.integers(0, universe + 5, 2000), values[:500], values[:500] + 1])
-    assert (sequence.successor(asked) == np.searchsorted(values, asked)).all()
+    place, equal = sequence.successor(asked)
+    assert (place == np.searchsorted(values, asked)).all() and (equal == np.isin(asked, values)).all()
 
 
 def test_shard_finds_its_entries_and_no_others(tmp_path):
