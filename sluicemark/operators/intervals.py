@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluicemark.functions.dyadic import cells_of_point, cells_of_range, hour_number
 from sluicemark.functions.intervals import completed_key, key_bounds, minute_of_day
 from sluicemark.session import BROADCAST_LIMIT_BYTES, staged_with_size
 
@@ -37,6 +38,32 @@ def interval_join(
     return joined.select(*events.columns, "start", "end")
 
 
+def long_interval_join(
+    events: DataFrame, ts: str, calendar: DataFrame, broadcast_limit: int = BROADCAST_LIMIT_BYTES, salts: int = SALTS
+) -> DataFrame:
+    """As ``interval_join`` for intervals of any length, with all columns of both sides.
+
+    An interval becomes the dyadic cells of the hours it touches, at most 2 log2(n) rows for n hours instead of a row per day; an
+    event asks for one cell at each level some interval has, 64 at most.  Cells of an interval are disjoint, so a pair meets once; the exact
+    bounds are checked where it does.  Beyond the broadcast limit events are salted by a hash of the row, as in ``interval_join``.
+    """
+    last = hour_number(F.col("end") - F.expr("interval 1 microsecond"))
+    cells = calendar.where("start < end").select("*", F.inline(cells_of_range(hour_number(F.col("start")), last)))
+    indexed, size = staged_with_size(cells.withColumnsRenamed({"level": "_i_level", "cell": "_i_cell"}), "cells")
+    levels = sorted(row[0] for row in indexed.select("_i_level").distinct().collect())
+    asked = events.select("*", F.inline(cells_of_point(hour_number(F.col(ts)), levels))).withColumnsRenamed({"level": "_level", "cell": "_cell"})
+    meets = (F.col("_level") == F.col("_i_level")) & (F.col("_cell") == F.col("_i_cell"))
+    inside = (F.col(ts) >= F.col("start")) & (F.col(ts) < F.col("end"))
+    if size <= broadcast_limit:
+        joined = asked.join(F.broadcast(indexed), meets & inside)
+    else:
+        hashed = [F.col(f"`{f.name}`") for f in events.schema if "map<" not in f.dataType.simpleString()]
+        copies = indexed.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        salted = asked.withColumn("_salt", F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int"))
+        joined = salted.join(copies, meets & (F.col("_salt") == F.col("_copy")) & inside)
+    return joined.select(*events.columns, *calendar.columns)
+
+
 def aggregate_by_interval(events: DataFrame, ts: str, *aggregates: Column) -> DataFrame:
     """Aggregates per last completed uneven interval: one hash aggregate with map-side combine.
 

@@ -55,6 +55,19 @@ def interval_join_salted(spark: SparkSession, sf: str) -> DataFrame:
     return intervals.interval_join(events, "ts", _calendar(spark, sf), broadcast_limit=0)
 
 
+_LONG_INTERVALS = """SELECT n_nationkey, TIMESTAMP '2021-01-01 05:30:00' + INTERVAL 1 HOUR * (n_nationkey * 997) AS start,
+ TIMESTAMP '2021-01-01 05:30:00' + INTERVAL 1 HOUR * (n_nationkey * 997 + 25800 + n_nationkey * 13) AS "end" FROM nation"""
+
+
+@query("interval_join_years", f"""WITH cal AS ({_LONG_INTERVALS}) SELECT event_id, ts, n_nationkey, start, "end" FROM events JOIN cal ON ts >= start AND ts < "end" """)
+def interval_join_years(spark: SparkSession, sf: str) -> DataFrame:
+    """Intervals of about three years: 38 rows at most for each, not a thousand."""
+    begun = F.col("n_nationkey") * 997
+    since = lambda hours: F.lit("2021-01-01 05:30:00").cast("timestamp_ntz") + F.make_dt_interval(hours=hours)
+    calendar = table(spark, sf, "nation").select("n_nationkey", since(begun).alias("start"), since(begun + 25800 + F.col("n_nationkey") * 13).alias("end"))
+    return intervals.long_interval_join(table(spark, sf, "events").select("event_id", "ts"), "ts", calendar)
+
+
 @query(
     "uneven_interval_agg",
     """WITH e AS (SELECT value, date_trunc('minute', ts) AS m, date_trunc('day', ts)::TIMESTAMP AS d FROM events)

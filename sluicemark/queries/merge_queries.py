@@ -16,7 +16,7 @@ from sluicemark.functions.dates import ntz
 from sluicemark.operators.dedup import latest_per_key
 from sluicemark.operators.merge import merge_metrics as count_merge
 from sluicemark.operators.merge import upsert
-from sluicemark.plans import flows
+from sluicemark.plans import flows, snapshots
 from sluicemark.queries.registry import query, table
 from sluicemark.session import BROADCAST_LIMIT_BYTES, new_database, new_folder, staged_with_size
 
@@ -128,6 +128,28 @@ def upsert_key_buckets(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(folder).select(*start.columns)
 
 
+_RECENT = "WITH recent AS (SELECT max(o_orderdate) - INTERVAL 60 DAY AS since FROM orders)"
+
+
+@query(
+    "upsert_touched_files",
+    f"{_RECENT} SELECT o_orderdate, o_orderkey, CASE WHEN o_orderdate >= since THEN 'R' ELSE o_orderstatus END AS o_orderstatus, o_totalprice, true AS few_rewritten"
+    " FROM orders, recent"
+    " UNION ALL SELECT o_orderdate + INTERVAL 1000 DAY, o_orderkey, 'N', o_totalprice, true FROM orders, recent WHERE o_orderdate >= since",
+)
+def upsert_touched_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders of the last 60 days come again, and once more with later dates; all other files of the table stay as they are."""
+    orders = table(spark, sf, "orders").select("o_orderdate", "o_orderkey", "o_orderstatus", "o_totalprice")
+    folder = new_folder(spark, "snapshots")
+    snapshots.create_snapshot_table(orders, folder, ["o_orderdate", "o_orderkey"], rows_per_file=500)
+    since = orders.agg((F.max("o_orderdate") - F.expr("interval 60 days")).alias("since"))
+    recent = orders.where(F.col("o_orderdate") >= since.scalar())
+    later = recent.withColumns({"o_orderdate": F.col("o_orderdate") + F.expr("interval 1000 days"), "o_orderstatus": F.lit("N")})
+    done = snapshots.upsert_snapshot(folder, recent.withColumn("o_orderstatus", F.lit("R")).unionByName(later), rows_per_file=500)
+    few = done["files_rewritten"] * 3 <= done["files_kept"]
+    return snapshots.read_snapshot(spark, folder).withColumn("few_rewritten", F.lit(few))
+
+
 _MANY = [
     # target key and date, the table that already holds some keys, the batch table and its key
     ("orders", "o_orderkey", "lineitem", "l_orderkey"),
