@@ -43,6 +43,20 @@ def _has_null(names: list[str]) -> Column:
     return reduce(or_, [F.col(f"`{n}`").isNull() for n in names])
 
 
+def heavy_keys(target: DataFrame, keys: list[str], tasks: int | None = None) -> list[int]:
+    """Hashes of the keys that hold over a quarter of a task's even share of the rows, were they shuffled to ``tasks`` tasks.
+
+    One pass over the key columns with a frequent-items sketch per task; there are at most 4 * ``tasks`` such keys.
+    Counts are estimates, so a key near the limit may be on either side, which costs time and changes nothing.
+    """
+    names = [f"`{n}`" for n in resolve(target, keys)]
+    tasks = tasks or int(target.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = min(4 * tasks, 5_000)
+    hashed = target.dropna(subset=[n.strip("`") for n in names]).select(F.xxhash64(*names).alias("_key"))
+    found = hashed.agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(_key, {most}, {max(10_000, 2 * most)})").alias("top")).first()
+    return [item["item"] for item in found["top"] or [] if item["count"] * most > found["n"]]
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
@@ -51,6 +65,7 @@ def upsert(
     with_action: bool = False,
     source_is_unique: bool = False,
     target_keys_repeat: bool = False,
+    heavy: list[int] | None = None,
 ) -> DataFrame:
     """Target after the merge: matched rows take the source's values, unmatched source rows are added.
 
@@ -62,7 +77,9 @@ def upsert(
     ``source_is_small`` (by measured size, see ``session.staged_with_size``) broadcasts the batch, so
     the target is not shuffled.  Otherwise rows with a null key, which match nothing, are set aside, and both
     sides shuffle once, for one full outer join by key.  Where a key may hold a large part of the target,
-    ``target_keys_repeat`` joins twice instead, with the target on the side that adaptive execution can split.
+    ``target_keys_repeat`` joins twice instead, with the target on the side that adaptive execution can split.  Or name
+    such keys in ``heavy`` (see ``heavy_keys``): their rows stay where they are and meet the few rows the batch has for them as a broadcast,
+    and only the others are shuffled.
     """
     if not keys:
         raise ValueError("keys are required")
@@ -76,6 +93,15 @@ def upsert(
     hit = F.col("_s_hit").isNotNull()
     inserted = [F.col(f"`_s_{c}`").alias(c) for c in columns]
 
+    if heavy and not source_is_small:
+        own_heavy = F.xxhash64(*[f"`{k}`" for k in keys]).isin(heavy)
+        sent_heavy = F.xxhash64(*[F.col(f"`{own}`").cast(target.schema[k].dataType) for k, own in zip(keys, resolve(source, keys))]).isin(heavy)
+        # The batch has one row per key, so its part for heavy keys is no longer than their list.
+        few = upsert(target.where(own_heavy), source.where(sent_heavy), keys, source_is_small=True, with_action=True, source_is_unique=True)
+        many = upsert(target.where(~own_heavy), source.where(~sent_heavy), keys, with_action=True, source_is_unique=True, target_keys_repeat=target_keys_repeat)
+        result = few.unionByName(many)
+        return result if with_action else result.drop(ACTION)
+
     if not source_is_small and not target_keys_repeat:
         aside = target.where(_has_null(keys)).withColumn(ACTION, F.lit(KEEP)).unionByName(
             batch.where(_has_null([f"_s_{k}" for k in keys])).select(*inserted, F.lit(INSERT).alias(ACTION))

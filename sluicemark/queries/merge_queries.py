@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from sluicemark.functions.dates import ntz
 from sluicemark.operators.dedup import latest_per_key
 from sluicemark.operators.merge import merge_metrics as count_merge
-from sluicemark.operators.merge import upsert
+from sluicemark.operators.merge import heavy_keys, upsert
 from sluicemark.plans import flows, snapshots
 from sluicemark.queries.registry import query, table
 from sluicemark.session import BROADCAST_LIMIT_BYTES, new_database, new_folder, staged_with_size
@@ -70,6 +70,27 @@ def upsert_merge(spark: SparkSession, sf: str) -> DataFrame:
     return upsert(target, latest, KEYS, source_is_small=size <= BROADCAST_LIMIT_BYTES, source_is_unique=True)
 
 
+_HOT = (
+    "WITH t AS (SELECT CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE o_custkey END AS id, o_orderpriority AS name, o_totalprice AS amount FROM orders),"
+    " s AS (SELECT c_custkey AS id, c_name AS name, c_acctbal AS amount FROM customer UNION ALL SELECT -1, max(c_name), max(c_acctbal) FROM customer)"
+)
+
+
+@query(
+    "upsert_hot_key",
+    f"{_HOT} SELECT coalesce(t.id, s.id) AS id, CASE WHEN s.id IS NULL THEN t.name ELSE s.name END AS name,"
+    " CASE WHEN s.id IS NULL THEN t.amount ELSE s.amount END AS amount FROM t FULL OUTER JOIN s ON t.id = s.id",
+)
+def upsert_hot_key(spark: SparkSession, sf: str) -> DataFrame:
+    """A third of the target's rows have one key and the batch is taken as too large to broadcast."""
+    key = F.when(F.col("o_orderkey") % 3 == 0, F.lit(-1)).otherwise(F.col("o_custkey"))
+    target = table(spark, sf, "orders").select(key.cast("long").alias("id"), F.col("o_orderpriority").alias("name"), F.col("o_totalprice").alias("amount"))
+    customer = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("amount"))
+    whole = customer.agg(F.lit(-1).cast("long").alias("id"), F.max("name").alias("name"), F.max("amount").alias("amount"))
+    batch, _ = staged_with_size(customer.unionByName(whole))
+    return upsert(target, batch, ["id"], source_is_unique=True, heavy=heavy_keys(target, ["id"]))
+
+
 @query(
     "merge_metrics",
     f"WITH s AS ({_LATEST}) SELECT count(*) FILTER (o_orderkey IS NULL) AS rows_inserted, count(o_orderkey) AS rows_updated"

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluicemark.functions.dates import dashed_day, ntz
-from sluicemark.operators.export import export_chunks, unload, write_skip_empty
+from sluicemark.operators.export import export_chunks, export_numbered_chunks, limit_rows, unload, write_skip_empty
 from sluicemark.plans.flows import export_run, land_payloads, with_provenance
 from sluicemark.queries.registry import query, table
 from sluicemark.session import new_database, new_folder
@@ -54,6 +54,27 @@ def unload_limited(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+@query("unload_limited_wide", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem ORDER BY l_orderkey, l_linenumber, l_quantity LIMIT 20000")
+def unload_limited_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """A limit beyond one task: partitions keep their share of the first rows."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    ordered = lines.repartitionByRange(8, "l_orderkey").sortWithinPartitions("l_orderkey", "l_linenumber", "l_quantity")
+    first = limit_rows(ordered, 20_000, in_one_task=1_000)
+    return spark.read.schema(lines.schema).parquet(unload(first, new_folder(spark, "limited"), "parquet"))
+
+
+@query(
+    "numbered_chunks",
+    "WITH n AS (SELECT count(*) AS n FROM lineitem) SELECT 'lineitem-2024-02-01-chunk-' || c || '.parquet' AS file, least(10000, n - (c - 1) * 10000)::BIGINT AS n_rows"
+    " FROM n, (SELECT unnest(range(1, (SELECT (n + 9999) // 10000 + 1 FROM n))) AS c)",
+)
+def numbered_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    folder = new_folder(spark, "numbered-chunks")
+    export_numbered_chunks(table(spark, sf, "lineitem"), folder, "lineitem", RUN_TS.date())
+    back = spark.read.parquet(folder)
+    return back.groupBy(F.substring_index("_metadata.file_path", "/", -1).alias("file")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query(
     "write_skip_empty",
     "SELECT 'customer' AS written, count(*) AS n_rows FROM customer"

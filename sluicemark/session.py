@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -101,3 +102,26 @@ def resolve(df: DataFrame, names: list[str]) -> list[str]:
     if unknown:
         raise ValueError(f"columns {unknown} not found in {df.columns}")
     return [own[n.lower()] for n in names]
+
+
+def move_partitions(spark: SparkSession, folder: str, column: str, stem: str, suffix: str, parallel: int = 16) -> int:
+    """Move the one file of each partition ``column=<n>`` of a written folder to ``<stem><n><suffix>``, and drop the folder.
+
+    Files that already have such a name are removed first; only then are the new ones moved.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(conf)
+    for old in fs.globStatus(path(f"{stem}*{suffix}")) or []:
+        fs.delete(old.getPath(), True)
+    parts = [p.getPath() for p in fs.listStatus(path(folder)) if p.getPath().getName().startswith(f"{column}=")]
+
+    def move(part) -> None:
+        written = [f.getPath() for f in fs.listStatus(part) if not f.getPath().getName().startswith(("_", "."))]
+        if len(written) != 1 or not fs.rename(written[0], path(f"{stem}{part.getName().split('=', 1)[1]}{suffix}")):
+            raise OSError(f"cannot move the file of {part}")
+
+    with ThreadPoolExecutor(parallel) as pool:
+        list(pool.map(move, parts))
+    fs.delete(path(folder), True)
+    return len(parts)
