@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluicemark.sources.loading import BAD_COLUMN, BAD_TEXT, BLOCK, FILE, ROW
+from sluicemark.sources.loading import BAD_COLUMN, BAD_PLACE, BAD_TEXT, BLOCK, FILE, ROW
 
 
 def load_report(parsed: DataFrame, header_lines: int = 0, error_limit: int = 1) -> DataFrame:
@@ -13,10 +13,11 @@ def load_report(parsed: DataFrame, header_lines: int = 0, error_limit: int = 1)
 
     Records are counted per file block on the map side; only block totals meet per file, so a
     file of any size is never gathered.  ``first_error_line`` is the record's number in its
-    file plus ``header_lines``.  The character position is not known to Spark and stays null.
+    file plus ``header_lines``.  ``first_error_character`` is the place in that record's text, from 1, where the faulty field
+    begins; of a record with too few fields or cut off it is the place after its end.
     """
     bad = F.col(BAD_TEXT).isNotNull()
-    first_bad = F.min_by(F.struct(ROW, BAD_COLUMN, BAD_TEXT), F.when(bad, F.col(ROW)))
+    first_bad = F.min_by(F.struct(ROW, BAD_COLUMN, BAD_TEXT, BAD_PLACE), F.when(bad, F.col(ROW)))
     blocks = parsed.groupBy(FILE, BLOCK).agg(
         F.min(ROW).alias("_first_row"),
         F.count(F.lit(1)).alias("_parsed"),
@@ -48,11 +49,17 @@ def load_report(parsed: DataFrame, header_lines: int = 0, error_limit: int = 1)
             ),
         ).alias("first_error"),
         F.when(F.col("error_seen") > 0, F.col("_first._line")).alias("first_error_line"),
-        F.lit(None).cast("long").alias("first_error_character"),
+        F.col("_first._bad_record")[BAD_PLACE].alias("first_error_character"),
         bad_column.alias("first_error_column_name"),
     )
 
 
+def error_positions(parsed: DataFrame) -> DataFrame:
+    """Every refused record: file, its text, the column at fault and where in the text the fault begins."""
+    names = {FILE: "file", BAD_TEXT: "record", BAD_COLUMN: "column_name", BAD_PLACE: "error_character"}
+    return parsed.where(F.col(BAD_TEXT).isNotNull()).select(*[F.col(old).alias(new) for old, new in names.items()])
+
+
 def load_summary(report: DataFrame) -> DataFrame:
     """Totals over a load report; an empty report gives zeros and an empty list.
 

@@ -18,6 +18,7 @@ from sluicemark.operators.export import route_by_slot
 from sluicemark.queries.registry import query, table
 from sluicemark.queries.schema_list import SCHEMAS
 from sluicemark.session import new_folder
+from sluicemark.sources.files import CSV
 from sluicemark.sources.loading import parse_files
 
 SQL = Path(__file__).parent / "sql"
@@ -170,6 +171,28 @@ def load_report(spark: SparkSession, sf: str) -> DataFrame:
     return _per_event_type(_event_files_report(spark, sf)).drop("status_low")
 
 
+@query(
+    "load_error_positions",
+    """WITH r AS (SELECT o_orderkey || ',"' || o_orderpriority || ', ""' || o_orderstatus || repeat('"', 3) AS head FROM orders WHERE o_orderstatus = 'P')
+ SELECT 'csv' AS kind, head || ',n/a,' || 'x' AS record, 'o_totalprice' AS column_name, length(head) + 2 AS error_character FROM r
+ UNION ALL SELECT 'json', '{"o_orderkey":' || o_orderkey || ',"note":"\\"o_totalprice\\": ' || o_orderpriority || '","o_totalprice":"n/a","tail":"x"}', 'o_totalprice',
+ length('{"o_orderkey":' || o_orderkey || ',"note":"\\"o_totalprice\\": ' || o_orderpriority || '","o_totalprice":"n/a"') - 4 FROM orders WHERE o_orderstatus = 'P'""",
+)
+def load_error_positions(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders in process have no price: refused, with the place of the field behind quoted separators and misleading texts."""
+    orders, stage = table(spark, sf, "orders"), new_folder(spark, "positions")
+    price = F.when(F.col("o_orderstatus") == "P", "n/a").otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice")
+    quoted = F.concat("o_orderpriority", F.lit(', "'), "o_orderstatus", F.lit('"')).alias("note")
+    orders.select("o_orderkey", quoted, price, F.lit("x").alias("tail")).write.options(**CSV.written()).csv(f"{stage}/csv")
+    tricky = F.to_json(F.struct("o_orderkey", F.concat(F.lit('"o_totalprice": '), "o_orderpriority").alias("note")))
+    number = F.when(F.col("o_orderstatus") == "P", '"n/a"').otherwise(F.col("o_totalprice").cast("string"))
+    cut = F.substr(tricky, F.lit(1), F.length(tricky) - 1)
+    orders.select(F.concat(cut, F.lit(',"o_totalprice":'), number, F.lit(',"tail":"x"}'))).write.text(f"{stage}/json")
+    schema = T.StructType.fromDDL("o_orderkey long, note string, o_totalprice double, tail string")
+    found = [reports.error_positions(parse_files(spark, stage, kind, kind, schema)).withColumn("kind", F.lit(kind)) for kind in ("csv", "json")]
+    return found[0].unionByName(found[1]).drop("file")
+
+
 @query(
     "load_summary",
     f"SELECT count(*) AS total_files, sum(rows_parsed)::BIGINT AS total_rows_parsed, sum(rows_loaded)::BIGINT AS total_rows_loaded,"

@@ -17,7 +17,7 @@ from sluicemark.queries.schema_list import SCHEMAS, columns
 from sluicemark.session import new_database, new_folder
 from sluicemark.sources import catalog, files
 from sluicemark.sources.loading import load_files, load_into_table
-from sluicemark.sources.records import inline_rows, records_from_payload, refused_records
+from sluicemark.sources.records import inline_rows, landed_and_refused
 from sluicemark.streaming.file_loads import BATCH, load_new_files
 
 RUN_TS = dt.datetime(2024, 2, 1, 6, 0, 0)
@@ -151,9 +151,7 @@ def json_record_landing(spark: SparkSession, sf: str) -> DataFrame:
     cut = F.when(F.col("event_type") == "error", F.substr(whole, F.lit(1), F.length(whole) - 2)).otherwise(whole)
     payloads = events.select("event_id", cut.alias("payload"))
     record = T.StructType([T.StructField("k", T.LongType())])
-    landed = records_from_payload(payloads, "payload", record, ntz(RUN_TS), ["event_id"], on_error="continue")
-    refused = refused_records(payloads, "payload", record, ["event_id"]).drop("refused")
-    return landed.withColumn("refused", F.lit(False)).unionByName(refused.withColumn("refused", F.lit(True)), allowMissingColumns=True)
+    return landed_and_refused(payloads, "payload", record, ntz(RUN_TS), ["event_id"]).withColumn("refused", F.col("refused").isNotNull())
 
 
 @query("read_or_empty", "SELECT c_custkey, c_name, c_mktsegment FROM customer")

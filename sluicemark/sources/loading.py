@@ -17,11 +17,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluicemark.functions.dates import ntz
+from sluicemark.functions.records import csv_field_position, json_value_position
 from sluicemark.session import staged
 from sluicemark.sources.files import CSV, PROVENANCE, CsvFormat, reader_format
 
 FILE, BLOCK, ROW = "_file", "_block", "_row"
-BAD_COLUMN, BAD_TEXT = "_bad_column", "_bad_text"
+BAD_COLUMN, BAD_TEXT, BAD_PLACE = "_bad_column", "_bad_text", "_bad_place"
 _WHOLE = "_whole_record"
 # A backlog of new files is taken in micro-batches of at most this many files.
 FILES_PER_BATCH = 10_000
@@ -86,7 +87,7 @@ def _scan_parquet(spark: SparkSession, stage: str, path: str | list[str], fields
     # and fills columns a file lacks with null; only the declared columns are read.
     rows = _reader(spark, streaming).schema(T.StructType(fields)).format("parquet").load(path)
     return rows.select(
-        *[f"`{f.name}`" for f in fields], *_place(stage, streaming), _null_text(BAD_COLUMN), _null_text(BAD_TEXT)
+        *[f"`{f.name}`" for f in fields], *_place(stage, streaming), _null_text(BAD_COLUMN), _null_text(BAD_TEXT), F.lit(None).cast("long").alias(BAD_PLACE)
     )
 
 
@@ -150,12 +151,19 @@ def _scan_csv(
     whole = F.col(_WHOLE)
     texts = F.from_csv(whole, ", ".join(f"c{i} string" for i in range(len(header))), {k: str(v) for k, v in csv.written().items()})
     names = [(f"c{i}", wanted[c.lower()]) for i, c in enumerate(header) if c.lower() in wanted]
-    return rows.select(
+    found = rows.select(
         *[value(f).alias(f.name) for f in fields],
         *_place(stage, streaming),
         F.when(whole.isNotNull(), _first_wrong(texts, names)).alias(BAD_COLUMN),
         _refused(whole, [F.col(f"`{c}`") for c in header]).alias(BAD_TEXT),
     )
+    declared = F.array(*[F.lit(wanted[c.lower()].name if c.lower() in wanted else None).cast("string") for c in header])
+    at = lambda index: csv_field_position(F.col(BAD_TEXT), index, csv.sep, csv.quote, csv.escape)
+    # A record without a bad value has too many fields, so the first of those is at fault, or too few, so its end is.
+    place = F.when(F.col(BAD_COLUMN).isNotNull(), at(F.array_position(declared, F.col(BAD_COLUMN)) - 1)).otherwise(
+        F.coalesce(at(F.lit(len(header))), F.length(BAD_TEXT).cast("long") + 1)
+    )
+    return found.withColumn(BAD_PLACE, F.when(F.col(BAD_TEXT).isNotNull(), place))
 
 
 def _json_lines(spark: SparkSession, stage: str, path: str | list[str], streaming: int) -> DataFrame:
@@ -194,12 +202,13 @@ def _json_rows(
     everything = [record[name] for record, layer in zip(records, layers) for name in layer]
     texts = F.from_json(whole, T.MapType(T.StringType(), T.StringType()))
     names = [item for layer in layers for item in layer.items()]
-    return rows.select(
+    found = rows.select(
         *[value(f).alias(f.name) for f in fields],
         *place,
         F.when(whole.isNotNull(), _first_wrong(texts, names)).alias(BAD_COLUMN),
         _refused(whole, everything).alias(BAD_TEXT),
     )
+    return found.withColumn(BAD_PLACE, F.when(F.col(BAD_TEXT).isNotNull(), json_value_position(F.col(BAD_TEXT), F.col(BAD_COLUMN))))
 
 
 def _parse_json_lines(lines: DataFrame, fields: list[T.StructField]) -> DataFrame:
@@ -278,7 +287,7 @@ def parse_files(
 
     Columns the files lack are null, columns the schema lacks are dropped.  ``_file``,
     ``_block`` and ``_row`` say where a record came from; ``_bad_text`` is the text of a record
-    the parser refused and ``_bad_column`` the column at fault, if one is.  Csv files share one
+    the parser refused, ``_bad_column`` the column at fault, if one is, and ``_bad_place`` where in the text the fault begins, from 1.  Csv files share one
     header unless ``csv_header`` is ``"per_file"``, which reads the header of each file first.
     """
     return raw_files(spark, stage, prefix, file_format, schema, csv_header=csv_header, csv=csv, paths=paths)
@@ -299,7 +308,7 @@ def loaded_rows(parsed: DataFrame, scan_time: dt.datetime | None = None, on_erro
     else:
         message = F.concat(F.lit("bad record in "), F.col(FILE), F.lit(": "), F.col(BAD_TEXT))
         kept = parsed.where(F.when(bad, F.raise_error(message).cast("boolean")).otherwise(True))
-    data = [c for c in parsed.columns if c not in (FILE, BLOCK, ROW, BAD_COLUMN, BAD_TEXT)]
+    data = [c for c in parsed.columns if c not in (FILE, BLOCK, ROW, BAD_COLUMN, BAD_TEXT, BAD_PLACE)]
     return kept.select(
         *[f"`{c}`" for c in data], F.col(FILE).alias("metadata_filename"), ntz(scan_time).alias("metadata_ingest_time")
     )

@@ -59,6 +59,16 @@ def records_from_payload(
     return kept.select(*(keep or []), *[F.col("_record")[f.name].alias(f.name) for f in record], scrape_ts.alias("scrape_ts"))
 
 
+def landed_and_refused(payloads: DataFrame, payload: str, record: T.StructType, scrape_ts: Column, keep: list[str] | None = None) -> DataFrame:
+    """Rows of ``records_from_payload`` under ``"continue"`` and of ``refused_records`` from one reading of the payloads.
+
+    ``refused`` is the text of what was refused, and null for a landed record; a refused one has null fields and no time.
+    """
+    parsed, fine = _parsed(payloads, payload, record, keep or []), F.col(_REFUSED).isNull()
+    fields = [F.when(fine, F.col("_record")[f.name]).alias(f.name) for f in record]
+    return parsed.select(*(keep or []), *fields, F.when(fine, scrape_ts).alias("scrape_ts"), F.col(_REFUSED).alias("refused"))
+
+
 def refused_records(payloads: DataFrame, payload: str, record: T.StructType, keep: list[str] | None = None) -> DataFrame:
     """What ``records_from_payload`` leaves out under ``"continue"``: kept columns and the refused text."""
     refused = _parsed(payloads, payload, record, keep or []).where(F.col(_REFUSED).isNotNull())
