@@ -54,20 +54,22 @@ def word_starts(data: np.ndarray) -> np.ndarray:
 
     There the byte-level pre-tokenizer always starts a new word, so what lies on either side can be encoded on its own.
     """
-    at = np.flatnonzero(data[:-1] == 0x20) if len(data) else np.zeros(0, dtype=np.int64)
-    at = at[~_IS_SPACE[data[at + 1]]]
-    wide = np.flatnonzero(data[at + 1] >= 0x80)
-    for space in _WIDE_SPACES if len(wide) else ():
-        ahead = at[wide][:, None] + 1 + np.arange(len(space))
-        whole = ahead[:, -1] < len(data)
-        hit = np.zeros(len(wide), dtype=bool)
-        hit[whole] = (data[ahead[whole]] == np.frombuffer(space, dtype=np.uint8)).all(axis=1)
-        at, wide = np.delete(at, wide[hit]), np.flatnonzero(np.delete(data[at + 1] >= 0x80, wide[hit]))
-    return at
+    at = np.flatnonzero(data[:-1] == 0x20)
+    following = data[at + 1]
+    starts = ~_IS_SPACE[following]
+    leads = {lead: np.flatnonzero(following == lead) for lead in {space[0] for space in _WIDE_SPACES}}
+    for space in _WIDE_SPACES:
+        if len(near := leads[space[0]]):
+            ahead = np.minimum(at[near][:, None] + 1 + np.arange(len(space)), len(data) - 1)
+            starts[near[(data[ahead] == np.frombuffer(space, dtype=np.uint8)).all(axis=1)]] = False
+    return at[starts]
 
 
 class Encoder:
-    """Ids of whole texts; the words of a slice of texts are told apart first, and each is encoded once."""
+    """Ids of whole texts; the words of a slice of texts are told apart first, and each is encoded once.
+
+    With ``start`` a task begins to remember words from slice to slice, with ``stop`` it drops them.
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -78,6 +80,13 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.starts = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids that begin with a space
         self.starts[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
+        self.stop()
+
+    def stop(self) -> None:
+        self.known: tuple[pa.Array, np.ndarray, np.ndarray] | None = None
+
+    def start(self) -> None:
+        self.known = pa.array([], pa.string()), np.zeros(0, dtype=np.uint32), np.zeros((2, 0), dtype=np.int64)
 
     def _each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and how many each has."""
@@ -91,8 +100,8 @@ class Encoder:
         lens = np.zeros(len(words), dtype=np.int64)
         odd, lens[~plain] = self._each(words.filter(pa.array(~plain)).to_pylist())
         parts, chosen = [], np.flatnonzero(plain)
-        for first in range(0, len(chosen), 1_000):
-            block = chosen[first : first + 1_000]
+        for first in range(0, len(chosen), 4_000):
+            block = chosen[first : first + 4_000]
             texts = words.take(pa.array(block)).to_pylist()
             ids, _ = self._each(["".join(texts)])
             at = np.flatnonzero(self.starts[ids])
@@ -108,6 +117,22 @@ class Encoder:
         begin[order] = np.cumsum(lens[order]) - lens[order]
         return together, np.stack([begin, lens])
 
+    def _looked_up(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_distinct``, from what the task remembers where it can."""
+        if self.known is None:
+            return self._distinct(words)
+        known, ids, places = self.known
+        found = pc.index_in(words, value_set=known)
+        at = pc.fill_null(found, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        new = words.filter(pc.is_null(found))
+        if len(new):
+            more, more_places = self._distinct(new)
+            known, ids = pa.concat_arrays([known, new]), np.concatenate([ids, more])
+            places = np.concatenate([places, more_places + np.array([[len(ids) - len(more)], [0]])], axis=1)
+            self.known = known, ids, places
+            at[at < 0] = np.arange(len(known) - len(new), len(known))
+        return ids, places[:, at]
+
     def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and how many each has; a null is empty."""
         texts = pc.fill_null(texts, "")
@@ -126,7 +151,7 @@ class Encoder:
         starts = starts[np.append(True, starts[1:] != starts[:-1])]
         offsets = pa.py_buffer(np.append(starts, len(data)).astype(np.int32).tobytes())
         words = pa.StringArray.from_buffers(len(starts), offsets, texts.buffers()[2]).dictionary_encode()
-        ids, (begin, lens) = self._distinct(words.dictionary)
+        ids, (begin, lens) = self._looked_up(words.dictionary)
         codes = words.indices.to_numpy()
         n = lens[codes]
         ends = np.cumsum(n)
@@ -235,6 +260,7 @@ def pack(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_at(tokenizer)
+        encoder.start()
         bins = _Bins(TaskContext.get().partitionId() << 40, capacity)
         end = np.array([end_id], dtype="<u4")
         for batch in batches:
@@ -253,6 +279,7 @@ def pack(
                         yield bins.batch()
                 at = to
             yield bins.batch()
+        encoder.stop()
         bins.finish()
         yield bins.batch()
 
