@@ -290,3 +290,26 @@ def remove_unreferenced(spark: SparkSession, folder: str, older_than: dt.timedel
                 fs.delete(_fs(spark, part)[1], True)
             removed += 1
     return removed
+
+
+def compact_snapshot(spark: SparkSession, folder: str, rows_per_file: int = ROWS_PER_FILE, least_files: int = 16) -> int:
+    """Write files of under half ``rows_per_file`` rows together, if there are ``least_files`` of them; returns how many were replaced."""
+    base = latest_version(spark, folder)
+    small = staged(live_files(spark, folder, base).where(F.col("n_rows") * 2 < rows_per_file), "small")
+    n = small.count()
+    if n < least_files:
+        return 0
+    run = _write_run(_rows(spark, folder, base, small), folder, base.keys, rows_per_file)
+    small.select("file").write.parquet(f"{folder}/index/removed/run={run}")
+    new = Version(base.number + 1, base.keys, base.schema, _now(), [*base.runs, run], [*base.removals, run])
+    _commit(spark, folder, _pruned(spark, folder, new))
+    return n
+
+
+def lookup_snapshot(spark: SparkSession, folder: str, wanted: DataFrame) -> DataFrame:
+    """Rows whose key is in ``wanted``; only files that can hold one are read."""
+    of = latest_version(spark, folder)
+    asked = wanted.select(*[F.col(f"`{own}`").cast(_schema(of)[k].dataType).alias(k) for k, own in zip(of.keys, resolve(wanted, of.keys), strict=True)])
+    bits = spark.read.schema(BITS).parquet(f"{folder}/index/bits").where(F.col("run").isin(of.runs)).drop("run")
+    files = files_for_keys(staged(live_files(spark, folder, of), "live"), bits, asked, of.keys)
+    return _rows(spark, folder, of, files).join(asked, of.keys, "left_semi")

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from sluicemark.functions.dates import ntz
 from sluicemark.operators.export import append_to_table
 from sluicemark.plans.flows import with_provenance
+from sluicemark.plans.loads import load_with_history
 from sluicemark.queries.registry import query, table
 from sluicemark.queries.schema_list import SCHEMAS, columns
 from sluicemark.session import new_database, new_folder
@@ -139,6 +140,19 @@ def load_files_once(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(loaded).select(*orders.columns, F.floor(F.col(BATCH) / 3).cast("int").alias(BATCH))
 
 
+@query("load_with_history", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
+def load_with_history_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Files in three drops and a run with nothing new; the history keeps each from being loaded twice."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    home, target = new_folder(spark, "history"), f"{new_database(spark, 'history')}.orders"
+    spark.createDataFrame([], with_provenance(orders.schema)).write.saveAsTable(target)
+    for status in ("F", "O", "P", None):
+        if status:
+            orders.where(F.col("o_orderstatus") == status).repartition(2).write.mode("append").parquet(f"{home}/drops")
+        load_with_history(spark, target, home, "drops", "parquet", f"{home}/files", RUN_TS, files_per_batch=1)
+    return spark.table(target).select(*orders.columns)
+
+
 @query(
     "json_record_landing",
     "SELECT event_id, CASE WHEN event_type <> 'error' THEN CAST(props->>'$.k' AS BIGINT) END AS k,"

@@ -330,21 +330,30 @@ def load_files(
     return loaded_rows(parsed, scan_time, on_error)
 
 
-def _unseen(spark: SparkSession, table: str, stage: str, prefix: str) -> list[str]:
-    """Files under ``stage/prefix`` that no row of the table comes from.
-
-    Files are listed without being read, and names are compared on the executors.  What comes to the driver are
-    paths, which the driver's own file listing of the scan holds as well.
-    """
-    path = f"{stage}/{prefix}"
+def listed_files(spark: SparkSession, stage: str, prefix: str) -> DataFrame:
+    """(file, path) of the files under ``stage/prefix``, listed without being read; no rows if there is no such path."""
     try:
-        listed = spark.read.format("binaryFile").load(path).select(_stage_name(stage).alias(FILE), F.col("_metadata.file_path").alias("path"))
+        listed = spark.read.format("binaryFile").load(f"{stage}/{prefix}")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return []
-    known = spark.table(table).select(F.col("metadata_filename").alias(FILE)).distinct()
-    return [unquote(row["path"]) for row in listed.join(known, FILE, "left_anti").select("path").collect()]
+        return spark.createDataFrame([], f"{FILE} string, path string").withColumnRenamed(FILE, "file")
+    return listed.select(_stage_name(stage).alias("file"), F.col("_metadata.file_path").alias("path"))
+
+
+def same_file(path: str) -> str:
+    """A listed path as readers take it."""
+    return unquote(path)
+
+
+def _unseen(spark: SparkSession, table: str, stage: str, prefix: str) -> list[str]:
+    """Files under ``stage/prefix`` that no row of the table comes from.
+
+    Names are compared on the executors.  What comes to the driver are paths, which the driver's own file listing of the scan
+    holds as well.  ``plans.loads`` keeps a history instead of reading the table's names.
+    """
+    known = spark.table(table).select(F.col("metadata_filename").alias("file")).distinct()
+    return [same_file(row["path"]) for row in listed_files(spark, stage, prefix).join(known, "file", "left_anti").select("path").collect()]
 
 
 def load_into_table(
@@ -359,16 +368,18 @@ def load_into_table(
     csv_header: str = "shared",
     csv: CsvFormat = CSV,
     force: bool = False,
+    paths: list[str] | None = None,
 ) -> dict[str, int]:
     """Load the files into a table by column name; returns rows_parsed, rows_loaded and errors_seen.
 
     A table with provenance knows which files its rows come from; those are not loaded again unless ``force`` is set.
     ``truncate`` replaces the table's rows and loads every file; the rows are staged first, so a load that aborts
-    leaves the table as it was.  The counts ride on the write.
+    leaves the table as it was.  The counts ride on the write.  ``paths`` loads just these files, whatever the table holds.
     """
     schema = spark.table(table).schema
     keeps_history = PROVENANCE.names[0] in [n.lower() for n in schema.names]
-    paths = _unseen(spark, table, stage, prefix) if keeps_history and not (truncate or force) else None
+    if paths is None and keeps_history and not (truncate or force):
+        paths = _unseen(spark, table, stage, prefix)
     if paths == []:
         return {"rows_parsed": 0, "rows_loaded": 0, "errors_seen": 0}
     seen = Observation()
