@@ -41,7 +41,7 @@ def op1_hnsw_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_simhash_components")
 def op2_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return simhash.components_within(docs).withColumnsRenamed({"doc": "doc_id", "component": "component_id"})
+    return simhash.components_within(docs).select(F.col("doc").alias("doc_id"), "fingerprint", F.col("component").alias("component_id"))
 
 
 @query("op3_language_profiles")

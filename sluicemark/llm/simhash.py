@@ -131,14 +131,19 @@ def links_within_two(distinct: DataFrame) -> DataFrame:
 
 
 def components_within(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(doc, fingerprint, component) of every row; components are joined by links of up to 2 bits."""
+    """(doc, text_key, fingerprint, group, component) of every row; groups are joined by links of up to 2 bits.
+
+    ``component`` is the group's smallest id, null if it has none; ``text_key`` tells texts of one id apart.
+    """
     prints = staged(fingerprints(docs, doc_id, text, shingle))
     distinct = staged(prints.groupBy(F.col("f0").alias("f")).agg(F.min("doc").alias("least")))
     groups = components(links_within_two(distinct.select("f")), "f", "to")
     named = distinct.join(groups.withColumnRenamed("node", "f"), "f", "left").withColumn("group", F.coalesce("component", "f"))
     least = named.groupBy("group").agg(F.min("least").alias("component_id"))
-    final = named.join(least, "group").select(F.col("f").alias("f0"), "component_id")
-    return prints.join(final, "f0").select("doc", F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), F.col("component_id").alias("component"))
+    final = named.join(least, "group").select(F.col("f").alias("f0"), "group", "component_id")
+    return prints.join(final, "f0").select(
+        "doc", "text_key", F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "group", F.col("component_id").alias("component")
+    )
 
 
 def near_signature(hashes: np.ndarray) -> list[int]:
