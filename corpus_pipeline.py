@@ -32,7 +32,7 @@ def _long() -> Column:
 
 def least_score(rated: DataFrame) -> float:
     """The score below which a text counts as none of the learned languages, from all rows rated right."""
-    right = rated.filter((F.col("lang") == F.col("lang_pred")) & F.col("long"))
+    right = rated.filter((F.col("lang") == F.col("lang_pred")) & _long())
     return max(right.agg(F.percentile_approx("score", QUANTILE, 100_000)).first()[0] or 0.0, NOISE)
 
 
@@ -40,10 +40,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents in a known language; a missing ``lang`` is filled with the prediction."""
     on_workers(spark)
     docs = _documents(docs)
-    rated = staged(languages.predict(docs, languages.learn(docs)).withColumn("long", _long()))
-    least = least_score(rated)
-    believed = F.col("lang").isNotNull() & ~F.col("long")
-    kept = rated.filter((F.col("lang_pred") != languages.UNKNOWN) & (believed | (F.col("score") >= least)))
+    model = languages.learn(docs)
+    least = least_score(languages.predict(docs.filter(F.col("lang").isNotNull()).select("text", "lang"), model))
+    believed = F.col("lang").isNotNull() & ~_long()
+    kept = languages.predict(docs, model).filter((F.col("lang_pred") != languages.UNKNOWN) & (believed | (F.col("score") >= least)))
     return _documents(kept.withColumn("lang", F.coalesce("lang", "lang_pred")))
 
 
@@ -55,10 +55,10 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest id."""
+    """One document of each group whose fingerprints are linked, the one with the smallest id."""
     on_workers(spark)
     docs = _documents(docs)
-    groups = simhash.near_groups(docs)
+    groups = simhash.components_within(docs)
     first = groups.groupBy("group").agg(F.min(F.struct(F.col("doc").isNull().alias("nameless"), "doc", "text_key")).alias("first")).select("first.*")
     keyed = docs.withColumn("key", F.xxhash64("text"))
     kept = keyed.join(first, keyed["doc_id"].eqNullSafe(first["doc"]) & (keyed["key"] == first["text_key"]), "left_semi")
