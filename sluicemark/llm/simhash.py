@@ -11,13 +11,8 @@ every link of radius 2 without listing pairs: fingerprints that share a bucket w
 spread to the 65 centres at distance 1 or less; two fingerprints are within 2 exactly if they share a centre,
 and all at one centre are linked to its smallest.  Work is linear in the fingerprints, however large a bucket.
 
-``near_groups`` is for texts of a Jaccard similarity of 0.8 or more, which lie too far apart for covering masks: 32
-tables of 8 MinHash values each give the candidates, and exact shingle sets decide.  A pair shares a bucket with a
-chance of 1 - (1 - J^8)^32: 0.997 at 0.8, over 0.9999 at 0.85.  All pairs of a bucket are compared or
-linked already, and no bucket is cut.
-
-Null and empty texts have fingerprint 0 and are linked like any other; in ``near_groups`` they are one group.  Null ids are carried along and are
-never a representative unless a group has nothing else.  Repeated rows stay.  An empty table gives no rows.
+Null and empty texts have fingerprint 0 and are linked like any other.  Null ids are carried along and are never a representative
+unless a group has nothing else.  Repeated rows stay.  A very long text is hashed in one task, in memory proportional to it.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -36,16 +31,6 @@ from sluicemark.session import staged
 SHINGLE = 3
 RADIUS = 2
 HASH_SEED = 42
-NEAR_SHINGLE = 5
-NEAR_SIMILARITY = 80  # per cent
-NEAR_TABLES = 32
-NEAR_ROWS = 8  # MinHash values a table
-_CHUNK = 512
-_draws = np.random.default_rng(5)
-_TIMES = _draws.integers(0, 1 << 31, NEAR_TABLES * NEAR_ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_PLUS = _draws.integers(0, 1 << 32, NEAR_TABLES * NEAR_ROWS, dtype=np.uint32)
-_ROW_FACTORS = _draws.integers(0, 1 << 63, NEAR_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_TABLE_OFFSETS = _draws.integers(0, 1 << 63, NEAR_TABLES, dtype=np.uint64)
 _PART = 1 << 16
 _BITS_OF_BYTE = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
@@ -144,100 +129,3 @@ def components_within(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     return prints.join(final, "f0").select(
         "doc", "text_key", F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "group", F.col("component_id").alias("component")
     )
-
-
-def near_signature(hashes: np.ndarray) -> list[int]:
-    """Signed 64-bit keys, one a table; two sets share a table's key if they agree on all of its MinHash values."""
-    least = np.full(NEAR_TABLES * NEAR_ROWS, np.iinfo(np.uint32).max, dtype=np.uint32)
-    short = (hashes >> np.uint64(32)).astype(np.uint32)
-    for at in range(0, len(short), _CHUNK):
-        np.minimum(least, (_TIMES[:, None] * short[None, at : at + _CHUNK] + _PLUS[:, None]).min(axis=1), out=least)
-    keys = (least.reshape(NEAR_TABLES, NEAR_ROWS).astype(np.uint64) * _ROW_FACTORS).sum(axis=1) + _TABLE_OFFSETS
-    keys = (keys ^ (keys >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return (keys ^ (keys >> np.uint64(32))).view(np.int64).tolist()
-
-
-def near_signatures(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
-    """(doc, text_key, row, f, n, keys) of every row; texts with the same set of ``n`` shingles share ``f``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.unique(shingle_hashes(t.as_py(), shingle)) for t in batch.column(3)]
-            prints = pa.array([xxhash.xxh64_intdigest(s.tobytes(), HASH_SEED) - (1 << 63) for s in sets], pa.int64())
-            sizes, keys = pa.array([len(s) for s in sets], pa.int64()), pa.array([near_signature(s) for s in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], prints, sizes, keys], names=["doc", "text_key", "row", "f", "n", "keys"])
-
-    return _rows(docs, doc_id, text).mapInArrow(run, "doc long, text_key long, row long, f long, n long, keys array<long>")
-
-
-def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc, text_key, row, text); ``row`` is a hash of id and text."""
-    named = docs.select(F.col(doc_id).cast("long").alias("doc"), F.xxhash64(text).alias("text_key"), F.col(text).alias("text"))
-    return named.select("doc", "text_key", F.xxhash64("doc", "text_key").alias("row"), "text")
-
-
-def _shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
-    """(f, shingles) of (f, text)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.unique(shingle_hashes(t.as_py(), shingle)).view(np.int64) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["f", "shingles"])
-
-    return texts.mapInArrow(run, "f long, shingles array<long>")
-
-
-def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (f, g) whose shingle sets have a Jaccard similarity of ``NEAR_SIMILARITY`` per cent or more."""
-    left, right = sets.withColumnRenamed("shingles", "a"), sets.select(F.col("f").alias("g"), F.col("shingles").alias("b"))
-    met = pairs.join(left, "f").join(right, "g").select("f", "g", F.size("a").alias("na"), F.size("b").alias("nb"), F.size(F.array_intersect("a", "b")).alias("both"))
-    return met.filter(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * NEAR_SIMILARITY).select("f", "g")
-
-
-def _sizes_allow(a: str, b: str) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * NEAR_SIMILARITY
-
-
-def _to_leaders(members: DataFrame) -> DataFrame:
-    """Pairs of a member and its bucket's leader that are not in one component yet."""
-    leaders = members.filter(F.col("f") == F.col("g")).select("key", F.col("n").alias("ng"), F.col("c").alias("cg"))
-    return members.join(leaders, "key").filter((F.col("c") != F.col("cg")) & _sizes_allow("n", "ng")).select("f", "g").distinct()
-
-
-def _across(members: DataFrame) -> DataFrame:
-    """All other pairs of a bucket that are not in one component; those of its largest component among themselves are never formed."""
-    sizes = members.groupBy("key", "c").agg(F.count(F.lit(1)).alias("size"))
-    largest = sizes.groupBy("key").agg(F.max(F.struct("size", "c"))["c"].alias("largest"), F.count(F.lit(1)).alias("parts")).filter(F.col("parts") > 1)
-    mixed = staged(members.filter(F.col("f") != F.col("g")).join(largest.select("key", "largest"), "key"))
-    minor = mixed.filter(F.col("c") != F.col("largest")).select("key", F.col("f").alias("other"), F.col("c").alias("c_other"), F.col("n").alias("n_other"))
-    apart = (F.col("c") != F.col("c_other")) & ((F.col("c") == F.col("largest")) | (F.col("f") < F.col("other")))
-    return mixed.join(minor, "key").filter(apart & _sizes_allow("n", "n_other")).select("f", F.col("other").alias("g")).distinct()
-
-
-def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = NEAR_SHINGLE) -> DataFrame:
-    """(doc, text_key, group, component) of every row; documents with one set of shingles, or linked ones, share a group.
-
-    ``component`` is the group's smallest id, null if it has none.
-
-    Two sets are linked if they share a bucket and their Jaccard similarity, counted exactly, is at least
-    ``NEAR_SIMILARITY`` per cent.  First each set meets one leader, then the leader of each of its buckets, then all
-    members of its buckets; pairs in one component already are not compared, so groups of copies stay linear, and
-    no other pair of a bucket is left out.
-    """
-    prints = staged(near_signatures(docs, doc_id, text, shingle))
-    distinct = staged(prints.groupBy("f").agg(F.min("row").alias("row"), F.min("doc").alias("least"), F.first("n").alias("n"), F.first("keys").alias("keys")))
-    keyed = distinct.filter(F.col("n") > 0).select("f", "n", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("f").alias("g"), F.max("f").alias("last")).filter(F.col("g") < F.col("last"))
-    met = staged(keyed.join(shared.select("key", "g"), "key"))
-    needed = distinct.join(met.select("f").distinct(), "f", "left_semi").select("f", "row")
-    texts = _rows(docs, doc_id, text).select("row", "text").join(needed, "row").dropDuplicates(["row"])
-    sets = staged(_shingle_sets(texts.select("f", "text"), shingle))
-    links = staged(_similar(met.filter(F.col("f") != F.col("g")).groupBy("f").agg(F.min("g").alias("g")), sets))
-    for pairs in (_to_leaders, _across):
-        members = met.join(components(links, "f", "g").withColumnRenamed("node", "f"), "f", "left").withColumn("c", F.coalesce("component", "f"))
-        links = staged(links.union(_similar(pairs(staged(members.select("key", "f", "n", "g", "c"))), sets)))
-    groups = components(links, "f", "g")
-    named = distinct.select("f", "least").join(groups.withColumnRenamed("node", "f"), "f", "left").withColumn("group", F.coalesce("component", "f"))
-    least = named.groupBy("group").agg(F.min("least").alias("component"))
-    final = named.drop("component").join(least, "group").select("f", "group", "component")
-    return prints.select("doc", "text_key", "f").join(final, "f").drop("f")

@@ -7,7 +7,6 @@ import xxhash
 
 from sluicemark.llm import simhash
 from sluicemark.llm.graphs import components
-from tests.llm.conftest import documents
 
 
 def reference(text):
@@ -79,80 +78,4 @@ def test_edge_cases(edge, nothing):
     by = {r.doc: r for r in rows}
     assert len(rows) == 13 and by[3].fingerprint == by[4].fingerprint == "0" * 16
     assert by[3].component == by[4].component == by[5].component == 3 and by[11].component == 1 and None in by
-    assert simhash.components_within(nothing).count() == 0 and simhash.near_groups(nothing).count() == 0
-    near = {r.doc: r.component for r in simhash.near_groups(edge).collect()}
-    assert near[11] == 1 and near[2] == 2
-
-
-def test_near_groups_find_copies_with_changed_words(prepared):
-    random.seed(9)
-    word = lambda: "".join(random.choice("abcdefghijklmnop") for _ in range(6))
-    rows, alone = [], []
-    for i in range(60):
-        words = [word() for _ in range(300)]
-        rows.append((2 * i, " ".join(words), "en", "a"))
-        if i % 3:
-            words[100:103] = [word() for _ in range(3)]  # seven shingles of 296 changed
-            rows.append((2 * i + 1, " ".join(words), "en", "a"))
-        else:
-            alone.append(2 * i)
-    found = {r.doc: r.component for r in simhash.near_groups(documents(prepared, rows)).collect()}
-    assert all(found[i] == i for i in alone)
-    assert sum(found[k] != k for k in found) == 40
-
-
-def five_word_sets(text):
-    words = text.lower().split()
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
-
-
-def pair_of(similarity, rng, shingles=400):
-    """Two texts whose sets of five-word shingles are as similar as that, in their ends."""
-    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
-    common = [word() for _ in range(round(shingles * 2 * similarity / (1 + similarity)) + 4)]
-    own = shingles + 4 - len(common)
-    return tuple(" ".join(common + [word() for _ in range(own)]) for _ in range(2))
-
-
-def test_near_groups_find_isolated_pairs(prepared):
-    rng, rows, similarity = random.Random(3), [], {}
-    for i in range(600):
-        a, b = pair_of((0.805, 0.85, 0.90)[i % 3], rng)
-        rows += [(2 * i, a, "en", "a"), (2 * i + 1, b, "en", "b")]
-        left, right = five_word_sets(a), five_word_sets(b)
-        similarity[i] = len(left & right) / len(left | right)
-        assert similarity[i] >= 0.8
-    found = {r.doc: r.component for r in simhash.near_groups(documents(prepared, rows)).collect()}
-    for least in (0.80, 0.84, 0.89):
-        pairs = [i for i, s in similarity.items() if least <= s < least + 0.03]
-        assert len(pairs) == 200 and sum(found[2 * i + 1] == 2 * i for i in pairs) >= 196
-
-
-def test_no_pair_of_a_bucket_stays_uncompared(prepared):
-    rng = random.Random(8)
-    members = {(rng.randrange(6), f, rng.randrange(40, 60), rng.randrange(4)) for f in range(120)}
-    leader = {k: min(f for key, f, _, _ in members if key == k) for k, *_ in members}
-    frame = prepared.createDataFrame([(k, f, n, leader[k], c) for k, f, n, c in members], "key long, f long, n long, g long, c long")
-    found = [tuple(sorted((r.f, r.g))) for pairs in (simhash._to_leaders, simhash._across) for r in pairs(frame).collect()]
-    apart = {tuple(sorted((f, g))) for k, f, n, c in members for l, g, m, d in members if k == l and c != d and min(n, m) * 100 >= max(n, m) * 80}
-    assert len(found) == len(set(found)) and set(found) == apart
-
-
-def test_near_groups_look_past_an_unrelated_leader(prepared):
-    # texts of one family are 0.5 similar, its pairs 0.81; hundreds of strangers share buckets with each pair
-    rng = random.Random(12)
-    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
-    family, rows = [word() for _ in range(140)], []
-    for i in range(300):
-        shared = family + [word() for _ in range(42)]
-        rows += [(2 * i + j, " ".join(shared + [word() for _ in range(20)]), "en", "a") for j in range(2)]
-    left, right = five_word_sets(rows[0][1]), five_word_sets(rows[1][1])
-    assert 0.79 < len(left & right) / len(left | right) < 0.83
-    found = {r.doc: r.component for r in simhash.near_groups(documents(prepared, rows)).collect()}
-    assert sum(found[2 * i] == found[2 * i + 1] == 2 * i for i in range(300)) >= 294
-
-
-def test_near_groups_leave_texts_below_the_similarity_apart(prepared):
-    rng = random.Random(5)
-    rows = [(2 * i + j, text, "en", "a") for i in range(200) for j, text in enumerate(pair_of(0.78, rng))]
-    assert {r.doc: r.component for r in simhash.near_groups(documents(prepared, rows)).collect()} == {i: i for i in range(400)}
+    assert simhash.components_within(nothing).count() == 0
