@@ -37,7 +37,8 @@ STEPS_PER_WRITE = 5
 RATIO = 1.0
 ADDED = ("host", "path", "rule", "verdict", "trust", "distrust")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-LINK = r"""href[\x20\x09-\x0D]*=[\x20\x09-\x0D]*["']?(?:[Hh][Tt][Tt][Pp][Ss]?:)?//([^/"'?#<>\x20\x09-\x0D]+)"""
+# The host of a link, without user and port; tags may be spelled in any case.
+LINK = r"""(?i:href)[\x20\x09-\x0D]*=[\x20\x09-\x0D]*["']?[\x20\x09-\x0D]*(?i:https?:)?//(?:[^/"'?#<>@\x20\x09-\x0D]*@)?([^/"'?#<>:@\x20\x09-\x0D]+)"""
 
 
 def host_of(url: Column) -> Column:

@@ -5,9 +5,12 @@ links, the same of the blocks before and after it, and the elements it stands in
 small table below decides which blocks are article text.  Pages are independent, so the work is one
 map over the table without a shuffle, and a task holds one batch of pages.
 
+A class or id may hint at boilerplate (``sidebar``, ``share`` ...).  It counts for what it names, not for a layout around the article: not where it
+only says what the layout has or lacks (``has-sidebar``), nor where the container holds the main element or most of the page's words.
+
 Null or empty html, and pages without article text, give an empty text.  Tags, comments and
 references cut off by the end of the page are dropped, or kept as text where they aren't markup.
-Repeated rows are read alike.  An empty table gives no rows.  Other columns are not read.
+A very long page is read in one task, in memory proportional to it.  Repeated rows are read alike; there are no ties.  An empty table gives no rows.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -35,6 +38,10 @@ HINT = re.compile(
     r"breadcrumbs?|footer|header|masthead|share|sharing|social|related|recommended|newsletter|subscribe|signup|login|popup|modal|widget|pagination|tags)(?:$|[\s_-])",
     re.I,
 )
+# Words that turn a hint into its opposite, or into a remark on the layout.
+_REMARK = re.compile(r"(?:^|(?<=[\s_-]))(?:has|have|with|no|not|without|hide|hidden|show|shows|is|in|on|before|after|above|below)[_-]\w+", re.I)
+# What readers write may be longer than the article.
+TALK = re.compile(r"(?:^|[\s_-])(?:comments?|replies|respond|disqus)(?:$|[\s_-])", re.I)
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
 _LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -101,6 +108,12 @@ LABELLED = [
     ],
     [("div", 18, 17, 0), ("div p", 25, 0, 1), ("div p", 13, 0, 1), ("div p", 16, 2, 1), ("div p", 11, 0, 1), ("div", 4, 0, 0), ("div", 3, 3, 0)],
     [("article p", 64, 0, 1), ("article p", 2, 2, 1), ("article p", 2, 0, 1), ("article p", 37, 0, 1), ("td", 2, 0, 0), ("td", 3, 1, 0)],
+    [
+        ("ul li", 1, 1, 0), ("ul li", 2, 2, 0), ("div h1", 7, 0, 1), ("div p", 6, 0, 1), ("div p", 64, 0, 1), ("div p", 4, 0, 1), ("div p", 81, 2, 1),
+        ("div p", 9, 0, 1), ("div p", 47, 0, 1), ("div", 5, 2, 0), ("div", 3, 3, 0),
+    ],
+    [("ul li", 1, 1, 0), ("div h1", 5, 0, 1), ("div p", 6, 0, 1), ("div p", 70, 3, 1), ("div p", 7, 0, 1), ("div p", 55, 0, 1), ("ul li", 4, 4, 0)],
+    [("ul li", 3, 3, 0), ("div h1", 9, 0, 1), ("div p", 5, 0, 1), ("div p", 110, 0, 1), ("div", 6, 6, 0)],
     [("p", 33, 0, 1), ("p", 52, 1, 1), ("p", 27, 0, 1), ("p", 5, 0, 1), ("p", 41, 0, 1), ("div.share", 3, 3, 0), ("div.related ul li", 8, 8, 0)],
 ]
 
@@ -139,12 +152,30 @@ def decide(tree: tuple, row: list[float]) -> bool:
     return tree[0]
 
 
+@dataclass(slots=True)
+class _Hinted:
+    """A container whose class or id hints at boilerplate, and what speaks against that."""
+
+    talk: bool
+    words: int = 0
+    main: bool = False
+    article: bool = False
+
+    def holds(self, page_words: int) -> bool:
+        """Whether the hint counts: it does not for the layout around an article, only for a part beside it."""
+        if self.talk:
+            return True
+        around = 2 * self.words > page_words or (self.article and self.words >= 60 and 4 * self.words > page_words)
+        return not (self.main or around)
+
+
 class _Reader:
     """Flat text blocks of one page."""
 
     def __init__(self) -> None:
         self.blocks: list[Block] = []
-        self.open: list[tuple[str, bool]] = []  # containers, and whether each is marked as boilerplate
+        self.inside: list[list[_Hinted]] = []  # of each block, the hinted containers around it
+        self.open: list[tuple[str, _Hinted | None]] = []  # containers
         self.leaf, self.leaf_hint = "", False
         self.texts: list[str] = []
         self.linked: list[str] = []
@@ -157,7 +188,10 @@ class _Reader:
             content = bool(names & CONTENT)
             heading = self.leaf in HEADINGS
             own_header = content and heading  # a heading in an article's own header is its title
-            boiler = self.leaf_hint or any(h or (n in BOILER and not (own_header and n == "header")) for n, h in self.open)
+            boiler = self.leaf_hint or any(n in BOILER and not (own_header and n == "header") for n, _ in self.open)
+            self.inside.append(hints := [h for _, h in self.open if h is not None])
+            for hint in hints:
+                hint.words += len(words)
             linked = min(len("".join(self.linked).split()), len(words))
             self.blocks.append(Block(" ".join(words), len(words), linked, content, boiler, heading, self.leaf in ("li", "dd", "dt")))
         self.texts, self.linked, self.leaf, self.leaf_hint = [], [], "", False
@@ -174,12 +208,14 @@ class _Reader:
             self.links = 0
             if name in CONTAINERS:
                 if not closing:
-                    self.open.append((name, self.hinted(name, attributes)))
+                    self.holding(name)
+                    self.open.append((name, self.hint(name, attributes)))
                 elif any(n == name for n, _ in self.open):
                     while self.open.pop()[0] != name:
                         pass
             elif not closing:
-                self.leaf, self.leaf_hint = name, self.hinted(name, attributes)
+                self.holding(name)
+                self.leaf, self.leaf_hint = name, self.hint(name, attributes) is not None
         elif name == "a":
             self.links = max(0, self.links - 1) if closing else self.links + 1
             if self.linked:
@@ -187,11 +223,27 @@ class _Reader:
         elif name == "br":
             self.texts.append(" ")
 
+    def holding(self, name: str) -> None:
+        """Tell the hinted containers around that an element begins which stands for an article."""
+        if name in ("main", "article", "h1"):
+            for _, hint in self.open:
+                if hint is not None:
+                    hint.main, hint.article = hint.main or name == "main", True
+
     @staticmethod
-    def hinted(name: str, attributes: str) -> bool:
+    def hint(name: str, attributes: str) -> _Hinted | None:
         if not attributes or name in CONTENT or name == "body":
-            return False
-        return any(HINT.search(a or b or c) for a, b, c in _NAMED.findall(attributes))
+            return None
+        named = " ".join(_REMARK.sub("", a or b or c) for a, b, c in _NAMED.findall(attributes))
+        return _Hinted(bool(TALK.search(named))) if HINT.search(named) else None
+
+    def finished(self) -> list[Block]:
+        """The blocks, once it is known which hints count."""
+        self.end_block()
+        total = sum(b.words for b in self.blocks)
+        for block, hints in zip(self.blocks, self.inside, strict=True):
+            block.boiler = block.boiler or any(h.holds(total) for h in hints)
+        return self.blocks
 
 
 def read_blocks(html: str) -> list[Block]:
@@ -227,8 +279,7 @@ def read_blocks(html: str) -> list[Block]:
         else:
             reader.text("<")
             at = start + 1
-    reader.end_block()
-    return reader.blocks
+    return reader.finished()
 
 
 def labelled_blocks(pages: list = LABELLED) -> tuple[np.ndarray, np.ndarray]:

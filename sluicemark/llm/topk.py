@@ -9,7 +9,7 @@ A vector's score is the sum of ``lists`` local scores, one per run of its compon
 3. Rows whose known local scores plus the most that the other lists can add stay below the cutoff are dropped.
    Those with all lists known have their score; the rest are scored in full.
 
-Components are floor(``scale`` * x), kept within 2**28 in size so that no sum overflows.  Equal vectors are one row with
+Components are floor(``scale`` * x).  One that is no long, or a score that is none, is an error; nothing is rounded or cut.  Equal vectors are one row with
 their k + 1 smallest ids, which is all that a result can hold of them.
 
 Vectors that are null, empty or hold null or non-finite components take no part, nor do rows
@@ -32,22 +32,27 @@ BLOCK_ROWS = 4096
 QUERY_ROWS = 2048
 LISTS = 2
 SCALE = 256
-LARGEST = 1 << 28
+LARGEST = float(1 << 62)
 # Below this size of components, products of up to 512 of them are exact in double precision.
 _EXACT = 1 << 22
 
 
 def _quantised(df: DataFrame, vec_id: str, vector: str, scale: int) -> DataFrame:
     rows = df.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("x"))
-    whole = F.transform("x", lambda x: F.floor(F.greatest(F.lit(float(-LARGEST)), F.least(F.lit(float(LARGEST)), x * scale))).cast("long"))
+    large = F.raise_error(F.lit("a component is too large for a whole score")).cast("long")
+    whole = F.transform("x", lambda x: F.when(F.abs(x * scale) < LARGEST, F.floor(x * scale).cast("long")).otherwise(large))
     return rows.filter(F.col("id").isNotNull() & finite(F.col("x"))).select("id", whole.alias("v"))
 
 
 def _products(queries: pd.Series, rows: pd.Series) -> np.ndarray:
     q, x = stacked(queries, np.int64), stacked(rows, np.int64)
-    if max(np.abs(q).max(initial=0), np.abs(x).max(initial=0)) < _EXACT and q.shape[1] <= 512:
+    most_q, most_x = int(np.abs(q).max(initial=0)), int(np.abs(x).max(initial=0))
+    if max(most_q, most_x) < _EXACT and q.shape[1] <= 512:
         return (q.astype(np.float64) @ x.T.astype(np.float64)).astype(np.int64)
-    return q @ x.T
+    if most_q * most_x * q.shape[1] < 1 << 63:
+        return q @ x.T
+    # Whole numbers of any size; an entry that is no long raises.
+    return (q.astype(object) @ x.T.astype(object)).astype(np.int64)
 
 
 def _sliced(df: DataFrame, lists: int) -> DataFrame:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import time
 from collections import defaultdict
 
 from sluicemark.llm import lines
@@ -45,3 +46,17 @@ def test_edge_cases(prepared, edge, nothing):
     assert found[0].row == "row" and found[0].line == "line"
     assert lines.drop_spread_lines(nothing).count() == 0
     assert lines.drop_spread_lines(edge).count() == len(EDGE)
+
+
+def test_long_lines_need_fewer_sites_and_long_texts_are_rebuilt(prepared):
+    long, middle, short = " ".join(f"w{i}" for i in range(60)), " ".join(f"m{i}" for i in range(25)), "a short line here"
+    rows = [(s, f"own {s} text\n{long}\n{middle}\n{short}", "en", f"site{s}") for s in range(7)]
+    found = {r.doc_id: r.text.split("\n") for r in lines.drop_spread_lines(documents(prepared, rows)).collect()}
+    assert found[0] == rows[0][1].split("\n") and all(found[s] == [f"own {s} text", short] for s in range(1, 7))
+    two = [(s, f"own {s} text\n{long}", "en", f"site{s}") for s in range(2)]
+    assert sum(r.n_removed for r in lines.drop_spread_lines(documents(prepared, two)).collect()) == 0
+    many = "\n".join(f"{'shared' if i % 2 else 'own'} line number {i}" for i in range(60_000))
+    rows = [(s, many if s == 2 else "\n".join(f"shared line number {i}" for i in range(1, 60_000, 2)), "en", f"site{s}") for s in range(3)]
+    started = time.perf_counter()
+    found = {r.doc_id: r for r in lines.drop_spread_lines(documents(prepared, rows), min_sites=3).collect()}
+    assert found[2].n_removed == 30_000 and found[2].text.count("\n") == 29_999 and found[1].text == "" and time.perf_counter() - started < 60

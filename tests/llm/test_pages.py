@@ -31,6 +31,37 @@ def test_article_blocks_of_every_shape_are_kept():
         assert not pages.decide(TREE, [w, d, pw, pd, nw, nd, 1, 1, h, i])
 
 
+PARAGRAPHS = ["".join(f"{word} " for word in [f"p{i}w{j}" for j in range(60)]).strip() for i in range(4)]
+BODY = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+
+
+def test_hints_on_a_layout_do_not_hide_its_article():
+    for names in ("page", "page has-sidebar", "content no-comments", "site with-header", "post tags-travel", "layout-sidebar", "wrap sidebar"):
+        page = f'<body><div class="{names}"><nav><a href=x>Home</a></nav><article>{BODY}</article><div class="sidebar"><p>Other things to read on this site today</p></div></div>'
+        assert pages.main_text(page, TREE) == "\n".join(PARAGRAPHS), names
+
+
+# Labelled pages of other layouts: the html with the wanted blocks in <w> marks.
+LAYOUTS = {
+    "plain divs": f"<div><a href=a>Home</a> <a href=b>News</a></div><div><w><h1>A title of some words here</h1></w><w><p>Six words open this story well.</p></w>"
+    f"<w><p>{PARAGRAPHS[0]}</p></w><w><p>{PARAGRAPHS[1]}</p></w></div><div><a href=c>Imprint</a> <a href=d>Contact us</a></div>",
+    "main with aside": f"<header class=site-header><p>The daily paper of the town</p></header><main><w><h1>Title of it</h1></w><w><p>{PARAGRAPHS[0]}</p></w><w><p>Short one.</p></w>"
+    f"<aside><p>Read this as well, it is good</p></aside><w><p>{PARAGRAPHS[2]}</p></w></main><footer><p>All rights are reserved by us</p></footer>",
+    "comments longer than the article": f"<div class='post single'><w><h1>On the matter of it</h1></w><w><p>{PARAGRAPHS[0]}</p></w></div><div id=comments>" + f"<p>{PARAGRAPHS[1]}</p><p>{PARAGRAPHS[2]}</p><p>{PARAGRAPHS[3]}</p></div>",
+    "table layout": f"<table><tr><td class=menu><a href=a>One</a><td><w><p>{PARAGRAPHS[0]}</p></w><w><p>{PARAGRAPHS[1]}</p></w><td class=ads><p>Buy this now and save a lot</p></table>",
+    "article with parts": f"<article><header><w><h1>Title</h1></w></header><w><p>{PARAGRAPHS[0]}</p></w><div class=advert><p>Only today: half price on all of it</p></div><w><blockquote>As was said before</blockquote></w>"
+    f"<w><p>{PARAGRAPHS[1]}</p></w><section class=related><ul><li><a href=z>Another story of the day</a></ul></section></article>",
+    "list article": "<nav><ul><li><a href=a>Home</a></ul></nav><main><w><h1>Ten things</h1></w>" + "".join(f"<ul><li><w>{p}</w></li></ul>" for p in PARAGRAPHS) + "</main><div class=newsletter><p>Subscribe to our letter for more of this</p></div>",
+    "sidebar layout class": f"<div class=layout-sidebar><div class=content><w><h1>A story</h1></w><w><p>{PARAGRAPHS[0]}</p></w><w><p>{PARAGRAPHS[3]}</p></w></div><div class=sidebar><p>Popular now: this and that</p></div></div>",
+}
+
+
+def test_labelled_pages_of_other_layouts():
+    for name, page in LAYOUTS.items():
+        wanted = [" ".join(re.sub(r"<[^>]*>", " ", w).split()) for w in re.findall(r"<w>(.*?)</w>", page)]
+        assert pages.main_text(re.sub(r"</?w>", "", page), TREE).split("\n") == wanted, name
+
+
 def test_whole_table_equals_the_article_element(prepared):
     table = prepared.read.parquet("/root/testdata/sf0.01/pages.parquet")
     found = {r.page_id: r for r in pages.extract(table).collect()}

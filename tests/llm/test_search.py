@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from sluicemark.llm import hnsw, topk
@@ -90,7 +91,12 @@ def test_topk_edge_cases(vectors):
     assert topk.search(vectors([]), F.col("vec_id") % 50 == 0).count() == 0
 
 
-def test_topk_with_large_components(vectors):
-    rows = [(50, [70000.0, -3.0]), (51, [60000.5, 2.0]), (52, [-70000.0, 1.0]), (53, [1e30, 1.0])]
-    found = topk.search(vectors(rows), F.col("vec_id") == 50, k=2).collect()
-    assert [r.vec_id for r in sorted(found, key=lambda r: r.rank)] == [53, 51]
+def test_topk_scores_are_whole_numbers_of_any_size(vectors):
+    big = float(1 << 30)
+    rows = [(50, [big, -3.0]), (51, [big / 64 + 0.5, 2.0]), (52, [-big, 1.0]), (53, [8.0, big / 2])]
+    found = {r.vec_id: r.score for r in topk.search(vectors(rows[:2] + rows[3:]), F.col("vec_id") == 50, k=3).collect()}
+    whole = lambda v: [math.floor(256 * x) for x in np.array(v, dtype=np.float32).astype(float).tolist()]
+    assert found == {i: sum(a * b for a, b in zip(whole(rows[0][1]), whole(v))) for i, v in (rows[1], rows[3])}
+    for bad in ([1e30, 1.0], [big, big]):  # a component, or a score, that is no long
+        with pytest.raises(Exception, match="too large|overflow|OVERFLOW"):
+            topk.search(vectors([(50, [4e9, -4e9]), (51, [4e9, 4e9]), (53, bad), (54, [4e9, -4e9])]), F.col("vec_id") == 50, k=2).collect()
