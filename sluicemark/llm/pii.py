@@ -1,21 +1,22 @@
 """Personal data: base patterns, and boosted trees over wider candidates.
 
 The base spans of a kind are the leftmost non-overlapping matches of its pattern that pass its check.  Generators
-with high recall propose further spans (phones without a plus, cards of other lengths, addresses with ``(at)``,
-version 6 addresses ...), which may overlap.  Gradient-boosted trees rate a candidate by its format and the words around
+with high recall propose further spans (phones without a plus or without any separator, cards of other lengths, addresses with ``(at)`` or spelled out,
+version 6 addresses, compressed ones too ...), which may overlap.  Gradient-boosted trees rate a candidate by its format and the words around
 it; they are trained on the small table below.  A kind's threshold is calibrated on scores of rows that the
 scoring trees haven't seen, as the lowest one that keeps the asked precision.  Candidates above it that touch no base span
 are added, the best first where they overlap.
 
 Documents are independent, so the work is one map without a shuffle.  Patterns are written so that their time is
-linear in the text, whatever it holds.  Null text is empty and has no spans.  Null ids are carried along.
+linear in the text, whatever it holds, and overlaps are found by bisection; a very long text is one task's work.  Null text is empty and has no spans.  Null ids are carried along.
 Repeated rows are searched alike.  An empty table gives no rows.  Other columns are not read.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -79,13 +80,18 @@ def in_order(spans: list[Span]) -> list[Span]:
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
-# Wider generators: kind, what a text must hold to be searched, pattern.
+# Wider generators: kind, what a text must hold to be searched, pattern.  None starts inside a run that it could have started before, so their time
+# stays linear, and none has a longest length but for digits.
+_NAME, _LABEL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++", r"[A-Za-z0-9-]++"
 GENERATORS = (
-    ("email", ("at)", "at]", "AT)", "AT]"), re.compile(r"[A-Za-z0-9._%+-]{1,64}+ ?[(\[](?:at|AT)[)\]] ?[A-Za-z0-9-]{1,63}+(?: ?(?:\.|[(\[](?:dot|DOT)[)\]]) ?[A-Za-z0-9-]{1,63}+){1,8}")),
+    ("email", ")]", re.compile(rf"{_NAME} ?[(\[] ?at ?[)\]] ?{_LABEL}(?: ?(?:\.|[(\[] ?dot ?[)\]]) ?{_LABEL})++", re.I)),
+    ("email", (" at ", " AT ", " At "), re.compile(rf"{_NAME} at {_LABEL}(?: dot {_LABEL})++", re.I)),
     ("email", ("@",), re.compile(r"(?<=[A-Za-z0-9._%+-])@(?:localhost|\[[0-9.]{7,15}\])")),
     ("ip", (":",), re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}+:){4,7}+:?[0-9A-Fa-f]{1,4}+(?![0-9A-Fa-f:])")),
+    ("ip", ("::",), re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{1,4}+(?::[0-9A-Fa-f]{1,4}+)*+::(?:[0-9A-Fa-f]{1,4}+(?::[0-9A-Fa-f]{1,4}+)*+)?|::[0-9A-Fa-f]{1,4}+(?::[0-9A-Fa-f]{1,4}+)*+)(?![\w:])")),
     ("card", "0123456789", re.compile(r"(?<![0-9])[0-9]{4}+(?:[ .-][0-9]{4,6}+){2,3}[ .-]?[0-9]{0,4}+(?![0-9])")),
     ("phone", "0123456789", re.compile(r"(?<![0-9+])\(?[0-9]{2,5}+\)?(?:[ ./-]{1,2}[0-9]{2,5}+){1,5}(?![0-9])")),
+    ("phone", "0123456789", re.compile(r"(?<![\w.,:/+-])[0-9]{7,15}+(?![\w/-]|[.,:][0-9])")),
 )
 WORDS = {
     "email": re.compile(r"\b(?:e-?mail|mail|contact|write|reach|schreib\w*|correo|courriel|kontakt)\b", re.I),
@@ -161,6 +167,49 @@ mail <email:sales[at]example.org> for it
 contact <email:info (at) example.net> today
 e-mail <email:max.muster(at)example.de> bitte
 reach <email:ann [at] example [dot] org> there
+write to <email:jane at example dot com> about it
+mail <email:bob.lee AT mail DOT example DOT org> today
+e-mail <email:joe(At)example.com> please
+contact <email:anna at example dot de> for more
+reach <email:m.weber(AT)example(DOT)net> there
+email me: <email:kim at example dot co dot uk> thanks
+schreibt an <email:tom at example dot at> bitte
+correo <email:luis at ejemplo dot es> por favor
+we sat at home dot that was all
+meet at noon dot and bring food
+the cat at rest dot the dog too
+look at line dot two of the page
+call <phone:4155550132> tomorrow
+tel <phone:01715554321> after six
+my mobile is <phone:07700900123> now
+phone <phone:6175550148> for help
+Telefon <phone:08963648018> am Abend
+llame al <phone:915551234> por la tarde
+fax <phone:2125550199> only
+whatsapp <phone:447700900456> any time
+order 4155550132 was shipped
+invoice 2024051722 is due
+id 1187003422 in the log
+isbn 9783161484100 of the book
+serial 44112290187 on the back
+ref 20240517 and 20240611
+the epoch 1700000000 had passed
+about 7500000 people live there
+number 12345678 on the list
+part 40021187223 is out of stock
+the sum of 12500000 was found
+item 9911002233 of the table
+host <ip:fe80::1> is up
+login from <ip:2001:db8::8a2e:370:7334> failed
+the server <ip:2001:db8::1> answered
+gateway <ip:fe80::202:b3ff:fe1e:8329> is down
+client <ip:2001:db8:85a3::7334> was seen
+from <ip:::1> on this host
+peer <ip:2001:db8:1::> joined
+the scope ab::cd of the code
+class cafe::babe has a field
+a::b in the grammar
+the name de::ad is taken
 meet (at) noon.sharp or later
 we met[at]home.again yesterday
 look (at) this.one there
@@ -174,7 +223,7 @@ def candidates(text: str) -> list[Span]:
             for m in pattern.finditer(text):
                 start = m.start()
                 if m[0][0] == "@":
-                    while start and text[start - 1] in _LOCAL and m.start() - start < 64:
+                    while start and text[start - 1] in _LOCAL:
                         start -= 1
                 found.append((kind, start, m.end()))
     return found
@@ -282,17 +331,34 @@ def all_spans(text: str, base: list[Span], model: tuple[list[tuple], dict[str, f
             rated.append((-score, span))
     if not rated:
         return base
-    taken = sorted((s, e) for _, s, e in base)
+    taken, more = _Taken((s, e) for _, s, e in base), []
     for _, span in sorted(rated):
-        if not _touches(taken, span):
-            taken.append(span[1:])
-            taken.sort()
-            base = [*base, span]
-    return in_order(base)
+        if taken.add(*span[1:]):
+            more.append(span)
+    return in_order([*base, *more])
 
 
-def _touches(taken: list[tuple[int, int]], span: Span) -> bool:
-    return any(s < span[2] and span[1] < e for s, e in taken)
+class _Taken:
+    """Places that are taken, as disjoint ranges in order."""
+
+    def __init__(self, ranges: Iterable[tuple[int, int]]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for start, end in sorted(ranges):
+            if self.ends and start < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def add(self, start: int, end: int) -> bool:
+        """Take the range, if nothing of it is taken."""
+        at = bisect_right(self.starts, start)
+        if (at and self.ends[at - 1] > start) or (at < len(self.starts) and self.starts[at] < end):
+            return False
+        self.starts.insert(at, start)
+        self.ends.insert(at, end)
+        return True
 
 
 def written(spans: list[Span]) -> str:

@@ -41,7 +41,7 @@ def test_base_spans_equal_the_patterns():
 
 def test_time_is_linear():
     model = pii.train()
-    for text in ("1" * 200_000, "a" * 200_000 + "@", "1." * 100_000, "+1" + "(" * 200_000, "@" * 200_000, "a@b." * 60_000, "1:" * 100_000, "1234 " * 60_000):
+    for text in ("1" * 200_000, "a" * 200_000 + "@", "1." * 100_000, "+1" + "(" * 200_000, "@" * 200_000, "a@b." * 60_000, "1:" * 100_000, "1234 " * 60_000, "a at " * 40_000, "a" * 200_000 + "(at", "1::" * 60_000, "a dot " * 40_000):
         started = time.perf_counter()
         pii.all_spans(text, pii.base_spans(text), model)
         assert time.perf_counter() - started < 5
@@ -59,6 +59,31 @@ def test_boosting_adds_what_the_patterns_miss():
         assert pii.all_spans(text, pii.base_spans(text), model) == pii.base_spans(text)
 
 
+FORMS = {
+    "call 4155550132": "4155550132", "tel 01715554321": "01715554321", "login from fe80::1 again": "fe80::1", "host 2001:db8::8a2e:370:7334 is down": "2001:db8::8a2e:370:7334",
+    "write to jane at example dot com": "jane at example dot com", "mail joe(At)example.com now": "joe(At)example.com",
+    "contact " + "a" * 103 + "@localhost today": "a" * 103 + "@localhost",
+}
+
+
+def test_forms_without_separators_signs_or_limits_are_found():
+    model = pii.train()
+    for text, inner in FORMS.items():
+        start = text.index(inner)
+        assert [s[1:] for s in pii.all_spans(text, pii.base_spans(text), model)] == [(start, start + len(inner))], text
+    for text in ("order 4155550132 was shipped", "std::vector and ab::cd in the code", "we sat at home dot that was all", "isbn 9783161484100 of the book", "in 2024 about 7500000 people"):
+        assert pii.all_spans(text, pii.base_spans(text), model) == pii.base_spans(text), text
+
+
+def test_many_spans_in_one_text():
+    model, text = pii.train(), "call 415-555-0132 now. " * 8_000
+    started = time.perf_counter()
+    found = pii.all_spans(text, pii.base_spans(text), model)
+    assert len(found) == 8_000 and time.perf_counter() - started < 8  # rating takes most of it
+    taken = pii._Taken([(5, 9), (7, 12), (20, 30)])
+    assert (taken.starts, taken.ends) == ([5, 20], [12, 30]) and [taken.add(*r) for r in ((0, 5), (11, 13), (12, 20), (12, 13), (30, 31), (29, 40))] == [True, False, True, False, True, False]
+
+
 def test_base_spans_stay():
     model = pii.train()
     text = "tel +1 (415) 555-0132, card 4111 1111 1111 1111, a.b@example.com, 10.0.0.1"
