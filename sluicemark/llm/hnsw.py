@@ -38,7 +38,9 @@ class Graph:
     """A shard's vectors and their neighbours by level."""
 
     def __init__(self, vectors: np.ndarray, m: int = M):
-        self.x = vectors.astype(np.float32)
+        # Distances come as norms less products, so what all vectors have in common is taken off first.
+        self.centre = vectors.mean(axis=0, dtype=np.float64)
+        self.x = vectors - self.centre
         self.norms = np.einsum("ij,ij->i", self.x, self.x)
         self.m = m
         self.seen = np.zeros(len(vectors), dtype=np.int64)
@@ -154,9 +156,7 @@ class Graph:
         return graph
 
     def nearest(self, q: np.ndarray, ef: int = EF_SEARCH) -> np.ndarray:
-        if len(self.x) <= ef:
-            return np.arange(len(self.x))
-        q = q.astype(np.float32)
+        q = q - self.centre
         return np.array([n for _, n in self.walk(q, self.descend(q, 0), ef, 0)])
 
 
@@ -178,7 +178,9 @@ def build_index(df: DataFrame, vec_id: str, vector: str, copies: int, shard_rows
         return rows[["dim", "t_block", "node", "v", "ids", "links"]]
 
     schema = "dim int, t_block int, node int, v array<double>, ids array<long>, links array<int>"
-    return staged(dealt.groupBy("dim", "t_block").applyInPandas(build, schema)), shards
+    # Shards are few and costly, so they are spread by their number and not put together by their size.
+    spread = dealt.repartition(2 * shards, "dim", "t_block")
+    return staged(spread.groupBy("dim", "t_block").applyInPandas(build, schema)), shards
 
 
 def search(

@@ -9,7 +9,7 @@ A vector's score is the sum of ``lists`` local scores, one per run of its compon
 3. Rows whose known local scores plus the most that the other lists can add stay below the cutoff are dropped.
    Those with all lists known have their score; the rest are scored in full.
 
-Components are floor(``scale`` * x).  One that is no long, or a score that is none, is an error; nothing is rounded or cut.  Equal vectors are one row with
+Components are floor(``scale`` * x).  One that is no long, or a score that is none (that of a query with its own row included), is an error; nothing is rounded or cut.  Equal vectors are one row with
 their k + 1 smallest ids, which is all that a result can hold of them.
 
 Vectors that are null, empty or hold null or non-finite components take no part, nor do rows

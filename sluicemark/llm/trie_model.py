@@ -96,11 +96,15 @@ def _block(number: int, rows: pa.RecordBatch) -> pa.RecordBatch:
     owners = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))[spoken.to_numpy(zero_copy_only=False)]
     coded = lists.values.filter(spoken).dictionary_encode()
     lens = np.bincount(owners, minlength=len(lists)) + 1
-    codes = np.full(int(lens.sum()), len(coded.dictionary), dtype=np.int32)
-    codes[np.arange(len(owners)) + owners] = coded.indices.to_numpy()
+    # Words in order, so that neighbours have much in common; the end token's empty word is the first.
+    order = pc.sort_indices(coded.dictionary).to_numpy()
+    place = np.empty(len(order), dtype=np.int32)
+    place[order] = np.arange(1, len(order) + 1, dtype=np.int32)
+    codes = np.zeros(int(lens.sum()), dtype=np.int32)
+    codes[np.arange(len(owners)) + owners] = place[coded.indices.to_numpy()]
     taught = np.repeat(~rows.column(1).to_numpy(zero_copy_only=False), lens)
     counts = np.bincount(codes[taught], minlength=len(coded.dictionary) + 1)
-    words = pa.concat_arrays([coded.dictionary, pa.array([END])])
+    words = pa.concat_arrays([pa.array([END]), coded.dictionary.take(pa.array(order))])
     own = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
     blobs = [pa.array([packed(v)], pa.binary()) for v in (lens, codes, counts)]
     return _batch(BLOCK, pa.array([number], pa.int64()), own(rows.column(0)), own(rows.column(1)), blobs[0], own(words), *blobs[1:])
@@ -180,13 +184,14 @@ def _answer_words(rows: pa.Table) -> pa.Table:
     place, (counts, bounds) = coded.indices.to_numpy().astype(np.int64), _all(rows["counts"])
     sums = np.zeros(len(coded.dictionary), dtype=np.int64)
     np.add.at(sums, place, counts)
-    # Words that are in training come first, so that only they take up numbers.
+    # Numbers go by the order of the words, those in training first, so that only they take up numbers.
+    order = pc.sort_indices(coded.dictionary).to_numpy()
     number = np.empty(len(sums), dtype=np.int64)
-    number[np.argsort(sums == 0, kind="stable")] = np.arange(len(sums))
+    number[order[np.argsort(sums[order] == 0, kind="stable")]] = np.arange(len(sums))
     n, known = rows.num_rows, int((sums > 0).sum())
     return pa.Table.from_batches([_batch(
         ANSWER, rows["block"].combine_chunks(), pa.array([1] * n, pa.int32()), rows["shard"].combine_chunks(), pa.array([known] * n, pa.int64()),
-        pa.array([int(sums.sum())] * n, pa.int64()), pa.array([b""] * n, pa.binary()), _cut(number[place], bounds), _cut(sums[place], bounds),
+        pa.array([int(sums.sum())] * n, pa.int64()), pa.array([packed(sums[:0])] * n, pa.binary()), _cut(number[place], bounds, steps=True), _cut(sums[place], bounds),
     )])
 
 
@@ -287,7 +292,12 @@ class _State:
         prior = self.priors[min(self.level, len(self.priors) - 1)]
         rest = prior / (self.counts[grams.context] + prior)
         self.chances[whole] = probability(codes)[of] + rest[of] * self.chances[whole]
-        self.nodes, self.counts = nodes, counts
+        # From here on n-grams go by their nodes: what is asked of a shard next then comes in the order of its contexts.
+        order = np.argsort(nodes, kind="stable")
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        grams.of[whole] = place[of]
+        self.nodes, self.counts = nodes[order], counts[order]
 
     def questions(self) -> pa.RecordBatch:
         """One row per shard asked."""
@@ -369,7 +379,8 @@ def score(
     for level in range(2, order + 1):
         asked = with_answers(level - 1, _State.questions, ASKED)
         answer = _answer_shard(level, priors[min(level, len(priors) - 1)], last=level == order)
-        answers = answers.unionByName(staged(asked.groupBy("shard").applyInArrow(answer, ANSWER)))
+        answered = asked.groupBy("shard").applyInArrow(answer, ANSWER)
+        answers = answers.unionByName(answered if level == order else staged(answered))  # the last ones are read once
     found = staged(with_answers(order, _State.scores, SCORES))
     spark.sql(f"DROP DATABASE {database} CASCADE")
     return found.withColumn("train_tokens", F.lit(totals.tokens).cast("long"))

@@ -40,6 +40,20 @@ def test_graph_search_recall_over_several_shards(prepared, vectors):
     assert hits >= 0.95 * 300
 
 
+@pytest.mark.parametrize("kind", ["centred", "shifted", "clustered", "clustered and shifted"])
+def test_graph_recall_with_registered_parameters(kind):
+    """One whole shard, built and searched as ``op1`` does."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(hnsw.SHARD_ROWS // 2, 32))
+    if "clustered" in kind:
+        x = rng.normal(size=(20, 32))[rng.integers(0, 20, len(x))] * 5 + 0.05 * x
+    x = (x + (3_000 if "shifted" in kind else 0)).astype(np.float32).astype(np.float64)
+    graph, hits = hnsw.Graph(x).build(hnsw.EF_BUILD), 0
+    for q in x[::40]:
+        hits += len(set(graph.nearest(q, hnsw.EF_SEARCH)[:10].tolist()) & set(np.argsort(((x - q) ** 2).sum(axis=1), kind="stable")[:10].tolist()))
+    assert hits >= 0.95 * 10 * len(x[::40])
+
+
 def test_graph_search_with_a_third_of_copies(prepared, vectors):
     ids, x = table(prepared, 900, 2, copies=300)
     df = vectors(list(zip(ids.tolist(), x.tolist(), strict=True)))
@@ -92,7 +106,7 @@ def test_topk_edge_cases(vectors):
 
 
 def test_topk_scores_are_whole_numbers_of_any_size(vectors):
-    big = float(1 << 30)
+    big = float(1 << 22)  # 2**30 as a whole component
     rows = [(50, [big, -3.0]), (51, [big / 64 + 0.5, 2.0]), (52, [-big, 1.0]), (53, [8.0, big / 2])]
     found = {r.vec_id: r.score for r in topk.search(vectors(rows[:2] + rows[3:]), F.col("vec_id") == 50, k=3).collect()}
     whole = lambda v: [math.floor(256 * x) for x in np.array(v, dtype=np.float32).astype(float).tolist()]
