@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sluicemark.plans.snapshots import compact_snapshot, create_snapshot_table, latest_version, lookup_snapshot, upsert_snapshot
+from sluicemark.operators.export import replace_partitions
+from sluicemark.plans.snapshots import compact_snapshot, create_snapshot_table, latest_version, lookup_snapshot, read_snapshot, upsert_snapshot
 from sluicemark.session import staged
 from sluicemark.sources.files import CSV, CsvFormat
-from sluicemark.sources.loading import FILES_PER_BATCH, listed_files, load_into_table, same_file
+from sluicemark.sources.loading import FILES_PER_BATCH, listed_files, load_into_table, loaded_rows, parse_files, same_file
 
 BEGUN, LOADED = "begun", "loaded"
-HISTORY = "file string, state string, changed timestamp_ntz"
 
 
 def _exists(spark: SparkSession, history: str) -> bool:
@@ -94,3 +96,46 @@ def load_with_history(
         for name, n in done.items():
             total[name] += n
     return total
+
+
+def backfill_late_files(
+    spark: SparkSession,
+    stage: str,
+    prefix: str,
+    file_format: str,
+    schema: T.StructType,
+    ts: str,
+    folder: str,
+    home: str,
+    work: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    csv: CsvFormat = CSV,
+) -> list[dt.date]:
+    """Take new files, however late they are, and rewrite exactly the days they have rows for; returns those days.
+
+    ``home`` keeps the history of files and an index of the days each file touches.  A day is worked out from all files that touch it, and no other file is
+    read; ``work`` sees rows with their ``run_date`` and must keep it.  The new files count as taken once their days are written, so a run that died is
+    repeated with the same result.
+    """
+    history, index = f"{home}/files", f"{home}/days"
+    listed = staged(listed_files(spark, stage, prefix), "listed")
+    new = staged(unseen_files(spark, history, listed), "unseen")
+
+    def rows_of(files: DataFrame) -> DataFrame:
+        paths = [same_file(row["path"]) for row in files.select("path").collect()]
+        parsed = parse_files(spark, stage, prefix, file_format, schema, csv=csv, paths=paths)
+        return loaded_rows(parsed).withColumn("run_date", F.to_date(ts))
+
+    if new.isEmpty():
+        return []
+    touched = staged(rows_of(new).select(F.col("metadata_filename").alias("file"), F.col("run_date").alias("day")).where("day IS NOT NULL").distinct(), "touched")
+    if _exists(spark, index):
+        upsert_snapshot(index, touched)
+    else:
+        create_snapshot_table(touched, index, ["day", "file"])
+    days = sorted(row["day"] for row in touched.select("day").distinct().collect())
+    if days:
+        needed = read_snapshot(spark, index).where(F.col("day").isin(days)).select("file").distinct()
+        rows = rows_of(listed.join(needed, "file", "left_semi")).where(F.col("run_date").isin(days))
+        replace_partitions(work(rows.drop("metadata_filename", "metadata_ingest_time")), folder, ["run_date"])
+    record_files(spark, history, new, LOADED)
+    return days

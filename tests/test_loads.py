@@ -6,10 +6,11 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluicemark.plans import loads
 from sluicemark.plans.flows import with_provenance
-from sluicemark.plans.loads import LOADED, load_with_history, record_files, unseen_files
+from sluicemark.plans.loads import LOADED, backfill_late_files, load_with_history, record_files, unseen_files
 from sluicemark.plans.snapshots import latest_version, live_files, read_snapshot
 from sluicemark.session import new_database
 
@@ -79,3 +80,29 @@ def test_small_files_of_the_history_are_put_together(spark, tmp_path):
         record_files(spark, history, spark.createDataFrame([(f"f{i:03d}",)], "file string"), LOADED)
     assert live_files(spark, history, latest_version(spark, history)).count() < 16
     assert read_snapshot(spark, history).count() == 18
+
+
+def test_late_rows_rewrite_exactly_their_days(spark, tmp_path):
+    stage, out, home = str(tmp_path), str(tmp_path / "out"), str(tmp_path / "home")
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("ts", T.TimestampNTZType())])
+
+    def deliver(*rows):
+        spark.createDataFrame([(i, dt.datetime(2024, 1, d, 3) if d else None) for i, d in rows], schema).coalesce(1).write.mode("append").parquet(f"{stage}/in")
+
+    def run(work=lambda rows: rows):
+        return backfill_late_files(spark, stage, "in", "parquet", schema, "ts", out, home, work)
+
+    def files():
+        return {str(f.relative_to(tmp_path)): f.stat().st_mtime_ns for f in (tmp_path / "out").rglob("*.parquet")}
+
+    deliver((1, 1), (2, 2), (3, 3))
+    assert run() == [dt.date(2024, 1, d) for d in (1, 2, 3)]
+    before = files()
+    deliver((4, 2), (5, 7), (6, None))
+    with pytest.raises(ZeroDivisionError):  # a run that dies is repeated
+        run(lambda rows: 1 / 0)
+    assert run() == [dt.date(2024, 1, 2), dt.date(2024, 1, 7)]
+    after = files()
+    assert {k for k in before if after.get(k) == before[k]} == {k for k in before if "run_date=2024-01-02" not in k}
+    assert sorted((r.id, r.run_date.day) for r in spark.read.parquet(out).collect()) == [(1, 1), (2, 2), (3, 3), (4, 2), (5, 7)]
+    assert run() == [] and files() == after
