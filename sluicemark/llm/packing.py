@@ -46,7 +46,7 @@ SCHEMA = (
 _WIDE_SPACES = [ch.encode() for ch in "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"]
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 6 << 20
 
 
 def word_starts(data: np.ndarray) -> np.ndarray:
@@ -282,6 +282,7 @@ def pack(
         encoder.stop()
         bins.finish()
         yield bins.batch()
+        pa.default_memory_pool().release_unused()  # the worker process outlives the task
 
     columns = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return columns.mapInArrow(run, SCHEMA)
