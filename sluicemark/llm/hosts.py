@@ -12,7 +12,8 @@ the shuffle or split in the join.  Mass that reaches a host without links is los
 ranks of a seed set alike, and they are compared after scaling each set to 1.
 
 A null url, or one without ``://``, has an empty host and path, fits no rule and is allowed: nothing is
-known of it.  Null html has no links.  Repeated rows are judged alike.  An empty table gives no
+known of it.  Null html has no links; a very long one is searched in one task, in memory proportional to it.  Repeated rows are judged alike.  Of rules as
+long the one with the longer host wins, and a host whose distrust equals ``ratio`` times its trust is allowed.  An empty table gives no
 rows.  Other columns are kept; one with the name of an added column is replaced.
 """
 

@@ -14,7 +14,8 @@ are only summed before a shuffle.  The table of sources is ranked in one task, s
 the number of documents, is what that task sees.
 
 Null text has size 0.  A null source is a source, ordered last.  Documents of size 0 have rate 1 and take no words.
-Repeated rows share their number and so their copies.  An empty table gives no rows.  Other columns
+Repeated rows share their number and so their copies.  A very long text is a size like any other; its words are counted in one task.  Ties of points are
+told apart by the rows' hashes.  An empty table gives no rows.  Other columns
 are kept by ``mix``; one with the name of a column it adds is replaced.
 """
 
