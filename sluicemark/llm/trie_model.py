@@ -36,8 +36,8 @@ from sluicemark.session import new_database, new_folder, staged
 
 ORDER = 3
 PRIORS = (0.0, 0.0, 200.0, 20.0)  # of orders 0 to 3; higher orders take the last
-BLOCK_BYTES = 15 << 20
-SHARD_TOKENS = 2_000_000
+BLOCK_BYTES = 8 << 20
+SHARD_TOKENS = 1_000_000
 END = ""  # no word is empty
 MOST_WORD_SHARDS = 65_536
 BLOCK = "block long, docs array<long>, held_out array<boolean>, lens binary, words array<string>, codes binary, counts binary"
@@ -330,6 +330,7 @@ def _answer_shard(level: int, prior: float, last: bool) -> Callable[[pa.Table],
         """Build the shard's trie from what all blocks count and answer each of them."""
         (contexts, _), (totals, _), (sizes, _) = _all(rows["contexts"]), _all(rows["context_counts"]), _all(rows["sizes"])
         (words, bounds), (counts, _) = _all(rows["words"]), _all(rows["counts"])
+        rows = rows.select(["shard", "block"])
         counted = np.flatnonzero(counts)
         owner = np.repeat(np.arange(len(contexts)), sizes)[counted]
         order = np.lexsort((words[counted], contexts[owner]))
@@ -338,8 +339,10 @@ def _answer_shard(level: int, prior: float, last: bool) -> Callable[[pa.Table],
         new[1:] = (context[1:] != context[:-1]) | (word[1:] != word[:-1])
         first = np.flatnonzero(new)
         n = np.add.reduceat(n, first) if len(first) else n
+        entries = context[first], word[first], n / (total[first] + prior), n
+        del owner, order, context, word, total, counts, counted, new
         with tempfile.TemporaryDirectory() as folder:
-            trie = TrieShard(context[first], word[first], n / (total[first] + prior), n, Path(folder))
+            trie = TrieShard(*entries, Path(folder))
             place = trie.find(contexts, sizes, words)
             there = place >= 0
             codes, found = np.zeros(len(words), dtype=np.int16), np.zeros(len(words), dtype=np.int64)
