@@ -98,3 +98,19 @@ def test_edge_rows(prepared, edge, nothing):
     unseen = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 7 == 2)
     row = trie_model.score(documents(prepared, [(unseen, "nothing to learn from", "en", "a")])).collect()[0]
     assert (row.held_out, row.n_tokens, row.n_known, row.train_tokens, row.score) == (True, 5, 0, 0, 0.0)
+
+
+def test_contexts_of_one_block_are_not_sent():
+    grams = trie_model._Grams(np.array([3, 0, 1, 3]), np.array([0, 1, 2, 1]), 4)
+    grams.deal(np.arange(4), np.array([1, 1, 1, 2]), np.array([True, False, True, False]), np.arange(4), np.ones(4, dtype=bool), 1, 100)
+    pairs = lambda at: list(zip(grams.context[at].tolist(), grams.word[at].tolist()))
+    assert pairs(grams.asked) == [(1, 2), (3, 0), (3, 1)] and pairs(grams.alone) == [(0, 1)]
+
+
+def test_a_held_out_copy_in_another_block(prepared):
+    """A block that has a context in training alone still sends it, if another block has it in a held-out document."""
+    out = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 7 == 2)
+    taught = [i for i in range(99) if zlib.crc32(str(i).encode()) % 7 != 2]
+    rows = [(taught[0], "a b c d the shared phrase"), (taught[1], "e f g h the shared phrase"), (taught[2], "i j k l"), (out, "i j k l m")]
+    docs = prepared.createDataFrame(rows, "doc_id long, text string")
+    same(trie_model.score(docs, block_bytes=1).collect(), plain(rows, trie_model.ORDER, trie_model.PRIORS))
