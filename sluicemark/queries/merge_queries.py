@@ -119,12 +119,25 @@ def upsert_from_files(spark: SparkSession, sf: str) -> DataFrame:
     return flows.upsert_files(spark, target, config, SCAN_TIME)
 
 
+ROWS_PER_DROP = 1_000_000
+
+
+def files_per_drop(rows: int, drops: int, rows_per_file: int = ROWS_PER_DROP) -> int:
+    """Files of each of ``drops`` even drops, so that none is expected to hold more than ``rows_per_file`` rows."""
+    return max(1, -(-rows // (drops * rows_per_file)))
+
+
 @query("upsert_streamed", _MERGED.format(extra=""))
 def upsert_streamed(spark: SparkSession, sf: str) -> DataFrame:
-    """The same merge fed by the file stream, a file per micro-batch; the second run finds no new file and changes nothing."""
+    """The same merge fed by the file stream in three micro-batches; the second run finds no new file and changes nothing.
+
+    A micro-batch is one file while the table is small and more of them as it grows, since a file is one task's work.
+    """
     stage = new_folder(spark, "drops")
+    lines = table(spark, sf, "lineitem")
+    files = files_per_drop(lines.count(), drops=3)
     # A key lies in one file: among files, the last one merged wins.
-    table(spark, sf, "lineitem").repartition(3, "l_orderkey").write.parquet(f"{stage}/lineitem")
+    lines.repartition(3 * files, "l_orderkey").write.parquet(f"{stage}/lineitem")
     target = f"{new_database(spark, 'streamed')}.order_lines"
     flows.create_target(
         first_lines(spark, sf).withColumns({"metadata_filename": F.lit("orders.parquet"), "metadata_ingest_time": ntz("2023-12-31 00:00:00")}),
@@ -134,7 +147,7 @@ def upsert_streamed(spark: SparkSession, sf: str) -> DataFrame:
     config = flows.TableConfig(target, stage, "lineitem", KEYS, order, "metadata_ingest_time")
     history = new_folder(spark, "history")
     for _ in range(2):
-        flows.upsert_new_files(spark, config, history, SCAN_TIME, files_per_batch=1)
+        flows.upsert_new_files(spark, config, history, SCAN_TIME, files_per_batch=files)
     return spark.table(target).drop("metadata_filename", "metadata_ingest_time")
 
 

@@ -268,3 +268,20 @@ def test_like_keeps_an_existing_table(spark):
     spark.sql(f"INSERT INTO {database}.b VALUES (7)")
     files.create_table_like(spark, f"{database}.a", f"{database}.b")
     assert spark.table(f"{database}.b").count() == 1
+
+
+def test_streamed_drops_take_more_files_as_the_table_grows(spark, monkeypatch):
+    """A file of the stream is one task's work, so a drop of a large table is many files; its rows are the same."""
+    from sluicemark.queries import merge_queries
+
+    assert [merge_queries.files_per_drop(n, drops=3) for n in (0, 60_000, 3_000_000, 3_000_001, 216_000_000)] == [1, 1, 1, 2, 72]
+    run = lambda: sorted(map(tuple, merge_queries.upsert_streamed(spark, "/root/testdata/sf0.001").collect()))
+    expected, seen, through = run(), [], flows.upsert_new_files
+
+    def counted(own, config, *args, **kw):
+        seen.append((own.read.parquet(f"{config.stage}/{config.prefix}").select("_metadata.file_path").distinct().count(), kw["files_per_batch"]))
+        through(own, config, *args, **kw)
+
+    monkeypatch.setattr(merge_queries, "files_per_drop", lambda rows, drops: 4)
+    monkeypatch.setattr(flows, "upsert_new_files", counted)
+    assert run() == expected and seen == [(12, 4), (12, 4)]
