@@ -196,7 +196,21 @@ def _rows(spark: SparkSession, folder: str, of: Version, files: DataFrame) -> Da
 def read_snapshot(spark: SparkSession, folder: str, number: int | None = None) -> DataFrame:
     """Rows of the latest version, or of version ``number``."""
     of = latest_version(spark, folder) if number is None else version(spark, folder, number)
-    return _rows(spark, folder, of, live_files(spark, folder, of))
+    return _live_rows(spark, folder, of)
+
+
+def _live_rows(spark: SparkSession, folder: str, of: Version) -> DataFrame:
+    """Rows of a whole version.
+
+    The folders of its runs are listed, one call a run, and replaced files are left out by name; naming each file would cost a look-up a file.  Only
+    where more files were replaced than are live are the live ones named.
+    """
+    removed, live = _removed(spark, folder, of).where(F.substring_index("file", "/", 1).isin(of.runs)), live_files(spark, folder, of)
+    if not of.runs or removed.count() > live.count():
+        return _rows(spark, folder, of, live)
+    rows = spark.read.schema(_schema(of)).parquet(*[f"{folder}/data/{run}" for run in of.runs])
+    gone = [row[0] for row in removed.select("file").collect()]
+    return rows.where(~_file_name().isin(gone)) if gone else rows
 
 
 def files_for_keys(files: DataFrame, bits: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:

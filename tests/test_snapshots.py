@@ -123,3 +123,20 @@ def test_large_batches_are_not_broadcast_and_empty_tables_work(spark, tmp_path,
     assert upsert_snapshot(folder, numbers(spark, 25, 75, "c"))["rows_updated"] == 25
     assert upsert_snapshot(folder, numbers(spark, 0, 0, "d"))["files_rewritten"] == 0
     assert read_snapshot(spark, folder).groupBy("v").count().orderBy("v").collect() == [("b", 25), ("c", 50)]
+
+
+def test_a_whole_version_is_read_without_naming_its_files(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "t")
+    create_snapshot_table(numbers(spark, 0, 1_000, "a"), folder, ["id"], rows_per_file=10)
+    upsert_snapshot(folder, numbers(spark, 5, 25, "b").unionByName(numbers(spark, 2_000, 2_010, "c")), rows_per_file=10)
+    expected = [(i, "b" if 5 <= i < 25 else "a") for i in range(1_000)] + [(i, "c") for i in range(2_000, 2_010)]
+
+    def named(*_):
+        raise AssertionError("files were named one by one")
+
+    with monkeypatch.context() as watched:
+        watched.setattr(snapshots, "_paths", named)
+        assert rows(read_snapshot(spark, folder)) == sorted(expected, key=str)
+        assert rows(read_snapshot(spark, folder, 1)) == sorted([(i, "a") for i in range(1_000)], key=str)
+    upsert_snapshot(folder, numbers(spark, 0, 1_000, "d"), rows_per_file=1_000)  # now most files are replaced ones
+    assert rows(read_snapshot(spark, folder)) == sorted([(i, "d") for i in range(1_000)] + [(i, "c") for i in range(2_000, 2_010)], key=str)
