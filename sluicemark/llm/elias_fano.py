@@ -15,8 +15,11 @@ def quantise(probabilities: np.ndarray) -> np.ndarray:
     return np.minimum(np.rint(-np.log10(probabilities) * STEPS) + 1, _MOST_CODE).astype(np.int16)
 
 
+_OF_CODE = np.append(0.0, 10.0 ** (-np.arange(_MOST_CODE) / STEPS))
+
+
 def probability(codes: np.ndarray) -> np.ndarray:
-    return np.where(codes > 0, 10.0 ** ((1.0 - codes) / STEPS), 0.0)
+    return _OF_CODE[codes]
 
 
 def _packed(values: np.ndarray, width: int) -> np.ndarray:

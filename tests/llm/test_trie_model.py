@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sluicemark.llm import trie_model
@@ -114,3 +115,35 @@ def test_a_held_out_copy_in_another_block(prepared):
     rows = [(taught[0], "a b c d the shared phrase"), (taught[1], "e f g h the shared phrase"), (taught[2], "i j k l"), (out, "i j k l m")]
     docs = prepared.createDataFrame(rows, "doc_id long, text string")
     same(trie_model.score(docs, block_bytes=1).collect(), plain(rows, trie_model.ORDER, trie_model.PRIORS))
+
+
+def test_whole_numbers_come_back():
+    for ends in ([0], [0, 255], [-1, 0], [-128, 127], [-129, 70_000], [0, 2**32], [-(2**40), 2**40], [0, 2**62]):
+        values = np.array(ends, dtype=np.int64)
+        assert trie_model.unpacked(trie_model.packed(values)).tolist() == ends and trie_model.unpacked(trie_model.packed(values, steps=True)).tolist() == ends
+
+
+@pytest.mark.parametrize("most", [1, 50, 2**40, 2**61])
+def test_ranks(most):
+    keys = np.random.default_rng(3).integers(0, most, 5_000)
+    for some in (keys, keys[:1], keys[:0]):
+        distinct, rank = trie_model._ranked(some)
+        expected = np.unique(some, return_inverse=True)
+        assert (distinct == expected[0]).all() and (rank == expected[1]).all()
+
+
+def test_a_shard_looks_an_ngram_up_once(monkeypatch):
+    """However many blocks ask for it; a block that alone asked for one gets no count."""
+    looked_up, plainly = [], trie_model._looked_up
+    monkeypatch.setattr(trie_model, "_looked_up", lambda entries, contexts, sizes, words: looked_up.append(len(words)) or plainly(entries, contexts, sizes, words))
+    # Contexts 7 and 9 with counts 6 and 2; 9 4 is held out in both blocks, 7 5 is asked by the first alone.
+    asked = [([7, 9], [6, 2], [3, 1], [1, 2, 5, 4], [2, 0, 1, 0]), ([7, 9], [6, 2], [2, 2], [1, 2, 3, 4], [1, 2, 2, 0])]
+    columns = [pa.array([trie_model.packed(np.array(row[c])) for row in asked], pa.binary()) for c in range(5)]
+    rows = pa.Table.from_batches([trie_model._batch(trie_model.ASKED, pa.array([3, 3], pa.int64()), pa.array([0, 1], pa.int64()), *columns)])
+    answer = trie_model._answer_shard(2, 200.0, last=False)(rows)
+    assert looked_up == [5]
+    codes, nodes, counts = ([trie_model.unpacked(blob).tolist() for blob in answer[c].to_pylist()] for c in ("codes", "nodes", "counts"))
+    chance = lambda n, total: int(quantise(np.array([n / (total + 200.0)]))[0])
+    assert codes == [[chance(3, 6), chance(2, 6), chance(1, 6), 0], [chance(3, 6), chance(2, 6), chance(2, 2), 0]]
+    assert [n - (3 << 36) if n else None for n in nodes[0]] == [0, 1, 2, None] and [n - (3 << 36) if n else None for n in nodes[1]] == [0, 1, 3, None]
+    assert counts == [[3, 2, 0, 0], [3, 2, 0, 0]]
