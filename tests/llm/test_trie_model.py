@@ -117,6 +117,18 @@ def test_a_held_out_copy_in_another_block(prepared):
     same(trie_model.score(docs, block_bytes=1).collect(), plain(rows, trie_model.ORDER, trie_model.PRIORS))
 
 
+def test_shuffle_files_go_with_their_query(prepared, monkeypatch):
+    """While the orders run, that is; the caller's setting is put back, after a failure too."""
+    seen, plainly, before = [], trie_model.staged, prepared.conf.get(trie_model._CLEANUP)
+    monkeypatch.setattr(trie_model, "staged", lambda df: seen.append(prepared.conf.get(trie_model._CLEANUP)) or plainly(df))
+    docs = documents(prepared, [(i, f"a b c {i}", "en", "a") for i in range(9)])
+    assert trie_model.score(docs, block_bytes=1).count() == 9
+    assert seen == ["true"] and prepared.conf.get(trie_model._CLEANUP) == before
+    with pytest.raises(ZeroDivisionError), trie_model._shuffles_removed(prepared):
+        _ = 1 / 0
+    assert prepared.conf.get(trie_model._CLEANUP) == before
+
+
 def test_whole_numbers_come_back():
     for ends in ([0], [0, 255], [-1, 0], [-128, 127], [-129, 70_000], [0, 2**32], [-(2**40), 2**40], [0, 2**62]):
         values = np.array(ends, dtype=np.int64)
